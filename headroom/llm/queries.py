@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .credentials import op1_secret_scans
+from .mixing import op3_source_mixing
+from .packing import op10_best_fit_packing
 from .simhash import op2_simhash_near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -13,7 +16,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_secret_scans": op1_secret_scans,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
+        "op3_source_mixing": op3_source_mixing,
+        "op10_best_fit_packing": op10_best_fit_packing,
     }
 
 
