@@ -1 +1,8 @@
 """Capacity analytics as Spark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions of this package travel to the executors by value: they need no copy of it there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
