@@ -7,8 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .credentials import op1_secret_scans
+from .licences import op5_license_scans
+from .lm import op6_lm_scoring
+from .media import op8_media_chunking
 from .mixing import op3_source_mixing
 from .packing import op10_best_fit_packing
+from .purity import op4_pu_quality
+from .rules import op7_quality_rules
+from .sharding import op9_kd_tree_sharding
 from .simhash import op2_simhash_near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,9 +25,16 @@ def queries() -> dict[str, Query]:
         "op1_secret_scans": op1_secret_scans,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_source_mixing": op3_source_mixing,
+        "op4_pu_quality": op4_pu_quality,
+        "op5_license_scans": op5_license_scans,
+        "op6_lm_scoring": op6_lm_scoring,
+        "op7_quality_rules": op7_quality_rules,
+        "op8_media_chunking": op8_media_chunking,
+        "op9_kd_tree_sharding": op9_kd_tree_sharding,
         "op10_best_fit_packing": op10_best_fit_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    """None: the methods (learned models, traversals, packings) can't be written as SQL; tests hold them against brute force."""
     return {}
