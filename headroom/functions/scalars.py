@@ -59,7 +59,7 @@ def iso_utc(seconds: Column) -> Column:
 
 
 def percent_text(x: Column) -> Column:
-    return F.coalesce(F.concat(F.format_string("%.1f", x), F.lit("%")), F.lit("n/a"))
+    return F.when(x.isNotNull(), F.concat(F.format_string("%.1f", x), F.lit("%"))).otherwise("n/a")
 
 
 def days_text(x: Column) -> Column:

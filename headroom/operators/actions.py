@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import confidence_index
 from ..schemas import MATCH, SERIES, Params
@@ -62,7 +63,7 @@ def actions(risk: DataFrame, forecast: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_cdf(z: pd.Series) -> pd.Series:
     """Spark has no erf, and polynomials are too coarse for the product of a year of days."""
     erf = np.frompyfunc(lambda x: math.erf(x / math.sqrt(2)), 1, 1)

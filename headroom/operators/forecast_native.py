@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clip, pinball, wape
+from ..functions.scalars import clip
 from ..schemas import SERIES, Params
 
 LAGS = (1, 2, 3, 7, 14, 21, 28)
 WINDOWS = (3, 7, 14)
-BY = Window.partitionBy(*SERIES).orderBy("date")
+
+
+def by_day():
+    """Window over a series in order of days."""
+    return Window.partitionBy(*SERIES).orderBy("date")
 
 
 def daily_grid(daily: DataFrame) -> DataFrame:
@@ -20,7 +24,7 @@ def daily_grid(daily: DataFrame) -> DataFrame:
     over the filled grid.
     """
     rows = daily.dropna(subset=[*SERIES, "date"]).filter(F.col("target_p95").isNotNull() & (F.abs("target_p95") < float("inf")))
-    pair = rows.withColumns({"__to": F.lead("date").over(BY), "__y": F.lead("target_p95").over(BY)})
+    pair = rows.withColumns({"__to": F.lead("date").over(by_day()), "__y": F.lead("target_p95").over(by_day())})
     span = F.datediff("__to", "date")
     days = pair.withColumn("__k", F.explode(F.sequence(F.lit(0), F.coalesce(span - 1, F.lit(0)))))
     value = F.when(F.col("__k") == 0, F.col("target_p95")).otherwise(F.col("target_p95") + (F.col("__y") - F.col("target_p95")) * F.col("__k") / span)
@@ -29,51 +33,67 @@ def daily_grid(daily: DataFrame) -> DataFrame:
 
 def lag_features(grid: DataFrame) -> DataFrame:
     """Lags, shifted rolling mean and deviation, weekday sine and cosine; incomplete rows are dropped."""
-    out = grid.withColumns({f"lag_{k}": F.lag("y", k).over(BY) for k in LAGS})
+    out = grid.withColumns({f"lag_{k}": F.lag("y", k).over(by_day()) for k in LAGS})
     for w in WINDOWS:
-        over = BY.rowsBetween(-w, -1)
+        over = by_day().rowsBetween(-w, -1)
         full = F.count("y").over(over) == w
         out = out.withColumns({f"mean_{w}": F.when(full, F.avg("y").over(over)), f"std_{w}": F.when(full, F.stddev_samp("y").over(over))})
     angle = F.lit(2 * 3.141592653589793) * F.weekday("date") / 7
     return out.withColumns({"dow_sin": F.sin(angle), "dow_cos": F.cos(angle)}).dropna()
 
 
-def seasonal_naive(grid: DataFrame, days: int) -> DataFrame:
-    """Forecast rows of the last week repeated, with bands from the residuals of the same weekday."""
-    residual = grid.withColumn("r", F.abs(F.col("y") - F.lag("y", 7).over(BY)))
-    history = residual.groupBy(*SERIES).agg(F.count("y").alias("n"), F.max("date").alias("last"), F.max_by("y", "date").alias("y_last"), F.percentile("r", 0.9).alias("q90"), F.percentile("r", 0.95).alias("q95"))
-    tail = grid.withColumn("back", F.row_number().over(Window.partitionBy(*SERIES).orderBy(F.col("date").desc()))).filter("back <= 7")
-    week = tail.groupBy(*SERIES).agg(F.transform(F.array_sort(F.collect_list(F.struct("date", "y"))), lambda x: x["y"]).alias("week"))
-    short = tail.join(history.select(*SERIES, "y_last"), list(SERIES)).groupBy(*SERIES).agg(F.percentile(F.abs(F.col("y") - F.col("y_last")), 0.9).alias("s90"), F.percentile(F.abs(F.col("y") - F.col("y_last")), 0.95).alias("s95"))
-    every = history.join(week, list(SERIES)).join(short, list(SERIES)).withColumn("horizon_day", F.explode(F.sequence(F.lit(1), F.lit(days))))
-    few = F.col("n") < 7
-    p50 = F.when(few, F.col("y_last")).otherwise(F.get("week", F.pmod(F.col("horizon_day") - 1, F.lit(7))))
-    band = lambda q, s: clip(F.col("p50") + F.when(few, F.col(s)).otherwise(F.coalesce(F.col(q), F.lit(0.0))))
-    rows = every.withColumn("p50", p50).select(*SERIES, F.expr("date_add(last, horizon_day)").alias("date"), "horizon_day", F.lit("seasonal_naive").alias("model"), "p50", band("q90", "s90").alias("p90"), band("q95", "s95").alias("p95"))
-    return rows
+def as_arrays(grid: DataFrame) -> DataFrame:
+    """One row a series: its values in order of days (at most one a day) and its last day."""
+    days = F.array_sort(F.collect_list(F.struct("date", "y")))
+    return grid.groupBy(*SERIES).agg(days.alias("d")).select(*SERIES, F.transform("d", lambda x: x["y"]).alias("y"), F.element_at("d", -1)["date"].alias("last"))
 
 
-def seasonal_naive_backtest(grid: DataFrame, p: Params = Params()) -> DataFrame:
-    """Mean errors of the seasonal-naive model over the folds of each series; nulls where it is too short.
+def quantile(values: Column, q: float) -> Column:
+    """Linearly interpolated quantile of an array; 0 of an empty one."""
+    v = F.array_sort(values)
+    at = (F.size(v) - 1) * F.lit(q)
+    low, high = F.get(v, F.floor(at).cast("int")), F.get(v, F.ceil(at).cast("int"))
+    return F.when(F.size(v) > 0, low + (high - low) * (at - F.floor(at))).otherwise(0.0)
+
+
+def weekly_residuals(y: Column, n: Column) -> Column:
+    """|y[t] - y[t-7]| of an array of n >= 7 values."""
+    return F.zip_with(F.slice(y, 8, F.greatest(n - 7, F.lit(0))), F.slice(y, 1, F.greatest(n - 7, F.lit(0))), lambda a, b: F.abs(a - b))
 
-    For every fold the training part is the series up to its split. The prediction of test day t is
-    the value of the last training week on that weekday, a lookup by position.
+
+def seasonal_naive(grid: DataFrame, days: int) -> DataFrame:
+    """Forecast rows of the last week repeated, with bands from the residuals of the same weekday.
+
+    A series is one array, so all of it costs one shuffle by series; no window, no join.
     """
-    placed = grid.withColumns({"i": F.row_number().over(BY) - 1, "n": F.count("y").over(Window.partitionBy(*SERIES))})
+    n = F.size("y")
+    few = n < 7
+    rows = as_arrays(grid).withColumns({"r": F.when(few, F.transform("y", lambda v: F.abs(v - F.element_at("y", -1)))).otherwise(weekly_residuals(F.col("y"), n)), "week": F.when(few, F.slice("y", n, 1)).otherwise(F.slice("y", F.greatest(n - 6, F.lit(1)), 7))})
+    told = rows.select(*SERIES, "last", "week", quantile(F.col("r"), 0.9).alias("q90"), quantile(F.col("r"), 0.95).alias("q95"), F.explode(F.sequence(F.lit(1), F.lit(days))).alias("horizon_day"))
+    p50 = F.get("week", F.pmod(F.col("horizon_day") - 1, F.size("week")))
+    return told.select(*SERIES, F.expr("date_add(last, horizon_day)").alias("date"), "horizon_day", F.lit("seasonal_naive").alias("model"), p50.alias("p50"), clip(p50 + F.col("q90")).alias("p90"), clip(p50 + F.col("q95")).alias("p95"))
+
+
+def seasonal_naive_backtest(grid: DataFrame, p: Params = Params()) -> DataFrame:
+    """Mean errors of the seasonal-naive model over the folds of each series; nulls where it is too short."""
     h, least = p.fold_days, p.min_train
-    folds = placed.withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(p.folds)))).withColumn("split", F.col("n") - F.col("fold") * h).filter((F.col("split") >= least) & (F.col("n") >= least + h) & (F.col("i") < F.col("split") + h))
-    keys = [*SERIES, "fold", "split"]
-    by = Window.partitionBy(*keys).orderBy("i")
-    residual = F.when(F.col("i") < F.col("split"), F.abs(F.col("y") - F.lag("y", 7).over(by)))
-    tested = folds.withColumn("r", residual)
-    bands = tested.groupBy(*keys).agg(F.percentile("r", 0.9).alias("q90"), F.map_from_entries(F.collect_list(F.when((F.col("i") >= F.col("split") - 7) & (F.col("i") < F.col("split")), F.struct((F.col("i") - F.col("split") + 7).alias("k"), "y")))).alias("week"))
-    test = tested.filter("i >= split").join(bands, keys)
-    p50 = F.try_element_at("week", F.pmod(F.col("i") - F.col("split"), F.lit(7)))
-    scored = test.withColumns({"p50": p50, "p90": clip(p50 + F.coalesce("q90", F.lit(0.0)))})
-    errors = scored.groupBy(*keys).agg(wape(F.col("y"), F.col("p50")).alias("wape"), F.avg(F.abs(F.col("y") - F.col("p50"))).alias("mae"), pinball(F.col("y"), F.col("p90"), 0.9).alias("pinball_p90"), F.avg((F.col("y") <= F.col("p90")).cast("double")).alias("calibration_p90"))
-    per = errors.groupBy(*SERIES).agg(*[F.avg(c).alias(c) for c in ("wape", "mae", "pinball_p90", "calibration_p90")], F.count("fold").alias("folds"))
-    every = grid.select(*SERIES).distinct()
-    return every.join(per, list(SERIES), "left").select(*SERIES, F.lit("seasonal_naive").alias("model"), "wape", "mae", "pinball_p90", "calibration_p90", F.coalesce("folds", F.lit(0)).alias("folds"))
+    n = F.size("y")
+    splits = F.filter(F.transform(F.array(*[F.lit(k) for k in range(1, p.folds + 1)]), lambda k: n - k * h), lambda s: (s >= least) & (n >= least + h))
+    folds = as_arrays(grid).select(*SERIES, "y", F.explode_outer(splits).alias("split"))
+    cut = folds.select(*SERIES, "split", F.slice("y", F.col("split") + 1, h).alias("test"), F.slice("y", F.col("split") - 6, 7).alias("week"), quantile(weekly_residuals(F.slice("y", 1, F.col("split")), F.col("split")), 0.9).alias("q90"))
+    at = lambda i: F.get("week", F.pmod(i, F.lit(7)))
+    error = cut.withColumns({"e": F.transform("test", lambda v, i: F.abs(v - at(i))), "d": F.transform("test", lambda v, i: v - clip(at(i) + F.col("q90")))})
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    mass = total(F.transform("test", lambda v: F.abs(v)))
+    per = error.select(
+        *SERIES,
+        "split",
+        F.when(mass <= 1e-9, total(F.col("e")) / h).otherwise(total(F.col("e")) / mass).alias("wape"),
+        (total(F.col("e")) / h).alias("mae"),
+        (total(F.transform("d", lambda d: F.when(d >= 0, 0.9 * d).otherwise(-0.1 * d))) / h).alias("pinball_p90"),
+        (F.size(F.filter("d", lambda d: d <= 0)) / h).alias("calibration_p90"),
+    )
+    return per.groupBy(*SERIES).agg(F.lit("seasonal_naive").alias("model"), *[F.avg(c).alias(c) for c in ("wape", "mae", "pinball_p90", "calibration_p90")], F.count("split").alias("folds"))
 
 
 def linear_forecast(points: DataFrame, horizons: tuple[int, ...], transform: Column | None = None) -> DataFrame:

@@ -82,7 +82,7 @@ def facts(section: Column | str, values: dict[str, Column], rows: DataFrame) ->
 
 def conclusion(matched_hosts: DataFrame, counts: DataFrame, latest: DataFrame, delta: DataFrame, risk: DataFrame, actions: DataFrame, selection: DataFrame) -> DataFrame:
     """The global facts of a run from its small tables."""
-    two = lambda c: F.format_string("%.2f", F.col(c))
+    two = lambda c: F.when(F.col(c).isNotNull(), F.format_string("%.2f", F.col(c)))
     count_by = lambda rows, section, column, prefix: rows.groupBy(F.coalesce(column, F.lit("unknown")).alias("k")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(section).alias("section"), F.concat(F.lit(prefix), "k").alias("key"), F.col("n").cast("string").alias("value"))
     named = {"cpu_target_items": "cpu_target", "ram_target_items": "ram_target", "disk_target_items": "disk_target", "ram_feature_items": "ram_features", "disk_feature_items": "disk_features", "feature_items_total": "feature_total"}
     parts = [

@@ -388,7 +388,7 @@ SQL: dict[str, tuple[str, tuple[str, ...]]] = {
         unnest(['/usr/sbin', '/etc/nginx', '/etc/nginx', '/etc/sysconfig', '/var/log/app' || s_suppkey, '/etc/ssl/certs']) p FROM supplier)""",
         (),
     ),
-    "ingest_stream": ("SELECT metric, hostid, count(*) n, count(DISTINCT clock) hours FROM (SELECT DISTINCT itemid, clock FROM trend) JOIN selected USING (itemid) WHERE source = 'target' GROUP BY metric, hostid", ("trend", "selected")),
+    "ingest_stream": ("SELECT metric, hostid, count(*) n, count(DISTINCT clock) AS hours FROM (SELECT DISTINCT itemid, clock FROM trend) JOIN selected USING (itemid) WHERE source = 'target' GROUP BY metric, hostid", ("trend", "selected")),
 }
 for _name, _q in {"inv_services": "services", "inv_filesystems": "filesystems", "inv_devices": "block_devices", "inv_interfaces": "network_interfaces", "inv_ssl": "ssl_targets", "inv_raw": "raw_service_related_items"}.items():
     SQL[_name] = (f"SELECT * EXCLUDE (section) FROM ({SECTION_SQL[_q]})", ("own",))

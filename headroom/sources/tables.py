@@ -70,20 +70,19 @@ def history_points(raw: DataFrame) -> DataFrame:
 def json_records(spark: SparkSession, path: str, columns: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """(records, errors) of JSON lines: lines that don't parse are rows of the error table."""
     schema = S.table(**columns, _bad="string")
-    rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_bad").json(path).withColumn("source", F.col("_metadata.file_name"))
-    good = rows.filter("_bad is null").drop("_bad", "source")
-    return good, rows.filter("_bad is not null").select("source", F.col("_bad").alias("message"))
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("source"), F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    return lines.filter("r._bad is null").select("r.*").drop("_bad"), lines.filter("r._bad is not null").select("source", F.col("r._bad").alias("message"))
 
 
 def host_tree(spark: SparkSession, path: str) -> DataFrame:
     """One row with the column tree: system to role to hosts."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.from_json("value", "map<string, map<string, array<string>>>").alias("tree"))
 
 
 def dump_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, line) of text files."""
-    text = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(path).select(F.col("_metadata.file_name").alias("file"), "value")
+    text = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
     return text.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
 
 
