@@ -2,12 +2,14 @@
 
 Trusted positives are documents labelled good; all documents, labels hidden, are the unlabelled text;
 the class prior is the share of good ones among the training labels. A linear model over statistics
-of the whole text minimises the non-negative unbiased risk with the logistic loss,
+of the whole text minimises the non-negative unbiased risk
 
-    prior * E_P[l(f)] + max(0, E_U[l(-f)] - prior * E_P[l(-f)]) + ridge,
+    prior * E_P[l(f)] + max(0, E_U[l(-f)] - prior * E_P[l(-f)]) + ridge
 
-by Newton steps. Each step is one pass of Spark over the narrow feature table, in which every task
-returns sums of fixed size; all positives and all unlabelled rows take part, at every size.
+by Newton-like steps: first with the logistic loss, which is convex, and from there with the sigmoid
+loss, whose difference between two samples of positives is small where both are sure. Each step is
+one pass of Spark over the narrow feature table, in which every task returns sums of fixed size; all
+positives and all unlabelled rows take part, at every size.
 
 Defined cases: null and empty texts have zero features and get the score these give; null doc_ids
 count as the empty text in the fold and have no label; if labels repeat for a doc_id, the lowest
@@ -119,29 +121,42 @@ def fit(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, float] | N
     ridge = np.full(d, RIDGE)
     ridge[-1] = 0
 
-    def risk(s: dict, w: np.ndarray) -> float:
-        return prior * s["P+"] + max(0.0, s["U-"] - prior * s["P-"]) + 0.5 * (ridge * w * w).sum()
+    def convex(s: dict) -> tuple[float, np.ndarray, np.ndarray]:
+        """Risk, gradient and curvature under the logistic loss, whose difference of losses is linear in f."""
+        negative = s["U-"] - prior * s["P-"]
+        if negative > 0:
+            return prior * s["P+"] + negative, s["Us"] - prior * s["Px"], s["Uh"]
+        return prior * s["P+"], prior * (s["Ps"] - s["Px"]), prior * s["Ph"]
+
+    def bounded(s: dict) -> tuple[float, np.ndarray, np.ndarray]:
+        """The same under the sigmoid loss, whose value and noise are bounded for every row."""
+        negative = s["Us"][-1] - prior * s["Ps"][-1]
+        positive, slope = prior * (1 - s["Ps"][-1]), prior * s["Ph"][:, -1]
+        if negative > 0:
+            return positive + negative, s["Uh"][:, -1] - 2 * slope, s["Uh"] + prior * s["Ph"]
+        return positive, -slope, prior * s["Ph"]
 
     w = np.zeros(d)
     s = _sums(rows, mean, scale, w)
-    at, step = risk(s, w), 1.0
-    for _ in range(STEPS):
-        if s["U-"] - prior * s["P-"] > 0:  # unbiased part: its loss difference is linear in f, so only U bends
-            gradient, bend = -prior * s["Px"] + s["Us"], s["Uh"]
-        else:  # the negative part is clipped: only the positives count
-            gradient, bend = prior * (s["Ps"] - s["Px"]), prior * s["Ph"]
-        move = np.linalg.solve(bend + np.diag(ridge + 1e-6), gradient + ridge * w)
-        while step > 1e-3:
-            s2 = _sums(rows, mean, scale, w - step * move)
-            if (new := risk(s2, w - step * move)) < at:
+    for loss, steps in ((convex, STEPS), (bounded, STEPS)):
+        step = 1.0
+        at, gradient, bend = loss(s)
+        for _ in range(steps):
+            now = at + 0.5 * (ridge * w * w).sum()
+            move = np.linalg.solve(bend + np.diag(ridge + 1e-4), gradient + ridge * w)
+            while step > 1e-3:
+                w2 = w - step * move
+                s2 = _sums(rows, mean, scale, w2)
+                if loss(s2)[0] + 0.5 * (ridge * w2 * w2).sum() < now:
+                    break
+                step /= 4
+            else:
+                break
+            w, s = w2, s2
+            at, gradient, bend = loss(s)
+            step = min(1.0, 4 * step)
+            if now - at - 0.5 * (ridge * w * w).sum() < 1e-6:
                 break
-            step /= 4
-        else:
-            break
-        gain, w, s, at = at - new, w - step * move, s2, new
-        step = min(1.0, 4 * step)
-        if gain < 1e-7:
-            break
     return mean, scale, w, prior
 
 
