@@ -112,3 +112,30 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None) -> Da
 
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read(spark, sf_dir, "documents"))
+
+
+def oracle_sql(templates: dict[str, str] | None = None) -> str:
+    """DuckDB SQL for op5: the same votes by joins of the words themselves, without hashes."""
+    import re
+
+    rows = []
+    for label, text in (templates or TEMPLATES).items():
+        words = re.findall(r"[0-9a-z]+", text.lower())
+        n = len(words) - K + 1
+        rows += [f"('{label}', {i}, {n}, '{words[i]}', '{words[i + 1]}', '{words[i + 2]}')" for i in range(n)]
+    start = {label: len(phrase.split()) - 1 for phrase, label in PHRASES.items()}
+    return f"""WITH docs AS (SELECT row_number() OVER () rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SEPARATORS}'), lambda x: x <> '') ws FROM documents),
+    words AS (SELECT rid, unnest(ws) w, generate_subscripts(ws, 1) - 1 i FROM docs),
+    near AS (SELECT rid, i, w, lead(w, 1) OVER o w1, lead(w, 2) OVER o w2, lag(w, 1) OVER o b1, lag(w, 2) OVER o b2 FROM words WINDOW o AS (PARTITION BY rid ORDER BY i)),
+    base AS (SELECT rid, CASE WHEN b1 = 'mit' THEN 'mit' WHEN b1 = 'apache' THEN 'apache' ELSE 'gpl' END label, CASE WHEN b1 IN ('mit', 'apache') THEN i - {start["mit"]} ELSE i - {start["gpl"]} END AS spot
+      FROM near WHERE w = 'license' AND (b1 IN ('mit', 'apache') OR (b1 = 'public' AND b2 = 'general'))),
+    grams AS (SELECT * FROM (VALUES {", ".join(rows)}) v(label, t_at, t_n, a, b, c)),
+    votes AS (SELECT rid, label, i - t_at diagonal, list(DISTINCT t_at) t, max(t_n) t_n, min(i) AS first, max(i) AS last FROM near JOIN grams ON w = a AND w1 = b AND w2 = c GROUP BY ALL),
+    parted AS (SELECT *, sum(apart) OVER (PARTITION BY rid, label ORDER BY diagonal) span FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, label ORDER BY diagonal) > {NEIGHBOURS} THEN 1 ELSE 0 END apart FROM votes)),
+    spans AS (SELECT rid, label, len(list_distinct(flatten(list(t)))) / max(t_n) AS share, min(first) AS first, max(last) + {K} AS stop FROM parted GROUP BY rid, label, span),
+    told AS (SELECT rid, list(DISTINCT label) labels, max(share) share, array_to_string(list_sort(list(label || ':' || first || ':' || stop)), ',') spans FROM spans WHERE share >= {BELIEVED} GROUP BY rid),
+    based AS (SELECT rid, count(*) n, min(spot) AS first, max(spot) AS last, list_sort(list(DISTINCT label)) labels FROM base GROUP BY rid)
+    SELECT doc_id, len(ws) n_words, coalesce(n, 0) n_base, b.first first_word, b.last last_word, coalesce(array_to_string(b.labels, ','), '') base_labels,
+      coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, CAST([] AS VARCHAR[])), coalesce(t.labels, CAST([] AS VARCHAR[]))))), ','), '') labels,
+      CASE WHEN n > 0 THEN 1.0 ELSE coalesce(t.share, 0.0) END score, coalesce(t.spans, '') spans
+    FROM docs LEFT JOIN told t USING (rid) LEFT JOIN based b USING (rid)"""
