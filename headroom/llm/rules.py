@@ -211,6 +211,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the rules reject go."""
     docs = docs.select(*DOCUMENT_COLUMNS)
-    counts = cut(with_counts(docs.select("doc_id", "text")).drop("text"), "rules")
-    rules = learn_from_labels(counts, read(spark, sf_dir, "labels"))
-    return apply_rules(with_counts(docs), rules).filter("kept").select(*docs.columns)
+    # written first: a filter would be pushed below the projections of the counts and repeat their work for every use
+    counted = cut(with_counts(docs), "rules-docs")
+    rules = learn_from_labels(counted, read(spark, sf_dir, "labels"))
+    return apply_rules(counted, rules).filter("kept").select(*docs.columns)
