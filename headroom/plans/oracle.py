@@ -390,6 +390,17 @@ SQL: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "ingest_stream": ("SELECT metric, hostid, count(*) n, count(DISTINCT clock) AS hours FROM (SELECT DISTINCT itemid, clock FROM trend) JOIN selected USING (itemid) WHERE source = 'target' GROUP BY metric, hostid", ("trend", "selected")),
 }
+_COUNTED = {"cpu_target_items": ("cpu", "target"), "ram_target_items": ("ram", "target"), "disk_target_items": ("disk", "target"), "ram_feature_items": ("ram", "feature"), "disk_feature_items": ("disk", "feature")}
+SQL["conclusion"] = (
+    "SELECT 'run' AS section, 'matched_hosts' AS key, CAST(count(DISTINCT hostid) AS VARCHAR) AS value FROM util_h"
+    + "".join(f" UNION ALL SELECT 'selection', '{k}', CAST(count(*) FILTER (metric = '{m}' AND source = '{x}') AS VARCHAR) FROM selected" for k, (m, x) in _COUNTED.items())
+    + " UNION ALL SELECT 'selection', 'feature_items_total', CAST(count(*) FILTER (source = 'feature') AS VARCHAR) FROM selected"
+    + f""" UNION ALL SELECT metric, unnest(['latest_history_mean_pct', 'latest_history_p90_pct', 'status']), unnest([printf('%.2f', util_mean), printf('%.2f', util_p90), state]) FROM ({SQL["metric_latest_status"][0]})
+    UNION ALL SELECT metric, unnest(['trend_recent_7d_mean_pct', 'trend_prev_7d_mean_pct', 'trend_delta_pp', 'trend_state']), unnest([printf('%.2f', recent_7d), printf('%.2f', prev_7d), printf('%.2f', delta_pp), state]) FROM ({SQL["trend_week_delta"][0]})
+    UNION ALL SELECT 'risk', 'cluster_' || cluster, CAST(count(*) AS VARCHAR) FROM risk GROUP BY cluster UNION ALL SELECT 'risk', 'overprovisioned_hosts', CAST(count(*) FILTER (overprovisioned) AS VARCHAR) FROM risk
+    UNION ALL SELECT 'actionable', 'status_' || status, CAST(count(*) AS VARCHAR) FROM actions GROUP BY status UNION ALL SELECT 'forecast', 'model_seasonal_naive', CAST(count(DISTINCT hostid) AS VARCHAR) FROM grid""",
+    ("util_h", "util_t", "selected", "risk", "actions", "grid"),
+)
 for _name, _q in {"inv_services": "services", "inv_filesystems": "filesystems", "inv_devices": "block_devices", "inv_interfaces": "network_interfaces", "inv_ssl": "ssl_targets", "inv_raw": "raw_service_related_items"}.items():
     SQL[_name] = (f"SELECT * EXCLUDE (section) FROM ({SECTION_SQL[_q]})", ("own",))
 

@@ -101,3 +101,16 @@ def test_unit_properties(spark):
 
 def test_unquote(spark):
     assert one(spark, C.unquote(F.lit(" \"'eth0'\" "))) == "eth0"
+
+
+def test_error_measures(spark):
+    df = spark.createDataFrame([(10.0, 12.0), (20.0, 16.0), (0.0, 0.0)], "y double, f double")
+    r = df.agg(C.wape(F.col("y"), F.col("f")).alias("w"), C.pinball(F.col("y"), F.col("f"), 0.9).alias("p")).first()
+    assert r.w == pytest.approx(6 / 30) and r.p == pytest.approx((0.2 + 3.6 + 0) / 3)
+    assert df.filter("y = 0").agg(C.wape(F.col("y"), F.col("f") + 2).alias("w")).first().w == 2.0
+
+
+def test_names_sorted(spark):
+    from headroom.operators.inventory import names_sorted
+
+    assert one(spark, names_sorted(F.array(F.lit("b"), F.lit(""), F.lit(None), F.lit("a")))) == ["a", "b"]

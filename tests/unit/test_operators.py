@@ -318,3 +318,18 @@ def test_plans(spark):
     h = spark.createDataFrame([], S.table(**S.UTIL_HISTORY))
     plan = summaries.scope_summaries(h)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_selection_ignores_input_order(spark):
+    keys = ("system.cpu.util", "system.cpu.util[,idle]", "system.cpu.util[,idle,avg1]", "vm.memory.size[pavailable]", "vm.memory.size[pavailable,x]", "vfs.fs.size[/a,pused]", "vfs.fs.size[/b,pused]", "vfs.fs.size[/b,free]")
+    rows = items(spark, *[(10 * h + i, str(h), "n", k) for h in range(5) for i, k in enumerate(keys * 2)])
+    scope = spark.createDataFrame([(str(h), f"h{h}", "a", "dev", "non-prod") for h in range(5)], "hostid string, host string, as_value string, env_value string, env_group string")
+    got = [sorted(map(str, selection.selection(r, scope).collect())) for r in (rows, rows.orderBy(F.desc("itemid")), rows.repartition(7, "key_"))]
+    assert got[0] == got[1] == got[2] and len(got[0]) > 0
+
+
+def test_scopes_sum_to_all(spark):
+    clock = dt.datetime(2024, 1, 1)
+    rows = [("cpu", clock, str(i), "h", f"a{i % 3}", "e", "prod" if i % 2 else "non-prod", "i", float(i)) for i in range(30)]
+    r = summaries.scope_summaries(spark.createDataFrame(rows, S.table(**S.UTIL_HISTORY))).groupBy("level").agg(F.sum("host_count").alias("n"), F.count("*").alias("rows")).collect()
+    assert {x.level: (x.n, x.rows) for x in r} == {"all": (30, 1), "tag": (30, 3), "scope": (30, 6)}
