@@ -87,6 +87,10 @@ def directory_kind(kind: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(f"{k}_{x}") for k in known for x in ("file", "dir")]), kind), F.lit("other"))
 
 
+# Fixed value: certificate files of command dumps.
+DUMP_CERTIFICATES = (".crt", ".pem", ".cer", ".key", ".pfx")
+
+
 def dump_kind(p: Column) -> Column:
     """Kind of a path of a command dump: certificate, log, config, data, binary, other."""
     suffix = F.lower(F.regexp_extract(F.regexp_extract(p, r"([^/]*)/*$", 1), r"^.+(\.[^.]+)$", 1))
@@ -101,9 +105,6 @@ def dump_kind(p: Column) -> Column:
     )
 
 
-DUMP_CERTIFICATES = (".crt", ".pem", ".cer", ".key", ".pfx")
-
-
 def parent(p: Column) -> Column:
     """Directory of a path, by its text alone."""
     up = F.regexp_replace(F.regexp_replace(p, "(?<=.)/+$", ""), "/[^/]*$", "")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import Params
 
+# Horizon, the one before, priority and text of each risk window; the type of calculated items.
 WINDOWS = ((30, None, 4, "critical now (<=30d)"), (90, 30, 3, "critical soon (31-90d)"), (180, 90, 2, "risk 6m (91-180d)"), (365, 180, 1, "risk 12m (181-365d)"))
 CALCULATED = "15"
 COMPARED = ("name", "delay", "params", "units", "status", "value_type")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import clean_list
 from ..schemas import SELECTED, Params
 
+# Patterns of item keys, and the names of features by role and mode.
 CPU = r"^system\.cpu\.util(?:\[(.*)\])?$"
 FILESYSTEM = r"^vfs\.fs\.size\[(.*),(pused|used|free|total)\]$"
 RAM_FEATURES = {"pavailable": "pavailable_pct", "pused": "pused_pct", "available": "available_bytes", "used": "used_bytes", "total": "total_bytes"}
