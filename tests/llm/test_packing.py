@@ -11,7 +11,7 @@ def test_word_tokenizer_is_the_tokenizer():
     tok = Tokenizer.from_file(P.tokenizer_path())
     words = P.WordTokenizer(P.tokenizer_path(), remembered=50)
     rnd = random.Random(1)
-    parts = ["The", "don't", "I'LL", "naïve", "ÉTÉ", "ñandú,", "x%%%", "12a3", "日本", " ", "\x1c", "é", "<|endoftext|>", "İs", "ß!!", "Σς", "½", "ʰa", "a_b-c", " ", "..", "#tag", "ĳ", "ǅ", "­", "\x00"]
+    parts = ["The", "don't", "I'LL", "naïve", "ÉTÉ", "ñandú,", "x%%%", "12a3", "日本", " ", "\x1c", "end\x1c", "word.", "It'", "x9", "ABC", "é", "<|endoftext|>", "İs", "ß!!", "Σς", "½", "ʰa", "a_b-c", " ", "..", "#tag", "ĳ", "ǅ", "­", "\x00"]
     for _ in range(800):
         text = "".join(rnd.choice(parts) + rnd.choice(["", " ", "\n", "\t  "]) for _ in range(rnd.randrange(9)))
         assert np.frombuffer(words.of_text(text.encode()), "<u2").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
