@@ -79,31 +79,35 @@ class WordTokenizer:
     def of_part(self, part: str) -> bytes:
         ids = self.part_ids.get(part)
         if ids is None:
-            if len(self.part_ids) >= self.remembered:
-                self.part_ids.clear()
             ids = b"".join([t.id.to_bytes(2, "little") for t in self.model.tokenize(part if part.isascii() else part.translate(self.bytes))])
-            self.part_ids[part] = ids
+            if len(self.part_ids) < self.remembered:
+                self.part_ids[part] = ids
         return ids
 
     def of_word(self, word: bytes) -> bytes:
+        if word.isalpha():  # of bytes: ASCII letters only
+            return self.of_part(word.decode().lower())
+        if word[:-1].isalpha() and 33 <= word[-1] <= 126:
+            return self.of_part(word[:-1].decode().lower()) + self.of_part(chr(word[-1]))
         text = word.decode()
         if len(text) <= 64 and "<|" not in text and self.plain(text) and (text.isascii() or unicodedata.is_normalized("NFC", text)):
             return b"".join(map(self.of_part, self.parts(text.lower())))
         return b"".join([i.to_bytes(2, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
     def of_text(self, text: bytes) -> bytes:
+        """The words met first are remembered, which are mostly the frequent ones."""
         words, known = text.split(), self.word_ids
         try:
             return b"".join([known[w] for w in words])
         except KeyError:
             pass
-        if len(known) >= self.remembered:
-            known.clear()
-        out = []
+        out, room = [], len(known) < self.remembered
         for w in words:
             ids = known.get(w)
             if ids is None:
-                known[w] = ids = self.of_word(w)
+                ids = self.of_word(w)
+                if room:
+                    known[w] = ids
             out.append(ids)
         return b"".join(out)
 
