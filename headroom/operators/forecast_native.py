@@ -48,9 +48,8 @@ def as_arrays(grid: DataFrame) -> DataFrame:
     return grid.groupBy(*SERIES).agg(days.alias("d")).select(*SERIES, F.transform("d", lambda x: x["y"]).alias("y"), F.element_at("d", -1)["date"].alias("last"))
 
 
-def quantile(values: Column, q: float) -> Column:
-    """Linearly interpolated quantile of an array; 0 of an empty one."""
-    v = F.array_sort(values)
+def quantile(v: Column, q: float) -> Column:
+    """Linearly interpolated quantile of a sorted array; 0 of an empty one."""
     at = (F.size(v) - 1) * F.lit(q)
     low, high = F.get(v, F.floor(at).cast("int")), F.get(v, F.ceil(at).cast("int"))
     return F.when(F.size(v) > 0, low + (high - low) * (at - F.floor(at))).otherwise(0.0)
@@ -68,8 +67,11 @@ def seasonal_naive(grid: DataFrame, days: int) -> DataFrame:
     """
     n = F.size("y")
     few = n < 7
-    rows = as_arrays(grid).withColumns({"r": F.when(few, F.transform("y", lambda v: F.abs(v - F.element_at("y", -1)))).otherwise(weekly_residuals(F.col("y"), n)), "week": F.when(few, F.slice("y", n, 1)).otherwise(F.slice("y", F.greatest(n - 6, F.lit(1)), 7))})
-    told = rows.select(*SERIES, "last", "week", quantile(F.col("r"), 0.9).alias("q90"), quantile(F.col("r"), 0.95).alias("q95"), F.explode(F.sequence(F.lit(1), F.lit(days))).alias("horizon_day"))
+    residual = F.when(few, F.transform("y", lambda v: F.abs(v - F.element_at("y", -1)))).otherwise(weekly_residuals(F.col("y"), n))
+    rows = as_arrays(grid).withColumns({"r": F.array_sort(residual), "week": F.when(few, F.slice("y", n, 1)).otherwise(F.slice("y", F.greatest(n - 6, F.lit(1)), 7))})
+    bands = rows.select(*SERIES, "last", "week", quantile(F.col("r"), 0.9).alias("q90"), quantile(F.col("r"), 0.95).alias("q95"))
+    # in a select of its own: beside an explode the bands would be computed for every day
+    told = bands.withColumn("horizon_day", F.explode(F.sequence(F.lit(1), F.lit(days))))
     p50 = F.get("week", F.pmod(F.col("horizon_day") - 1, F.size("week")))
     return told.select(*SERIES, F.expr("date_add(last, horizon_day)").alias("date"), "horizon_day", F.lit("seasonal_naive").alias("model"), p50.alias("p50"), clip(p50 + F.col("q90")).alias("p90"), clip(p50 + F.col("q95")).alias("p95"))
 
@@ -80,7 +82,8 @@ def seasonal_naive_backtest(grid: DataFrame, p: Params = Params()) -> DataFrame:
     n = F.size("y")
     splits = F.filter(F.transform(F.array(*[F.lit(k) for k in range(1, p.folds + 1)]), lambda k: n - k * h), lambda s: (s >= least) & (n >= least + h))
     folds = as_arrays(grid).select(*SERIES, "y", F.explode_outer(splits).alias("split"))
-    cut = folds.select(*SERIES, "split", F.slice("y", F.col("split") + 1, h).alias("test"), F.slice("y", F.col("split") - 6, 7).alias("week"), quantile(weekly_residuals(F.slice("y", 1, F.col("split")), F.col("split")), 0.9).alias("q90"))
+    sorted_ = folds.withColumn("r", F.array_sort(weekly_residuals(F.slice("y", 1, F.col("split")), F.col("split"))))
+    cut = sorted_.select(*SERIES, "split", F.slice("y", F.col("split") + 1, h).alias("test"), F.slice("y", F.col("split") - 6, 7).alias("week"), quantile(F.col("r"), 0.9).alias("q90"))
     at = lambda i: F.get("week", F.pmod(i, F.lit(7)))
     error = cut.withColumns({"e": F.transform("test", lambda v, i: F.abs(v - at(i))), "d": F.transform("test", lambda v, i: v - clip(at(i) + F.col("q90")))})
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
