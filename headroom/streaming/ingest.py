@@ -1,8 +1,8 @@
 """Incremental ingest of trend files.
 
-A file stream is normalised, freed of repeated points within a watermark, joined with the static
-selection and appended to the utilization and feature tables batch by batch. The exact daily
-percentile can't be kept as cheap streaming state; each batch recomputes the months that it touched
+A file stream is normalised, freed of the points that the sink already holds, joined with the static
+selection and appended to the utilization and feature tables batch by batch. No point is too late:
+old ones may come in any batch. The exact daily percentile can't be kept as cheap streaming state; each batch recomputes the months that it touched
 and overwrites these partitions only.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
 from ..operators import risk, utilization
-from ..sources.tables import trend_points
+from ..sources.tables import exists, trend_points
 
 RAW = dict(itemid="string", clock="long", num="string", value_min="string", value_avg="string", value_max="string")
 
@@ -35,16 +35,23 @@ def raw_stream(spark: SparkSession, path: str, files_a_batch: int = 100) -> Data
     return spark.readStream.schema(S.table(**RAW)).option("maxFilesPerTrigger", files_a_batch).parquet(path)
 
 
-def deduplicated(points: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Points that come again are dropped as long as the watermark remembers them; later ones are too late."""
-    return points.withWatermark("clock", delay).dropDuplicatesWithinWatermark(["itemid", "clock"])
+def new_points(batch: DataFrame, number: int, tables: Tables) -> DataFrame:
+    """Points of a batch that no other batch has written, one for each (itemid, clock): of several the greatest record."""
+    spark, month = batch.sparkSession, F.date_format("clock", "yyyy-MM")
+    points = batch.groupBy("itemid", "clock").agg(F.max(F.struct("num", "value_min", "value_avg", "value_max")).alias("r")).select("itemid", "clock", "r.*")
+    months = batch.select(month.alias("month")).distinct()
+    for path in (tables.util_trend, tables.feature_trend):
+        if exists(spark, path):
+            seen = spark.read.parquet(path).filter(F.col("batch") != number).join(F.broadcast(months), "month", "left_semi")  # one row a month
+            points = points.join(seen.select("itemid", "clock"), ["itemid", "clock"], "left_anti")
+    return points
 
 
 def append_batch(selected: DataFrame, tables: Tables):
     """Function of a batch: append all tables, then refresh the daily targets of its months."""
 
     def run(batch: DataFrame, number: int) -> None:
-        batch.persist()
+        batch = new_points(batch, number, tables).persist()
         try:
             history = utilization.derive_history(batch, 0, None)
             month = F.date_format("clock", "yyyy-MM")
@@ -75,5 +82,5 @@ def refresh_daily(spark: SparkSession, months: DataFrame, tables: Tables) -> Non
 
 def ingest(spark: SparkSession, path: str, selected: DataFrame, root: str, checkpoint: str, files_a_batch: int = 100) -> StreamingQuery:
     """Start the stream over what is there now; await its end, or run it again later."""
-    points = deduplicated(trend_points(raw_stream(spark, path, files_a_batch)))
+    points = trend_points(raw_stream(spark, path, files_a_batch))
     return points.writeStream.foreachBatch(append_batch(selected, Tables(root))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from headroom import schemas as S
 from headroom.operators import risk, utilization
 from headroom.sources.tables import trend_points
@@ -22,3 +24,18 @@ def test_files_one_by_one_equal_batch(spark, tmp_path):
     assert spark.read.parquet(f"{d}/out/feature_trend").count() == 60
     daily = risk.daily_p95(utilization.util_history(utilization.derive_history(batch, 0, None), chosen))
     assert sorted(map(str, spark.read.parquet(f"{d}/out/daily_p95").select(*S.DAILY).collect())) == sorted(map(str, daily.collect()))
+
+
+def test_old_points_of_a_later_batch_are_kept(spark, tmp_path):
+    d = str(tmp_path)
+    base = int(dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc).timestamp())
+    chosen = spark.createDataFrame([("7", "h", "a", "dev", "non-prod", "cpu", "target", "", "", "1", "k", 0, "identity"), ("7", "h", "a", "dev", "non-prod", "ram", "feature", "used_bytes", "", "2", "k", 0, "identity")], S.table(**S.SELECTED))
+    point = lambda item, day: (item, base + 86400 * day, "1", "1", "5", "9")
+    files = ([point("1", 40), point("2", 40)], [point("1", 0), point("1", 40)], [point("1", -300), point("1", 0), point("2", 40), point("2", -300), point("2", -300)])
+    for rows in files:  # the newest file comes first
+        spark.createDataFrame(rows, S.table(**ingest.RAW)).coalesce(1).write.mode("append").parquet(f"{d}/in")
+    ingest.ingest(spark, f"{d}/in", chosen, f"{d}/out", f"{d}/state", 1).awaitTermination()
+    clocks = lambda name: sorted((r.clock.timestamp() - base) // 86400 for r in spark.read.parquet(f"{d}/out/{name}").select(F.to_timestamp("clock").alias("clock")).collect())
+    assert clocks("util_trend") == clocks("util_history") == [-300, 0, 40]
+    assert clocks("feature_trend") == clocks("feature_history") == [-300, 40]
+    assert spark.read.parquet(f"{d}/out/daily_p95").count() == 3
