@@ -32,14 +32,33 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder[0]
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of the JVM."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: later jobs neither compute it again nor depend on an executor."""
+    """Write df to the shared folder and read it back: later jobs neither compute it again nor depend on an executor.
+
+    The table goes when the application ends, or with forget().
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    fs, p = _file_system(spark, path)
+    fs.deleteOnExit(p)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete a table of cut() that nothing reads any more."""
+    if files := df.inputFiles():
+        fs, p = _file_system(df.sparkSession, files[0].rsplit("/", 1)[0])
+        fs.delete(p, True)
+
+
 def words_of(text: Column) -> Column:
     """Array of the words of a text; null text: no words."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
