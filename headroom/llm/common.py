@@ -86,6 +86,20 @@ def number_within(df: DataFrame, keys: list[str], row: str, out: str, rows_per_t
     return joined.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("l.__rank") + F.col("r.__start")).cast("long").alias(out))
 
 
+def salted_join(left: DataFrame, right: DataFrame, key: str, spread: str, salts: int = 16, least: int = 2000) -> DataFrame:
+    """Inner join on key where left may hold very many rows of one key: these are dealt to `salts` tasks by the column
+    spread, and their partners in right (few rows a key) are repeated. left is read twice (see cut()).
+
+    A key is heavy from a 5,000th of all rows on, so at most 5,000 keys are broadcast.
+    """
+    heavy = left.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > max(least, left.count() // 5000)).select(key, F.lit(True).alias("__heavy"))
+    salt = F.when(F.col("__heavy"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
+    every = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    dealt = left.join(F.broadcast(heavy), key, "left").withColumn("__salt", salt).drop("__heavy")
+    repeated = right.join(F.broadcast(heavy), key, "left").withColumn("__salt", F.explode(every)).drop("__heavy")
+    return dealt.join(repeated, [key, "__salt"]).drop("__salt")
+
+
 def signed(x: int) -> int:
     """An unsigned 64-bit value as Spark's long."""
     return x - (1 << 64) if x >= 1 << 63 else x

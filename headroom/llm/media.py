@@ -2,17 +2,20 @@
 
 A text becomes a payload of 8-bit samples in a WAV file; the file's bytes are cut where a rolling
 gear hash of the last 32 bytes has zeros, so cuts follow content and equal passages give equal
-chunks. A chunk that occurs in several media is kept once in a chunk table; the others stay in their
-medium's record. The ordered chunk list of a record, joined with the chunk table, rebuilds the
-medium, whose SHA-256 must be that of the medium as written, else the job fails.
+chunks. The store holds every medium once, as an ordered chunk list under its SHA-256: the rows of
+equal texts refer to it. A chunk that occurs in more than one place (of one medium or several) is
+kept once in a chunk table; the others stay in their medium's record. The chunk list of a medium,
+joined with the chunk table, rebuilds it; its SHA-256 must be that of the medium as written, else the
+job fails. Joins deal heavy keys (a passage or text with very many places) to several tasks.
 
-Which chunks are shared follows from the digests alone, a narrow table; a Bloom filter of at most
-MOST_BITS bits takes the answer to the tasks. Its false positives only send a few more chunks to the
-table: the result is exact whatever its size, and at any size of the input.
+Which media and chunks occur more than once follows from the digests alone, a narrow table; a Bloom
+filter of at most MOST_BITS bits takes the answer to the tasks. Its false positives only send a few
+more chunks to the tables: the result is exact whatever its size, and at any size of the input.
 
 Defined cases: null text is the empty text; empty texts have a payload of one block of padding;
-null doc_ids and repeated rows are kept, one result row each; an empty table gives an empty result;
-other columns of the input are ignored.
+null doc_ids and repeated rows are kept, one result row each; very long texts are cut like others,
+and one text with its chunks fits in a task's memory; an empty table gives an empty result; other
+columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, read, with_row_key
+from .common import cut, read, salted_join, with_row_key
 
 BLOCK = 576
 PAD = b"\xff"
@@ -37,7 +40,7 @@ HEADER = 44
 #: A cut has so many zero bits: 2048 bytes between cuts on average, within these bounds.
 CUT_BITS = 11
 LEAST, MOST = 256, 16_384
-MOST_BITS = 1 << 26
+MOST_BITS = 1 << 29
 #: Gear values of the 256 bytes, from a rule.
 GEAR = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=4).digest(), "little") for b in range(256)], np.uint32)
 
@@ -77,8 +80,12 @@ def chunks_of(media: bytes) -> list[bytes]:
     return out
 
 
+#: Bytes of a chunk's digest; a medium's SHA-256 is longer.
+DIGEST = 16
+
+
 def digest(chunk: bytes) -> bytes:
-    return hashlib.blake2b(chunk, digest_size=16).digest()
+    return hashlib.blake2b(chunk, digest_size=DIGEST).digest()
 
 
 def _prefix(digests: list[bytes]) -> np.ndarray:
@@ -99,77 +106,109 @@ def digests(text: Column) -> Column:
     return of(text)
 
 
-def shared_filter(docs: DataFrame) -> np.ndarray:
-    """Bloom filter, as 64-bit words, of the chunks that occur in two or more different media."""
-    media = docs.select(digests(F.col("text")).alias("d")).groupBy(F.get("d", F.lit(0)).alias("medium")).agg(F.first("d").alias("d"))
-    keys = media.select(F.explode(F.array_distinct(F.slice("d", 2, F.greatest(F.size("d"), F.lit(1))))).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k")
-    keys = cut(keys, "media-shared")
+def repeated_filter(docs: DataFrame) -> np.ndarray:
+    """Bloom filter, as 64-bit words, of the media of two or more rows and of the chunks with two or more places in all distinct media."""
+    media = docs.select(digests(F.col("text")).alias("d")).groupBy(F.get("d", F.lit(0)).alias("medium")).agg(F.first("d").alias("d"), F.count(F.lit(1)).alias("n"))
+    media = cut(media, "media-digests")
+    chunks = media.select(F.explode(F.slice("d", 2, F.greatest(F.size("d"), F.lit(1)))).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    keys = cut(chunks.filter("n > 1").select("k").unionByName(media.filter("n > 1").select(F.col("medium").alias("k"))), "media-repeated")
     bits = 1 << 10
     n = keys.count()
     while bits < 32 * n and bits < MOST_BITS:
         bits *= 2
-    places = keys.select(F.explode(F.array(F.col("k").bitwiseAND(bits - 1), F.shiftrightunsigned("k", 38).bitwiseAND(bits - 1))).alias("p"))
+    places = keys.select(F.explode(F.array(F.col("k").bitwiseAND(bits - 1), F.shiftrightunsigned("k", 34).bitwiseAND(bits - 1))).alias("p"))
     words = places.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63L as int))")).alias("b")).toArrow()
     out = np.zeros(bits // 64, np.int64)
     out[words["w"].to_numpy()] = words["b"].to_numpy()
     return out.view(np.uint64)
 
 
-def _may_share(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def _may_repeat(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
     keys, mask = keys.view(np.uint64), np.uint64(len(bloom) * 64 - 1)
     found = np.ones(len(keys), bool)
-    for p in (keys & mask, (keys >> np.uint64(38)) & mask):
+    for p in (keys & mask, (keys >> np.uint64(34)) & mask):
         found &= (bloom[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
     return found
 
 
-def stored(docs: DataFrame, bloom: np.ndarray) -> DataFrame:
-    """Records of docs (doc_id, text): media with their ordered chunks, and rows that hold a shared chunk (no __row).
+CHUNKS = "array<struct<digest: binary, data: binary>>"
+
+
+def stored(docs: DataFrame, bloom: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """The store of docs (__row, doc_id, text): records (__row, doc_id, n_bytes, sha, chunks) and tables (key, chunks).
 
-    The data of a shared chunk is not in the media's records; each task writes it once.
+    A record has the chunks of its medium, without the data of shared ones; none if the medium may be
+    that of other rows too. Such a medium is in the tables under its SHA-256, and a shared chunk under
+    its digest, each once: a task hands on each at most once, and of several tasks' one stays.
     """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(bloom)
+    sent = docs.sparkSession.sparkContext.broadcast(bloom)
     kind = docs.schema["doc_id"].dataType.simpleString()
     chunk = pa.list_(pa.struct([("digest", pa.binary()), ("data", pa.binary())]))
 
+    def listed(media: bytes) -> tuple[list[dict], list[tuple[bytes, bytes]]]:
+        """The chunk list of a medium, and its shared chunks."""
+        parts = chunks_of(media)
+        names = [digest(p) for p in parts]
+        far = _may_repeat(sent.value, _prefix(names))
+        return [{"digest": d, "data": None if f else p} for d, p, f in zip(names, parts, far)], [(d, p) for d, p, f in zip(names, parts, far) if f]
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
         for batch in batches:
-            lengths, shas, lists, own = [], [], [], []
+            lengths, shas, lists = [], [], []
             for text in batch.column("text"):
                 n, payload = payload_of(text.as_py())
                 media = wav(payload)
-                parts = chunks_of(media)
-                names = [digest(p) for p in parts]
-                far = _may_share(sent.value, _prefix(names))
-                lists.append([{"digest": d, "data": None if f else p} for d, p, f in zip(names, parts, far)])
+                sha = hashlib.sha256(media).digest()
                 lengths.append(n)
-                shas.append(hashlib.sha256(media).digest())
-                for d, p, f in zip(names, parts, far):
-                    if f and d not in seen:
-                        if len(seen) < 1_000_000:  # beyond that a chunk may be written again, and is still kept once
-                            seen.add(d)
-                        own.append([{"digest": d, "data": p}])
+                shas.append(sha)
+                lists.append(None if _may_repeat(sent.value, _prefix([sha]))[0] else listed(media)[0])
             yield pa.RecordBatch.from_arrays([batch.column("__row"), batch.column("doc_id"), pa.array(lengths, pa.int64()), pa.array(shas, pa.binary()), pa.array(lists, chunk)], ["__row", "doc_id", "n_bytes", "sha", "chunks"])
-            if own:
-                none = lambda t: pa.nulls(len(own), t)
-                yield pa.RecordBatch.from_arrays([none(pa.int64()), none(batch.schema.field("doc_id").type), none(pa.int64()), none(pa.binary()), pa.array(own, chunk)], ["__row", "doc_id", "n_bytes", "sha", "chunks"])
 
-    return docs.select("__row", "doc_id", "text").mapInArrow(write, f"__row long, doc_id {kind}, n_bytes long, sha binary, chunks array<struct<digest: binary, data: binary>>")
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
 
+        def new(key: bytes) -> bool:
+            if key in seen:
+                return False
+            if len(seen) < 1_000_000:  # beyond that a task may hand a key on again, and it is still kept once
+                seen.add(key)
+            return True
 
-def rebuilt(records: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, sha, data): the ordered chunk data of every medium."""
-    media = records.filter("__row is not null")
+        for batch in batches:
+            keys, lists = [], []
+            for text in batch.column("text"):
+                media = wav(payload_of(text.as_py())[1])
+                sha = hashlib.sha256(media).digest()
+                copied = bool(_may_repeat(sent.value, _prefix([sha]))[0])
+                if copied and not new(sha):
+                    continue
+                parts, shared = listed(media)
+                if copied:
+                    keys.append(sha)
+                    lists.append(parts)
+                for d, p in shared:
+                    if new(d):
+                        keys.append(d)
+                        lists.append([{"digest": d, "data": p}])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(lists, chunk)], ["key", "chunks"])
+
+    records = docs.select("__row", "doc_id", "text").mapInArrow(write, f"__row long, doc_id {kind}, n_bytes long, sha binary, chunks {CHUNKS}")
+    tables = docs.select("text").mapInArrow(share, f"key binary, chunks {CHUNKS}").groupBy("key").agg(F.first("chunks").alias("chunks"))
+    return records, tables
+
+
+def rebuilt(media: DataFrame, tables: DataFrame) -> DataFrame:
+    """media (__row, doc_id, n_bytes, sha, chunks), no two with the same sha, with the ordered data of their chunks for chunks."""
+    own = ["__row", "doc_id", "n_bytes", "sha"]
     away = F.exists("chunks", lambda c: c["data"].isNull())
-    table = records.filter("__row is null").select(F.explode("chunks").alias("c")).groupBy("c.digest").agg(F.first("c.data").alias("data"))
+    chunk = F.get("chunks", F.lit(0))
+    table = tables.filter(F.length("key") == DIGEST).select(F.col("key").alias("digest"), chunk["data"].alias("data"))
     loud = media.filter(away)
-    parts = loud.select("__row", F.posexplode("chunks").alias("at", "c")).select("__row", "at", "c.digest", "c.data")
-    fetched = parts.filter("data is null").drop("data").join(table, "digest").select("__row", "at", "data")
-    whole = parts.filter("data is not null").select("__row", "at", "data").unionByName(fetched).groupBy("__row").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "data"))), lambda x: x["data"]).alias("data"))
-    back = loud.select("__row", "doc_id", "n_bytes", "sha").join(whole, "__row").select("doc_id", "n_bytes", "sha", "data")
-    return media.filter(~away).select("doc_id", "n_bytes", "sha", F.transform("chunks", lambda c: c["data"]).alias("data")).unionByName(back)
+    parts = loud.select("sha", F.posexplode("chunks").alias("at", "c")).select("sha", "at", "c.digest", "c.data")
+    fetched = salted_join(parts.filter("data is null").drop("data"), table, "digest", "sha").select("sha", "at", "data")
+    whole = parts.filter("data is not null").select("sha", "at", "data").unionByName(fetched).groupBy("sha").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "data"))), lambda x: x["data"]).alias("data"))
+    back = loud.select(*own).join(whole, "sha").select(*own, "data")
+    return media.filter(~away).select(*own, F.transform("chunks", lambda c: c["data"]).alias("data")).unionByName(back)
 
 
 def features_of(samples: bytes) -> str:
@@ -181,9 +220,13 @@ def features_of(samples: bytes) -> str:
     return f"mean={x.mean():.4f};std={x.std():.4f};peak={int(np.abs(x - 128).max())};crossings={crossings};entropy={-(p * np.log2(p)).sum():.4f}"
 
 
+OUT = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
 def verified(media: DataFrame) -> DataFrame:
     """Join the chunks, verify the medium, read its samples and compute its columns."""
     kind = media.schema["doc_id"].dataType.simpleString()
+    own = ["__row", "doc_id", "n_bytes", "sha"]
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,19 +239,25 @@ def verified(media: DataFrame) -> DataFrame:
                 out.append((len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-32:]), len(file), sha.as_py().hex(), features_of(samples)))
             cols = list(zip(*out)) if out else [()] * 6
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *[pa.array(c, t) for c, t in zip(cols, kinds)]], ["doc_id", "n_bytes", *OUT])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in own], *[pa.array(c, t) for c, t in zip(cols, kinds)]], [*own, *OUT])
 
-    return media.mapInArrow(check, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.select(*own, "data").mapInArrow(check, f"__row long, doc_id {kind}, n_bytes long, sha binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
-OUT = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+def read_back(records: DataFrame, tables: DataFrame) -> DataFrame:
+    """doc_id, n_bytes and the media columns of every record: each medium is rebuilt once, rows of equal texts refer to it."""
+    none = lambda c: F.lit(None).cast(records.schema[c].dataType).alias(c)
+    copied = tables.filter(F.length("key") > DIGEST).select(none("__row"), none("doc_id"), none("n_bytes"), F.col("key").alias("sha"), "chunks")
+    media = cut(verified(rebuilt(records.filter("chunks is not null").unionByName(copied), tables)), "media-columns")
+    copies = salted_join(records.filter("chunks is null").drop("chunks"), media.filter("__row is null").select("sha", *OUT), "sha", "__row")
+    return media.filter("__row is not null").select("doc_id", "n_bytes", *OUT).unionByName(copies.select("doc_id", "n_bytes", *OUT))
 
 
 def media_columns(docs: DataFrame) -> DataFrame:
     """One row of media columns for every row of docs (doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    records = cut(stored(with_row_key(docs, "__row"), shared_filter(docs)), "media")
-    return verified(rebuilt(records))
+    records, tables = stored(with_row_key(docs, "__row"), repeated_filter(docs))
+    return read_back(cut(records, "media-records"), cut(tables, "media-tables"))
 
 
 def op8_media_chunking(spark: SparkSession, sf_dir: str) -> DataFrame:
