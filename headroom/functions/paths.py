@@ -124,14 +124,26 @@ def first_absolute(text: Column) -> Column:
     return F.get(F.filter(F.split(F.trim(F.coalesce(text, F.lit(""))), r"\s+"), lambda t: t.startswith("/")), F.lit(0))
 
 
+#: A shell word: parts without blanks, quoted parts and escaped characters.
+SHELL_WORD = r"""(?:[^\s"'\\]|"(?:[^"\\]|\\.)*"|'[^']*'|\\.)+"""
+
+
+def shell_words(text: Column) -> Column:
+    """Words of a command line without their quotes; a line with an open quote is split at blanks."""
+    words = F.regexp_extract_all(text, F.lit(f"({SHELL_WORD})"), F.lit(1))
+    bare = lambda w: F.regexp_replace(F.regexp_replace(w, r"""'([^']*)'|"((?:[^"\\]|\\.)*)\"""", "$1$2"), r"\\(.)", "$1")
+    whole = F.regexp_replace(text, rf"{SHELL_WORD}|\s+", "") == ""
+    return F.when(whole, F.transform(words, bare)).otherwise(F.filter(F.split(text, r"\s+"), lambda w: w != ""))
+
+
 def line_paths(line: Column) -> Column:
     """Absolute paths of a property line or of a line that is a path itself."""
     s = F.trim(F.coalesce(line, F.lit("")))
     value = F.regexp_replace(s, "^[A-Za-z]+=", "")
-    tokens = lambda x: F.filter(F.split(F.trim(x), r"\s+"), lambda t: t.startswith("/") & ~t.startswith("//"))
+    paths = lambda words: F.filter(words, lambda t: t.startswith("/") & ~t.startswith("//"))
     return (
-        F.when(s.startswith("ExecStart="), tokens(F.regexp_replace(value, "[\"']", "")))
-        .when(_starts(s, "FragmentPath=", "EnvironmentFile=", "DropInPaths="), tokens(value))
+        F.when(s.startswith("ExecStart="), paths(shell_words(value)))
+        .when(_starts(s, "FragmentPath=", "EnvironmentFile=", "DropInPaths="), paths(F.split(F.trim(value), r"\s+")))
         .when(s.startswith("/"), F.slice(F.split(s, r"\s+"), 1, 1))
         .otherwise(F.array().cast("array<string>"))
     )

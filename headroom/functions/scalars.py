@@ -47,7 +47,7 @@ def unquote(x: Column) -> Column:
 
 
 def slug(x: Column) -> Column:
-    """A file-name part; different values that give the same part are told apart by `slug_unique`."""
+    """A file-name part; different values may give the same part."""
     named = F.when(F.coalesce(x, F.lit("")) == "", F.lit("_empty_as")).otherwise(x)
     out = F.btrim(F.regexp_replace(named, "[^A-Za-z0-9._-]+", "_"), F.lit("._"))
     return F.when(out == "", "host").otherwise(out)
@@ -93,6 +93,43 @@ def confidence_index(wape_: Column, pinball_: Column, calibration: Column) -> Co
     return 100.0 * (0.45 * a + 0.25 * b + 0.30 * c)
 
 
+# --- the normal distribution
+
+# W. J. Cody's rational approximations of erf and erfc (1969), lowest power last.
+ERF = ((1.85777706184603153e-1, 3.16112374387056560e0, 1.13864154151050156e2, 3.77485237685302021e2, 3.20937758913846947e3), (1.0, 2.36012909523441209e1, 2.44024637934444173e2, 1.28261652607737228e3, 2.84423683343917062e3))
+ERFC = (
+    (2.15311535474403846e-8, 5.64188496988670089e-1, 8.88314979438837594e0, 6.61191906371416295e1, 2.98635138197400131e2, 8.81952221241769090e2, 1.71204761263407058e3, 2.05107837782607147e3, 1.23033935479799725e3),
+    (1.0, 1.57449261107098347e1, 1.17693950891312499e2, 5.37181101862009858e2, 1.62138957456669019e3, 3.29079923573345963e3, 4.36261909014324716e3, 3.43936767414372164e3, 1.23033935480374942e3),
+)
+ERFC_FAR = ((1.63153871373020978e-2, 3.05326634961232344e-1, 3.60344899949804439e-1, 1.25781726111229246e-1, 1.60837851487422766e-2, 6.58749161529837803e-4), (1.0, 2.56852019228982242e0, 1.87295284992346047e0, 5.27905102951428412e-1, 6.05183413124413191e-2, 2.33520497626869185e-3))
+NEAR, FAR = 0.46875, 4.0
+INVERSE_ROOT_PI = 5.6418958354775628695e-1
+
+
+def _ratio(x: Column, of: tuple[tuple[float, ...], tuple[float, ...]]) -> Column:
+    """A ratio of two polynomials by nested multiplication."""
+    out = []
+    for powers in of:
+        y = F.lit(powers[0])
+        for p in powers[1:]:
+            y = y * x + p
+        out.append(y)
+    return out[0] / out[1]
+
+
+def erfc(x: Column) -> Column:
+    """1 - erf(x) to about 15 places, in columns."""
+    y = F.abs(x)
+    square = y * y
+    tail = F.when(y <= FAR, _ratio(y, ERFC)).otherwise((INVERSE_ROOT_PI - _ratio(1 / square, ERFC_FAR) / square) / y) * F.exp(-square)
+    return F.when(y <= NEAR, 1 - x * _ratio(square, ERF)).when(x < 0, 2 - tail).otherwise(tail)
+
+
+def normal_tail(z: Column) -> Column:
+    """Probability that a standard normal value reaches z."""
+    return 0.5 * erfc(z / 2**0.5)
+
+
 # --- labels
 
 LABELS = {

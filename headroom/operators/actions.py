@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.scalars import confidence_index
+from ..functions.scalars import confidence_index, normal_tail
 from ..schemas import MATCH, SERIES, Params
 
 CURVES = ("p50", "p90", "p95")
@@ -63,17 +58,10 @@ def actions(risk: DataFrame, forecast: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.DoubleType())
-def normal_cdf(z: pd.Series) -> pd.Series:
-    """Spark has no erf, and polynomials are too coarse for the product of a year of days."""
-    erf = np.frompyfunc(lambda x: math.erf(x / math.sqrt(2)), 1, 1)
-    return pd.Series(0.5 * (1 + erf(z.to_numpy(float)).astype(float)))
-
-
 def day_probability(threshold: float) -> Column:
     """Probability that a day's value reaches the threshold, from p50 and the width up to p90."""
     sigma = F.greatest(F.greatest(F.col("p90") - F.col("p50"), F.lit(0.5)) / Z90, F.lit(0.25))
-    return 1 - normal_cdf((F.lit(float(threshold)) - F.col("p50")) / sigma)
+    return normal_tail((F.lit(float(threshold)) - F.col("p50")) / sigma)
 
 
 def risk_probabilities(forecast: DataFrame, selection: DataFrame, p: Params = Params()) -> DataFrame:

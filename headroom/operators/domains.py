@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import paths as P
 
-# Accounts by domain suffix, in the order of declaration.
-ACCOUNTS = {"rosap.com": "rosap", "dom.ru": "dom"}
+#: Accounts by domain suffix, in the order of declaration. Which there are is a parameter of the jobs.
+Accounts = dict[str, str]
 
 
-def domain_of(host: Column, accounts: dict[str, str] = ACCOUNTS, longest: bool = False) -> Column:
+def domain_of(host: Column, accounts: Accounts, longest: bool = False) -> Column:
     """Suffix of a host: the first declared, or the longest, that it ends with; else ''."""
     low = F.lower(F.coalesce(host, F.lit("")))
     out = F.lit("")
@@ -20,17 +20,19 @@ def domain_of(host: Column, accounts: dict[str, str] = ACCOUNTS, longest: bool =
     return out
 
 
-def account_of(domain: Column, accounts: dict[str, str] = ACCOUNTS) -> Column:
+def account_of(domain: Column, accounts: Accounts) -> Column:
+    if not accounts:
+        return F.lit("")
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in accounts.items() for x in kv]), domain), F.lit(""))
 
 
-def with_domain(rows: DataFrame, host: str = "host_ref", longest: bool = False) -> DataFrame:
-    return rows.withColumn("domain", domain_of(F.col(host), longest=longest)).withColumn("account", account_of(F.col("domain")))
+def with_domain(rows: DataFrame, accounts: Accounts, host: str = "host_ref", longest: bool = False) -> DataFrame:
+    return rows.withColumn("domain", domain_of(F.col(host), accounts, longest)).withColumn("account", account_of(F.col("domain"), accounts))
 
 
-def domain_paths(paths: DataFrame) -> DataFrame:
+def domain_paths(paths: DataFrame, accounts: Accounts) -> DataFrame:
     """paths (system, role, host_ref, path, kind, ...) with domain, account and the certificate rule."""
-    return with_domain(paths).withColumn("kind", P.certificate_kind(F.col("path"), F.col("kind")))
+    return with_domain(paths, accounts).withColumn("kind", P.certificate_kind(F.col("path"), F.col("kind")))
 
 
 def domain_dirs(paths: DataFrame) -> DataFrame:

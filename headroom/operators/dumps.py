@@ -27,6 +27,14 @@ def unit_lines(lines: DataFrame) -> DataFrame:
     return told.filter("unit is not null").select("file", F.coalesce("first_host.host_mark", P.host_of_file(F.col("file"))).alias("host"), F.trim("unit").alias("unit"), "line_no", "line", F.col("mark").isNotNull().alias("is_mark"))
 
 
+def errors(captures: DataFrame) -> DataFrame:
+    """(host, file, message) of captures (host, file, exit_code, text) that say nothing: failed, unreadable or without a unit."""
+    lines = F.split(F.coalesce("text", F.lit("")), "\r?\n")
+    unit = F.exists(lines, lambda x: F.trim(x).rlike(UNIT_MARK) | F.trim(x).startswith("●"))
+    message = F.when(F.coalesce("exit_code", F.lit(0)) != 0, F.concat(F.lit("scan failed: exit code "), F.col("exit_code").cast("string"))).when(F.col("text").isNull(), "read error").when(F.btrim("text", F.lit(" \t\r\n")) == "", "empty file").when(~unit, "no unit found")
+    return captures.select(F.coalesce("host", P.host_of_file(F.col("file"))).alias("host"), "file", message.alias("message")).filter("message is not null")
+
+
 def services(units: DataFrame) -> DataFrame:
     """(host, unit, status, main_pid): the last status and pid line of each unit."""
     s = F.trim("line")

@@ -1,65 +1,80 @@
-"""Backtest, selection and forecast of every series: one grouped pandas call a series.
+"""Backtest, selection and forecast of every series.
 
-A series has at most one row a day, so groups are small and alike; partitions are many, since the
-work is CPU-bound. The call returns one row a series with nested tables, which are exploded after.
+A series is one array of days. Its fits (one for each model and fold) are rows of their own, dealt out
+evenly since the work is CPU-bound; only the fit itself is Python, over batches of rows. The naive
+model, the errors and the choice are columns. The forecast fits the chosen model alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import clip, selection_score
 from ..schemas import SERIES, Params
 from . import series_models as M
+from .forecast_native import as_arrays, fold_errors, fold_splits, with_naive_fit
+
+MODELS = ("seasonal_naive", *M.FIT)
+ERRORS = ("wape", "mae", "pinball_p90", "calibration_p90")
+FITTED = "p50 array<double>, q90 double, q95 double"
+
+
+def fit(model: Column, y: Column, first_day: Column, days: int) -> Column:
+    """Struct of p50 (array of `days` values) and the residual quantiles of a model of series_models."""
+
+    @F.pandas_udf(FITTED)
+    def of(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for names, values, firsts in parts:
+            yield pd.DataFrame([M.FIT[m](np.asarray(v, float), int(d), days) for m, v, d in zip(names, values, firsts)], columns=["p50", "q90", "q95"])
+
+    return of(model, y, first_day)
+
+
+def _fitted(rows: DataFrame, days: int, tasks: int | None) -> DataFrame:
+    """rows (SERIES, model, y, first_day, ...) with the struct `fit`. A series too short for its model has the seasonal-naive one's."""
+    short = (F.col("model") == "gbdt_lag") & (F.size("y") < M.LEAST_DAYS)
+    named = rows.withColumn("__by", F.when(short, "seasonal_naive").otherwise(F.col("model")))
+    naive = with_naive_fit(named.filter("__by = 'seasonal_naive'"), days)
+    tasks = tasks or 3 * rows.sparkSession.sparkContext.defaultParallelism
+    other = named.filter("__by <> 'seasonal_naive'").repartition(tasks, *SERIES, "model", F.size("y")).withColumn("fit", fit(F.col("__by"), F.col("y"), F.col("first_day"), days))
+    return naive.unionByName(other).drop("__by")
+
+
+def _series(grid: DataFrame) -> DataFrame:
+    return as_arrays(grid).withColumn("first_day", F.datediff("last", F.lit("1970-01-01").cast("date")) - F.size("y") + 1)
+
+
+def model_backtest(grid: DataFrame, p: Params = Params(), tasks: int | None = None) -> DataFrame:
+    """Mean errors of every model over the folds of each series of a daily grid; nulls and 0 folds where it is too short."""
+    series = _series(grid)
+    folds = series.select(*SERIES, "y", "first_day", F.explode(fold_splits(p)).alias("split")).withColumn("model", F.explode(F.array(*map(F.lit, MODELS))))
+    cut = folds.select(*SERIES, "model", "split", "first_day", F.slice("y", 1, F.col("split")).alias("y"), F.slice("y", F.col("split") + 1, p.fold_days).alias("test"))
+    per = _fitted(cut, p.fold_days, tasks).select(*SERIES, "model", "test", F.col("fit.p50").alias("p50"), F.col("fit.q90").alias("q90"))
+    tested = fold_errors(per, p.fold_days).groupBy(*SERIES, "model").agg(*[F.avg(c).alias(c) for c in ERRORS], F.count(F.lit(1)).alias("folds"))
+    every = series.select(*SERIES, F.explode(F.array(*map(F.lit, MODELS))).alias("model"))
+    return every.join(tested, [*SERIES, "model"], "left").select(*SERIES, "model", *ERRORS, F.coalesce("folds", F.lit(0)).cast("int").alias("folds"))
+
+
+def model_selection(backtest: DataFrame, grid: DataFrame) -> DataFrame:
+    """The model of the lowest score of each series with its errors; of equals the first of MODELS."""
+    score = selection_score(F.col("wape"), F.col("pinball_p90"), F.col("calibration_p90"))
+    place = F.array_position(F.array(*map(F.lit, MODELS)), F.col("model"))
+    best = backtest.groupBy(*SERIES).agg(F.min(F.struct(score.alias("selection_score"), place.alias("place"), F.col("model").alias("selected_model"), *ERRORS)).alias("b"))
+    days = grid.groupBy(*SERIES).agg(F.count(F.lit(1)).cast("int").alias("series_days"))
+    return best.join(days, list(SERIES)).select(*SERIES, "b.selected_model", "b.selection_score", *[f"b.{e}" for e in ERRORS], "series_days")
+
 
-_ERRORS = "wape: double, mae: double, pinball_p90: double, calibration_p90: double"
-RESULT = ", ".join([f"{k} string" for k in SERIES]) + f", series_days int, selected_model string, selection_score double, tests array<struct<model: string, {_ERRORS}, folds: int>>, days array<struct<date: date, horizon_day: int, p50: double, p90: double, p95: double>>"
-
-
-def forecast_series(daily: DataFrame, p: Params = Params(), partitions: int | None = None) -> DataFrame:
-    """One row a series: the tests of all models, the choice, and max(horizons) forecast days."""
-    horizon = max(p.horizons)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        day = pdf["__day"].to_numpy(np.int64)
-        days, y = M.prepared(day, pdf["target_p95"].to_numpy(float))
-        if not len(days):
-            return pd.DataFrame()
-        start = int(days[0])
-        tests = [(m, *M.backtest(y, start, m, p.fold_days, p.folds, p.min_train)) for m in M.MODELS]
-        best = min(range(len(tests)), key=lambda i: (M.score(tests[i][1:]), i))
-        f = M.FIT[tests[best][0]](y, start, horizon)
-        none = lambda e: None if not np.isfinite(e) else float(e)
-        dates = pd.to_datetime(int(days[-1]) + 1 + np.arange(horizon), unit="D").date
-        return pd.DataFrame(
-            [
-                {
-                    **{k: pdf[k].iloc[0] for k in SERIES},
-                    "series_days": len(days),
-                    "selected_model": tests[best][0],
-                    "selection_score": M.score(tests[best][1:]),
-                    "tests": [{"model": m, "wape": none(a), "mae": none(b), "pinball_p90": none(c), "calibration_p90": none(d), "folds": n} for m, a, b, c, d, n in tests],
-                    "days": [{"date": t, "horizon_day": i + 1, "p50": a, "p90": b, "p95": c} for i, (t, a, b, c) in enumerate(zip(dates, f.p50, f.p90, f.p95))],
-                }
-            ]
-        )
-
-    rows = daily.dropna(subset=[*SERIES, "date"]).select(*SERIES, F.datediff("date", F.lit("1970-01-01").cast("date")).alias("__day"), "target_p95")
-    dealt = rows.repartition(partitions, *SERIES) if partitions else rows
-    return dealt.groupBy(*SERIES).applyInPandas(run, RESULT)
-
-
-def model_backtest(series: DataFrame) -> DataFrame:
-    return series.select(*SERIES, F.explode("tests").alias("t")).select(*SERIES, "t.*")
-
-
-def model_selection(series: DataFrame) -> DataFrame:
-    """The selected model of each series with its errors."""
-    own = F.get(F.filter("tests", lambda t: t["model"] == F.col("selected_model")), F.lit(0))
-    return series.select(*SERIES, "selected_model", "selection_score", "series_days", own.alias("t")).select(*SERIES, "selected_model", "selection_score", "t.wape", "t.mae", "t.pinball_p90", "t.calibration_p90", "series_days")
-
-
-def forecast_daily(series: DataFrame) -> DataFrame:
-    return series.select(*SERIES, F.col("selected_model").alias("model"), F.explode("days").alias("d")).select(*SERIES, "d.date", "d.horizon_day", "model", "d.p50", "d.p90", "d.p95")
+def forecast_daily(grid: DataFrame, selection: DataFrame, p: Params = Params(), tasks: int | None = None) -> DataFrame:
+    """max(horizons) days of each series by its selected model."""
+    days = max(p.horizons)
+    rows = _series(grid).join(selection.select(*SERIES, F.col("selected_model").alias("model")), list(SERIES))
+    fits = _fitted(rows, days, tasks).select(*SERIES, "last", "model", "fit.q90", "fit.q95", "fit.p50")
+    # in a select of its own: beside an explode the bands would be computed for every day
+    told = fits.select(*SERIES, "last", "model", "q90", "q95", F.posexplode("p50").alias("at", "p50"))
+    ahead = F.col("at") + 1
+    return told.select(*SERIES, F.expr("date_add(last, at + 1)").alias("date"), ahead.alias("horizon_day"), "model", "p50", clip(F.col("p50") + F.col("q90")).alias("p90"), clip(F.col("p50") + F.col("q95")).alias("p95"))

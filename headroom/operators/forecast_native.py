@@ -60,15 +60,31 @@ def weekly_residuals(y: Column, n: Column) -> Column:
     return F.zip_with(F.slice(y, 8, F.greatest(n - 7, F.lit(0))), F.slice(y, 1, F.greatest(n - 7, F.lit(0))), lambda a, b: F.abs(a - b))
 
 
+def _naive_parts(y: Column) -> tuple[Column, Column]:
+    """(the last week, or the last value of a short series; the sorted residuals of the same weekday)."""
+    n = F.size(y)
+    few = n < 7
+    residual = F.when(few, F.transform(y, lambda v: F.abs(v - F.element_at(y, -1)))).otherwise(weekly_residuals(y, n))
+    return F.when(few, F.slice(y, n, 1)).otherwise(F.slice(y, F.greatest(n - 6, F.lit(1)), 7)), F.array_sort(residual)
+
+
+def with_naive_fit(rows: DataFrame, days: int) -> DataFrame:
+    """rows (y, ...) with the struct `fit`: p50 (array), the last week repeated, and the residual quantiles."""
+    week, residual = _naive_parts(F.col("y"))
+    # columns of their own, else they would be computed for every day
+    parts = rows.withColumns({"__week": week, "__r": residual})
+    p50 = F.transform(F.sequence(F.lit(0), F.lit(days - 1)), lambda i: F.get("__week", F.pmod(i, F.size("__week"))))
+    fit = F.struct(p50.alias("p50"), quantile(F.col("__r"), 0.9).alias("q90"), quantile(F.col("__r"), 0.95).alias("q95"))
+    return parts.withColumn("fit", fit).drop("__week", "__r")
+
+
 def seasonal_naive(grid: DataFrame, days: int) -> DataFrame:
     """Forecast rows of the last week repeated, with bands from the residuals of the same weekday.
 
     A series is one array, so all of it costs one shuffle by series; no window, no join.
     """
-    n = F.size("y")
-    few = n < 7
-    residual = F.when(few, F.transform("y", lambda v: F.abs(v - F.element_at("y", -1)))).otherwise(weekly_residuals(F.col("y"), n))
-    rows = as_arrays(grid).withColumns({"r": F.array_sort(residual), "week": F.when(few, F.slice("y", n, 1)).otherwise(F.slice("y", F.greatest(n - 6, F.lit(1)), 7))})
+    week, residual = _naive_parts(F.col("y"))
+    rows = as_arrays(grid).withColumns({"r": residual, "week": week})
     bands = rows.select(*SERIES, "last", "week", quantile(F.col("r"), 0.9).alias("q90"), quantile(F.col("r"), 0.95).alias("q95"))
     # in a select of its own: beside an explode the bands would be computed for every day
     told = bands.withColumn("horizon_day", F.explode(F.sequence(F.lit(1), F.lit(days))))
@@ -76,26 +92,32 @@ def seasonal_naive(grid: DataFrame, days: int) -> DataFrame:
     return told.select(*SERIES, F.expr("date_add(last, horizon_day)").alias("date"), "horizon_day", F.lit("seasonal_naive").alias("model"), p50.alias("p50"), clip(p50 + F.col("q90")).alias("p90"), clip(p50 + F.col("q95")).alias("p95"))
 
 
-def seasonal_naive_backtest(grid: DataFrame, p: Params = Params()) -> DataFrame:
-    """Mean errors of the seasonal-naive model over the folds of each series; nulls where it is too short."""
-    h, least = p.fold_days, p.min_train
+def fold_splits(p: Params = Params()) -> Column:
+    """Days before the test of each fold, of the array `y`; none of a series that is too short."""
     n = F.size("y")
-    splits = F.filter(F.transform(F.array(*[F.lit(k) for k in range(1, p.folds + 1)]), lambda k: n - k * h), lambda s: (s >= least) & (n >= least + h))
-    folds = as_arrays(grid).select(*SERIES, "y", F.explode_outer(splits).alias("split"))
-    sorted_ = folds.withColumn("r", F.array_sort(weekly_residuals(F.slice("y", 1, F.col("split")), F.col("split"))))
-    cut = sorted_.select(*SERIES, "split", F.slice("y", F.col("split") + 1, h).alias("test"), F.slice("y", F.col("split") - 6, 7).alias("week"), quantile(F.col("r"), 0.9).alias("q90"))
-    at = lambda i: F.get("week", F.pmod(i, F.lit(7)))
-    error = cut.withColumns({"e": F.transform("test", lambda v, i: F.abs(v - at(i))), "d": F.transform("test", lambda v, i: v - clip(at(i) + F.col("q90")))})
+    return F.filter(F.transform(F.array(*[F.lit(k) for k in range(1, p.folds + 1)]), lambda k: n - k * p.fold_days), lambda s: (s >= p.min_train) & (n >= p.min_train + p.fold_days))
+
+
+def fold_errors(fits: DataFrame, h: int) -> DataFrame:
+    """fits (test and p50 of h days, q90, ...) with the four errors for these."""
+    error = fits.withColumns({"e": F.zip_with("test", "p50", lambda v, f: F.abs(v - f)), "d": F.zip_with("test", "p50", lambda v, f: v - clip(f + F.col("q90")))})
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
     mass = total(F.transform("test", lambda v: F.abs(v)))
-    per = error.select(
-        *SERIES,
-        "split",
+    return error.select(
+        *[c for c in fits.columns if c not in ("test", "p50", "q90")],
         F.when(mass <= 1e-9, total(F.col("e")) / h).otherwise(total(F.col("e")) / mass).alias("wape"),
         (total(F.col("e")) / h).alias("mae"),
         (total(F.transform("d", lambda d: F.when(d >= 0, 0.9 * d).otherwise(-0.1 * d))) / h).alias("pinball_p90"),
         (F.size(F.filter("d", lambda d: d <= 0)) / h).alias("calibration_p90"),
     )
+
+
+def seasonal_naive_backtest(grid: DataFrame, p: Params = Params()) -> DataFrame:
+    """Mean errors of the seasonal-naive model over the folds of each series; nulls where it is too short."""
+    h = p.fold_days
+    folds = as_arrays(grid).select(*SERIES, "y", F.explode_outer(fold_splits(p)).alias("split"))
+    cut = folds.select(*SERIES, "split", F.slice("y", F.col("split") + 1, h).alias("test"), F.slice("y", 1, F.col("split")).alias("y"))
+    per = fold_errors(with_naive_fit(cut, h).select(*SERIES, "split", "test", "fit.p50", "fit.q90"), h)
     return per.groupBy(*SERIES).agg(F.lit("seasonal_naive").alias("model"), *[F.avg(c).alias(c) for c in ("wape", "mae", "pinball_p90", "calibration_p90")], F.count("split").alias("folds"))
 
 

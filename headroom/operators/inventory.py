@@ -71,10 +71,34 @@ def host_summary(resolved: DataFrame, items: DataFrame, extracted: DataFrame) ->
 
 
 def names_sorted(values):
-    """Non-empty names of an array of structs or strings, sorted."""
+    """Non-empty names of an array of strings, sorted."""
     return F.array_sort(F.filter(values, lambda v: F.coalesce(v, F.lit("")) != ""))
 
 
+def host_labels(hosts: DataFrame) -> DataFrame:
+    """(hostid, templates, groups, tags) of hosts: names of templates (else their technical names), of groups, and tag=value texts, sorted."""
+    own = lambda t: F.when(F.coalesce(t["name"], F.lit("")) != "", t["name"]).otherwise(t["host"])
+    tags = F.array_sort(F.transform(F.filter("tags", lambda t: F.coalesce(t["tag"], F.lit("")) != ""), lambda t: F.struct(t["tag"].alias("tag"), F.coalesce(t["value"], F.lit("")).alias("value"))))
+    return hosts.select("hostid", names_sorted(F.transform("templates", own)).alias("templates"), names_sorted(F.transform("groups", lambda g: g["name"])).alias("groups"), F.transform(tags, lambda t: F.concat_ws("=", t["tag"], t["value"])).alias("tags"))
+
+
+def found_paths(extracted: DataFrame, excerpt: int = 300) -> DataFrame:
+    """(hostid, path, kind, item_key, excerpt) of the paths section."""
+    return section(extracted, "paths_found_in_items").select("hostid", F.col("value").alias("path"), F.col("detail").alias("kind"), "item_key", F.substring("lastvalue", 1, excerpt).alias("excerpt"))
+
+
+#: What the rows of a section are ordered by within a host.
+SECTION_ORDER = {s: ("value", "item_key") if s in ("services", "network_interfaces", "ssl_targets", "paths_found_in_items") else ("item_name", "item_key") if s == "raw_service_related_items" else ("value", "detail") for s in SECTIONS}
+
+
+def in_order(extracted: DataFrame) -> DataFrame:
+    """extracted with `seq`, the place of a row in its section of its host, from 1."""
+    keys = F.create_map(*[F.lit(x) for s, (a, b) in SECTION_ORDER.items() for x in (s, f"{a},{b}")])
+    by = lambda k: F.when(F.element_at(keys, F.col("section")) == "item_name,item_key", F.col(("item_name", "item_key")[k])).when(F.element_at(keys, F.col("section")) == "value,item_key", F.col(("value", "item_key")[k])).otherwise(F.col(("value", "detail")[k]))
+    order = Window.partitionBy("hostid", "section").orderBy(F.coalesce(by(0), F.lit("None")), F.coalesce(by(1), F.lit("None")), "item_key", "item_name", "lastvalue", F.coalesce("value", F.lit("")), F.coalesce("detail", F.lit("")))
+    return extracted.withColumn("seq", F.row_number().over(order))
+
+
 def host_status(*tables: DataFrame) -> DataFrame:
     """(nhost, status) from all tables that have a host and a status column; the last table and row wins.
 

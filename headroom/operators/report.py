@@ -73,25 +73,25 @@ def conclusion_lines(actions: DataFrame, probabilities: DataFrame) -> DataFrame:
     return joined.select(*SCOPE, "section_no", F.row_number().over(order).alias("line_no"), line.alias("line"))
 
 
-def facts(section: Column | str, values: dict[str, Column], rows: DataFrame) -> DataFrame:
-    """rows as (section, key, value) facts, all text; missing values give none."""
+def facts(section: Column | str, values: dict[str, Column], rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """rows as (by, section, key, value) facts, all text; missing values give none."""
     section = F.lit(section) if isinstance(section, str) else section
     pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in values.items()])
-    return rows.select(section.alias("section"), F.explode(pairs).alias("x")).select("section", "x.*").filter("value is not null")
+    return rows.select(*by, section.alias("section"), F.explode(pairs).alias("x")).select(*by, "section", "x.*").filter("value is not null")
 
 
-def conclusion(matched_hosts: DataFrame, counts: DataFrame, latest: DataFrame, delta: DataFrame, risk: DataFrame, actions: DataFrame, selection: DataFrame) -> DataFrame:
-    """The global facts of a run from its small tables."""
+def conclusion(matched_hosts: DataFrame, counts: DataFrame, latest: DataFrame, delta: DataFrame, risk: DataFrame, actions: DataFrame, selection: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The facts of a run, or of each of its scopes, from its small tables."""
     two = lambda c: F.when(F.col(c).isNotNull(), F.format_string("%.2f", F.col(c)))
-    count_by = lambda rows, section, column, prefix: rows.groupBy(F.coalesce(column, F.lit("unknown")).alias("k")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(section).alias("section"), F.concat(F.lit(prefix), "k").alias("key"), F.col("n").cast("string").alias("value"))
+    count_by = lambda rows, section, column, prefix: rows.groupBy(*by, F.coalesce(column, F.lit("unknown")).alias("k")).agg(F.count(F.lit(1)).alias("n")).select(*by, F.lit(section).alias("section"), F.concat(F.lit(prefix), "k").alias("key"), F.col("n").cast("string").alias("value"))
     named = {"cpu_target_items": "cpu_target", "ram_target_items": "ram_target", "disk_target_items": "disk_target", "ram_feature_items": "ram_features", "disk_feature_items": "disk_features", "feature_items_total": "feature_total"}
     parts = [
-        facts("run", {"matched_hosts": F.col("host_count")}, matched_hosts),
-        facts("selection", {k: F.col(c) for k, c in named.items()}, counts),
-        facts(F.col("metric"), {"latest_history_mean_pct": two("util_mean"), "latest_history_p90_pct": two("util_p90"), "status": F.col("state")}, latest),
-        facts(F.col("metric"), {"trend_recent_7d_mean_pct": two("recent_7d"), "trend_prev_7d_mean_pct": two("prev_7d"), "trend_delta_pp": two("delta_pp"), "trend_state": F.col("state")}, delta),
+        facts("run", {"matched_hosts": F.col("host_count")}, matched_hosts, by),
+        facts("selection", {k: F.col(c) for k, c in named.items()}, counts, by),
+        facts(F.col("metric"), {"latest_history_mean_pct": two("util_mean"), "latest_history_p90_pct": two("util_p90"), "status": F.col("state")}, latest, by),
+        facts(F.col("metric"), {"trend_recent_7d_mean_pct": two("recent_7d"), "trend_prev_7d_mean_pct": two("prev_7d"), "trend_delta_pp": two("delta_pp"), "trend_state": F.col("state")}, delta, by),
         count_by(risk, "risk", "cluster", "cluster_"),
-        facts("risk", {"overprovisioned_hosts": F.col("n")}, risk.agg(F.count_if("overprovisioned").alias("n"))),
+        facts("risk", {"overprovisioned_hosts": F.col("n")}, risk.groupBy(*by).agg(F.count_if("overprovisioned").alias("n")), by),
         count_by(actions, "actionable", "status", "status_"),
         count_by(selection, "forecast", "selected_model", "model_"),
     ]

@@ -86,25 +86,51 @@ def select_disk(items: DataFrame, p: Params = Params()) -> DataFrame:
     return best.select("hostid", "b.entity", "b.score", F.explode("b.modes").alias("m")).select("hostid", "entity", "score", "m.mode", "m.item.*")
 
 
+def _disk_rows(disks: Column, p: Params) -> Column:
+    """The items by mode of the best file system among a host's (entity, mode, id, item) structs; none without `pused`."""
+    of = lambda e: F.filter(disks, lambda d: d["entity"] == e)
+    first = lambda found: F.array_min(F.transform(found, lambda d: d["id"]))
+    able = F.transform(F.filter(disks, lambda d: d["mode"] == "pused"), lambda d: F.struct(fs_score(d["entity"], p.disk_fs).alias("score"), (-first(of(d["entity"]))).alias("id"), d["entity"].alias("entity")))
+    best = F.array_max(able)["entity"]
+    one = lambda mode: F.array_min(F.transform(F.filter(of(best), lambda d: d["mode"] == mode), lambda d: F.struct(d["id"].alias("id"), d["mode"].alias("mode"), d["entity"].alias("entity"), d["item"].alias("item"))))
+    return F.array_compact(F.array(*[one(m) for m in DISK_FEATURES]))
+
+
 def selection(items: DataFrame, scope: DataFrame, p: Params = Params()) -> DataFrame:
-    """The selection report: targets and features of the hosts in scope, schema SELECTED."""
-    known = items.filter("status = '0'").join(scope.select("hostid"), "hostid", "left_semi")
-    cpu = select_cpu(known).select("hostid", F.lit("cpu").alias("metric"), F.lit("target").alias("source"), F.lit("").alias("feature"), F.lit("").alias("entity"), "itemid", "key_", "value_type", "transform")
-    ram = select_ram(known)
-    ram_target = ram.filter("role = 'pavailable'").select("hostid", F.lit("ram"), F.lit("target"), F.lit(""), F.lit(""), "itemid", "key_", "value_type", F.lit("invert_100"))
-    named = lambda names, c: F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col(c))
-    ram_feature = ram.select("hostid", F.lit("ram"), F.lit("feature"), named(RAM_FEATURES, "role"), F.lit(""), "itemid", "key_", "value_type", F.lit("identity"))
-    disk = select_disk(known, p)
-    disk_target = disk.filter("mode = 'pused'").select("hostid", F.lit("disk"), F.lit("target"), F.lit(""), "entity", "itemid", "key_", "value_type", F.lit("identity"))
-    disk_feature = disk.select("hostid", F.lit("disk"), F.lit("feature"), named(DISK_FEATURES, "mode"), "entity", "itemid", "key_", "value_type", F.lit("identity"))
-    every = cpu.union(ram_target).union(ram_feature).union(disk_target).union(disk_feature)
-    return every.join(scope, "hostid").select(*SELECTED)
-
-
-def selected_counts(selected: DataFrame) -> DataFrame:
-    """One row: targets and features by metric."""
+    """The selection report: targets and features of the hosts in scope, schema SELECTED. One scan and one aggregation by host."""
+    key = F.col("key_")
+    known = items.filter("status = '0'").filter(key.startswith("system.cpu.util") | key.startswith("vm.memory.size[") | key.startswith("vfs.fs.size["))
+    cpu, transform = cpu_score(key, F.col("name"))
+    role, ram = ram_role(key)
+    id_ = F.col("itemid").cast("long")
+    item = F.struct("itemid", "key_", "value_type")
+    marked = known.select("hostid", id_.alias("id"), item.alias("item"), F.when(cpu >= 0, cpu).alias("cpu"), transform.alias("transform"), role.alias("role"), ram.alias("ram"), F.regexp_extract("key_", FILESYSTEM, 1).alias("entity"), F.regexp_extract("key_", FILESYSTEM, 2).alias("mode"))
+    chosen = marked.groupBy("hostid").agg(
+        F.max_by(F.struct("item", "transform"), F.when(F.col("cpu").isNotNull(), F.struct("cpu", -F.col("id")))).alias("cpu"),
+        *[F.max_by("item", F.when(F.col("role") == r, F.struct("ram", -F.col("id")))).alias(f"ram_{r}") for r in RAM_FEATURES],
+        F.collect_list(F.when(F.col("mode") != "", F.struct("entity", "mode", "id", "item"))).alias("disks"),
+    )
+    placed = chosen.withColumn("disks", _disk_rows(F.col("disks"), p))
+    row = lambda item, metric, source, feature, entity, transform: F.struct(F.lit(metric).alias("metric"), F.lit(source).alias("source"), feature.alias("feature"), entity.alias("entity"), item["itemid"].alias("itemid"), item["key_"].alias("key_"), item["value_type"].alias("value_type"), transform.alias("transform"))
+    none, same = F.lit(""), F.lit("identity")
+    named = F.create_map(*[F.lit(x) for kv in DISK_FEATURES.items() for x in kv])
+    rows = F.concat(
+        F.array(
+            row(F.col("cpu.item"), "cpu", "target", none, none, F.col("cpu.transform")),
+            row(F.col("ram_pavailable"), "ram", "target", none, none, F.lit("invert_100")),
+            *[row(F.col(f"ram_{r}"), "ram", "feature", F.lit(f), none, same) for r, f in RAM_FEATURES.items()],
+        ),
+        F.transform(F.filter("disks", lambda d: d["mode"] == "pused"), lambda d: row(d["item"], "disk", "target", none, d["entity"], same)),
+        F.transform("disks", lambda d: row(d["item"], "disk", "feature", F.element_at(named, d["mode"]), d["entity"], same)),
+    )
+    told = placed.select("hostid", F.explode(F.filter(rows, lambda r: r["itemid"].isNotNull())).alias("r")).select("hostid", "r.*")
+    return told.join(scope, "hostid").select(*SELECTED)
+
+
+def selected_counts(selected: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row (for each group): targets and features by metric."""
     n = lambda metric, source: F.count_if((F.col("metric") == metric) & (F.col("source") == source))
-    return selected.agg(
+    return selected.groupBy(*by).agg(
         n("cpu", "target").alias("cpu_target"),
         n("ram", "target").alias("ram_target"),
         n("disk", "target").alias("disk_target"),

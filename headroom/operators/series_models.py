@@ -1,51 +1,32 @@
-"""Three forecasting models of one daily series, vectorised with numpy, and their rolling backtest."""
+"""Two forecasting models of one daily series, vectorised with numpy: what Spark has no columns for.
 
-from __future__ import annotations
+A fit gives the values ahead and the 0.9 and 0.95 quantiles of the absolute residuals.
+"""
 
-from dataclasses import dataclass
+from __future__ import annotations
 
 import numpy as np
 
 LAGS = (1, 2, 3, 7, 14, 21, 28)
 WINDOWS = (3, 7, 14)
-MODELS = ("seasonal_naive", "robust_trend", "gbdt_lag")
 STUMPS, RATE, LEVELS, LEAF = 80, 0.08, 15, 8
-LEAST_FEATURE_ROWS = 45
+#: A series needs so many days for boosted stumps: 45 complete feature rows.
+LEAST_DAYS = 45 + max(*LAGS, *WINDOWS)
 PASSES = 8
 
-
-@dataclass(frozen=True)
-class Forecast:
-    p50: np.ndarray
-    p90: np.ndarray
-    p95: np.ndarray
+Fit = tuple[np.ndarray, float, float]
 
 
-def banded(p50: np.ndarray, residual: np.ndarray) -> Forecast:
+def banded(p50: np.ndarray, residual: np.ndarray) -> Fit:
     q90, q95 = np.quantile(residual, [0.9, 0.95]) if len(residual) else (0.0, 0.0)
-    return Forecast(p50, np.clip(p50 + q90, 0, 100), np.clip(p50 + q95, 0, 100))
-
-
-def prepared(days: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Daily grid from day numbers: missing days are interpolated, values clipped."""
-    ok = np.isfinite(values)
-    days, values = days[ok], values[ok]
-    order = np.argsort(days, kind="stable")
-    days, values = days[order], values[order]
-    if not len(days):
-        return days, values
-    grid = np.arange(days[0], days[-1] + 1)
-    return grid, np.clip(np.interp(grid, days, values), 0, 100)
+    return p50, float(q90), float(q95)
 
 
-def seasonal_naive(y: np.ndarray, start: int, horizon: int) -> Forecast:
-    if len(y) < 7:
-        return banded(np.full(horizon, y[-1]), np.abs(y - y[-1]))
-    return banded(np.resize(y[-7:], horizon), np.abs(y[7:] - y[:-7]))
+def robust_trend(y: np.ndarray, start: int, horizon: int) -> Fit:
+    """Reweighted line plus the median residual of each weekday. start: day number of y[0]; day 0 was a Thursday.
 
-
-def robust_trend(y: np.ndarray, start: int, horizon: int) -> Forecast:
-    """Reweighted line plus the median residual of each weekday. start: day number of y[0]; day 0 was a Thursday."""
+    Each pass minimises sum((w * (y - c - m * x))**2) and sets w = 1 / max(1, |r| / (1.5 * median |r|)).
+    """
     x, w = np.arange(len(y), dtype=float), np.ones(len(y))
     for _ in range(PASSES):
         a = np.column_stack([np.ones(len(y)), x]) * w[:, None]
@@ -113,11 +94,9 @@ class Stumps:
         return np.clip(self.base + side.sum(axis=-1), 0, 100)
 
 
-def gbdt_lag(y: np.ndarray, start: int, horizon: int) -> Forecast:
-    """Boosted stumps on lag features, carried on day by day; a short series falls back to the seasonal-naive model."""
+def gbdt_lag(y: np.ndarray, start: int, horizon: int) -> Fit:
+    """Boosted stumps on lag features, carried on day by day. y has at least LEAST_DAYS values."""
     x, t = features(y, start)
-    if len(x) < LEAST_FEATURE_ROWS:
-        return seasonal_naive(y, start, horizon)
     model = Stumps(x, t)
     residual = np.abs(t - model.predict(x))
     h = np.empty(len(y) + horizon)
@@ -131,27 +110,4 @@ def gbdt_lag(y: np.ndarray, start: int, horizon: int) -> Forecast:
     return banded(h[len(y) :], residual)
 
 
-FIT = {"seasonal_naive": seasonal_naive, "robust_trend": robust_trend, "gbdt_lag": gbdt_lag}
-
-
-def backtest(y: np.ndarray, start: int, model: str, h: int, folds: int, least: int) -> tuple[float, float, float, float, int]:
-    """Mean wape, mae, pinball loss at 0.9 and calibration at 0.9 over the folds, and their number."""
-    rows = []
-    if len(y) >= least + h:
-        for fold in range(folds, 0, -1):
-            split = len(y) - fold * h
-            if split < least:
-                continue
-            f, test = FIT[model](y[:split], start, h), y[split : split + h]
-            error = np.abs(test - f.p50)
-            total = np.abs(test).sum()
-            d = test - f.p90
-            rows.append((error.sum() / total if total > 1e-9 else error.mean(), error.mean(), np.where(d >= 0, 0.9 * d, -0.1 * d).mean(), (test <= f.p90).mean()))
-    if not rows:
-        return (np.nan,) * 4 + (0,)
-    return (*np.mean(rows, axis=0), len(rows))
-
-
-def score(errors: tuple) -> float:
-    wape, _, pinball, calibration = (e if np.isfinite(e) else None for e in errors[:4])
-    return (10.0 if wape is None else wape) + (10.0 if pinball is None else pinball) + (1.0 if calibration is None else abs(calibration - 0.9))
+FIT = {"robust_trend": robust_trend, "gbdt_lag": gbdt_lag}

@@ -23,8 +23,7 @@ def _history_aggregates() -> list[Column]:
 
 def _trend_aggregates() -> list[Column]:
     v = "util_avg"
-    # a set of host ids rather than a distinct count, which would expand the rows once more
-    return [F.size(F.collect_set("hostid")).cast("long").alias("host_count"), F.avg(v).alias("util_avg_mean"), F.median(v).alias("util_avg_median"), F.min("util_min").alias("util_min"), F.max("util_max").alias("util_max"), *_percentiles(v, "util_avg")]
+    return [F.count_distinct("hostid").alias("host_count"), F.avg(v).alias("util_avg_mean"), F.median(v).alias("util_avg_median"), F.min("util_min").alias("util_min"), F.max("util_max").alias("util_max"), *_percentiles(v, "util_avg")]
 
 
 def summarize_history(history: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -39,10 +38,19 @@ def summarize_trend(trend: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def scope_summaries(history: DataFrame) -> DataFrame:
     """All three levels at once: `level` is all, tag or scope; columns that a level doesn't use are ''."""
+    return _by_level(history, _history_aggregates())
+
+
+def scope_trend_summaries(trend: DataFrame) -> DataFrame:
+    """As scope_summaries(), of the trend."""
+    return _by_level(trend, _trend_aggregates())
+
+
+def _by_level(history: DataFrame, aggregates: list[Column]) -> DataFrame:
     sets = [["metric", "clock"], ["metric", "as_value", "clock"], ["metric", "as_value", "env_group", "clock"]]
-    rows = history.dropna(subset=["metric", "as_value", "env_group", "clock"]).groupingSets([[F.col(c) for c in s] for s in sets], "metric", "as_value", "env_group", "clock").agg(F.grouping_id("metric", "as_value", "env_group", "clock").alias("g"), *_history_aggregates())
+    rows = history.dropna(subset=["metric", "as_value", "env_group", "clock"]).groupingSets([[F.col(c) for c in s] for s in sets], "metric", "as_value", "env_group", "clock").agg(F.grouping_id("metric", "as_value", "env_group", "clock").alias("g"), *aggregates)
     level = F.when(F.col("g") == 0, "scope").when(F.col("g") == 2, "tag").otherwise("all")
-    return rows.select(level.alias("level"), "metric", F.coalesce("as_value", F.lit("")).alias("as_value"), F.coalesce("env_group", F.lit("")).alias("env_group"), "clock", "host_count", "util_mean", "util_median", "util_min", "util_max", "util_p10", "util_p90")
+    return rows.select(level.alias("level"), "metric", F.coalesce("as_value", F.lit("")).alias("as_value"), F.coalesce("env_group", F.lit("")).alias("env_group"), "clock", *[c for c in rows.columns if c not in ("metric", "as_value", "env_group", "clock", "g")])
 
 
 def host_count(history: DataFrame, trend: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -51,24 +59,24 @@ def host_count(history: DataFrame, trend: DataFrame, by: tuple[str, ...] = ()) -
     return rows.groupBy(*by).agg(F.count("hostid").alias("host_count")) if by else rows.agg(F.count("hostid").alias("host_count"))
 
 
-def latest_status(summary: DataFrame) -> DataFrame:
-    """The last hour of each metric and its state."""
-    last = summary.groupBy("metric").agg(F.max_by(F.struct("util_mean", "util_p90", "clock"), "clock").alias("x")).select("metric", "x.*")
+def latest_status(summary: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The last hour of each metric (and scope) and its state."""
+    last = summary.groupBy("metric", *by).agg(F.max_by(F.struct("util_mean", "util_p90", "clock"), "clock").alias("x")).select("metric", *by, "x.*")
     state = F.when(F.col("util_p90") >= 90, "critical").when(F.col("util_mean") >= 80, "high").otherwise("normal")
     return last.withColumn("state", state)
 
 
-def daily_means(summary: DataFrame, value: str = "util_avg_mean") -> DataFrame:
-    return summary.groupBy("metric", F.to_date("clock").alias("date")).agg(F.avg(value).alias("mean")).filter("mean is not null")
+def daily_means(summary: DataFrame, value: str = "util_avg_mean", by: tuple[str, ...] = ()) -> DataFrame:
+    return summary.groupBy("metric", *by, F.to_date("clock").alias("date")).agg(F.avg(value).alias("mean")).filter("mean is not null")
 
 
-def week_delta(daily: DataFrame) -> DataFrame:
+def week_delta(daily: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """The last 7 days against the 7 before, where there are 14 days."""
-    place = F.row_number().over(Window.partitionBy("metric").orderBy(F.col("date").desc()))
+    place = F.row_number().over(Window.partitionBy("metric", *by).orderBy(F.col("date").desc()))
     ranked = daily.withColumn("n", place).filter("n <= 14")
-    both = ranked.groupBy("metric").agg(F.count(F.lit(1)).alias("days"), F.avg(F.when(F.col("n") <= 7, F.col("mean"))).alias("recent_7d"), F.avg(F.when(F.col("n") > 7, F.col("mean"))).alias("prev_7d"))
+    both = ranked.groupBy("metric", *by).agg(F.count(F.lit(1)).alias("days"), F.avg(F.when(F.col("n") <= 7, F.col("mean"))).alias("recent_7d"), F.avg(F.when(F.col("n") > 7, F.col("mean"))).alias("prev_7d"))
     delta = F.col("recent_7d") - F.col("prev_7d")
-    return both.filter("days = 14").select("metric", "recent_7d", "prev_7d", delta.alias("delta_pp"), F.when(delta > 1, "up").when(delta < -1, "down").otherwise("flat").alias("state"))
+    return both.filter("days = 14").select("metric", *by, "recent_7d", "prev_7d", delta.alias("delta_pp"), F.when(delta > 1, "up").when(delta < -1, "down").otherwise("flat").alias("state"))
 
 
 def unioned_metrics(history: DataFrame, trend: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ one again and a lost executor costs one step.
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from ..operators import actions as A
 from ..operators import domains as D
 from ..operators import dumps as U
 from ..operators import forecast as M
+from ..operators import forecast_native as N
 from ..operators import hosts as H
 from ..operators import inventory as I
 from ..operators import provisioning as V
@@ -31,8 +34,8 @@ class Folder:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
-        sinks.write(df, f"{self.path}/{name}")
+    def put(self, name: str, df: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+        sinks.write(df, f"{self.path}/{name}", order=order)
         return self.get(name)
 
     def get(self, name: str) -> DataFrame:
@@ -42,7 +45,7 @@ class Folder:
 def collect(spark: SparkSession, hosts: DataFrame, items: DataFrame, trend_raw: DataFrame, out: str, p: Params = Params(), now=None) -> Folder:
     """Hosts by tag, chosen items, and their points as utilization and feature tables. now: end of the trend window."""
     to = Folder(spark, out)
-    scope = H.host_scope(H.hosts_by_tag(hosts, p), p)
+    scope = to.put("hosts", H.host_scope(H.hosts_by_tag(hosts, p), p), ("host", "hostid"))
     selected = to.put("selected_items", S.selection(items, scope, p))
     points = tables.trend_points(trend_raw)
     if now is not None:
@@ -58,40 +61,49 @@ def collect(spark: SparkSession, hosts: DataFrame, items: DataFrame, trend_raw:
     return to
 
 
-def checkpointed(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The tables of an earlier collect() with their schemas, or empty ones."""
-    kinds = {"util_history": UTIL_HISTORY, "util_trend": UTIL_TREND, "feature_history": FEATURE_HISTORY}
-    out = {n: tables.timeseries(spark, f"{path}/{n}", k, "parquet") for n, k in kinds.items()}
-    return out | {"selected_items": spark.read.parquet(f"{path}/selected_items") if tables.exists(spark, f"{path}/selected_items") else spark.createDataFrame([], ", ".join(f"{k} {v}" for k, v in SELECTED.items()))}
+def checkpointed(spark: SparkSession, *paths: str) -> dict[str, DataFrame]:
+    """The tables of an earlier collect() with their schemas, each from the first path that has it, or empty ones."""
+    kinds = {"util_history": UTIL_HISTORY, "util_trend": UTIL_TREND, "feature_history": FEATURE_HISTORY, "selected_items": SELECTED}
+    place = {n: tables.pick_path(spark, *[f"{p}/{n}" for p in paths]) or f"{paths[0]}/{n}" for n in kinds}
+    return {n: tables.timeseries(spark, place[n], k, "parquet") for n, k in kinds.items()}
 
 
-def analyse(spark: SparkSession, source: str, out: str, p: Params = Params()) -> Folder:
+def analyse(spark: SparkSession, source: str, out: str, p: Params = Params(), legacy: str | None = None) -> Folder:
     """Summaries, risk, forecasts, actions and reports from the tables of collect(), global and by scope."""
-    have, to = checkpointed(spark, source), Folder(spark, out)
-    history, trend = have["util_history"], have["util_trend"]
+    have, to = checkpointed(spark, source, *([legacy] if legacy else [])), Folder(spark, out)
+    history, trend, selected = have["util_history"], have["util_trend"], have["selected_items"]
     summary = to.put("history_summary_all", Y.summarize_history(history))
     trend_summary = to.put("trend_summary_all", Y.summarize_trend(trend))
     to.put("history_summary_by_as", Y.summarize_history(history, ("as_value",)))
     to.put("trend_summary_by_as", Y.summarize_trend(trend, ("as_value",)))
-    to.put("scope_summaries", Y.scope_summaries(history))
+    levels = to.put("scope_summaries", Y.scope_summaries(history)), to.put("scope_trend_summaries", Y.scope_trend_summaries(trend))
     risk = to.put("host_risk_metrics", K.risk_metrics(history))
     daily = to.put("daily_target_p95", K.daily_p95(history))
-    # CPU-bound work on small groups: several tasks a core, whatever the size of the data
-    series = to.put("series", M.forecast_series(daily, p, 3 * spark.sparkContext.defaultParallelism))
-    selection = to.put("model_selection", M.model_selection(series))
-    to.put("model_backtest", M.model_backtest(series))
-    forecast = to.put("forecast_daily", M.forecast_daily(series))
+    grid = to.put("daily_grid", N.daily_grid(daily))
+    backtest = to.put("model_backtest", M.model_backtest(grid, p))
+    selection = to.put("model_selection", M.model_selection(backtest, grid))
+    forecast = to.put("forecast_daily", M.forecast_daily(grid, selection, p))
     chances = to.put("risk_probabilities", A.risk_probabilities(forecast, selection, p))
     actionable = to.put("actionable", A.complete_actions(A.actions(risk, forecast), chances, p))
-    hosts = Y.host_count(history, trend)
-    to.put("conclusion", R.conclusion(hosts, S.selected_counts(have["selected_items"]), Y.latest_status(summary), Y.week_delta(Y.daily_means(trend_summary)), risk, actionable, selection))
-    to.put("conclusion_lines", R.conclusion_lines(actionable, chances))
+    facts = lambda summary, trend_summary, by: R.conclusion(Y.host_count(history, trend, by), S.selected_counts(selected, by), Y.latest_status(summary, by), Y.week_delta(Y.daily_means(trend_summary, by=by), by), risk, actionable, selection, by)
+    conclusion = to.put("conclusion", facts(summary, trend_summary, ()), ("section", "key"))
+    own, own_trend = (t.filter("level = 'scope'").drop("level") for t in levels)
+    scope_facts = to.put("scope_facts", facts(own, own_trend, R.SCOPE), (*R.SCOPE, "section", "key"))
+    to.put("conclusion_lines", R.conclusion_lines(actionable, chances), (*R.SCOPE, "section_no", "line_no"))
     to.put("forecast_chart", R.forecast_chart(daily.withColumnRenamed("target_p95", "y"), forecast, R.top_k(actionable, p), p))
     to.put("heat_map", Y.heat_map(history, p.heat_hosts))
-    scopes = R.scope_list(history, trend, actionable, have["selected_items"])
-    # one partitioned write a table, not one job a scope
-    for name, table in {"actionable": actionable, "forecast_daily": forecast, "risk_probabilities": chances, "util_history": history, "util_trend": trend}.items():
+    scopes = to.put("scopes", R.scope_list(history, trend, actionable, selected), R.SCOPE)
+    report = {
+        "selected_items": selected, "history_summary_all": summary, "history_summary_by_as": to.get("history_summary_by_as"), "trend_summary_all": trend_summary, "trend_summary_by_as": to.get("trend_summary_by_as"),
+        "daily_target_p95": daily, "host_risk_metrics": risk, "model_backtest": backtest, "model_selection": selection, "forecast_daily": forecast, "risk_probabilities": chances, "actionable": actionable, "conclusion": conclusion,
+    }
+    sinks.write_bundle(report, f"{to.path}/report")
+    # one partitioned write a table, not one job a scope; within a scope the summaries of all and by tag value are one
+    by_scope = report | {"util_history": history, "util_trend": trend, "history_summary_all": own, "history_summary_by_as": own, "trend_summary_all": own_trend, "trend_summary_by_as": own_trend, "conclusion": scope_facts}
+    for name, table in by_scope.items():
         sinks.write_by_scope(R.scope_of(table).join(scopes, list(R.SCOPE)), f"{to.path}/by_scope/{name}")
+    counts = {r["name"]: r["n"] for r in sinks.row_counts(report).collect()}  # one row a table
+    sinks.run_context(spark, asdict(p) | {"source": source}, counts, f"{to.path}/run_context")
     return to
 
 
@@ -106,19 +118,20 @@ def provision(spark: SparkSession, selected: DataFrame, items: DataFrame, trigge
     return to
 
 
-def inventory(spark: SparkSession, tree: DataFrame, hosts: DataFrame, items: DataFrame, out: str) -> Folder:
-    """Sections of the inventory, host summary, and the report by domain."""
-    to = Folder(spark, out)
-    resolved = to.put("hosts", I.resolve_hosts(I.flatten_tree(tree), hosts.filter("status = '0'")))
-    own = items.filter("status = '0'").join(resolved.select("hostid").distinct(), "hostid", "left_semi")
-    found = to.put("sections", I.extract(own))
-    to.put("host_summary", I.host_summary(resolved, own, found))
+def inventory(spark: SparkSession, tree: DataFrame, hosts: DataFrame, items: DataFrame, out: str, accounts: D.Accounts | None = None) -> Folder:
+    """Sections of the inventory, host summary and labels, and the report by domain. accounts: by domain suffix."""
+    to, accounts = Folder(spark, out), accounts or {}
+    resolved = to.put("hosts", I.resolve_hosts(I.flatten_tree(tree), hosts.filter("status = '0'")), ("system", "role", "host_ref"))
+    ids = resolved.select("hostid").distinct()
+    own = items.filter("status = '0'").join(ids, "hostid", "left_semi")
+    found = to.put("sections", I.in_order(I.extract(own)), ("hostid", "section", "seq"))
+    to.put("host_summary", I.host_summary(resolved, own, found), ("system", "role", "host_ref"))
+    to.put("host_labels", I.host_labels(hosts.join(ids, "hostid", "left_semi")), ("hostid",))
     named = resolved.filter("hostid is not null").select("system", "role", "host_ref", "hostid")
-    paths = I.section(found, "paths_found_in_items").select("hostid", F.col("value").alias("path"), F.col("detail").alias("kind"), "item_key")
-    told = to.put("domain_paths", D.domain_paths(named.join(paths, "hostid")))
-    to.put("domain_dirs", D.domain_dirs(told))
+    told = to.put("domain_paths", D.domain_paths(named.join(I.found_paths(found), "hostid"), accounts), ("domain", "host_ref", "path"))
+    to.put("domain_dirs", D.domain_dirs(told), ("domain", "host", "directory"))
     services = I.section(found, "services").select("hostid", F.col("value").alias("unit"), F.col("detail").alias("field"), "lastvalue", "item_key")
-    to.put("domain_services", D.with_domain(named.join(services, "hostid")))
+    to.put("domain_services", D.with_domain(named.join(services, "hostid"), accounts), ("domain", "host_ref", "unit"))
     return to
 
 
@@ -128,4 +141,5 @@ def text_dumps(spark: SparkSession, path: str, out: str) -> Folder:
     units = to.put("unit_lines", U.unit_lines(tables.dump_lines(spark, path)))
     to.put("services", U.services(units))
     to.put("dirs", U.unit_dirs(to.put("paths", U.unit_paths(units))))
+    to.put("errors", U.errors(tables.captures(spark, path)), ("host", "file"))
     return to

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..functions import scalars as C
 from ..sources.adapters import KEYS
 
 SERIES = "metric, hostid, host, as_value, env_value, env_group"
@@ -18,7 +19,7 @@ _ROTATED = " ".join(f"WHEN {r} THEN {_list(k[r % len(k)] for k in KEYS)}" for r
 PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "hosts": (
         """SELECT CAST(s_suppkey AS VARCHAR) hostid, s_suppkey k, s_nationkey nk,
-        replace(lower(s_name), '#', '-') || CASE s_suppkey % 3 WHEN 0 THEN '.dom.ru' WHEN 1 THEN '.rosap.com' ELSE '' END host, s_name AS name,
+        replace(lower(s_name), '#', '-') || CASE s_suppkey % 3 WHEN 0 THEN '.ops.example.com' WHEN 1 THEN '.example.org' ELSE '' END host, s_name AS name,
         CASE WHEN s_suppkey % 11 = 5 THEN '1' ELSE '0' END status,
         CASE WHEN s_suppkey % 5 = 0 THEN CAST([] AS VARCHAR[]) WHEN s_suppkey % 7 = 0 THEN ['AS-9', 'AS-' || (s_nationkey % 4)] ELSE ['AS-' || (s_nationkey % 4)] END tags,
         CASE WHEN s_suppkey % 4 = 0 THEN 'prod' WHEN s_suppkey % 4 = 1 THEN 'Prod' ELSE 'dev' END env FROM supplier""",
@@ -76,14 +77,14 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         (),
     ),
     "util_h": (
-        """SELECT CASE event_type WHEN 'click' THEN 'cpu' WHEN 'view' THEN 'ram' ELSE 'disk' END metric, date_trunc('hour', ts) clock, CAST(user_id AS VARCHAR) hostid, 'host-' || user_id host, 'AS-' || (user_id % 3) as_value,
-        CASE WHEN user_id % 4 = 0 THEN 'PROD' ELSE 'dev' END env_value, CASE WHEN user_id % 4 = 0 THEN 'prod' ELSE 'non-prod' END env_group, least(value, 100) v FROM events WHERE event_type IN ('click', 'view', 'purchase')""",
+        """SELECT CASE WHEN event_type = 'click' THEN 'cpu' WHEN event_type = 'view' THEN 'ram' ELSE 'disk' END metric, date_trunc('hour', ts) clock, CAST(user_id AS VARCHAR) hostid, 'host-' || user_id host, 'AS-' || (user_id % 3) as_value,
+        CASE WHEN user_id % 4 = 0 THEN 'PROD' ELSE 'dev' END env_value, CASE WHEN user_id % 4 = 0 THEN 'prod' ELSE 'non-prod' END env_group, least(value, 100) v FROM events""",
         (),
     ),
     "util_t": ("SELECT metric, clock, hostid, host, as_value, env_value, env_group, count(v) num, min(v) lo, avg(v) av, max(v) hi FROM util_h GROUP BY ALL", ("util_h",)),
     "load": (
-        """SELECT 'cpu' metric, CAST(l_suppkey % 4 AS VARCHAR) hostid, 'host-' || (l_suppkey % 4) host, 'AS-' || (l_suppkey % 2) as_value, CASE WHEN l_suppkey % 4 = 0 THEN 'prod' ELSE 'dev' END env_value,
-        CASE WHEN l_suppkey % 4 = 0 THEN 'prod' ELSE 'non-prod' END env_group, l_shipdate clock, l_quantity * 2 v FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-07-01' AND l_shipdate < TIMESTAMP '2001-07-01'""",
+        """SELECT 'cpu' metric, CAST(l_suppkey AS VARCHAR) hostid, 'host-' || l_suppkey host, 'AS-' || (l_suppkey % 2) as_value, CASE WHEN l_suppkey % 4 = 0 THEN 'prod' ELSE 'dev' END env_value,
+        CASE WHEN l_suppkey % 4 = 0 THEN 'prod' ELSE 'non-prod' END env_group, l_shipdate clock, l_quantity * (1 + l_suppkey % 3 / 2) v FROM lineitem""",
         (),
     ),
     "daily": (f"SELECT {SERIES}, CAST(clock AS DATE) date, quantile_cont(v, 0.95) y FROM load GROUP BY ALL", ("load",)),
@@ -209,21 +210,45 @@ _DUMP_KIND = """CASE WHEN regexp_matches(lower(path), '[^/]\\.(crt|pem|cer|key|p
 _PARENT = "CASE WHEN regexp_replace(path, '/[^/]*$', '') = '' THEN '/' ELSE regexp_replace(path, '/[^/]*$', '') END"
 _SAFE = "path NOT IN ('/', '/var', '/etc', '/usr', '/opt') AND NOT regexp_matches(path, '^/(proc|sys|dev|run|tmp)/')"
 PARTS["found_paths"] = (
-    f"""SELECT hostid, path, {_ITEM_KIND} kind, key_ item_key, lastvalue FROM (SELECT *, row_number() OVER (PARTITION BY hostid, path, key_ ORDER BY CAST(itemid AS BIGINT)) rn FROM (
+    f"""SELECT hostid, path, {_ITEM_KIND} kind, name item_name, key_ item_key, lastvalue, units, lastclock FROM (SELECT *, row_number() OVER (PARTITION BY hostid, path, key_ ORDER BY CAST(itemid AS BIGINT)) rn FROM (
     SELECT *, unnest(list_distinct(regexp_extract_all(name || ' ' || key_ || ' ' || lastvalue, '{_PATH}', 1))) path FROM own) WHERE {_SAFE}) WHERE rn = 1""",
     ("own",),
 )
 PARTS["services_all"] = (SECTION_SQL["services"], ("own",))
 PARTS["host_paths"] = ("SELECT system, role, host_ref, path, kind, item_key FROM resolved JOIN found_paths USING (hostid)", ("resolved", "found_paths"))
 PARTS["dom_paths"] = (
-    """SELECT system, role, host_ref, path, CASE WHEN regexp_matches(lower(path), '\\.(crt|pem|key|csr|pfx|p12|cer)$|ssl|cert|pki|ca|tls') THEN 'certificate_like' ELSE kind END kind, item_key, d AS domain, CASE d WHEN 'rosap.com' THEN 'rosap' WHEN 'dom.ru' THEN 'dom' ELSE '' END account
-    FROM (SELECT *, CASE WHEN ends_with(lower(host_ref), 'rosap.com') THEN 'rosap.com' WHEN ends_with(lower(host_ref), 'dom.ru') THEN 'dom.ru' ELSE '' END d FROM host_paths)""",
+    """SELECT system, role, host_ref, path, CASE WHEN regexp_matches(lower(path), '\\.(crt|pem|key|csr|pfx|p12|cer)$|ssl|cert|pki|ca|tls') THEN 'certificate_like' ELSE kind END kind, item_key, d AS domain, CASE d WHEN 'example.com' THEN 'first' WHEN 'example.org' THEN 'third' ELSE '' END account
+    FROM (SELECT *, CASE WHEN ends_with(lower(host_ref), 'example.com') THEN 'example.com' WHEN ends_with(lower(host_ref), 'example.org') THEN 'example.org' ELSE '' END d FROM host_paths)""",
     ("host_paths",),
 )
 PARTS["known"] = (f"SELECT DISTINCT host, path, CASE WHEN kind = 'other' THEN {_FILE_KIND} ELSE kind END kind FROM found_paths JOIN hosts USING (hostid)", ("found_paths", "hosts"))
 PARTS["verified"] = (f"SELECT host, path, {_FILE_KIND} kind, length(path) % 5 <> 0 there, length(path) % 3 = 0 dir FROM known", ("known",))
 
 
+def _polynomial(powers: tuple[float, ...], x: str) -> str:
+    out = repr(powers[0])
+    for p in powers[1:]:
+        out = f"({out} * {x} + {p!r})"
+    return out
+
+
+def _erfc(x: str) -> str:
+    """erfc(x) of a column by the published approximation that the library uses too."""
+    ratio = lambda of, y: f"{_polynomial(of[0], y)} / {_polynomial(of[1], y)}"
+    y, q = f"abs({x})", f"({x} * {x})"
+    tail = f"exp(-{q}) * CASE WHEN {y} <= {C.FAR} THEN {ratio(C.ERFC, y)} ELSE ({C.INVERSE_ROOT_PI!r} - {ratio(C.ERFC_FAR, f'(1 / {q})')} / {q}) / {y} END"
+    return f"CASE WHEN {y} <= {C.NEAR} THEN 1 - {x} * {ratio(C.ERF, q)} WHEN {x} < 0 THEN 2 - {tail} ELSE {tail} END"
+
+
+PARTS["chance"] = (
+    f"""SELECT {SERIES}, h horizon_days, 1 - product(1 - least(greatest(0.5 * {_erfc("z")}, 0), 1)) prob
+    FROM (SELECT *, (90 - p50) / greatest(greatest(p90 - p50, 0.5) / 1.2815515655446004, 0.25) / sqrt(2) z FROM naive) JOIN (SELECT unnest([30, 90, 180, 365]) h) ON horizon_day <= h GROUP BY ALL""",
+    ("naive",),
+)
+PARTS["sure"] = (f"SELECT {SERIES}, wape, mae, pinball, calibration, {{}} sure FROM (SELECT DISTINCT {SERIES} FROM grid) LEFT JOIN backtest USING ({SERIES})", ("grid", "backtest"))
+PARTS["probs"] = (f"SELECT *, prob * 100 raw, least(greatest(prob * (0.5 + 0.5 * sure / 100), 0), 1) * 100 adjusted FROM chance LEFT JOIN sure USING ({SERIES})", ("chance", "sure"))
+
+
 def _with(body: str, *needs: str) -> str:
     order: list[str] = []
 
@@ -256,6 +281,8 @@ _CLIP = lambda x: f"least(greatest({x}, 0), 100)"
 _RISKS = f"SELECT {SERIES}, point_count, {r('util_mean', 'util_std', 'p50', 'p95', 'p99', 'duty_cycle_80', 'duty_cycle_90', 'burstiness', 'volatility')}, cluster, overprovisioned FROM"
 _DAYS = ", ".join(f"days_to_{t}_{c}" for c in ("p50", "p90", "p95") for t in (80, 90, 95))
 _CONFIDENCE = "100 * (0.45 * coalesce(1 - least(greatest(wape, 0), 1.5) / 1.5, 0.5) + 0.25 * coalesce(1 - least(greatest(pinball, 0), 20) / 20, 0.5) + 0.30 * coalesce(1 - least(abs(calibration - 0.9), 0.5) / 0.5, 0.5))"
+PARTS["sure"] = (PARTS["sure"][0].format(_CONFIDENCE), PARTS["sure"][1])
+_WIDE = ", ".join(f"max(CASE WHEN horizon_days = {h} THEN adjusted END) p{h}" for h in (30, 90, 180, 365))
 _BUCKET = "CASE WHEN basis <= 30 THEN 'critical_now' WHEN basis <= 90 THEN 'critical_soon' WHEN basis <= 180 THEN 'risk_6m' WHEN basis <= 365 THEN 'risk_12m' ELSE 'stable' END"
 _TOP = "SELECT metric, hostid, host, status, basis days_to_90_basis FROM actions ORDER BY list_position(['critical', 'watch', 'stable', 'overprovisioned'], status), coalesce(basis, 1000000000), metric, host, hostid LIMIT 12"
 _LINEAR = "SELECT metric, hostid, host, as_value, env_value, env_group, regr_slope(y, d) s, regr_intercept(y, d) c, max(d) l FROM (SELECT *, CAST(date - DATE '1970-01-01' AS DOUBLE) d FROM grid) GROUP BY ALL"
@@ -292,6 +319,10 @@ SQL: dict[str, tuple[str, tuple[str, ...]]] = {
         " UNION ALL ".join(f"SELECT '{level}' AS level, metric, {a} AS as_value, {e} AS env_group, strftime(clock, '%Y-%m-%d %H:%M:%S') clock, {_SUMMARY} FROM util_h GROUP BY metric, util_h.clock{more}" for level, a, e, more in (("all", "''", "''", ""), ("tag", "as_value", "''", ", util_h.as_value"), ("scope", "as_value", "env_group", ", util_h.as_value, util_h.env_group"))),
         ("util_h",),
     ),
+    "scope_trend_summaries": (
+        " UNION ALL ".join(f"SELECT '{level}' AS level, metric, {a} AS as_value, {e} AS env_group, strftime(clock, '%Y-%m-%d %H:%M:%S') clock, {_TREND} FROM util_t GROUP BY metric, util_t.clock{more}" for level, a, e, more in (("all", "''", "''", ""), ("tag", "as_value", "''", ", util_t.as_value"), ("scope", "as_value", "env_group", ", util_t.as_value, util_t.env_group"))),
+        ("util_t",),
+    ),
     "tag_breakdown": (f"SELECT metric, as_value AS series, {ts('clock')}, round(avg(v), 6) util_mean FROM util_h GROUP BY metric, as_value, util_h.clock", ("util_h",)),
     "daily_p95": (f"SELECT {SERIES}, CAST(CAST(clock AS DATE) AS VARCHAR) date, round({_CLIP('quantile_cont(v, 0.95)')}, 6) target_p95 FROM util_h GROUP BY {SERIES}, CAST(clock AS DATE)", ("util_h",)),
     "risk_metrics": (f"{_RISKS} risk_events", ("risk_events",)),
@@ -320,6 +351,26 @@ SQL: dict[str, tuple[str, tuple[str, ...]]] = {
     "seasonal_naive_backtest": (f"SELECT {SERIES}, 'seasonal_naive' model, round(wape, 6) wape, round(mae, 6) mae, round(pinball, 6) pinball_p90, round(calibration, 6) calibration_p90, coalesce(folds, 0) folds FROM (SELECT DISTINCT {SERIES} FROM grid) LEFT JOIN backtest USING ({SERIES})", ("grid", "backtest")),
     "days_to_threshold": (f"SELECT metric, hostid, env_value, env_group, {_DAYS}, " + ", ".join(day(f"date_90_{c}") for c in ("p50", "p90", "p95")) + " FROM crossing", ("crossing",)),
     "actions": (f"SELECT {SERIES}, cluster, overprovisioned, {r('p50', 'p95', 'p99', 'duty_cycle_80', 'duty_cycle_90', 'burstiness', 'volatility')}, {_DAYS}, risk_basis, basis days_to_90_basis, CAST(basis_date AS VARCHAR) crossing_date_90_basis, status, recommendation FROM actions", ("actions",)),
+    "risk_probabilities": (
+        f"""SELECT {SERIES}, horizon_days, CAST(90 AS DOUBLE) threshold, round(raw, 6) prob_cross_pct, round(adjusted, 6) prob_cross_adjusted_pct, round(sure, 6) confidence_index_pct, 'seasonal_naive' selected_model,
+        round(wape, 6) wape, round(mae, 6) mae, round(pinball, 6) pinball_p90, round(calibration, 6) calibration_p90, CASE WHEN sure >= 75 THEN 'high' WHEN sure < 50 THEN 'low' ELSE 'medium' END confidence_level FROM probs""",
+        ("probs",),
+    ),
+    "probability_wide": (f"SELECT {SERIES}, " + ", ".join(f"round(p{h}, 6) prob_cross_90_{h}d_pct" for h in (30, 90, 180, 365)) + f" FROM (SELECT {SERIES}, {_WIDE} FROM probs GROUP BY ALL)", ("probs",)),
+    "complete_actions": (
+        f"SELECT {SERIES}, cluster, overprovisioned, {r('p50', 'p95', 'p99', 'duty_cycle_80', 'duty_cycle_90', 'burstiness', 'volatility')}, {_DAYS}, risk_basis, basis days_to_90_basis, CAST(basis_date AS VARCHAR) crossing_date_90_basis, status, recommendation, round(c, 6) confidence_index_pct, "
+        + ", ".join(f"round(p{h}, 6) prob_cross_90_{h}d_pct" for h in (30, 90, 180, 365))
+        + f" FROM actions LEFT JOIN (SELECT {SERIES}, max(sure) c, {_WIDE} FROM probs GROUP BY ALL) USING ({SERIES})",
+        ("actions", "probs"),
+    ),
+    "scope_conclusion": (
+        f"""SELECT as_value, env_group, section_no, row_number() OVER (PARTITION BY as_value, env_group, section_no ORDER BY basis NULLS LAST, host, metric, hostid) line_no,
+        '- ' || host || ' [' || upper(metric) || ']: to 90% ~ ' || coalesce(basis || ' d', 'n/a') || ', P(<= ' || hd || ' d)=' || coalesce(printf('%.1f', adjusted) || '%', 'n/a') || ', confidence=' || coalesce(printf('%.1f', sure) || '%', 'n/a') || ', status=' || status || ', recommendation=' || recommendation AS line FROM (
+        SELECT a.*, list_position(['critical_now', 'critical_soon', 'risk_6m', 'risk_12m', 'stable', 'overprovisioned'], sect) section_no, CASE sect WHEN 'critical_now' THEN 30 WHEN 'critical_soon' THEN 90 WHEN 'risk_6m' THEN 180 ELSE 365 END hd
+        FROM (SELECT *, unnest(list_filter([{_BUCKET}, CASE WHEN status = 'overprovisioned' THEN 'overprovisioned' END], lambda x: x IS NOT NULL)) sect FROM actions) a) q
+        LEFT JOIN (SELECT {SERIES}, horizon_days hd, adjusted, sure FROM probs) USING ({SERIES}, hd)""",
+        ("actions", "probs"),
+    ),
     "confidence_index": (f"SELECT {SERIES}, round({_CONFIDENCE}, 6) confidence_index_pct, round(coalesce(wape, 10) + coalesce(pinball, 10) + coalesce(abs(calibration - 0.9), 1), 6) selection_score FROM (SELECT DISTINCT {SERIES} FROM grid) LEFT JOIN backtest USING ({SERIES})", ("grid", "backtest")),
     "horizon_buckets": ("SELECT as_value, env_group, count(*) total, " + ", ".join(f"count(*) FILTER ({_BUCKET} = '{b}') {b}" for b in ("critical_now", "critical_soon", "risk_6m", "risk_12m", "stable")) + ", count(*) FILTER (status = 'overprovisioned') overprovisioned FROM actions GROUP BY ALL", ("actions",)),
     "status_counts": ("SELECT as_value, env_group, status, count(*) n FROM actions GROUP BY ALL", ("actions",)),
@@ -355,10 +406,24 @@ SQL: dict[str, tuple[str, tuple[str, ...]]] = {
         ("resolved", "own", "found_paths"),
     ),
     "domain_services": (
-        """SELECT system, role, host_ref, unit, field, item_key, d AS domain, CASE d WHEN 'rosap.com' THEN 'rosap' WHEN 'dom.ru' THEN 'dom' ELSE '' END account FROM (
-        SELECT system, role, host_ref, value unit, detail field, item_key, CASE WHEN ends_with(lower(host_ref), 'rosap.com') THEN 'rosap.com' WHEN ends_with(lower(host_ref), 'dom.ru') THEN 'dom.ru' ELSE '' END d FROM resolved JOIN services_all USING (hostid))""",
+        """SELECT system, role, host_ref, unit, field, item_key, d AS domain, CASE d WHEN 'example.com' THEN 'first' WHEN 'example.org' THEN 'third' ELSE '' END account FROM (
+        SELECT system, role, host_ref, value unit, detail field, item_key, CASE WHEN ends_with(lower(host_ref), 'example.com') THEN 'example.com' WHEN ends_with(lower(host_ref), 'example.org') THEN 'example.org' ELSE '' END d FROM resolved JOIN services_all USING (hostid))""",
         ("resolved", "services_all"),
     ),
+    "domain_longest": (
+        """SELECT *, CASE d WHEN 'ops.example.com' THEN 'second' WHEN 'example.org' THEN 'third' ELSE '' END account FROM (
+        SELECT system, role, host_ref, CASE WHEN ends_with(lower(host_ref), '.ops.example.com') THEN 'ops.example.com' WHEN ends_with(lower(host_ref), '.example.org') THEN 'example.org' ELSE '' END d FROM resolved)""".replace("*, CASE d", "system, role, host_ref, d AS domain, CASE d"),
+        ("resolved",),
+    ),
+    "host_labels": (
+        """SELECT hostid, 'Web;t-base' templates, 'all;site ' || nk AS groups, array_to_string(list_sort(list_concat(list_transform(tags, lambda x: 'AS=' || x), ['ENV= ', 'ENV=' || CASE k % 4 WHEN 0 THEN 'prod' WHEN 1 THEN ' Prod ' ELSE 'dev' END])), ';') tags FROM hosts""",
+        ("hosts",),
+    ),
+    "scan_errors": (
+        """SELECT 'host' || s_suppkey host, 'report_host' || s_suppkey || '.txt' file, CASE WHEN s_suppkey % 11 = 3 THEN 'scan failed: exit code 255' WHEN s_suppkey % 5 = 0 THEN 'read error' WHEN s_suppkey % 5 = 1 THEN 'empty file' ELSE 'no unit found' END message
+        FROM supplier WHERE s_suppkey % 11 = 3 OR s_suppkey % 5 < 3""",
+        (),
+    ),
     "domain_paths": ("SELECT * FROM dom_paths", ("dom_paths",)),
     "domain_dirs": (f"SELECT DISTINCT domain, account, host_ref host, system, role, kind, {_PARENT} AS directory FROM dom_paths", ("dom_paths",)),
     "path_kinds": (f"SELECT path, {_ITEM_KIND} item_kind, {_FILE_KIND} file_kind, {_DUMP_KIND} dump_kind, CASE {_FILE_KIND} WHEN 'other' THEN 'other' ELSE replace({_FILE_KIND}, '_file', '_dir') END dir_kind, {_PARENT} parent FROM (SELECT DISTINCT path FROM found_paths)", ("found_paths",)),
@@ -372,23 +437,29 @@ SQL: dict[str, tuple[str, tuple[str, ...]]] = {
     "host_status": (_STATUSES, ("hosts",)),
     "unit_lists": (f"SELECT host_ref host, row_number() OVER (PARTITION BY host_ref ORDER BY unit) seq, unit FROM (SELECT DISTINCT host_ref, value unit FROM resolved JOIN services_all USING (hostid) WHERE coalesce(value, '') <> '' AND lower(host_ref) NOT IN ({_NHOSTS}))", ("resolved", "services_all", "hosts")),
     "text_units": (
-        """SELECT host, unit, status, main_pid FROM (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'app' || s_suppkey || '.dom.ru' ELSE 'host' || s_suppkey END host, unnest(['nginx.service', 'app.service']) unit, unnest(['Active: inactive', 'Active: failed']) status, unnest(['', 'Main PID: ' || s_suppkey || ' (app)']) main_pid FROM supplier)""",
+        """SELECT host, unit, status, main_pid FROM (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'app' || s_suppkey || '.ops.example.com' ELSE 'host' || s_suppkey END host, unnest(['nginx.service', 'app.service']) unit, unnest(['Active: inactive', 'Active: failed']) status, unnest(['', 'Main PID: ' || s_suppkey || ' (app)']) main_pid FROM supplier)""",
         (),
     ),
     "text_paths": (
-        """SELECT host, u unit, kd kind, p path FROM (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'app' || s_suppkey || '.dom.ru' ELSE 'host' || s_suppkey END host,
+        """SELECT host, u unit, kd kind, p path FROM (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'app' || s_suppkey || '.ops.example.com' ELSE 'host' || s_suppkey END host,
         unnest(['nginx.service', 'nginx.service', 'nginx.service', 'nginx.service', 'nginx.service', 'nginx.service', 'nginx.service', 'nginx.service', 'app.service', 'app.service', 'app.service']) u,
         unnest(['exec', 'other', 'exec', 'config', 'unit_fragment', 'other', 'env_file', 'config', 'log', 'certificate', 'binary']) kd0,
         unnest(['exec', 'binary', 'exec', 'config', 'unit_fragment', 'other', 'env_file', 'config', 'log', 'certificate', 'binary']) kd,
-        unnest(['/usr/sbin/nginx', '/usr/sbin/nginx', '/etc/nginx/nginx.conf', '/etc/nginx/nginx.conf', '/usr/lib/systemd/system/nginx.service', '/usr/lib/systemd/system/nginx.service', '/etc/sysconfig/nginx', '/etc/sysconfig/nginx', '/var/log/app' || s_suppkey || '/access.log', '/etc/ssl/certs/site.crt', '/opt/cache/x']) p FROM supplier)""",
+        unnest(['/usr/sbin/nginx', '/usr/sbin/nginx', '/etc/nginx/my site.conf', '/etc/nginx/my site.conf', '/usr/lib/systemd/system/nginx.service', '/usr/lib/systemd/system/nginx.service', '/etc/sysconfig/nginx', '/etc/sysconfig/nginx', '/var/log/app' || s_suppkey || '/access.log', '/etc/ssl/certs/site.crt', '/opt/cache/x']) p FROM supplier)""",
         (),
     ),
     "text_dirs": (
-        """SELECT host, kd kind, p AS directory FROM (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'app' || s_suppkey || '.dom.ru' ELSE 'host' || s_suppkey END host, unnest(['app_dir', 'app_dir', 'config_dir', 'config_dir', 'log_dir', 'certificate_dir']) kd,
+        """SELECT host, kd kind, p AS directory FROM (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'app' || s_suppkey || '.ops.example.com' ELSE 'host' || s_suppkey END host, unnest(['app_dir', 'app_dir', 'config_dir', 'config_dir', 'log_dir', 'certificate_dir']) kd,
         unnest(['/usr/sbin', '/etc/nginx', '/etc/nginx', '/etc/sysconfig', '/var/log/app' || s_suppkey, '/etc/ssl/certs']) p FROM supplier)""",
         (),
     ),
-    "ingest_stream": ("SELECT metric, hostid, count(*) n, count(DISTINCT clock) AS hours FROM (SELECT DISTINCT itemid, clock FROM trend) JOIN selected USING (itemid) WHERE source = 'target' GROUP BY metric, hostid", ("trend", "selected")),
+    "ingest_stream": (
+        f"""SELECT * FROM (WITH points AS (SELECT itemid, clock, max(struct_pack(num := num, lo := value_min, av := value_avg)).av a FROM trend GROUP BY itemid, clock),
+        rows AS (SELECT metric, hostid, clock, {_CLIP("CASE WHEN transform = 'invert_100' THEN 100 - a ELSE a END")} v FROM points JOIN selected USING (itemid) WHERE source = 'target')
+        SELECT metric, hostid, n, hours, days, p95_mean FROM (SELECT metric, hostid, count(*) n, count(DISTINCT clock) AS hours FROM rows GROUP BY ALL)
+        JOIN (SELECT metric, hostid, count(*) AS days, round(avg(p), 6) p95_mean FROM (SELECT metric, hostid, CAST(clock AS DATE) d, quantile_cont(v, 0.95) p FROM rows GROUP BY ALL) GROUP BY ALL) USING (metric, hostid))""",
+        ("trend", "selected"),
+    ),
 }
 _COUNTED = {"cpu_target_items": ("cpu", "target"), "ram_target_items": ("ram", "target"), "disk_target_items": ("disk", "target"), "ram_feature_items": ("ram", "feature"), "disk_feature_items": ("disk", "feature")}
 SQL["conclusion"] = (
@@ -405,5 +476,31 @@ for _name, _q in {"inv_services": "services", "inv_filesystems": "filesystems",
     SQL[_name] = (f"SELECT * EXCLUDE (section) FROM ({SECTION_SQL[_q]})", ("own",))
 
 
+_SECTION_ROWS = " UNION ALL ".join(f"SELECT * FROM ({q})" for q in SECTION_SQL.values()) + " UNION ALL SELECT hostid, 'paths_found_in_items' AS section, path AS value, kind AS detail, item_name, item_key, lastvalue, units, lastclock FROM found_paths"
+SQL["inv_in_order"] = (
+    f"""SELECT hostid, section, row_number() OVER (PARTITION BY hostid, section ORDER BY coalesce(a, 'None'), coalesce(b, 'None'), item_key, item_name, lastvalue, coalesce(value, ''), coalesce(detail, '')) seq, value, detail, item_name, item_key FROM (
+    SELECT *, CASE WHEN section = 'raw_service_related_items' THEN item_name ELSE value END a, CASE WHEN section IN ('filesystems', 'block_devices') THEN detail ELSE item_key END b FROM ({_SECTION_ROWS}))""",
+    ("own", "found_paths"),
+)
+_TABLES = {"selected_items": "selected", "host_risk_metrics": "risk", "actionable": "actions"}
+SQL["run_context"] = (" UNION ALL ".join(f"""SELECT '{{"horizons": [30, 90, 180, 365], "threshold": 90.0}}' parameters, '{n}' AS name, count(*) n FROM {t}""" for n, t in _TABLES.items()), tuple(_TABLES.values()))
+SQL["report_bundle"] = (" UNION ALL ".join(f"SELECT '{n}' AS name, count(*) n, {k} AS columns FROM {t}" for (n, t), k in zip(_TABLES.items(), (13, 18, 29))), tuple(_TABLES.values()))
+SQL["by_scope"] = (" UNION ALL ".join(f"SELECT '{n}' AS name, as_value as_slug, env_group, count(*) n FROM {t} GROUP BY ALL" for n, t in _TABLES.items()), tuple(_TABLES.values()))
+_SCOPED = "as_value, env_group"
+SQL["scope_facts"] = (
+    f"SELECT {_SCOPED}, 'run' AS section, 'matched_hosts' AS key, CAST(count(DISTINCT hostid) AS VARCHAR) AS value FROM util_h GROUP BY {_SCOPED}"
+    + "".join(f" UNION ALL SELECT {_SCOPED}, 'selection', '{k}', CAST(count(*) FILTER (metric = '{m}' AND source = '{x}') AS VARCHAR) FROM selected GROUP BY {_SCOPED}" for k, (m, x) in _COUNTED.items())
+    + f" UNION ALL SELECT {_SCOPED}, 'selection', 'feature_items_total', CAST(count(*) FILTER (source = 'feature') AS VARCHAR) FROM selected GROUP BY {_SCOPED}"
+    + f""" UNION ALL SELECT {_SCOPED}, metric, unnest(['latest_history_mean_pct', 'latest_history_p90_pct', 'status']), unnest([printf('%.2f', m), printf('%.2f', p), CASE WHEN p >= 90 THEN 'critical' WHEN m >= 80 THEN 'high' ELSE 'normal' END]) FROM (
+      SELECT {_SCOPED}, metric, avg(v) m, quantile_cont(v, 0.9) p, row_number() OVER (PARTITION BY metric, {_SCOPED} ORDER BY clock DESC) n FROM util_h GROUP BY {_SCOPED}, metric, clock) WHERE n = 1
+    UNION ALL SELECT {_SCOPED}, metric, unnest(['trend_recent_7d_mean_pct', 'trend_prev_7d_mean_pct', 'trend_delta_pp', 'trend_state']), unnest([printf('%.2f', a), printf('%.2f', b), printf('%.2f', a - b), CASE WHEN a - b > 1 THEN 'up' WHEN a - b < -1 THEN 'down' ELSE 'flat' END]) FROM (
+      SELECT {_SCOPED}, metric, count(*) n, avg(m) FILTER (i <= 7) a, avg(m) FILTER (i > 7) b FROM (SELECT *, row_number() OVER (PARTITION BY metric, {_SCOPED} ORDER BY d DESC) i FROM (
+        SELECT {_SCOPED}, metric, CAST(clock AS DATE) d, avg(m) m FROM (SELECT {_SCOPED}, metric, clock, avg(av) m FROM util_t GROUP BY ALL) GROUP BY ALL)) WHERE i <= 14 GROUP BY {_SCOPED}, metric) WHERE n = 14
+    UNION ALL SELECT {_SCOPED}, 'risk', 'cluster_' || cluster, CAST(count(*) AS VARCHAR) FROM risk GROUP BY {_SCOPED}, cluster UNION ALL SELECT {_SCOPED}, 'risk', 'overprovisioned_hosts', CAST(count(*) FILTER (overprovisioned) AS VARCHAR) FROM risk GROUP BY {_SCOPED}
+    UNION ALL SELECT {_SCOPED}, 'actionable', 'status_' || status, CAST(count(*) AS VARCHAR) FROM actions GROUP BY {_SCOPED}, status UNION ALL SELECT {_SCOPED}, 'forecast', 'model_seasonal_naive', CAST(count(DISTINCT hostid) AS VARCHAR) FROM grid GROUP BY {_SCOPED}""",
+    ("util_h", "util_t", "selected", "risk", "actions", "grid"),
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with(body, *needs) for name, (body, needs) in SQL.items()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +28,11 @@ from ..operators import summaries as Y
 from ..operators import utilization as Z
 from ..schemas import SERIES, Params
 from ..sources import adapters as X
+from ..sources import sinks as W
 from ..streaming import ingest as G
 
 Query = Callable[[SparkSession, str], DataFrame]
 PARAMS = Params()
-SHORT = Params(horizons=(30, 90, 180, 365))
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -49,6 +50,12 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def _folder(s: SparkSession, name: str) -> str:
+    """A new folder that the driver and all executors see. Only a local session without one gets a temporary folder."""
+    shared = s.conf.get("spark.checkpoint.dir", None) or (s.conf.get("spark.sql.warehouse.dir") if not s.sparkContext.master.startswith("local[") else tempfile.mkdtemp(prefix="headroom-"))
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _daily(s: SparkSession, d: str) -> DataFrame:
     return K.daily_p95(X.load(s, d))
 
@@ -77,8 +84,12 @@ def _probabilities(s: SparkSession, d: str) -> DataFrame:
     return A.risk_probabilities(_naive(s, d), _naive_selection(s, d))
 
 
-def _models(s: SparkSession, d: str) -> DataFrame:
-    return M.forecast_series(_daily(s, d))
+def _backtest(s: SparkSession, d: str) -> DataFrame:
+    return M.model_backtest(_grid(s, d))
+
+
+def _selection(s: SparkSession, d: str) -> DataFrame:
+    return M.model_selection(_backtest(s, d), _grid(s, d))
 
 
 def _targets(s: SparkSession, d: str) -> DataFrame:
@@ -141,7 +152,7 @@ def _section(name: str) -> Query:
 
 
 def _paths(s: SparkSession, d: str) -> DataFrame:
-    rows = I.section(_extracted(s, d), "paths_found_in_items").select("hostid", F.col("value").alias("path"), F.col("detail").alias("kind"), "item_key")
+    rows = I.found_paths(_extracted(s, d)).drop("excerpt")
     return _resolved(s, d).filter("hostid is not null").select("system", "role", "host_ref", "hostid").join(rows, "hostid").drop("hostid")
 
 
@@ -211,16 +222,60 @@ def _conclusion(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _scope_facts(s: SparkSession, d: str) -> DataFrame:
+    """The facts of each scope."""
+    by = R.SCOPE
+    history, trend = X.util_history(s, d), X.util_trend(s, d)
+    own = lambda rows: rows.filter("level = 'scope'")
+    delta = Y.week_delta(Y.daily_means(own(Y.scope_trend_summaries(trend)), by=by), by)
+    return R.conclusion(Y.host_count(history, trend, by), S.selected_counts(X.selected(s, d), by), Y.latest_status(own(Y.scope_summaries(history)), by), delta, _risk(s, d), _actions(s, d), _naive_selection(s, d), by)
+
+
+def _report_tables(s: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {"selected_items": X.selected(s, d), "host_risk_metrics": _risk(s, d), "actionable": _actions(s, d)}
+
+
+def _bundle(s: SparkSession, d: str) -> DataFrame:
+    """A report bundle written and read back: rows and columns of its tables."""
+    path = _folder(s, "report")
+    tables = _report_tables(s, d)
+    W.write_bundle(tables, path)
+    back = W.read_bundle(s, path, *tables)
+    return W.row_counts(back).withColumn("columns", F.element_at(F.create_map(*[F.lit(x) for n, t in back.items() for x in (n, len(t.columns))]), F.col("name")))
+
+
+def _run_context(s: SparkSession, d: str) -> DataFrame:
+    """Parameters and row counts of a run, one row a table."""
+    counts = {r["name"]: r["n"] for r in W.row_counts(_report_tables(s, d)).collect()}  # one row a table
+    row = W.run_context(s, {"horizons": PARAMS.horizons, "threshold": PARAMS.threshold}, counts)
+    return row.select("parameters", F.explode("row_counts").alias("name", "n"))
+
+
+def _by_scope(s: SparkSession, d: str) -> DataFrame:
+    """Tables written by scope folders and read back: rows of each folder."""
+    path = _folder(s, "by-scope")
+    tables = _report_tables(s, d)
+    scopes = R.scope_list(*tables.values())
+    out = []
+    for name, table in tables.items():
+        W.write_by_scope(R.scope_of(table).join(scopes, list(R.SCOPE)), f"{path}/{name}")
+        out.append(s.read.parquet(f"{path}/{name}").groupBy("as_slug", "env_group").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), F.col("as_slug").cast("string").alias("as_slug"), "env_group", "n"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def _ingest(s: SparkSession, d: str) -> DataFrame:
     """The stream over files of raw points, then what its sink holds. The points come twice, as after a re-delivery."""
-    shared = s.conf.get("spark.checkpoint.dir", None) or (s.conf.get("spark.sql.warehouse.dir") if not s.sparkContext.master.startswith("local[") else tempfile.mkdtemp(prefix="headroom-"))
-    root = f"{shared.rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    root = _folder(s, "ingest")
     raw = X.trend_raw(s, d)
     raw.union(raw).write.parquet(f"{root}/raw")
     # the selection is a table of its own, as in production: no batch computes it again
     X.selected(s, d).write.parquet(f"{root}/selected")
-    G.ingest(s, f"{root}/raw", s.read.parquet(f"{root}/selected"), f"{root}/out", f"{root}/state").awaitTermination()
-    return s.read.parquet(f"{root}/out/util_trend").groupBy("metric", "hostid").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("clock").alias("hours"))
+    # at any size a few batches, whose points are of all years
+    files = max(1, -(-len(s.read.parquet(f"{root}/raw").inputFiles()) // 3))
+    G.ingest(s, f"{root}/raw", s.read.parquet(f"{root}/selected"), f"{root}/out", f"{root}/state", files).awaitTermination()
+    points = s.read.parquet(f"{root}/out/util_trend").groupBy("metric", "hostid").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("clock").alias("hours"))
+    days = G.daily(s, f"{root}/out").groupBy("metric", "hostid").agg(F.count(F.lit(1)).alias("days"), F.avg("target_p95").alias("p95_mean"))
+    return points.join(days, ["metric", "hostid"])
 
 
 def _normalize(s: SparkSession, d: str) -> DataFrame:
@@ -271,6 +326,7 @@ QUERIES: dict[str, Query] = {
     "trend_summary_all": lambda s, d: Y.summarize_trend(X.util_trend(s, d)),
     "trend_summary_by_tag": lambda s, d: Y.summarize_trend(X.util_trend(s, d), ("as_value",)),
     "scope_summaries": lambda s, d: Y.scope_summaries(X.util_history(s, d)),
+    "scope_trend_summaries": lambda s, d: Y.scope_trend_summaries(X.util_trend(s, d)),
     "tag_breakdown": lambda s, d: Y.tag_breakdown(Y.summarize_history(X.util_history(s, d), ("as_value",))),
     "daily_p95": lambda s, d: K.daily_p95(X.util_history(s, d)),
     "risk_metrics": lambda s, d: K.risk_metrics(X.util_history(s, d)),
@@ -285,9 +341,9 @@ QUERIES: dict[str, Query] = {
     "lag_features": _features,
     "seasonal_naive_forecast": _naive,
     "seasonal_naive_backtest": lambda s, d: N.seasonal_naive_backtest(_grid(s, d)),
-    "model_backtest": lambda s, d: M.model_backtest(_models(s, d)),
-    "model_selection": lambda s, d: M.model_selection(_models(s, d)),
-    "forecast_daily": lambda s, d: M.forecast_daily(_models(s, d)),
+    "model_backtest": _backtest,
+    "model_selection": _selection,
+    "forecast_daily": lambda s, d: M.forecast_daily(_grid(s, d), _selection(s, d)),
     "days_to_threshold": lambda s, d: A.crossings(_naive(s, d)),
     "actions": _actions,
     "risk_probabilities": lambda s, d: R.with_confidence_level(_probabilities(s, d)),
@@ -302,6 +358,10 @@ QUERIES: dict[str, Query] = {
     "scope_list": _scope_slugs,
     "scope_conclusion": lambda s, d: R.conclusion_lines(_actions(s, d), _probabilities(s, d)),
     "conclusion": _conclusion,
+    "scope_facts": _scope_facts,
+    "report_bundle": _bundle,
+    "run_context": _run_context,
+    "by_scope": _by_scope,
     "forecast_item_specs": _specs,
     "trigger_specs": lambda s, d: _triggers(s, d).withColumn("tags", F.array_join(V.sorted_tags(F.col("tags")), ";")),
     "item_diff": _item_diff,
@@ -316,12 +376,16 @@ QUERIES: dict[str, Query] = {
     "inv_devices": _section("block_devices"),
     "inv_interfaces": _section("network_interfaces"),
     "inv_ssl": _section("ssl_targets"),
-    "inv_paths": lambda s, d: _section("paths_found_in_items")(s, d).select("hostid", F.col("value").alias("path"), F.col("detail").alias("kind"), "item_key", F.substring("lastvalue", 1, 300).alias("excerpt")),
+    "inv_paths": lambda s, d: I.found_paths(_extracted(s, d)),
     "inv_raw": _section("raw_service_related_items"),
+    "inv_in_order": lambda s, d: I.in_order(_extracted(s, d)).select("hostid", "section", "seq", "value", "detail", "item_name", "item_key"),
+    "host_labels": lambda s, d: I.host_labels(X.hosts(s, d)).select("hostid", *[F.array_join(c, ";").alias(c) for c in ("templates", "groups", "tags")]),
+    "scan_errors": lambda s, d: U.errors(X.captures(s, d)),
     "inv_summary": lambda s, d: I.host_summary(_resolved(s, d), _own_items(s, d), _extracted(s, d)),
-    "domain_services": lambda s, d: D.with_domain(_services(s, d)),
-    "domain_paths": lambda s, d: D.domain_paths(_paths(s, d)),
-    "domain_dirs": lambda s, d: D.domain_dirs(D.domain_paths(_paths(s, d))),
+    "domain_services": lambda s, d: D.with_domain(_services(s, d), X.ACCOUNTS),
+    "domain_longest": lambda s, d: D.with_domain(_resolved(s, d).select("system", "role", "host_ref"), X.ACCOUNTS, longest=True),
+    "domain_paths": lambda s, d: D.domain_paths(_paths(s, d), X.ACCOUNTS),
+    "domain_dirs": lambda s, d: D.domain_dirs(D.domain_paths(_paths(s, d), X.ACCOUNTS)),
     "path_kinds": _path_kinds,
     "page_paths": _page_paths,
     "derived_paths": lambda s, d: D.derived_paths(_known_paths(s, d), _units(s, d)),

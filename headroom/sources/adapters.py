@@ -18,13 +18,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def hosts(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "supplier").selectExpr(
         "cast(s_suppkey as string) hostid",
-        "concat(replace(lower(s_name), '#', '-'), case s_suppkey % 3 when 0 then '.dom.ru' when 1 then '.rosap.com' else '' end) host",
+        "concat(replace(lower(s_name), '#', '-'), case s_suppkey % 3 when 0 then '.ops.example.com' when 1 then '.example.org' else '' end) host",
         "s_name name",
         "case when s_suppkey % 11 = 5 then '1' else '0' end status",
         """concat(case when s_suppkey % 5 = 0 then cast(array() as array<struct<tag: string, value: string>>)
                        when s_suppkey % 7 = 0 then array(struct('AS' tag, 'AS-9' value), struct('AS' tag, concat('AS-', s_nationkey % 4) value))
                        else array(struct('AS' tag, concat('AS-', s_nationkey % 4) value)) end,
                   array(struct('ENV' tag, ' ' value), struct('ENV' tag, case s_suppkey % 4 when 0 then 'prod' when 1 then ' Prod ' else 'dev' end value))) tags""",
+        "array(struct('t-web' host, 'Web' name), struct('t-base' host, '' name), struct('' host, cast(null as string) name)) templates",
+        "array(struct(concat('site ', s_nationkey) name), struct('' name), struct('all' name)) groups",
     )
 
 
@@ -78,6 +80,20 @@ def items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+#: Accounts by domain suffix of the hosts above.
+ACCOUNTS = {"example.com": "first", "ops.example.com": "second", "example.org": "third"}
+
+
+def captures(spark: SparkSession, d: str) -> DataFrame:
+    """Outputs of a scan of every host: some failed, unreadable, empty or without a unit."""
+    return read(spark, d, "supplier").selectExpr(
+        "cast(null as string) host",
+        "concat('report_host', s_suppkey, '.txt') file",
+        "case when s_suppkey % 11 = 3 then 255 else 0 end exit_code",
+        "case s_suppkey % 5 when 0 then null when 1 then ' ' when 2 then concat('line ', s_suppkey) else '--- a.service ---\n/opt/x' end text",
+    )
+
+
 def trend_raw(spark: SparkSession, d: str) -> DataFrame:
     """Raw records as text, with bad and missing values among them."""
     return read(spark, d, "lineitem").selectExpr(
@@ -103,8 +119,8 @@ def selected(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
 
 
 def util_history(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "events").filter("event_type in ('click', 'view', 'purchase')")
-    return rows.selectExpr(
+    """Every event as a point: clicks of CPUs, views of memory, all others of disks."""
+    return read(spark, d, "events").selectExpr(
         "case event_type when 'click' then 'cpu' when 'view' then 'ram' else 'disk' end metric",
         "date_trunc('hour', cast(ts as timestamp)) clock",
         "cast(user_id as string) hostid",
@@ -123,24 +139,20 @@ def util_trend(spark: SparkSession, d: str) -> DataFrame:
     return util_history(spark, d).groupBy(*keys).agg(F.count(v).cast("int").alias("num"), F.min(v).alias("util_min"), F.avg(v).alias("util_avg"), F.max(v).alias("util_max"))
 
 
-def _load(spark: SparkSession, d: str) -> DataFrame:
-    """Line quantities of a year as utilization points of four hosts."""
-    return read(spark, d, "lineitem").filter("l_shipdate >= timestamp_ntz'2000-07-01 00:00:00' and l_shipdate < timestamp_ntz'2001-07-01 00:00:00'").selectExpr(
+def load(spark: SparkSession, d: str) -> DataFrame:
+    """Line quantities as utilization points, a host for each supplier."""
+    return read(spark, d, "lineitem").selectExpr(
         "'cpu' metric",
-        "cast(l_suppkey % 4 as string) hostid",
-        "concat('host-', l_suppkey % 4) host",
+        "cast(l_suppkey as string) hostid",
+        "concat('host-', l_suppkey) host",
         "concat('AS-', l_suppkey % 2) as_value",
         "case when l_suppkey % 4 = 0 then 'prod' else 'dev' end env_value",
         "case when l_suppkey % 4 = 0 then 'prod' else 'non-prod' end env_group",
         "cast(l_shipdate as timestamp) clock",
-        "l_quantity * 2 utilization_pct",
+        "l_quantity * (1 + l_suppkey % 3 / 2D) utilization_pct",
     )
 
 
-def load(spark: SparkSession, d: str) -> DataFrame:
-    return _load(spark, d)
-
-
 def inventory_refs(spark: SparkSession, d: str) -> DataFrame:
     """Host tree: nation to role to host names, some visible names, and one unknown host a nation."""
     rows = hosts(spark, d).join(read(spark, d, "supplier").selectExpr("cast(s_suppkey as string) hostid", "s_nationkey", "s_suppkey"), "hostid").join(read(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
@@ -157,10 +169,10 @@ def tree(spark: SparkSession, d: str) -> DataFrame:
 def dumps(spark: SparkSession, d: str) -> DataFrame:
     """One command dump a host, as lines."""
     lines = [
-        "concat('==== app', s_suppkey, '.dom.ru ====')",
+        "concat('==== app', s_suppkey, '.ops.example.com ====')",
         "'/before/any/unit'",
         "'--- nginx.service ---'",
-        "'ExecStart=/usr/sbin/nginx -c \"/etc/nginx/nginx.conf\"'",
+        "'ExecStart=/usr/sbin/nginx -c \"/etc/nginx/my site.conf\"'",
         "'FragmentPath=/usr/lib/systemd/system/nginx.service'",
         "'EnvironmentFile=/etc/sysconfig/nginx //no'",
         "'   Active: inactive'",

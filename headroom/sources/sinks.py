@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
-    """A whole table; mode append adds a chunk."""
+def write(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet", order: tuple[str, ...] = ()) -> None:
+    """A whole table; mode append adds a chunk. order: the files, one after the other, are sorted by these columns."""
+    df = df.orderBy(*order) if order else df
     writer = df.write.mode(mode).option("maxRecordsPerFile", 5_000_000)
     (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(path)
 
@@ -28,6 +29,11 @@ def write_bundle(tables: dict[str, DataFrame], path: str) -> None:
         write(df, f"{path}/{name}")
 
 
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(name, n): rows of each table."""
+    return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in tables.items()])
+
+
 def read_bundle(spark: SparkSession, path: str, *names: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{path}/{n}") for n in names}
 

@@ -86,6 +86,12 @@ def dump_lines(spark: SparkSession, path: str) -> DataFrame:
     return text.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
 
 
+def captures(spark: SparkSession, path: str) -> DataFrame:
+    """(host, file, exit_code, text) of all text files of a folder; bytes that aren't UTF-8 are replaced, never fatal. Spark's readers skip files without a byte."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    return files.select(F.lit(None).cast("string").alias("host"), F.element_at(F.split("path", "/"), -1).alias("file"), F.lit(0).alias("exit_code"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
+
+
 def existing_triggers(triggers: DataFrame, hosts: DataFrame) -> DataFrame:
     """Triggers made for forecasts, of the given hosts."""
     own = triggers.filter(F.col("description").contains("[NativeForecast]"))

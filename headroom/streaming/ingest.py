@@ -2,8 +2,9 @@
 
 A file stream is normalised, freed of the points that the sink already holds, joined with the static
 selection and appended to the utilization and feature tables batch by batch. No point is too late:
-old ones may come in any batch. The exact daily percentile can't be kept as cheap streaming state; each batch recomputes the months that it touched
-and overwrites these partitions only.
+old ones may come in any batch. The exact daily percentile can't be kept as cheap streaming state: each
+batch recomputes the days that it touched and appends them as a newer version; daily() reads the last
+version of each day.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ def new_points(batch: DataFrame, number: int, tables: Tables) -> DataFrame:
 
 
 def append_batch(selected: DataFrame, tables: Tables):
-    """Function of a batch: append all tables, then refresh the daily targets of its months."""
+    """Function of a batch: append all tables, then refresh the daily targets of its days."""
 
     def run(batch: DataFrame, number: int) -> None:
         batch = new_points(batch, number, tables).persist()
@@ -65,19 +66,28 @@ def append_batch(selected: DataFrame, tables: Tables):
                 # one writer a month, so that a month gets one file a batch
                 dealt = rows.withColumns({"month": month, "batch": F.lit(number)}).repartition("month")
                 dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", "batch").parquet(getattr(tables, name))
-            refresh_daily(batch.sparkSession, batch.select(month.alias("month")).distinct(), tables)
+            days = batch.select(F.to_date("clock").alias("date"), month.alias("month")).distinct()
+            refresh_daily(batch.sparkSession, days, number, tables)
         finally:
             batch.unpersist()
 
     return run
 
 
-def refresh_daily(spark: SparkSession, months: DataFrame, tables: Tables) -> None:
-    """Recompute the daily p95 of these months from the utilization table."""
-    history = spark.read.parquet(tables.util_history)
-    touched = history.join(F.broadcast(months), "month", "left_semi")  # one row a month
-    daily = risk.daily_p95(touched).withColumn("month", F.date_format("date", "yyyy-MM")).repartition("month")
-    daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(tables.daily_p95)
+def refresh_daily(spark: SparkSession, days: DataFrame, number: int, tables: Tables) -> None:
+    """Append the daily p95 of these days (date, month), recomputed from the utilization table, as version `number`."""
+    months = F.broadcast(days.select("month").distinct())  # one row a month
+    history = spark.read.parquet(tables.util_history).join(months, "month", "left_semi").withColumn("date", F.to_date("clock"))
+    touched = history.join(F.broadcast(days.select("date")), "date", "left_semi").drop("date")  # one row a day
+    daily = risk.daily_p95(touched).withColumns({"month": F.date_format("date", "yyyy-MM"), "batch": F.lit(number)}).repartition("month")
+    daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", "batch").parquet(tables.daily_p95)
+
+
+def daily(spark: SparkSession, root: str) -> DataFrame:
+    """The last version of each series and day, schema DAILY."""
+    keys = [c for c in S.DAILY if c != "target_p95"]
+    rows = spark.read.parquet(Tables(root).daily_p95)
+    return rows.groupBy(*keys).agg(F.max_by("target_p95", "batch").alias("target_p95")).select(*S.DAILY)
 
 
 def ingest(spark: SparkSession, path: str, selected: DataFrame, root: str, checkpoint: str, files_a_batch: int = 100) -> StreamingQuery:

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +97,8 @@ def test_unit_properties(spark):
     assert one(spark, P.properties(lines)) == {"A": "2", "B": "x=y"}
     assert one(spark, P.first_absolute(F.lit("{ path=/x ; /usr/bin/a -b }"))) == "/usr/bin/a"
     assert one(spark, P.line_paths(F.lit(' ExecStart=/usr/sbin/n -c "/etc/n.conf" //no'))) == ["/usr/sbin/n", "/etc/n.conf"]
+    assert one(spark, P.line_paths(F.lit("""ExecStart=/bin/a "/opt/my app/x" '/q r' /e\\ f //no "/g\\"h\""""))) == ["/bin/a", "/opt/my app/x", "/q r", "/e f", '/g"h']
+    assert one(spark, P.line_paths(F.lit('ExecStart=/bin/a "/open /b'))) == ["/bin/a", "/b"]
     assert one(spark, P.line_paths(F.lit("text /x"))) == []
     assert one(spark, P.host_of_file(F.lit("/d/manual_inventory_h1.txt"))) == "h1"
 
@@ -114,3 +118,8 @@ def test_names_sorted(spark):
     from headroom.operators.inventory import names_sorted
 
     assert one(spark, names_sorted(F.array(F.lit("b"), F.lit(""), F.lit(None), F.lit("a")))) == ["a", "b"]
+
+
+@pytest.mark.parametrize("x", [-9.0, -3.0, -0.4, 0.0, 0.3, 0.5, 1.0, 3.9, 4.1, 9.0, 20.0])
+def test_erfc(spark, x):
+    assert one(spark, C.erfc(F.col("x")), x=x) == pytest.approx(math.erfc(x), rel=1e-12)

@@ -92,33 +92,74 @@ SERIES = {
 }
 
 
-def test_models_against_the_column_version(spark):
-    df = daily(spark, SERIES)
-    grid = forecast_native.daily_grid(df)
+def naive(y, h):
+    """Plain seasonal-naive fit: the last week again, and residual quantiles."""
+    r = np.abs(y[7:] - y[:-7]) if len(y) >= 7 else np.abs(y - y[-1])
+    q90, q95 = np.quantile(r, [0.9, 0.95]) if len(r) else (0.0, 0.0)
+    return np.resize(y[-7:], h) if len(y) >= 7 else np.full(h, y[-1]), q90, q95
+
+
+def brute_backtest(y, model, start, h=30, folds=3, least=90):
+    """Mean errors by loops over folds and days."""
+    rows = []
+    for k in range(1, folds + 1):
+        split = len(y) - k * h
+        if len(y) < least + h or split < least:
+            continue
+        own = y[:split]
+        short = model == "seasonal_naive" or model == "gbdt_lag" and len(own) < series_models.LEAST_DAYS
+        p50, q90, _ = naive(own, h) if short else series_models.FIT[model](own, start, h)
+        e = m = pin = cal = 0.0
+        for v, f in zip(y[split : split + h], p50):
+            p90 = min(max(f + q90, 0), 100)
+            e, m = e + abs(v - f), m + abs(v)
+            pin += 0.9 * (v - p90) if v >= p90 else -0.1 * (v - p90)
+            cal += v <= p90
+        rows.append((e / m if m > 1e-9 else e / h, e / h, pin / h, cal / h))
+    return [sum(x) / len(rows) for x in zip(*rows)] if rows else [math.nan] * 4, len(rows)
+
+
+def errors_of(r):
+    return [math.nan if x is None else x for x in (r.wape, r.mae, r.pinball_p90, r.calibration_p90)]
+
+
+def test_naive_columns_against_loops(spark):
+    grid = forecast_native.daily_grid(daily(spark, SERIES))
     native = {(r.hostid, r.horizon_day): (r.p50, r.p90, r.p95) for r in forecast_native.seasonal_naive(grid, 20).collect()}
     tested = {r.hostid: r for r in forecast_native.seasonal_naive_backtest(grid).collect()}
     for name, values in SERIES.items():
         y = np.clip(np.array(values, float), 0, 100)
-        f = series_models.seasonal_naive(y, 0, 20)
+        p50, q90, q95 = naive(y, 20)
         for i in range(20):
-            assert native[name, i + 1] == pytest.approx((f.p50[i], f.p90[i], f.p95[i]), rel=1e-6)
-        want = series_models.backtest(y, 0, "seasonal_naive", 30, 3, 90)
+            assert native[name, i + 1] == pytest.approx((p50[i], min(p50[i] + q90, 100), min(p50[i] + q95, 100)), rel=1e-6)
+        want, folds = brute_backtest(y, "seasonal_naive", 0)
         r = tested[name]
-        assert r.folds == want[4] and [math.nan if x is None else x for x in (r.wape, r.mae, r.pinball_p90, r.calibration_p90)] == pytest.approx(want[:4], rel=1e-6, nan_ok=True)
+        assert r.folds == folds and errors_of(r) == pytest.approx(want, rel=1e-6, nan_ok=True)
     assert tested["hundred"].folds == 0 and tested["fold"].folds == 1 and tested["rising"].folds == 3
 
 
-def test_selection_and_forecast_of_series(spark):
-    done = forecast.forecast_series(daily(spark, SERIES), Params(horizons=(30, 60))).persist()
-    chosen = {r.hostid: r for r in forecast.model_selection(done).collect()}
-    assert chosen["hundred"].selected_model == "seasonal_naive" and chosen["hundred"].selection_score == 21.0
+def test_backtest_selection_and_forecast_of_series(spark):
+    p = Params(horizons=(30, 60))
+    grid = forecast_native.daily_grid(daily(spark, SERIES)).persist()
+    tested = forecast.model_backtest(grid, p).persist()
+    start = (DAY - dt.date(1970, 1, 1)).days
+    for r in tested.collect():
+        want, folds = brute_backtest(np.clip(np.array(SERIES[r.hostid], float), 0, 100), r.model, start)
+        assert r.folds == folds and errors_of(r) == pytest.approx(want, rel=1e-6, nan_ok=True)
+    assert tested.count() == 3 * len(SERIES)
+    selection = forecast.model_selection(tested, grid).persist()
+    chosen = {r.hostid: r for r in selection.collect()}
+    assert chosen["hundred"].selected_model == "seasonal_naive" and chosen["hundred"].selection_score == 21.0 and chosen["hundred"].series_days == 100
     assert chosen["rising"].selected_model == "robust_trend" and chosen["saw"].selected_model == "seasonal_naive"
-    rows = forecast.forecast_daily(done)
+    rows = forecast.forecast_daily(grid, selection, p).persist()
     assert rows.count() == 60 * len(SERIES) and rows.filter("p50 > p90 or p90 > p95 or p50 < 0 or p95 > 100").count() == 0
-    assert forecast.model_backtest(done).count() == 3 * len(SERIES)
     last = rows.filter("hostid = 'rising' and horizon_day = 1").first()
     assert last.date == DAY + dt.timedelta(200) and last.p50 == pytest.approx(95 + 55 / 199, abs=0.01)
-    done.unpersist()
+    boosted = forecast.forecast_daily(grid, selection.withColumn("selected_model", F.lit("gbdt_lag")), p)
+    got = [r.p50 for r in boosted.filter("hostid = 'saw'").orderBy("horizon_day").collect()]
+    assert got == pytest.approx(series_models.gbdt_lag(np.array(SERIES["saw"], float), start, 60)[0])
+    for df in (grid, tested, selection, rows):
+        df.unpersist()
 
 
 def brute_stumps(x, y, rounds=80):
@@ -161,7 +202,7 @@ def test_weighted_trend_on_outliers():
     y = np.linspace(10, 60, 120)
     y[50] = 100
     f = series_models.robust_trend(y, 0, 10)
-    assert f.p50 == pytest.approx(60 + np.arange(1, 11) * 50 / 119, abs=0.2)
+    assert f[0] == pytest.approx(60 + np.arange(1, 11) * 50 / 119, abs=0.2)
 
 
 def crossing_frame(spark, day):

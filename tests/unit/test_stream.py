@@ -23,7 +23,7 @@ def test_files_one_by_one_equal_batch(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert spark.read.parquet(f"{d}/out/feature_trend").count() == 60
     daily = risk.daily_p95(utilization.util_history(utilization.derive_history(batch, 0, None), chosen))
-    assert sorted(map(str, spark.read.parquet(f"{d}/out/daily_p95").select(*S.DAILY).collect())) == sorted(map(str, daily.collect()))
+    assert sorted(map(str, ingest.daily(spark, f"{d}/out").collect())) == sorted(map(str, daily.collect()))
 
 
 def test_old_points_of_a_later_batch_are_kept(spark, tmp_path):
@@ -38,4 +38,4 @@ def test_old_points_of_a_later_batch_are_kept(spark, tmp_path):
     clocks = lambda name: sorted((r.clock.timestamp() - base) // 86400 for r in spark.read.parquet(f"{d}/out/{name}").select(F.to_timestamp("clock").alias("clock")).collect())
     assert clocks("util_trend") == clocks("util_history") == [-300, 0, 40]
     assert clocks("feature_trend") == clocks("feature_history") == [-300, 40]
-    assert spark.read.parquet(f"{d}/out/daily_p95").count() == 3
+    assert ingest.daily(spark, f"{d}/out").count() == 3
