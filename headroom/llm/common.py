@@ -39,16 +39,16 @@ def _file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, block_mb: int = 128) -> DataFrame:
     """Write df to the shared folder and read it back: later jobs neither compute it again nor depend on an executor.
 
-    The table goes when the application ends, or with forget().
+    The table goes when the application ends, or with forget(). block_mb: of a row group, less where rows are large.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     fs, p = _file_system(spark, path)
     fs.deleteOnExit(p)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", block_mb << 20).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
