@@ -6,19 +6,28 @@ dropped as soon as the sum exceeds the budget. So that Spark can deal the work o
 cut into blocks and a trie is built for each choice of blocks that may come first; by the pigeonhole
 principle any two linked fingerprints agree on the head of at least one of these tries, so node pairs
 inside a head need no error there and each head is an independent sub-trie. The number of blocks
-follows the number of fingerprints, which keeps heads small at any size; a head that is large
-nevertheless (many near copies of one text) is replaced by longer heads, again without losing a link.
+follows the number of fingerprints and the budget. A head that is large nevertheless (many near
+copies of one text) is cut again along the bits that vary in it, as often as needed, again without
+losing a link. Node pairs are visited by the bits they differ in, and links are folded into a forest
+at once: node pairs within one tree of it are dropped, so that a group of near copies costs neither
+memory nor time for all its pairs.
+
+Fingerprints may have a second word of 64 bits for a wider budget: the trie is that of the first, and
+a pair links if it also keeps the budget of both words together. Chance links, which 64 bits no longer
+exclude at a wide budget, so stay out.
 
 Defined cases: null text is the empty text; texts without words have fingerprint zero and link like
-any other; rows with equal text always share a component; null doc_ids are kept, and a component
-whose doc_ids are all null has a null component_id; repeated rows stay repeated; an empty table gives
-an empty result; other columns of the input are ignored.
+any other; rows with equal text always share a component; ties (equal doc_ids) are kept apart by their
+rows; null doc_ids are kept, and a component whose doc_ids are all null has a null component_id;
+repeated rows stay repeated; very long texts are hashed in slices; an empty table gives an empty
+result; other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -31,26 +40,47 @@ from .common import DOCUMENT_COLUMNS, cut, read, signed, with_row_key
 SHINGLE = 3
 BUDGET = 3
 HASH_SEED = 42
-#: Distinct fingerprints that one head may hold before it is replaced by longer heads.
+#: Distinct fingerprints that one head may hold before it is cut again.
 HEAD_LIMIT = 20_000
+#: The pipeline's stage: shingles of five words in two words of 64 bits. At a Jaccard similarity of 0.8 a bit differs
+#: with probability acos(2 * 0.8 / 1.8) / pi = 0.15: 9.7 of 64 and 19.4 of 128 bits on average.
+STAGE_SHINGLE, STAGE_BUDGET, STAGE_TOTAL = 5, 11, 23
+#: Microseconds that a head's row and a pair of fingerprints in one head cost, about.
+ROW_COST, PAIR_COST = 1.0, 0.01
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """SimHash of the word shingles of a text, as an unsigned 64-bit number."""
-    from xxhash import xxh64_intdigest as digest
+def _majority(hashes: np.ndarray) -> np.ndarray:
+    """The bits set in over half of the hashes (rows of 64-bit words), in slices of bounded memory."""
+    total = np.zeros(hashes.shape[1] * 64, np.int64)
+    for k in range(0, len(hashes), 1 << 16):
+        total += np.unpackbits(hashes[k : k + (1 << 16)].view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(total * 2 > len(hashes), bitorder="little").view("<u8")
 
+
+def _shingles(text: str | None, shingle: int) -> list[bytes]:
     words = (text or "").encode().lower().split()  # bytes: ASCII letters and ASCII blanks only
-    if not words:
-        return 0
     joined = b" ".join(words)
     if len(words) <= shingle:
-        hashes = [digest(joined, HASH_SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = np.concatenate(([0], ends[:-1]))[: len(words) - shingle + 1].tolist()
-        hashes = [digest(joined[s:e], HASH_SEED) for s, e in zip(starts, (ends[shingle - 1 :] - 1).tolist())]
-    bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return int(np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes), bitorder="little").view("<u8")[0])
+        return [joined] if words else []
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate(([0], ends[:-1]))[: len(words) - shingle + 1].tolist()
+    return [joined[s:e] for s, e in zip(starts, (ends[shingle - 1 :] - 1).tolist())]
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """SimHash of the word shingles of a text, as an unsigned 64-bit number."""
+    from xxhash import xxh64_intdigest as digest
+
+    parts = _shingles(text, shingle)
+    return int(_majority(np.array([[digest(p, HASH_SEED)] for p in parts], "<u8"))[0]) if parts else 0
+
+
+def wide_fingerprint(text: str | None, shingle: int = STAGE_SHINGLE) -> tuple[int, int]:
+    """SimHash of 128 bits, as two words."""
+    from xxhash import xxh3_128_digest as digest
+
+    parts = _shingles(text, shingle)
+    return tuple(map(int, _majority(np.frombuffer(b"".join([digest(p, HASH_SEED) for p in parts]), "<u8").reshape(-1, 2)))) if parts else (0, 0)
 
 
 def simhash(text):
@@ -63,6 +93,16 @@ def simhash(text):
     return of(text)
 
 
+def wide_simhash(text, shingle: int = STAGE_SHINGLE):
+    """Column of structs (fp, rest) of longs."""
+
+    @F.pandas_udf("fp long, rest long")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([tuple(map(signed, wide_fingerprint(t, shingle))) for t in texts], columns=["fp", "rest"], dtype="int64")
+
+    return of(text)
+
+
 def head_masks(blocks: int, exact: int, bits: list[int]) -> list[int]:
     """Masks of the heads: every choice of `exact` out of `blocks` nearly equal runs of the given bit places."""
     parts = [sum(1 << int(b) for b in p) for p in np.array_split(np.array(bits), blocks)]
@@ -70,69 +110,77 @@ def head_masks(blocks: int, exact: int, bits: list[int]) -> list[int]:
 
 
 def masks_for(n: int, budget: int) -> list[int]:
-    """Heads long enough that n fingerprints share one rarely: budget + k blocks, k of them in the head."""
-    exact = 1
-    while exact < 8 and 64 * exact // (budget + exact) < np.log2(max(n, 2)) - 6:
-        exact += 1
+    """budget + k blocks, k of them in a head: the k of the lowest cost for n fingerprints in rows and in pairs that share a head."""
+    cost = lambda k: comb(budget + k, k) * (n * ROW_COST + n * n / 2 ** (64 * k / (budget + k)) / 2 * PAIR_COST)
+    exact = min(range(1, 9), key=cost)
     return head_masks(budget + exact, exact, list(range(64)))
 
 
-def trie_links(group: np.ndarray, fp: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Self-join of one trie for each group; returns a spanning forest of the links, as (fingerprint, root)."""
+def trie_links(group: np.ndarray, fp: np.ndarray, budget: int, rest: np.ndarray | None = None, total: int = 0, ids: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Self-join of one trie for each group; returns a spanning forest of the links, as (id, root). ids: of the fingerprints, else these."""
+    ids = fp if ids is None else ids
     order = np.lexsort((fp, group))
-    group, fp = group[order], fp[order]
+    group, fp, ids, rest = group[order], fp[order], ids[order], None if rest is None else rest[order]
     starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.empty(0, int)
     ends = np.append(starts[1:], len(group))
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    sizes = (ends - starts).astype(np.int64)
-    keep = sizes > 1
-    starts, ends, sizes = starts[keep], ends[keep], sizes[keep]
-    at = 0
-    while at < len(starts):  # so many groups at a time that their pairs fit in memory
-        upto = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:] ** 2), 40_000_000, side="right")) + at)
-        lo, hi = starts[at], ends[upto - 1]
-        i, j = _descend(fp[lo:hi], starts[at:upto] - lo, ends[at:upto] - lo, budget)
-        root = _roots(hi - lo, i, j)
-        moved = np.flatnonzero(root != np.arange(hi - lo))
-        found.append((fp[lo:hi][moved], fp[lo:hi][root[moved]]))
-        at = upto
-    if not found:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
-
-
-def _descend(fp: np.ndarray, lo: np.ndarray, hi: np.ndarray, budget: int, leaf: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Traverse node pairs level by level. A node is a range of the sorted fingerprints."""
-    pairs = np.stack([lo, hi, lo, hi, np.zeros_like(lo)])
-    out_i, out_j = [], []
-    for bit in range(63, -2, -1):
-        if not pairs.shape[1]:
-            break
-        product = (pairs[1] - pairs[0]) * (pairs[3] - pairs[2])
-        small = (product <= leaf) | (bit < 0)
-        for k in range(0, int(small.sum()), 500_000):
-            i, j = _leaf_pairs(pairs[:, small][:, k : k + 500_000])
-            near = np.bitwise_count(fp[i] ^ fp[j]) <= budget
-            out_i.append(i[near])
-            out_j.append(j[near])
-        pairs = pairs[:, ~small]
-        if bit < 0 or not pairs.shape[1]:
-            continue
-        ones = np.concatenate(([0], np.cumsum((fp >> np.uint64(bit)) & np.uint64(1)).astype(np.int64)))
-        alo, ahi, blo, bhi, diff = pairs
-        amid, bmid = ahi - (ones[ahi] - ones[alo]), bhi - (ones[bhi] - ones[blo])
-        own = alo == blo
-        other = ~own
-        children = [np.stack([alo, amid, blo, bmid, diff]), np.stack([amid, ahi, bmid, bhi, diff]), np.stack([alo, amid, bmid, bhi, diff + 1]), np.stack([amid, ahi, blo, bmid, diff + 1])[:, other]]
-        pairs = np.concatenate(children, axis=1)
-        pairs = pairs[:, (pairs[0] < pairs[1]) & (pairs[2] < pairs[3]) & (pairs[4] <= budget)]
-        single = (pairs[0] == pairs[2]) & (pairs[1] - pairs[0] < 2)
-        pairs = pairs[:, ~single]
-    return (np.concatenate(out_i), np.concatenate(out_j)) if out_i else (np.empty(0, np.int64), np.empty(0, np.int64))
+    keep = ends - starts > 1
+    root = _descend(fp, rest, starts[keep], ends[keep], budget, total)
+    moved = np.flatnonzero(root != np.arange(len(root)))
+    return ids[moved], ids[root[moved]]
+
+
+def _descend(fp: np.ndarray, rest: np.ndarray | None, lo: np.ndarray, hi: np.ndarray, budget: int, total: int, leaf: int = 128, most: int = 200_000) -> np.ndarray:
+    """Root of each fingerprint in the forest of links. A node is a range of the sorted fingerprints; node pairs that differ in few bits come first."""
+    root = np.arange(len(fp))
+    todo: dict[tuple[int, int], list[np.ndarray]] = {(0, 63): [np.stack([lo, hi, lo, hi])]}
+    ones: dict[int, np.ndarray] = {}
+    for differ in range(budget + 1):
+        for bit in range(63, -2, -1):
+            waiting = todo.pop((differ, bit), [])
+            while waiting:
+                pairs = waiting.pop()
+                if pairs.shape[1] > most:  # so many at a time that their children fit in memory
+                    waiting += [pairs[:, k : k + most] for k in range(0, pairs.shape[1], most)]
+                    continue
+                pairs = pairs[:, ~_one_tree(root, pairs)] if pairs.shape[1] > 1000 or len(fp) < 100_000 else pairs
+                product = (pairs[1] - pairs[0]) * (pairs[3] - pairs[2])
+                small = (product <= leaf) | (bit < 0)
+                own = pairs[:, small]
+                # by the number of places, so that a step fits in memory
+                steps = np.cumsum(product[small]) // 2_000_000
+                for k in np.unique(steps):
+                    i, j = _leaf_pairs(own[:, steps == k])
+                    near = np.bitwise_count(fp[i] ^ fp[j]) <= budget
+                    if rest is not None:
+                        i, j = i[near], j[near]
+                        near = np.bitwise_count(fp[i] ^ fp[j]) + np.bitwise_count(rest[i] ^ rest[j]) <= total
+                    root = _roots(root, i[near], j[near])
+                pairs = pairs[:, ~small]
+                if not pairs.shape[1]:
+                    continue
+                if bit not in ones:
+                    ones[bit] = np.concatenate(([0], np.cumsum((fp >> np.uint64(bit)) & np.uint64(1)))).astype(np.int32)
+                alo, ahi, blo, bhi = pairs
+                amid, bmid = (h - (ones[bit][h] - ones[bit][x]) for x, h in ((alo, ahi), (blo, bhi)))
+                other = alo != blo
+                same = np.concatenate([np.stack([alo, amid, blo, bmid]), np.stack([amid, ahi, bmid, bhi])], axis=1)
+                cross = np.concatenate([np.stack([alo, amid, bmid, bhi]), np.stack([amid, ahi, blo, bmid])[:, other]], axis=1)
+                for d, children in ((differ, same), (differ + 1, cross)):
+                    children = children[:, (children[0] < children[1]) & (children[2] < children[3]) & ((children[0] != children[2]) | (children[1] - children[0] > 1))]
+                    if d <= budget and children.shape[1]:
+                        todo.setdefault((d, bit - 1), []).append(children)
+    return root
+
+
+def _one_tree(root: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Whether all fingerprints of both nodes are in one tree of the forest already."""
+    alo, ahi, blo, bhi = pairs
+    changes = np.concatenate(([0], np.cumsum(root[1:] != root[:-1])))
+    return (changes[ahi - 1] == changes[alo]) & (changes[bhi - 1] == changes[blo]) & (root[alo] == root[blo])
 
 
 def _leaf_pairs(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    alo, ahi, blo, bhi, _ = pairs
+    alo, ahi, blo, bhi = pairs
     width = bhi - blo
     each = (ahi - alo) * width
     pair = np.repeat(np.arange(pairs.shape[1]), each)
@@ -142,9 +190,10 @@ def _leaf_pairs(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i[once], j[once]
 
 
-def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Smallest reachable index of each of n vertices."""
-    root = np.arange(n)
+def _roots(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The forest `root` (smallest reachable index of each vertex) with the links i, j."""
+    apart = root[i] != root[j]
+    i, j = i[apart], j[apart]
     while len(i):
         low = np.minimum(root[i], root[j])
         np.minimum.at(root, root[i], low)
@@ -156,52 +205,66 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def near_links(prints: DataFrame, budget: int = BUDGET, head_limit: int = HEAD_LIMIT) -> DataFrame:
-    """(a, b): a spanning forest of the links within each head, over the distinct fingerprints of column fp."""
-    n = prints.count()
-    masks = masks_for(n, budget)
-    heads = prints.select("fp", _heads(list(enumerate(masks))).alias("h")).select("fp", "h.m", "h.v")
-    hot = heads.groupBy("m", "v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > head_limit).drop("n")
-    if hot.limit(1).count():
-        hot = cut(hot, "simhash-hot")
-        longer = None
-        for k, mask in enumerate(masks):
-            rest = [b for b in range(64) if not mask >> b & 1]
-            inner = [mask | x for x in head_masks(2 * budget, budget, rest)]
-            numbered = [(len(masks) + 100 * k + x, m) for x, m in enumerate(inner)]
-            rows = heads.filter(F.col("m") == k).join(hot, ["m", "v"], "left_semi").select("fp", _heads(numbered).alias("h")).select("fp", "h.m", "h.v")
-            longer = rows if longer is None else longer.unionByName(rows)
-        heads = heads.join(hot, ["m", "v"], "left_anti").select("fp", "m", "v").unionByName(longer)
+def _longer(heads: DataFrame, hot: DataFrame, budget: int) -> DataFrame:
+    """The rows of hot heads (m, v, varying: the bits that vary in it) under every choice of `budget` of 2 * `budget` blocks of these bits."""
+    blocks = 2 * budget
+    bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.expr("varying").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), b)) != 0)
+    n = F.size("bits")
+    at = lambda i: F.floor(n * i / blocks).cast("int")
+    block = lambda i: F.aggregate(F.slice("bits", at(i) + 1, at(i + 1) - at(i)), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b)))
+    cutup = hot.withColumn("bits", bits).select("m", "v", F.array(*[block(i) for i in range(blocks)]).alias("b"))
+    masks = [sum(1 << k for k in c) for c in combinations(range(blocks), budget)]
+    chosen = lambda c: F.aggregate(F.filter("b", lambda _, k: F.lit(c).bitwiseAND(F.call_function("shiftleft", F.lit(1), k)) != 0), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+    inner = cutup.select("m", "v", F.explode(F.array(*[chosen(c) for c in masks])).alias("mask")).distinct()
+    # a head's number only keeps heads apart: should two get the same one, their pairs are compared as well
+    return heads.join(inner, ["m", "v"]).select(*[c for c in heads.columns if c not in ("m", "v")], F.xxhash64("m", "v", "mask").alias("m"), F.col("fp").bitwiseAND(F.col("mask")).alias("v"))
+
+
+def near_links(prints: DataFrame, budget: int = BUDGET, head_limit: int = HEAD_LIMIT, total: int | None = None) -> DataFrame:
+    """(a, b): a spanning forest of the links within each head, over the distinct fingerprints of column fp.
+
+    With `total`, prints has the columns id, fp and rest (the second word); links then are between ids.
+    """
+    wide = total is not None
+    own = ["id", "fp", "rest"] if wide else ["fp"]
+    masks = masks_for(prints.count(), budget)
+    entry = F.explode(F.array(*[F.struct(F.lit(k).cast("long").alias("m"), F.col("fp").bitwiseAND(F.lit(signed(m)).cast("long")).alias("v")) for k, m in enumerate(masks)]))
+    heads = prints.select(*own, entry.alias("h")).select(*own, "h.m", "h.v")
+    varying = F.bit_or("fp").bitwiseAND(F.bitwise_not(F.bit_and("fp"))).alias("varying")
+    while True:
+        hot = heads.groupBy("m", "v").agg(F.count(F.lit(1)).alias("n"), varying).filter(F.col("n") > head_limit)
+        # a head in which few bits vary can't be cut further, nor can it hold more than their combinations
+        hot = cut(hot.filter(F.bit_count("varying") > 2 * budget + 8), "simhash-hot")
+        if not hot.limit(1).count():
+            break
+        heads = cut(heads.join(hot, ["m", "v"], "left_anti").select(*own, "m", "v").unionByName(_longer(heads, hot, budget).select(*own, "m", "v")), "simhash-heads")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            m, v = (batch.column(k).to_numpy() for k in (1, 2))
+            m, v = (batch.column(k).to_numpy() for k in ("m", "v"))
             if held and sum(b.num_rows for b in held) > 200_000:
                 changes = np.flatnonzero((m[1:] != m[:-1]) | (v[1:] != v[:-1]))
                 if len(changes):  # what is before the last change is whole
                     last = int(changes[-1]) + 1
-                    yield _joined([*held, batch.slice(0, last)], budget)
+                    yield _joined([*held, batch.slice(0, last)], budget, total)
                     held = [batch.slice(last)]
                     continue
             held.append(batch)
         if held:
-            yield _joined(held, budget)
+            yield _joined(held, budget, total)
 
     dealt = heads.repartition("m", "v").sortWithinPartitions("m", "v")
-    return dealt.select("fp", "m", "v").mapInArrow(join, "a long, b long").distinct()
-
-
-def _heads(numbered: list[tuple[int, int]]):
-    return F.explode(F.array(*[F.struct(F.lit(k).alias("m"), F.col("fp").bitwiseAND(F.lit(signed(m)).cast("long")).alias("v")) for k, m in numbered]))
+    return dealt.select(*own, "m", "v").mapInArrow(join, "a long, b long").distinct()
 
 
-def _joined(batches: list[pa.RecordBatch], budget: int) -> pa.RecordBatch:
-    fp, m, v = (np.concatenate([b.column(k).to_numpy() for b in batches]) for k in range(3))
+def _joined(batches: list[pa.RecordBatch], budget: int, total: int | None) -> pa.RecordBatch:
+    column = lambda c: np.concatenate([b.column(c).to_numpy() for b in batches])
+    m, v, fp = column("m"), column("v"), column("fp").view(np.uint64)
     new = np.concatenate(([True], (m[1:] != m[:-1]) | (v[1:] != v[:-1])))
-    a, b = trie_links(np.cumsum(new), fp.view(np.uint64), budget)
+    a, b = trie_links(np.cumsum(new), fp, budget) if total is None else trie_links(np.cumsum(new), fp, budget, column("rest").view(np.uint64), total, column("id").view(np.uint64))
     return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
 
@@ -239,15 +302,15 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
-    """docs without all but one document of each component: the one of the smallest doc_id, and of the smallest row among equals."""
-    keyed = cut(with_row_key(docs, "__row").withColumn("__fp", simhash(F.col("text"))), "dedup-docs")
-    narrow = keyed.select("doc_id", "__row", F.col("__fp").alias("fp"))
+def drop_near_duplicates(docs: DataFrame, budget: int = STAGE_BUDGET, total: int = STAGE_TOTAL, shingle: int = STAGE_SHINGLE) -> DataFrame:
+    """docs without all but one document of each component of wide fingerprints: the one of the smallest doc_id, and of the smallest row among equals."""
+    keyed = cut(with_row_key(docs, "__row").withColumn("__w", wide_simhash(F.col("text"), shingle)).withColumns({"__fp": F.col("__w.fp"), "__rest": F.col("__w.rest")}).drop("__w"), "dedup-docs")
+    narrow = keyed.select("doc_id", "__row", F.xxhash64("__fp", "__rest").alias("id"), F.col("__fp").alias("fp"), F.col("__rest").alias("rest"))
     # one candidate for each fingerprint, so that copies meet before they are shuffled
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "__row")).alias("first")
-    best = narrow.groupBy("fp").agg(first)
-    roots = connected(near_links(narrow.select("fp").distinct(), budget))
-    kept = best.join(roots, best.fp == roots.v, "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("first")).select(F.col("first.__row").alias("__row"))
+    best = cut(narrow.groupBy("id", "fp", "rest").agg(first), "dedup-first")
+    roots = connected(near_links(best.select("id", "fp", "rest"), budget, total=total))
+    kept = best.join(roots, best.id == roots.v, "left").groupBy(F.coalesce("root", "id")).agg(F.min("first").alias("first")).select(F.col("first.__row").alias("__row"))
     return keyed.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
@@ -256,5 +319,5 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of near-duplicates stays."""
+    """Pipeline stage: one document of each group of near-duplicates by five-word shingles stays."""
     return drop_near_duplicates(docs.select(*DOCUMENT_COLUMNS))
