@@ -5,11 +5,15 @@ credential. A vectorised scan finds all parts of every whole text; Spark then jo
 row with the complements (access identifiers and endpoints) that begin within `SCOPE` code points of
 them. The interval join is an equi-join on (row, cell of SCOPE code points) followed by the exact
 test, so its work is bounded by what one scope can hold. Weak parts that take part in no link are not
-reported.
+reported; for the others the result tells which kinds of secrets and complements co-occurred.
+
+A URL gives parts of its own: the user and the password before its host, and the rest as endpoint. An
+endpoint that runs into a base span ends before it. A random-looking run is taken whole.
 
 Defined cases: null text is the empty text, with no spans and the SHA-256 of the empty string;
-null doc_ids and repeated rows are kept, one result row each; an empty table gives an empty result;
-other columns of the input are ignored.
+null doc_ids and repeated rows are kept, one result row each; spans that begin together are told in the
+order of KINDS; very long texts and runs are scanned whole; an empty table gives an empty result; other
+columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -34,13 +38,16 @@ LONGEST_DROPPED = {"assign": 6, "access": 20}
 #: Weak parts. Names of identifiers, and addresses of services.
 IDENT = re.compile(r"""\b(?:access_?key(?:_?id)?|client_?id|account_?(?:id|name)|user_?name|user|login|tenant_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""", re.ASCII | re.IGNORECASE)
 ENDPOINT = re.compile(r"""\b(?:[a-z][a-z0-9+]{1,15}://[A-Za-z0-9._~:/?#@%&=+-]{4,}|(?:host|endpoint|server|bucket)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.:/-]{4,})""", re.ASCII)
-OPAQUE = re.compile(r"[A-Za-z0-9+/_=-]{16,128}", re.ASCII)
+OPAQUE = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.ASCII)
+#: Scheme, user information and host of a URL.
+AUTHORITY = re.compile(r"([a-z0-9+]+://)(?:([^/?#]*)@)?", re.ASCII)
 OPAQUE_BITS = 3.2
 
-KINDS = ("assign", "access", "hex", "ident", "opaque", "endpoint")
-SECRETS = ("assign", "hex", "opaque")
-COMPLEMENTS = ("access", "ident", "endpoint")
-WEAK = ("ident", "opaque", "endpoint")
+KINDS = ("assign", "access", "hex", "ident", "opaque", "endpoint", "user", "password")
+SECRETS = ("assign", "hex", "opaque", "password")
+COMPLEMENTS = ("access", "ident", "endpoint", "user")
+WEAK = ("ident", "opaque", "endpoint", "user", "password")
+LEAST_ENDPOINT = 4
 #: A complement begins within so many code points of a secret.
 SCOPE = 200
 MASK = "[SECRET]"
@@ -56,6 +63,26 @@ def is_opaque(token: str) -> bool:
     return -sum(k / n * math.log2(k / n) for k in Counter(token).values()) >= OPAQUE_BITS
 
 
+def parts_of_url(start: int, url: str) -> list[Part]:
+    """Endpoint, user and password of an address that begins at `start`."""
+    m = AUTHORITY.match(url)
+    if not m or m[2] is None:
+        return [(start, 5, "endpoint", start + len(url))]
+    user, _, password = m[2].partition(":")
+    at, host = start + len(m[1]), start + m.end()
+    parts = [(at, 6, "user", at + len(user)), (at + len(user) + 1, 7, "password", at + len(m[2])), (host, 5, "endpoint", start + len(url))]
+    return [p for p in parts if p[3] > p[0]]
+
+
+def beside(weak: Part, base: list[Part]) -> Part | None:
+    """A weak part outside all base spans; of an endpoint what lies before the first one that it runs into."""
+    over = [b for b in base if b[0] < weak[3] and weak[0] < b[3]]
+    if not over:
+        return weak
+    end = min(b[0] for b in over)
+    return (*weak[:3], end) if weak[2] == "endpoint" and end - weak[0] >= LEAST_ENDPOINT else None
+
+
 def parts_of(text: str) -> tuple[list[Part], list[Part]]:
     """Base spans and weak parts of a text. Weak parts don't overlap base spans."""
     base: list[Part] = []
@@ -69,11 +96,12 @@ def parts_of(text: str) -> tuple[list[Part], list[Part]]:
     weak: list[Part] = []
     if ":" in text or "=" in text:
         weak += [(m.start(), 3, "ident", m.end()) for m in IDENT.finditer(text)]
-        weak += [(m.start(), 5, "endpoint", m.end()) for m in ENDPOINT.finditer(text)]
+        for m in ENDPOINT.finditer(text):
+            weak += parts_of_url(m.start(), m[0])
     if base or weak:  # an opaque token without a complement is never reported
         weak += [(m.start(), 4, "opaque", m.end()) for m in OPAQUE.finditer(text) if is_opaque(m[0])]
     if base and weak:
-        weak = [w for w in weak if not any(b[0] < w[3] and w[0] < b[3] for b in base)]
+        weak = [w for w in (beside(w, base) for w in weak) if w]
     return base, sorted(weak)
 
 
@@ -112,7 +140,7 @@ def _has(parts: Column, kinds: tuple[str, ...]) -> Column:
 
 
 def linked_parts(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """(__row, linked): the weak parts of each row that a link reports. scanned: __row, base, weak."""
+    """(__row, linked, linked_kinds): the weak parts of each row that a link reports, and which kinds met. scanned: __row, base, weak."""
     every = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.col("weak") != "", F.col("weak")))
     both = scanned.filter(F.col("weak") != "").select("__row", every.alias("parts")).filter(_has(F.col("parts"), SECRETS) & _has(F.col("parts"), COMPLEMENTS))
     parts = both.select("__row", F.explode(_array(F.col("parts"))).alias("p"))
@@ -120,8 +148,9 @@ def linked_parts(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
     secrets = parts.filter(F.col("p.kind").isin(*SECRETS)).select("__row", F.col("p").alias("s"), F.explode(F.sequence(cell(F.col("p.start") - scope), cell(F.col("p.end") + scope))).alias("cell"))
     others = parts.filter(F.col("p.kind").isin(*COMPLEMENTS)).select("__row", F.col("p").alias("c"), cell(F.col("p.start")).alias("cell"))
     links = secrets.join(others, ["__row", "cell"]).filter((F.col("c.start") >= F.col("s.start") - scope) & (F.col("c.start") <= F.col("s.end") + scope))
-    told = links.select("__row", F.explode(F.array("s", "c")).alias("p")).filter(F.col("p.kind").isin(*WEAK))
-    return told.groupBy("__row").agg(F.collect_set("p").alias("linked"))
+    told = links.select("__row", F.concat_ws("+", "s.kind", "c.kind").alias("kinds"), F.explode(F.array("s", "c")).alias("p"))
+    weak_parts = F.collect_set(F.when(F.col("p.kind").isin(*WEAK), F.col("p"))).alias("linked")
+    return told.groupBy("__row").agg(weak_parts, F.array_join(F.array_sort(F.collect_set("kinds")), ",").alias("linked_kinds"))
 
 
 def secret_spans(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -136,6 +165,7 @@ def secret_spans(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
         F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
         _string(F.concat(spans, linked)).alias("spans"),
         F.size(linked).cast("long").alias("n_linked"),
+        F.coalesce("linked_kinds", F.lit("")).alias("linked_kinds"),
     )
 
 
