@@ -10,8 +10,9 @@ filter. The result depends on the rows alone, not on their order or partitions.
 Defined cases: null text has size 0; null sources form one source, the last; null doc_ids are hashed
 like values; repeated rows are told apart by a number within their hash, so that a source made of
 copies still meets its target; sources without any words have target 0; an empty table gives an
-empty result; other columns of the input are ignored. The per-source table holds one row a source;
-it is broadcast only up to BROADCAST_SOURCES rows.
+empty result; very long texts are one row of their size; other columns of the input are ignored. The
+per-source table holds one row a source; it is broadcast only up to BROADCAST_SOURCES rows, and its
+running sums go over ranges of it, never over one task.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ MOST_COPIES = 3
 #: Hash bits that each histogram adds.
 BITS = 12
 BROADCAST_SOURCES = 100_000
+#: Ranges that running sums over the sources are dealt to.
+RANGES = 16
 
 
 def word_count(text: Column) -> Column:
@@ -37,6 +40,28 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
 
 
+def with_running_sums(rows: DataFrame, order: list[Column], sums: list[str]) -> tuple[DataFrame, dict[str, float]]:
+    """rows in an order, with `place` from 1 and for each column c of sums before_c, the sum over all rows before; and the sums of all rows.
+
+    Each range of the order is one task; what lies before a range follows from one row of sums a range.
+    """
+    placed = cut(rows.repartitionByRange(RANGES, *order).withColumn("__part", F.spark_partition_id()), "mix-ordered")
+    per = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("place"), *[F.sum(c).alias(c) for c in sums]).orderBy("__part").collect()  # one row a range
+    names, running = ["place", *sums], {"place": 0, **dict.fromkeys(sums, 0)}
+    starts: dict[str, list] = {c: [] for c in names}
+    for r in per:
+        for c in names:
+            starts[c] += [F.lit(r["__part"]), F.lit(running[c])]
+            running[c] += r[c]
+    if not per:
+        return placed.drop("__part").withColumns({"place": F.lit(0), **{f"before_{c}": F.lit(0) for c in sums}}), running
+    start = lambda c: F.element_at(F.create_map(*starts[c]), F.col("__part"))
+    inner = Window.partitionBy("__part").orderBy(*order)
+    before = inner.rowsBetween(Window.unboundedPreceding, -1)
+    own = {f"before_{c}": F.coalesce(F.sum(c).over(before), F.lit(0)) + start(c) for c in sums}
+    return placed.withColumns({"place": F.row_number().over(inner) + start("place"), **own}).drop("__part"), running
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """(key, source_size, target) from rows (key, source, size): shares by weight, none above `most` times its size.
 
@@ -45,19 +70,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     size / weight, so the level follows from running sums over the per-source table.
     """
     per = sizes.groupBy("key", "source").agg(F.sum("size").alias("source_size"))
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1).cast("int"))
-    listed = per.withColumn("weight", weight.cast("double"))
-    order = [F.col("source_size") / F.col("weight"), F.col("key")]
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    left = F.sum("source_size").over(every) - most * F.coalesce(F.sum("source_size").over(before), F.lit(0))
-    leveled = listed.withColumns({"level": left / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))), "place": F.row_number().over(Window.orderBy(*order))})
+    named, _ = with_running_sums(per, [F.col("source").asc_nulls_last()], [])
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.col("place") - 1, F.lit(len(weights))) + 1).cast("int"))
+    listed = named.withColumn("weight", weight.cast("double")).drop("place").withColumn("ratio", F.col("source_size") / F.col("weight"))
+    leveled, every = with_running_sums(listed, [F.col("ratio").asc(), F.col("key").asc()], ["source_size", "weight"])
+    left = F.lit(every["source_size"]) - most * F.col("before_source_size")
+    final = leveled.withColumn("level", left / (F.lit(float(every["weight"])) - F.col("before_weight")))
     # the first source whose ceiling isn't below its level fixes the level of all from there on
     free = F.when(most * F.col("source_size") >= F.col("level") * F.col("weight"), F.struct("place", "level"))
+    level = final.agg(F.min(free).alias("free")).first()["free"]
     ceiling = most * F.col("source_size").cast("double")
-    final = leveled.withColumn("free", F.min(free).over(every))
-    return final.select("key", "source_size", F.least(ceiling, F.col("free.level") * F.col("weight")).alias("target"))
+    return final.select("key", "source_size", F.least(ceiling, F.lit(level["level"] if level else 0.0) * F.col("weight")).alias("target"))
 
 
 def distinct_hash(rows: DataFrame) -> DataFrame:

@@ -56,3 +56,19 @@ def test_empty_and_stage(spark):
     want = {r.doc_id: r.copies for r in M.mixed(df).collect()}
     assert out.columns == df.columns
     assert {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()} == {k: v for k, v in want.items() if v}
+
+
+def test_many_sources_and_long_texts(spark):
+    rnd = random.Random(3)
+    check(spark, [(i, "w " * rnd.randrange(1, 30), f"s{rnd.randrange(400)}", 1, "x") for i in range(1500)] + [(9999, "word " * 200_000, "s1", 1, "x")])
+
+
+def test_running_sums(spark):
+    rnd = random.Random(8)
+    rows = [(i, rnd.randrange(50)) for i in range(300)]
+    out, every = M.with_running_sums(spark.createDataFrame(rows, "k long, v long"), [M.F.col("v").asc(), M.F.col("k").asc()], ["v"])
+    want, at = [], 0
+    for place, (k, v) in enumerate(sorted(rows, key=lambda r: (r[1], r[0])), 1):
+        want.append((k, place, at))
+        at += v
+    assert sorted((r.k, r.place, r.before_v) for r in out.collect()) == sorted(want) and every["v"] == at
