@@ -1,8 +1,10 @@
 """Quality classifier by positive-unlabelled learning.
 
-Trusted positives are documents labelled good; all documents, labels hidden, are the unlabelled text;
-the class prior is the share of good ones among the training labels. A linear model over statistics
-of the whole text minimises the non-negative unbiased risk
+Trusted positives are the training documents labelled good; all documents, labels hidden, are the
+unlabelled text. Labels of bad documents are never read. The class prior is estimated from these two
+samples: a model that only tells positives from unlabelled text ranks the documents, and the share of
+unlabelled text above a score over that of positives above it falls to the prior where no bad ones are
+left. A linear model over statistics of the whole text then minimises the non-negative unbiased risk
 
     prior * E_P[l(f)] + max(0, E_U[l(-f)] - prior * E_P[l(-f)]) + ridge
 
@@ -12,8 +14,9 @@ one pass of Spark over the narrow feature table, in which every task returns sum
 positives and all unlabelled rows take part, at every size.
 
 Defined cases: null and empty texts have zero features and get the score these give; null doc_ids
-count as the empty text in the fold and have no label; if labels repeat for a doc_id, the lowest
-quality counts; without positive training labels every score is 0.5; repeated rows are kept, one
+count as the empty text in the fold and have no label; if labels repeat for a doc_id, it is trusted only
+if all are good; equal texts have equal scores; very long texts are read whole; without positive training
+labels every score is 0.5; repeated rows are kept, one
 result row each; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -27,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, read, remainder
+from .common import cut, read, remainder, text_crc32
 
 FOLDS = 5
 CUTOFF = 0.3
 STEPS = 25
 RIDGE = 1e-4
+#: Bins of the scores that the prior is estimated from, and the share of positives that must lie above a cut.
+BINS, LEAST_SHARE = 512, 0.1
 FEATURES = ("log_words", "word_length", "capitals", "symbols", "bangs", "digits", "bars", "lines", "stops", "commas", "distinct", "repeated_lines", "beyond_ascii", "short_words", "blank_runs")
 
 
@@ -79,9 +84,9 @@ def featured(docs: DataFrame) -> DataFrame:
 
 
 def trusted(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """rows with `label`: quality 0 or 1 where it may be learned from, else null."""
+    """rows with `label`: 1 for the trusted positives, which may be learned from, else null."""
     quality = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    return rows.join(quality, "doc_id", "left").withColumn("label", F.when(~F.col("held_out"), F.col("label").cast("int")))
+    return rows.join(quality, "doc_id", "left").withColumn("label", F.when(~F.col("held_out") & (F.col("label") == 1), 1))
 
 
 def _sums(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, w: np.ndarray) -> dict[str, np.ndarray]:
@@ -110,16 +115,61 @@ def _sums(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, w: np.ndarray) -
     return out
 
 
+def minimised(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, w: np.ndarray, loss) -> np.ndarray:
+    """Weights from w on by Newton-like steps of a loss, a function of _sums() to (risk, gradient, curvature)."""
+    ridge = np.full(len(w), RIDGE)
+    ridge[-1] = 0
+    step, s = 1.0, _sums(rows, mean, scale, w)
+    at, gradient, bend = loss(s)
+    for _ in range(STEPS):
+        now = at + 0.5 * (ridge * w * w).sum()
+        move = np.linalg.solve(bend + np.diag(ridge + 1e-4), gradient + ridge * w)
+        while step > 1e-3:
+            w2 = w - step * move
+            s2 = _sums(rows, mean, scale, w2)
+            if loss(s2)[0] + 0.5 * (ridge * w2 * w2).sum() < now:
+                break
+            step /= 4
+        else:
+            break
+        w = w2
+        at, gradient, bend = loss(s2)
+        step = min(1.0, 4 * step)
+        if now - at - 0.5 * (ridge * w * w).sum() < 1e-6:
+            break
+    return w
+
+
+def estimated_prior(rows: DataFrame, mean: np.ndarray, scale: np.ndarray) -> float:
+    """Share of good ones among all rows, from the positives and the unlabelled alone.
+
+    Of all cuts of the score, the one whose ratio of shares has the lowest upper bound (two standard errors). Half of
+    the rows teach the ranking, the other half are counted, so that no row is ranked by what was learned from it.
+    """
+    second = F.pmod(F.floor(text_crc32(F.col("doc_id")) / FOLDS), F.lit(2)) == 1
+    apart = lambda s: (0.5 * (s["P+"] + s["U-"]), 0.5 * (s["Ps"] - s["Px"] + s["Us"]), 0.5 * (s["Ph"] + s["Uh"]))
+    w = minimised(rows.filter(~second), mean, scale, np.zeros(len(FEATURES) + 1), apart)
+    told = rows.filter(second).select(F.floor(score((mean, scale, w, 0.5)) * (BINS - 1e-6)).cast("int").alias("bin"), "label")
+    counts = np.zeros((2, BINS))
+    for r in told.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("p")).collect():  # a row for each bin
+        counts[:, r["bin"]] = r["n"], r["p"]
+    above = np.cumsum(counts[:, ::-1], axis=1)
+    size = above[:, -1:].copy()
+    if not size.all():
+        return 0.5
+    above = (above / size)[:, above[1] >= LEAST_SHARE * size[1]]
+    ratio = above[0] / above[1]
+    error = np.sqrt(((1 - above) / (above * size)).sum(axis=0))
+    return float(ratio[np.argmin(ratio * (1 + 2 * error))])
+
+
 def fit(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, float] | None:
     """(mean, scale, weights, prior) from rows with label and features; None without positives."""
-    stats = rows.agg(F.avg("label").alias("prior"), F.count_if(F.col("label") == 1).alias("positives"), *[F.avg(c).alias(f"m_{c}") for c in FEATURES], *[F.stddev_pop(c).alias(f"s_{c}") for c in FEATURES]).first()
+    stats = rows.agg(F.count_if(F.col("label") == 1).alias("positives"), *[F.avg(c).alias(f"m_{c}") for c in FEATURES], *[F.stddev_pop(c).alias(f"s_{c}") for c in FEATURES]).first()
     if not stats["positives"]:
         return None
-    prior = min(max(stats["prior"], 0.01), 0.999)
     mean, scale = np.array([stats[f"m_{c}"] for c in FEATURES]), np.array([max(stats[f"s_{c}"], 1e-9) for c in FEATURES])
-    d = len(FEATURES) + 1
-    ridge = np.full(d, RIDGE)
-    ridge[-1] = 0
+    prior = min(max(estimated_prior(rows, mean, scale), 0.01), 0.999)
 
     def convex(s: dict) -> tuple[float, np.ndarray, np.ndarray]:
         """Risk, gradient and curvature under the logistic loss, whose difference of losses is linear in f."""
@@ -136,27 +186,9 @@ def fit(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, float] | N
             return positive + negative, s["Uh"][:, -1] - 2 * slope, s["Uh"] + prior * s["Ph"]
         return positive, -slope, prior * s["Ph"]
 
-    w = np.zeros(d)
-    s = _sums(rows, mean, scale, w)
-    for loss, steps in ((convex, STEPS), (bounded, STEPS)):
-        step = 1.0
-        at, gradient, bend = loss(s)
-        for _ in range(steps):
-            now = at + 0.5 * (ridge * w * w).sum()
-            move = np.linalg.solve(bend + np.diag(ridge + 1e-4), gradient + ridge * w)
-            while step > 1e-3:
-                w2 = w - step * move
-                s2 = _sums(rows, mean, scale, w2)
-                if loss(s2)[0] + 0.5 * (ridge * w2 * w2).sum() < now:
-                    break
-                step /= 4
-            else:
-                break
-            w, s = w2, s2
-            at, gradient, bend = loss(s)
-            step = min(1.0, 4 * step)
-            if now - at - 0.5 * (ridge * w * w).sum() < 1e-6:
-                break
+    w = np.zeros(len(FEATURES) + 1)
+    for loss in (convex, bounded):
+        w = minimised(rows, mean, scale, w, loss)
     return mean, scale, w, prior
 
 
