@@ -91,7 +91,12 @@ class WordTokenizer:
             return self.of_part(word[:-1].decode().lower()) + self.of_part(chr(word[-1]))
         text = word.decode()
         if len(text) <= 64 and "<|" not in text and self.plain(text) and (text.isascii() or unicodedata.is_normalized("NFC", text)):
-            return b"".join(map(self.of_part, self.parts(text.lower())))
+            low = text.lower()
+            if low.isalpha():
+                return self.of_part(low)
+            if low[:-1].isalpha() and low[-1].isascii():
+                return self.of_part(low[:-1]) + self.of_part(low[-1])
+            return b"".join(map(self.of_part, self.parts(low)))
         return b"".join([i.to_bytes(2, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
     def of_text(self, text: bytes) -> bytes:

@@ -59,3 +59,36 @@ def test_packed_rows(spark):
     total = sum(w[3] for w in want)
     assert len(bins) <= -(-total // 2048) + 2
     assert P.packed(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_each_capacity_can_bind():
+    """Sequences that the same pieces take when one capacity after the other is the tight one."""
+    rnd = random.Random(5)
+    counts = {k: rnd.randrange(1, 30) for k in range(1, 400)}
+    used = lambda c: int((lambda r: (r["sequence"] + r["n"]).max())(P.plan(counts, c)))
+    pieces, tokens, attention = sum(counts.values()), sum(k * n for k, n in counts.items()), sum(k * k * n for k, n in counts.items())
+    free = used(P.Capacity())
+    assert free <= -(-tokens // 2048) + 2
+    few, cheap = used(P.Capacity(documents=5)), used(P.Capacity(attention=300_000))
+    assert few > free and few >= -(-pieces // 5) and few <= 1.05 * pieces / 5 + 2
+    assert cheap > free and cheap >= -(-attention // 300_000) and cheap <= 1.2 * attention / 300_000
+
+
+def test_plan_against_placing_one_by_one():
+    """The plan by classes of equal bins is best-fit decreasing, item after item."""
+    rnd = random.Random(7)
+    capacity, weights = P.Capacity(100, 6, 4000), (1.0, 0.05, 0.2)
+    counts = {k: rnd.randrange(6) for k in range(1, 60)}
+    most = np.array([100, 6, 4000], float)
+    bins = []
+    for length in sorted(counts, reverse=True):
+        demand = np.array([length, 1, length**2], float)
+        for _ in range(counts[length]):
+            fits = [b for b in bins if (b >= demand).all()]
+            if fits:
+                best = min(fits, key=lambda b: (np.array(weights) * ((b - demand) / most) ** 2).sum())
+                best -= demand
+            else:
+                bins.append(most - demand)
+    runs = P.plan(counts, capacity, weights)
+    assert abs(int((runs["sequence"] + runs["n"]).max()) - len(bins)) <= 1
