@@ -37,7 +37,7 @@ CUTOFF = 0.3
 STEPS = 25
 RIDGE = 1e-4
 #: Bins of the scores that the prior is estimated from, and the share of positives that must lie above a cut.
-BINS, LEAST_SHARE = 512, 0.1
+BINS, LEAST_SHARE = 512, 0.5
 FEATURES = ("log_words", "word_length", "capitals", "symbols", "bangs", "digits", "bars", "lines", "stops", "commas", "distinct", "repeated_lines", "beyond_ascii", "short_words", "blank_runs")
 
 
@@ -143,24 +143,26 @@ def minimised(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, w: np.ndarra
 def estimated_prior(rows: DataFrame, mean: np.ndarray, scale: np.ndarray) -> float:
     """Share of good ones among all rows, from the positives and the unlabelled alone.
 
-    Of all cuts of the score, the one whose ratio of shares has the lowest upper bound (two standard errors). Half of
-    the rows teach the ranking, the other half are counted, so that no row is ranked by what was learned from it.
+    Of all cuts of the score, the one whose ratio of shares has the lowest upper bound (two standard errors). Each half
+    of the rows is counted under a ranking learned from the other half, so that no row is ranked by what was learned
+    from it; the result is the mean of both.
     """
-    second = F.pmod(F.floor(text_crc32(F.col("doc_id")) / FOLDS), F.lit(2)) == 1
+    half = F.pmod(F.floor(text_crc32(F.col("doc_id")) / FOLDS), F.lit(2))
     apart = lambda s: (0.5 * (s["P+"] + s["U-"]), 0.5 * (s["Ps"] - s["Px"] + s["Us"]), 0.5 * (s["Ph"] + s["Uh"]))
-    w = minimised(rows.filter(~second), mean, scale, np.zeros(len(FEATURES) + 1), apart)
-    told = rows.filter(second).select(F.floor(score((mean, scale, w, 0.5)) * (BINS - 1e-6)).cast("int").alias("bin"), "label")
-    counts = np.zeros((2, BINS))
-    for r in told.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("p")).collect():  # a row for each bin
-        counts[:, r["bin"]] = r["n"], r["p"]
-    above = np.cumsum(counts[:, ::-1], axis=1)
-    size = above[:, -1:].copy()
-    if not size.all():
-        return 0.5
-    above = (above / size)[:, above[1] >= LEAST_SHARE * size[1]]
-    ratio = above[0] / above[1]
-    error = np.sqrt(((1 - above) / (above * size)).sum(axis=0))
-    return float(ratio[np.argmin(ratio * (1 + 2 * error))])
+    found = []
+    for k in (0, 1):
+        w = minimised(rows.filter(half == k), mean, scale, np.zeros(len(FEATURES) + 1), apart)
+        told = rows.filter(half != k).select(F.floor(score((mean, scale, w, 0.5)) * (BINS - 1e-6)).cast("int").alias("bin"), "label")
+        counts = np.zeros((2, BINS))
+        for r in told.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("p")).collect():  # a row for each bin
+            counts[:, r["bin"]] = r["n"], r["p"]
+        above = np.cumsum(counts[:, ::-1], axis=1)
+        size = above[:, -1:].copy()
+        if size.all():
+            above = (above / size)[:, above[1] >= LEAST_SHARE * size[1]]
+            ratio, error = above[0] / above[1], np.sqrt(((1 - above) / (above * size)).sum(axis=0))
+            found.append(float(ratio[np.argmin(ratio * (1 + 2 * error))]))
+    return float(np.mean(found)) if found else 0.5
 
 
 def fit(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, float] | None:
