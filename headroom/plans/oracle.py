@@ -454,10 +454,8 @@ SQL: dict[str, tuple[str, tuple[str, ...]]] = {
         (),
     ),
     "ingest_stream": (
-        f"""SELECT * FROM (WITH points AS (SELECT itemid, clock, max(struct_pack(num := num, lo := value_min, av := value_avg)).av a FROM trend GROUP BY itemid, clock),
-        rows AS (SELECT metric, hostid, clock, {_CLIP("CASE WHEN transform = 'invert_100' THEN 100 - a ELSE a END")} v FROM points JOIN selected USING (itemid) WHERE source = 'target')
-        SELECT metric, hostid, n, hours, days, p95_mean FROM (SELECT metric, hostid, count(*) n, count(DISTINCT clock) AS hours FROM rows GROUP BY ALL)
-        JOIN (SELECT metric, hostid, count(*) AS days, round(avg(p), 6) p95_mean FROM (SELECT metric, hostid, CAST(clock AS DATE) d, quantile_cont(v, 0.95) p FROM rows GROUP BY ALL) GROUP BY ALL) USING (metric, hostid))""",
+        """SELECT metric, hostid, count(*) n, count(DISTINCT clock) AS hours, count(DISTINCT CAST(clock AS DATE)) AS days FROM (SELECT DISTINCT itemid, clock FROM trend) JOIN selected USING (itemid)
+        WHERE source = 'target' GROUP BY metric, hostid""",
         ("trend", "selected"),
     ),
 }
