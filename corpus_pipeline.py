@@ -2,6 +2,12 @@
 
 Every stage works on all that the one before kept, and is written as Parquet and read again in
 between, so a lost executor costs at most the stage that runs.
+
+Defined cases: documents with null or empty texts fail the rules; null sources, languages and ids are
+kept; repeated rows and copies leave one document; of equal doc_ids the first row stays; documents that
+the mix takes several times are packed as often; very long texts pass every stage whole; an empty
+documents or labels table is no error, and an empty one gives an empty result; extra columns of
+documents are dropped by the first stage.
 """
 
 from __future__ import annotations

@@ -6,18 +6,25 @@ import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from headroom.llm import credentials, packing
+from headroom.llm import credentials, packing, simhash
 
 from .test_mixing import brute_targets
 from .test_rules import brute as brute_counts
-from .test_simhash import brute_components
 
 
 def brute(rows):
     """What the first three stages keep, without labels: (doc_id, source, masked text)."""
     kept = [r for r in rows if not brute_counts(r[1])[-1]]
-    least, of = {}, brute_components([(r[0], r[1]) for r in kept])
-    component = {d: c for d, _, c in of}
+    least, prints = {}, {}
+    for r in kept:
+        prints[r[0]] = simhash.wide_fingerprint(r[1])
+    component = {r[0]: r[0] for r in kept}
+    for a in prints:
+        for b in prints:
+            x, y = (u ^ v for u, v in zip(prints[a], prints[b]))
+            if x.bit_count() <= simhash.STAGE_BUDGET and x.bit_count() + y.bit_count() <= simhash.STAGE_TOTAL and component[a] != component[b]:
+                low, high = sorted((component[a], component[b]))
+                component = {k: low if v == high else v for k, v in component.items()}
     for r in kept:
         least.setdefault(component[r[0]], r)
     out = []
@@ -62,6 +69,16 @@ def test_run_matches_brute_force(spark, tmp_path):
     assert all(abs(taken[s] - target[s]) <= max(size.values()) for s in totals)
 
 
+def test_nothing(spark, tmp_path):
+    d = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, d).count() == 0
+    assert corpus_pipeline.run(spark, d).count() == 0
+
+
 def test_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "near-dedup", "secret scan", "source mixing", "packing"]
     kinds = "doc_id long, text string, lang string, source string, n_chars long, extra string, copies int"
