@@ -17,7 +17,6 @@ SERVICE_HINTS = ("zabbix", "grafana", "victoria", "victoriametrics", "vminsert",
 
 IGNORED = ("/proc/", "/sys/", "/dev/", "/run/", "/tmp/")
 BARE = ("/", "/var", "/etc", "/usr", "/opt")
-CERTIFICATE_HINTS = ("ssl", "cert", "pki", "ca", "tls")
 
 
 def _ends(low: Column, *ends: str) -> Column:
@@ -41,6 +40,39 @@ def _has(low: Column, *parts: str) -> Column:
     return out
 
 
+# Kinds of paths by their ends, starts and parts, the first rule that holds.
+Rule = tuple[str, tuple[str, ...], tuple[str, ...], tuple[str, ...]]
+ITEM_RULES: tuple[Rule, ...] = (
+    ("log_like", (".log", ".out", ".err"), ("/var/log/",), ()),
+    ("config_like", (".conf", ".ini", ".yaml", ".yml", ".json", ".toml", ".cnf", ".service"), ("/etc/",), ()),
+    ("certificate_like", (".crt", ".pem", ".key", ".cer"), ("/etc/ssl/", "/etc/pki/"), ("/cert",)),
+    ("binary_like", (), (), ("/bin/", "/sbin/")),
+    ("data_like", (), (), ("/var/lib/", "data", "pg_wal", "tablespace", "victoria-metrics-data")),
+)
+FILE_RULES: tuple[Rule, ...] = (
+    ("cert_file", (".crt", ".cer", ".pem", ".der", ".key", ".p12", ".pfx"), (), ()),
+    ("log_file", (".log",), (), ("/log/", "/logs/", ".log.")),
+    ("config_file", (".conf", ".ini", ".cfg", ".yaml", ".yml", ".json", ".xml", ".properties", ".service", ".target", ".socket", ".timer", ".mount", ".slice"), ("/etc",), ()),
+    ("binary_file", (".sh", ".py", ".pl", ".rb"), ("/bin/", "/sbin/", "/usr/bin/", "/usr/sbin/", "/usr/local/bin/", "/usr/local/sbin/"), ()),
+    ("data_file", (), ("/var/lib", "/var/opt", "/var/www", "/srv", "/home", "/opt"), ()),
+)
+CERTIFICATE_RULES: tuple[Rule, ...] = (("certificate_like", (".crt", ".pem", ".key", ".csr", ".pfx", ".p12", ".cer"), (), ("ssl", "cert", "pki", "ca", "tls")),)
+DUMP_RULES: tuple[Rule, ...] = (
+    ("config", (), ("/etc",), ()),
+    ("data", (), ("/var/lib", "/srv", "/data"), ()),
+    ("binary", (), ("/usr/bin", "/usr/sbin", "/bin", "/sbin", "/opt"), ()),
+)
+DUMP_CERTIFICATES, DUMP_CERTIFICATE_PARTS, DUMP_LOGS = (".crt", ".pem", ".cer", ".key", ".pfx"), ("ssl", "pki", "certs", "cert"), (".log", ".gz", ".journal")
+
+
+def kind_by(rules: tuple[Rule, ...], path: Column, other: Column) -> Column:
+    """The kind of the first rule of which an end, a start or a part is that of the path."""
+    out = other
+    for kind, ends, starts, parts in reversed(rules):
+        out = F.when(_ends(path, *ends) | _starts(path, *starts) | _has(path, *parts), kind).otherwise(out)
+    return out
+
+
 def safe_path(p: Column) -> Column:
     return p.startswith("/") & ~p.isin(*BARE) & ~_starts(p, *IGNORED)
 
@@ -52,34 +84,17 @@ def item_paths(*texts: Column) -> Column:
 
 
 def item_path_kind(p: Column) -> Column:
-    low = F.lower(p)
-    return (
-        F.when(low.startswith("/var/log/") | _ends(low, ".log", ".out", ".err"), "log_like")
-        .when(low.startswith("/etc/") | _ends(low, ".conf", ".ini", ".yaml", ".yml", ".json", ".toml", ".cnf", ".service"), "config_like")
-        .when(low.contains("/cert") | _ends(low, ".crt", ".pem", ".key", ".cer") | _starts(low, "/etc/ssl/", "/etc/pki/"), "certificate_like")
-        .when(_has(low, "/bin/", "/sbin/"), "binary_like")
-        .when(_has(low, "/var/lib/", "data", "pg_wal", "tablespace", "victoria-metrics-data"), "data_like")
-        .otherwise("other")
-    )
+    return kind_by(ITEM_RULES, F.lower(p), F.lit("other"))
 
 
 def certificate_kind(p: Column, kind: Column) -> Column:
     """certificate_like by extension or hint anywhere in the path, else the given kind."""
-    low = F.lower(F.coalesce(p, F.lit("")))
-    return F.when(_ends(low, ".crt", ".pem", ".key", ".csr", ".pfx", ".p12", ".cer") | _has(low, *CERTIFICATE_HINTS), "certificate_like").otherwise(F.coalesce(kind, F.lit("")))
+    return kind_by(CERTIFICATE_RULES, F.lower(F.coalesce(p, F.lit(""))), F.coalesce(kind, F.lit("")))
 
 
 def file_kind(path: Column) -> Column:
     """Kind of a verified file."""
-    low = F.lower(F.trim(F.coalesce(path, F.lit(""))))
-    return (
-        F.when(_ends(low, ".crt", ".cer", ".pem", ".der", ".key", ".p12", ".pfx"), "cert_file")
-        .when(_has(low, "/log/", "/logs/", ".log.") | low.endswith(".log"), "log_file")
-        .when(low.startswith("/etc") | _ends(low, ".conf", ".ini", ".cfg", ".yaml", ".yml", ".json", ".xml", ".properties", ".service", ".target", ".socket", ".timer", ".mount", ".slice"), "config_file")
-        .when(_starts(low, "/bin/", "/sbin/", "/usr/bin/", "/usr/sbin/", "/usr/local/bin/", "/usr/local/sbin/") | _ends(low, ".sh", ".py", ".pl", ".rb"), "binary_file")
-        .when(_starts(low, "/var/lib", "/var/opt", "/var/www", "/srv", "/home", "/opt"), "data_file")
-        .otherwise("other")
-    )
+    return kind_by(FILE_RULES, F.lower(F.trim(F.coalesce(path, F.lit("")))), F.lit("other"))
 
 
 def directory_kind(kind: Column) -> Column:
@@ -87,22 +102,12 @@ def directory_kind(kind: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(f"{k}_{x}") for k in known for x in ("file", "dir")]), kind), F.lit("other"))
 
 
-# Fixed value: certificate files of command dumps.
-DUMP_CERTIFICATES = (".crt", ".pem", ".cer", ".key", ".pfx")
-
-
 def dump_kind(p: Column) -> Column:
     """Kind of a path of a command dump: certificate, log, config, data, binary, other."""
     suffix = F.lower(F.regexp_extract(F.regexp_extract(p, r"([^/]*)/*$", 1), r"^.+(\.[^.]+)$", 1))
     parts = F.transform(F.split(p, "/"), lambda x: F.lower(x))
-    return (
-        F.when(suffix.isin(*DUMP_CERTIFICATES) | F.arrays_overlap(parts, F.array(*map(F.lit, ("ssl", "pki", "certs", "cert")))), "certificate")
-        .when(p.contains("var/log") | suffix.isin(".log", ".gz", ".journal"), "log")
-        .when(p.startswith("/etc"), "config")
-        .when(_starts(p, "/var/lib", "/srv", "/data"), "data")
-        .when(_starts(p, "/usr/bin", "/usr/sbin", "/bin", "/sbin", "/opt"), "binary")
-        .otherwise("other")
-    )
+    certificate = suffix.isin(*DUMP_CERTIFICATES) | F.arrays_overlap(parts, F.array(*map(F.lit, DUMP_CERTIFICATE_PARTS)))
+    return F.when(certificate, "certificate").when(p.contains("var/log") | suffix.isin(*DUMP_LOGS), "log").otherwise(kind_by(DUMP_RULES, p, F.lit("other")))
 
 
 def parent(p: Column) -> Column:
