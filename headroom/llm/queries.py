@@ -21,6 +21,7 @@ from .sharding import op9_kd_tree_sharding
 from .simhash import op2_simhash_near_dedup
 from .turntrie import op13_conversation_prefix_trie
 from .turntrie import oracle_sql as turntrie_sql
+from .webpages import op11_html_extraction
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +38,7 @@ def queries() -> dict[str, Query]:
         "op8_media_chunking": op8_media_chunking,
         "op9_kd_tree_sharding": op9_kd_tree_sharding,
         "op10_best_fit_packing": op10_best_fit_packing,
+        "op11_html_extraction": op11_html_extraction,
         "op12_hard_negatives": op12_hard_negatives,
         "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
     }
