@@ -12,10 +12,6 @@ losing a link. Node pairs are visited by the bits they differ in, and links are
 at once: node pairs within one tree of it are dropped, so that a group of near copies costs neither
 memory nor time for all its pairs.
 
-Fingerprints may have a second word of 64 bits for a wider budget: the trie is that of the first, and
-a pair links if it also keeps the budget of both words together. Chance links, which 64 bits no longer
-exclude at a wide budget, so stay out.
-
 Defined cases: null text is the empty text; texts without words have fingerprint zero and link like
 any other; rows with equal text always share a component; ties (equal doc_ids) are kept apart by their
 rows; null doc_ids are kept, and a component whose doc_ids are all null has a null component_id;
@@ -35,21 +31,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT_COLUMNS, cut, read, signed, with_row_key
+from .common import cut, forget, read, signed
 
 SHINGLE = 3
 BUDGET = 3
 HASH_SEED = 42
 #: Distinct fingerprints that one head may hold before it is cut again.
 HEAD_LIMIT = 20_000
-#: The pipeline's stage: shingles of five words in two words of 64 bits. At a Jaccard similarity of 0.8 a bit differs
-#: with probability acos(2 * 0.8 / 1.8) / pi = 0.15: 9.7 of 64 and 19.4 of 128 bits on average.
-STAGE_SHINGLE, STAGE_BUDGET, STAGE_TOTAL = 5, 9, 22
 #: Microseconds that a head's row and a pair of fingerprints in one head cost, about, as measured; rows count more for the disk that they take.
 ROW_COST, PAIR_COST = 3.0, 0.1
 
 
-def _majority(hashes: np.ndarray) -> np.ndarray:
+def majority(hashes: np.ndarray) -> np.ndarray:
     """The bits set in over half of the hashes (rows of 64-bit words), in slices of bounded memory."""
     total = np.zeros(hashes.shape[1] * 64, np.int64)
     for k in range(0, len(hashes), 1 << 16):
@@ -57,7 +50,7 @@ def _majority(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(total * 2 > len(hashes), bitorder="little").view("<u8")
 
 
-def _shingles(text: str | None, shingle: int) -> list[bytes]:
+def shingles(text: str | None, shingle: int) -> list[bytes]:
     words = (text or "").encode().lower().split()  # bytes: ASCII letters and ASCII blanks only
     joined = b" ".join(words)
     if len(words) <= shingle:
@@ -71,16 +64,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """SimHash of the word shingles of a text, as an unsigned 64-bit number."""
     from xxhash import xxh64_intdigest as digest
 
-    parts = _shingles(text, shingle)
-    return int(_majority(np.array([[digest(p, HASH_SEED)] for p in parts], "<u8"))[0]) if parts else 0
-
-
-def wide_fingerprint(text: str | None, shingle: int = STAGE_SHINGLE) -> tuple[int, int]:
-    """SimHash of 128 bits, as two words."""
-    from xxhash import xxh3_128_digest as digest
-
-    parts = _shingles(text, shingle)
-    return tuple(map(int, _majority(np.frombuffer(b"".join([digest(p, HASH_SEED) for p in parts]), "<u8").reshape(-1, 2)))) if parts else (0, 0)
+    parts = shingles(text, shingle)
+    return int(majority(np.array([[digest(p, HASH_SEED)] for p in parts], "<u8"))[0]) if parts else 0
 
 
 def simhash(text):
@@ -93,16 +78,6 @@ def simhash(text):
     return of(text)
 
 
-def wide_simhash(text, shingle: int = STAGE_SHINGLE):
-    """Column of structs (fp, rest) of longs."""
-
-    @F.pandas_udf("fp long, rest long")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([tuple(map(signed, wide_fingerprint(t, shingle))) for t in texts], columns=["fp", "rest"], dtype="int64")
-
-    return of(text)
-
-
 def head_masks(blocks: int, exact: int, bits: list[int]) -> list[int]:
     """Masks of the heads: every choice of `exact` out of `blocks` nearly equal runs of the given bit places."""
     parts = [sum(1 << int(b) for b in p) for p in np.array_split(np.array(bits), blocks)]
@@ -116,20 +91,19 @@ def masks_for(n: int, budget: int) -> list[int]:
     return head_masks(budget + exact, exact, list(range(64)))
 
 
-def trie_links(group: np.ndarray, fp: np.ndarray, budget: int, rest: np.ndarray | None = None, total: int = 0, ids: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Self-join of one trie for each group; returns a spanning forest of the links, as (id, root). ids: of the fingerprints, else these."""
-    ids = fp if ids is None else ids
+def trie_links(group: np.ndarray, fp: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Self-join of one trie for each group; returns a spanning forest of the links, as (fingerprint, root)."""
     order = np.lexsort((fp, group))
-    group, fp, ids, rest = group[order], fp[order], ids[order], None if rest is None else rest[order]
+    group, fp = group[order], fp[order]
     starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.empty(0, int)
     ends = np.append(starts[1:], len(group))
     keep = ends - starts > 1
-    root = _descend(fp, rest, starts[keep], ends[keep], budget, total)
+    root = _descend(fp, starts[keep], ends[keep], budget)
     moved = np.flatnonzero(root != np.arange(len(root)))
-    return ids[moved], ids[root[moved]]
+    return fp[moved], fp[root[moved]]
 
 
-def _descend(fp: np.ndarray, rest: np.ndarray | None, lo: np.ndarray, hi: np.ndarray, budget: int, total: int, leaf: int = 128, most: int = 200_000) -> np.ndarray:
+def _descend(fp: np.ndarray, lo: np.ndarray, hi: np.ndarray, budget: int, leaf: int = 128, most: int = 200_000) -> np.ndarray:
     """Root of each fingerprint in the forest of links. A node is a range of the sorted fingerprints; node pairs that differ in few bits come first."""
     root = np.arange(len(fp))
     todo: dict[tuple[int, int], list[np.ndarray]] = {(0, 63): [np.stack([lo, hi, lo, hi])]}
@@ -151,9 +125,6 @@ def _descend(fp: np.ndarray, rest: np.ndarray | None, lo: np.ndarray, hi: np.nda
                 for k in np.unique(steps):
                     i, j = _leaf_pairs(own[:, steps == k])
                     near = np.bitwise_count(fp[i] ^ fp[j]) <= budget
-                    if rest is not None:
-                        i, j = i[near], j[near]
-                        near = np.bitwise_count(fp[i] ^ fp[j]) + np.bitwise_count(rest[i] ^ rest[j]) <= total
                     root = _roots(root, i[near], j[near])
                 pairs = pairs[:, ~small]
                 if not pairs.shape[1]:
@@ -220,16 +191,11 @@ def _longer(heads: DataFrame, hot: DataFrame, budget: int) -> DataFrame:
     return heads.join(inner, ["m", "v"]).select(*[c for c in heads.columns if c not in ("m", "v")], F.xxhash64("m", "v", "mask").alias("m"), F.col("fp").bitwiseAND(F.col("mask")).alias("v"))
 
 
-def near_links(prints: DataFrame, budget: int = BUDGET, head_limit: int = HEAD_LIMIT, total: int | None = None) -> DataFrame:
-    """(a, b): a spanning forest of the links within each head, over the distinct fingerprints of column fp.
-
-    With `total`, prints has the columns id, fp and rest (the second word); links then are between ids.
-    """
-    wide = total is not None
-    own = ["id", "fp", "rest"] if wide else ["fp"]
+def near_links(prints: DataFrame, budget: int = BUDGET, head_limit: int = HEAD_LIMIT) -> DataFrame:
+    """(a, b): a spanning forest of the links within each head, over the distinct fingerprints of column fp."""
     masks = masks_for(prints.count(), budget)
     entry = F.explode(F.array(*[F.struct(F.lit(k).cast("long").alias("m"), F.col("fp").bitwiseAND(F.lit(signed(m)).cast("long")).alias("v")) for k, m in enumerate(masks)]))
-    heads = prints.select(*own, entry.alias("h")).select(*own, "h.m", "h.v")
+    heads = prints.select("fp", entry.alias("h")).select("fp", "h.m", "h.v")
     varying = F.bit_or("fp").bitwiseAND(F.bitwise_not(F.bit_and("fp"))).alias("varying")
     while True:
         hot = heads.groupBy("m", "v").agg(F.count(F.lit(1)).alias("n"), varying).filter(F.col("n") > head_limit)
@@ -237,7 +203,7 @@ def near_links(prints: DataFrame, budget: int = BUDGET, head_limit: int = HEAD_L
         hot = cut(hot.filter(F.bit_count("varying") > 2 * budget + 8), "simhash-hot")
         if not hot.limit(1).count():
             break
-        heads = cut(heads.join(hot, ["m", "v"], "left_anti").select(*own, "m", "v").unionByName(_longer(heads, hot, budget).select(*own, "m", "v")), "simhash-heads")
+        heads = cut(heads.join(hot, ["m", "v"], "left_anti").select("fp", "m", "v").unionByName(_longer(heads, hot, budget).select("fp", "m", "v")), "simhash-heads")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -249,22 +215,21 @@ def near_links(prints: DataFrame, budget: int = BUDGET, head_limit: int = HEAD_L
                 changes = np.flatnonzero((m[1:] != m[:-1]) | (v[1:] != v[:-1]))
                 if len(changes):  # what is before the last change is whole
                     last = int(changes[-1]) + 1
-                    yield _joined([*held, batch.slice(0, last)], budget, total)
+                    yield _joined([*held, batch.slice(0, last)], budget)
                     held = [batch.slice(last)]
                     continue
             held.append(batch)
         if held:
-            yield _joined(held, budget, total)
+            yield _joined(held, budget)
 
     dealt = heads.repartition("m", "v").sortWithinPartitions("m", "v")
-    return dealt.select(*own, "m", "v").mapInArrow(join, "a long, b long").distinct()
+    return dealt.select("fp", "m", "v").mapInArrow(join, "a long, b long").distinct()
 
 
-def _joined(batches: list[pa.RecordBatch], budget: int, total: int | None) -> pa.RecordBatch:
-    column = lambda c: np.concatenate([b.column(c).to_numpy() for b in batches])
-    m, v, fp = column("m"), column("v"), column("fp").view(np.uint64)
+def _joined(batches: list[pa.RecordBatch], budget: int) -> pa.RecordBatch:
+    m, v, fp = (np.concatenate([b.column(c).to_numpy() for b in batches]) for c in ("m", "v", "fp"))
     new = np.concatenate(([True], (m[1:] != m[:-1]) | (v[1:] != v[:-1])))
-    a, b = trie_links(np.cumsum(new), fp, budget) if total is None else trie_links(np.cumsum(new), fp, budget, column("rest").view(np.uint64), total, column("id").view(np.uint64))
+    a, b = trie_links(np.cumsum(new), fp.view(np.uint64), budget)
     return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
 
@@ -281,9 +246,11 @@ def connected(edges: DataFrame) -> DataFrame:
         low = both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("low", "a"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a > b").distinct()
         large = cut(large, "links")
+        forget(edges)
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(low.select("a", F.col("low").alias("b")))
         edges = cut(small.filter("a > b").distinct(), "links")
+        forget(large)
 
 
 def components(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
@@ -302,22 +269,6 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, budget: int = STAGE_BUDGET, total: int = STAGE_TOTAL, shingle: int = STAGE_SHINGLE) -> DataFrame:
-    """docs without all but one document of each component of wide fingerprints: the one of the smallest doc_id, and of the smallest row among equals."""
-    keyed = cut(with_row_key(docs, "__row").withColumn("__w", wide_simhash(F.col("text"), shingle)).withColumns({"__fp": F.col("__w.fp"), "__rest": F.col("__w.rest")}).drop("__w"), "dedup-docs")
-    narrow = keyed.select("doc_id", "__row", F.xxhash64("__fp", "__rest").alias("id"), F.col("__fp").alias("fp"), F.col("__rest").alias("rest"))
-    # one candidate for each fingerprint, so that copies meet before they are shuffled
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "__row")).alias("first")
-    best = cut(narrow.groupBy("id", "fp", "rest").agg(first), "dedup-first")
-    roots = connected(near_links(best.select("id", "fp", "rest"), budget, total=total))
-    kept = best.join(roots, best.id == roots.v, "left").groupBy(F.coalesce("root", "id")).agg(F.min("first").alias("first")).select(F.col("first.__row").alias("__row"))
-    return keyed.join(kept, "__row", "left_semi").select(*docs.columns)
-
-
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
-
-def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of near-duplicates by five-word shingles stays."""
-    return drop_near_duplicates(docs.select(*DOCUMENT_COLUMNS))

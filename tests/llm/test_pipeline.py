@@ -6,25 +6,17 @@ import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from headroom.llm import credentials, packing, simhash
+from headroom.llm import credentials, packing
 
 from .test_mixing import brute_targets
+from .test_neardup import brute_groups
 from .test_rules import brute as brute_counts
 
 
 def brute(rows):
     """What the first three stages keep, without labels: (doc_id, source, masked text)."""
     kept = [r for r in rows if not brute_counts(r[1])[-1]]
-    least, prints = {}, {}
-    for r in kept:
-        prints[r[0]] = simhash.wide_fingerprint(r[1])
-    component = {r[0]: r[0] for r in kept}
-    for a in prints:
-        for b in prints:
-            x, y = (u ^ v for u, v in zip(prints[a], prints[b]))
-            if x.bit_count() <= simhash.STAGE_BUDGET and x.bit_count() + y.bit_count() <= simhash.STAGE_TOTAL and component[a] != component[b]:
-                low, high = sorted((component[a], component[b]))
-                component = {k: low if v == high else v for k, v in component.items()}
+    least, component = {}, dict(zip((r[0] for r in kept), brute_groups([r[1] for r in kept])))
     for r in kept:
         least.setdefault(component[r[0]], r)
     out = []
