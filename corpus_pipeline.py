@@ -16,14 +16,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headroom.llm import credentials, mixing, packing, rules, simhash
+from headroom.llm import credentials, mixing, neardup, packing, rules
 from headroom.llm.common import cut, read
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", rules.stage),
-    ("near-dedup", simhash.stage),
+    ("near-dedup", neardup.stage),
     ("secret scan", credentials.stage),
     ("source mixing", mixing.stage),
     ("packing", packing.stage),
