@@ -15,6 +15,8 @@ BLANKS = r"[\x20\x09-\x0D]+"
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 _own_folder: list[str] = []
+#: Folders that cut() has written and forget() hasn't deleted.
+_written: list[str] = []
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -48,6 +50,7 @@ def cut(df: DataFrame, name: str, block_mb: int = 128) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     fs, p = _file_system(spark, path)
     fs.deleteOnExit(p)
+    _written.append(path)
     df.write.option("compression", "zstd").option("parquet.block.size", block_mb << 20).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -57,6 +60,21 @@ def forget(df: DataFrame) -> None:
     if files := df.inputFiles():
         fs, p = _file_system(df.sparkSession, files[0].rsplit("/", 1)[0])
         fs.delete(p, True)
+        _written[:] = [w for w in _written if w.rpartition("/")[2] != p.getName()]
+
+
+def tables_so_far() -> list[str]:
+    return list(_written)
+
+
+def forget_tables(spark: SparkSession, paths: list[str], read_by: DataFrame) -> None:
+    """Delete tables of cut() by their paths, but for those that read_by reads."""
+    used = {f.rsplit("/", 2)[-2] for f in read_by.inputFiles()}
+    for path in paths:
+        if path in _written and path.rpartition("/")[2] not in used:
+            fs, p = _file_system(spark, path)
+            fs.delete(p, True)
+            _written.remove(path)
 
 
 def words_of(text: Column) -> Column:
@@ -86,13 +104,15 @@ def number_within(df: DataFrame, keys: list[str], row: str, out: str, rows_per_t
     return joined.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("l.__rank") + F.col("r.__start")).cast("long").alias(out))
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, spread: str, salts: int = 16, least: int = 2000) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, key: str, spread: str, salts: int = 16, least: int = 2000, counts: DataFrame | None = None) -> DataFrame:
     """Inner join on key where left may hold very many rows of one key: these are dealt to `salts` tasks by the column
-    spread, and their partners in right (few rows a key) are repeated. left is read twice (see cut()).
+    spread, and their partners in right (few rows a key) are repeated. left is read twice (see cut()), but for `counts`,
+    the rows of left by key (key, __n), where they are known.
 
     A key is heavy from a 5,000th of all rows on, so at most 5,000 keys are broadcast.
     """
-    heavy = left.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > max(least, left.count() // 5000)).select(key, F.lit(True).alias("__heavy"))
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("__n")) if counts is None else counts
+    heavy = counts.filter(F.col("__n") > max(least, left.count() // 5000)).select(key, F.lit(True).alias("__heavy"))
     salt = F.when(F.col("__heavy"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
     every = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     dealt = left.join(F.broadcast(heavy), key, "left").withColumn("__salt", salt).drop("__heavy")

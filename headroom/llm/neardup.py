@@ -3,7 +3,9 @@
 Documents with the same set of shingles are one from the start. Of the rest, those meet in a bucket whose
 fingerprints are linked by the trie self-join (see simhash), or whose least hashes agree in a band:
 SimHash alone finds about half of the pairs of a Jaccard similarity of 0.8, 36 bands of 9 least hashes
-find 0.994 of them. A pair links if its sets of shingles have the similarity; nothing links unverified.
+find 0.994 of them. A pair of a bucket is compared in full unless four bits of each of 320 least hashes
+differ more often than those of 0.9987 of the pairs of that similarity do. It links if its sets of
+shingles have the similarity; nothing links unverified.
 
 No bucket is taken apart into all its pairs at once. In a round some of its members, its centres, are
 compared with those that are not yet in one group with them; then links are folded into groups, the
@@ -24,7 +26,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import DOCUMENT_COLUMNS, cut, forget, salted_join, signed, with_row_key
@@ -34,7 +36,9 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: At a similarity of 0.8 a band of 9 least hashes agrees with probability 0.134; one of 36 does with 0.994.
 BANDS, ROWS = 36, 9
 #: Centres of a bucket in the rounds; the last goes on.
-CENTRES = (1, 16, 64, 256)
+CENTRES = (1, 16, 64)
+#: Words of 64 least hashes of which a sketch keeps so many bits each.
+WORDS, PLANES = 5, 4
 
 _factors = np.random.default_rng(HASH_SEED).integers(0, 1 << 32, (2, BANDS * ROWS, 1), np.uint32)
 _TIMES, _PLUS = _factors[0] | 1, _factors[1]
@@ -56,29 +60,48 @@ def least_hashes(distinct: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketch(text: str | None) -> tuple[int, int, int, int, list[int]]:
-    """(two words that tell the set of shingles, its size, fingerprint, keys of the bands)."""
+def planes_of(least: np.ndarray) -> np.ndarray:
+    """The low bits of the least hashes: a word of 64 of them and then the next bit of the same 64, as longs."""
+    low = least[: 64 * WORDS].reshape(WORDS, 1, 64) >> np.arange(PLANES, dtype=np.uint32)[:, None] & 1
+    return np.packbits(low.astype(np.uint8), axis=2, bitorder="little").view("<i8").ravel()
+
+
+def differing(a: Column, b: Column) -> Column:
+    """How many of the least hashes of two sketches differ in the bits that these keep."""
+    at = lambda c, k: F.get(c, F.lit(k))
+    words = [reduce(Column.bitwiseOR, [at(a, w * PLANES + p).bitwiseXOR(at(b, w * PLANES + p)) for p in range(PLANES)]) for w in range(WORDS)]
+    return reduce(Column.__add__, map(F.bit_count, words))
+
+
+def most_differing(similarity: float) -> int:
+    """Three deviations above what a pair of that similarity is expected to differ in."""
+    each = (1 - similarity) * (1 - 0.5**PLANES)
+    return int(64 * WORDS * each + 3 * (64 * WORDS * each * (1 - each)) ** 0.5)
+
+
+def sketch(text: str | None) -> tuple[int, int, int, int, list[int], list[int]]:
+    """(two words that tell the set of shingles, its size, fingerprint, keys of the bands, bits of the least hashes)."""
     from xxhash import xxh3_64_intdigest as short
     from xxhash import xxh3_128_intdigest as digest
 
     every = hashes_of(text)
     distinct = np.unique(every)
     if not len(distinct):
-        return 0, 0, 0, 0, []
-    whole, least = digest(distinct.tobytes()), least_hashes(distinct).reshape(BANDS, ROWS)
+        return 0, 0, 0, 0, [], []
+    whole, least = digest(distinct.tobytes()), least_hashes(distinct)
     fingerprint = int(majority(every.reshape(-1, 1))[0])
-    return signed(whole >> 64), signed(whole & (1 << 64) - 1), len(distinct), signed(fingerprint), [signed(short(row.tobytes(), seed=k)) for k, row in enumerate(least)]
+    return signed(whole >> 64), signed(whole & (1 << 64) - 1), len(distinct), signed(fingerprint), [signed(short(row.tobytes(), seed=k)) for k, row in enumerate(least.reshape(BANDS, ROWS))], planes_of(least).tolist()
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = list(zip(*[sketch(t.as_py()) for t in batch.column("text")])) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            made = list(zip(*[sketch(t.as_py()) for t in batch.column("text")])) or [[]] * 6
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("__row"), batch.column("doc_id"), *[pa.array(m, k) for m, k in zip(made, kinds)]], names)
 
-    names = ["__row", "doc_id", "one", "two", "n", "fp", "bands"]
-    return docs.select("__row", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "__row long, doc_id long, one long, two long, n long, fp long, bands array<long>")
+    names = ["__row", "doc_id", "one", "two", "n", "fp", "bands", "planes"]
+    return docs.select("__row", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "__row long, doc_id long, one long, two long, n long, fp long, bands array<long>, planes array<long>")
 
 
 def _alike(similarity: float):
@@ -115,41 +138,48 @@ def buckets_of(reps: DataFrame) -> DataFrame:
 
 
 def groups(reps: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(v, root) of every distinct document that is linked to another one and isn't its group's root."""
+    """(v, root) of every distinct document (id, n, fp, bands, planes) that is linked to another one and isn't its group's root."""
     every = cut(buckets_of(reps), "near-buckets")
-    members = every.withColumn("root", F.col("id"))
+    shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    shared = cut(shared, "near-shared")
+    some = salted_join(every, shared.select("bucket"), "bucket", "id", counts=shared).withColumn("root", F.col("id"))
+    members = cut(some.join(reps.select("id", "planes"), "id"), "near-members")
+    forget(every)
+    forget(shared)
     links: list[DataFrame] = []
     tested: list[DataFrame] = []
     roots = None
     for k in range(1 << 30):
-        if roots is not None:
-            before = members
-            members = cut(before.drop("root").join(roots, F.col("id") == F.col("v"), "left").withColumn("root", F.coalesce("root", "id")).drop("v"), "near-members")
-            forget(before)
-        open_ = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-        rest = cut(salted_join(members, open_, "bucket", "id"), "near-rest")
-        forget(every if roots is None else members)
+        open_ = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("__n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+        open_ = cut(open_.select("bucket", "__n"), "near-open")
+        rest = cut(salted_join(members, open_.select("bucket"), "bucket", "id", counts=open_), "near-rest")
+        forget(members)
         order = Window.partitionBy("bucket").orderBy("id" if not k else F.xxhash64("id", F.lit(k)), "id")
         centres = rest.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= CENTRES[min(k, len(CENTRES) - 1)])
-        centres = cut(centres.groupBy("bucket").agg(F.collect_list(F.struct("id", "n", "root")).alias("centres")), "near-centres")
+        centres = cut(centres.groupBy("bucket").agg(F.collect_list(F.struct("id", "n", "root", "planes")).alias("centres")), "near-centres")
         if not centres.limit(1).count():
-            forget(rest)
             break
-        met = salted_join(rest, centres, "bucket", "id").withColumn("centre", F.array_contains(F.transform("centres", lambda c: c.id), F.col("id")))
-        one = met.select("id", "n", "root", "centre", F.explode("centres").alias("c")).filter((F.col("root") != F.col("c.root")) & (~F.col("centre") | (F.col("id") > F.col("c.id"))))
-        # no pair is more alike than its sizes
-        fits = F.least("n", "c.n") >= similarity * F.greatest("n", "c.n")
-        pairs = one.filter(fits).select(F.greatest("id", "c.id").alias("a"), F.least("id", "c.id").alias("b")).distinct()
+        # no pair is more alike than its sizes; of two centres each is the other's, once
+        near = lambda c: differing(F.col("planes"), c.planes) <= most_differing(similarity)
+        fits = lambda c: (c.root != F.col("root")) & (F.least("n", c.n) >= similarity * F.greatest("n", c.n)) & (~F.col("centre") | (F.col("id") > c.id)) & near(c)
+        met = salted_join(rest, centres, "bucket", "id", counts=open_).withColumn("centre", F.array_contains(F.transform("centres", lambda c: c.id), F.col("id")))
+        one = met.select("id", F.explode(F.transform(F.filter("centres", fits), lambda c: c.id)).alias("c"))
+        pairs = one.select(F.greatest("id", "c").alias("a"), F.least("id", "c").alias("b")).distinct()
         if tested:
             pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
         pairs = cut(pairs, "near-pairs")
         tested.append(pairs)
         links.append(cut(verified(pairs, texts, similarity), "near-links"))
+        if roots is not None:
+            forget(roots)
         roots = connected(reduce(DataFrame.unionByName, links))
         gone = centres.select("bucket", F.explode("centres.id").alias("id"))
-        members = cut(rest.join(gone, ["bucket", "id"], "left_anti"), "near-members")
-        forget(rest)
-        forget(centres)
+        left = rest.join(gone, ["bucket", "id"], "left_anti").drop("root").join(roots, F.col("id") == F.col("v"), "left")
+        members = cut(left.withColumn("root", F.coalesce("root", "id")).drop("v"), "near-members")
+        for table in (rest, centres, open_):
+            forget(table)
+    for table in (rest, centres, open_, *links, *tested):
+        forget(table)
     return roots if roots is not None else reps.sparkSession.createDataFrame([], "v long, root long")
 
 
@@ -157,11 +187,13 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     """docs without all but one document of each group of near-duplicates: the one of the smallest doc_id, and of the smallest row among equals."""
     keyed = cut(with_row_key(docs, "__row"), "dedup-docs")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("first")
-    reps = _sketched(keyed).groupBy("one", "two", "n").agg(first, F.first("fp").alias("fp"), F.first("bands").alias("bands"))
-    reps = cut(reps.select(F.col("first.__row").alias("id"), "first", "n", "fp", "bands"), "dedup-first")
+    reps = _sketched(keyed).groupBy("one", "two", "n").agg(first, F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
+    reps = cut(reps.select(F.col("first.__row").alias("id"), "first", "n", "fp", "bands", "planes"), "dedup-first")
     roots = groups(reps, keyed.select(F.col("__row").alias("id"), "text"), similarity)
     kept = reps.join(roots, reps.id == roots.v, "left").groupBy(F.coalesce("root", "id")).agg(F.min("first").alias("first")).select(F.col("first.__row").alias("__row"))
-    return keyed.join(cut(kept, "dedup-kept"), "__row", "left_semi").select(*docs.columns)
+    kept = cut(kept, "dedup-kept")
+    forget(reps)
+    return keyed.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
