@@ -36,7 +36,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: At a similarity of 0.8 a band of 9 least hashes agrees with probability 0.134; one of 36 does with 0.994.
 BANDS, ROWS = 36, 9
 #: Centres of a bucket in the rounds; the last goes on.
-CENTRES = (1, 16, 64)
+CENTRES = (1, 16, 128, 1024)
 #: Words of 64 least hashes of which a sketch keeps so many bits each.
 WORDS, PLANES = 5, 4
 
@@ -170,9 +170,10 @@ def groups(reps: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) ->
         pairs = cut(pairs, "near-pairs")
         tested.append(pairs)
         links.append(cut(verified(pairs, texts, similarity), "near-links"))
-        if roots is not None:
-            forget(roots)
-        roots = connected(reduce(DataFrame.unionByName, links))
+        if roots is None or links[-1].limit(1).count():
+            if roots is not None:
+                forget(roots)
+            roots = connected(reduce(DataFrame.unionByName, links))
         gone = centres.select("bucket", F.explode("centres.id").alias("id"))
         left = rest.join(gone, ["bucket", "id"], "left_anti").drop("root").join(roots, F.col("id") == F.col("v"), "left")
         members = cut(left.withColumn("root", F.coalesce("root", "id")).drop("v"), "near-members")

@@ -1,6 +1,8 @@
-"""Two forecasting models of one daily series, vectorised with numpy: what Spark has no columns for.
+"""Boosted stumps on lag features, fitted for many daily series at once with numpy: what Spark has no columns for.
 
-A fit gives the values ahead and the 0.9 and 0.95 quantiles of the absolute residuals.
+A batch of series is one array whose rows end on the same column, so that a step of a fit, or a day ahead,
+is one operation for all of them. A fit gives the values ahead and the 0.9 and 0.95 quantiles of the
+absolute residuals.
 """
 
 from __future__ import annotations
@@ -10,104 +12,126 @@ import numpy as np
 LAGS = (1, 2, 3, 7, 14, 21, 28)
 WINDOWS = (3, 7, 14)
 STUMPS, RATE, LEVELS, LEAF = 80, 0.08, 15, 8
+FIRST = max(*LAGS, *WINDOWS)
 #: A series needs so many days for boosted stumps: 45 complete feature rows.
-LEAST_DAYS = 45 + max(*LAGS, *WINDOWS)
-PASSES = 8
+LEAST_DAYS = 45 + FIRST
+COLUMNS = len(LAGS) + 2 * len(WINDOWS) + 2
+#: Series fitted together: their candidate splits of all days are held at once.
+BATCH = 32
 
 Fit = tuple[np.ndarray, float, float]
 
 
-def banded(p50: np.ndarray, residual: np.ndarray) -> Fit:
-    q90, q95 = np.quantile(residual, [0.9, 0.95]) if len(residual) else (0.0, 0.0)
-    return p50, float(q90), float(q95)
+def _angles(day: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sine and cosine of the weekday of day numbers; day 0 was a Thursday."""
+    angle = 2 * np.pi * ((day + 3) % 7) / 7
+    return np.sin(angle), np.cos(angle)
 
 
-def robust_trend(y: np.ndarray, start: int, horizon: int) -> Fit:
-    """Reweighted line plus the median residual of each weekday. start: day number of y[0]; day 0 was a Thursday.
+def features(h: np.ndarray, day: np.ndarray) -> np.ndarray:
+    """(series, days from FIRST on, COLUMNS): lags, rolling means and sample deviations before the day, weekday sine and cosine.
 
-    Each pass minimises sum((w * (y - c - m * x))**2) and sets w = 1 / max(1, |r| / (1.5 * median |r|)).
+    h: series by days, rows of shorter series begin with NaN. day: day numbers of its columns by series.
     """
-    x, w = np.arange(len(y), dtype=float), np.ones(len(y))
-    for _ in range(PASSES):
-        a = np.column_stack([np.ones(len(y)), x]) * w[:, None]
-        normal, right = a.T @ a, a.T @ (y * w)
-        if len(y) > 1 and np.linalg.cond(normal) < 1e12:
-            c, m = np.linalg.solve(normal, right)
-        else:
-            (c, m), *_ = np.linalg.lstsq(a, y * w, rcond=None)
-        r = y - (c + m * x)
-        scale = np.median(np.abs(r)) + 1e-9
-        w = 1 / np.maximum(1.0, np.abs(r) / (1.5 * scale))
-    weekday = (start + np.arange(len(y)) + 3) % 7
-    term = np.array([np.median(r[weekday == d]) if (weekday == d).any() else 0.0 for d in range(7)])
-    ahead = np.arange(len(y), len(y) + horizon)
-    return banded(np.clip(c + m * ahead + term[(start + ahead + 3) % 7], 0, 100), np.abs(r))
-
-
-def features(y: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """Complete rows of lags, rolling means and sample deviations before the day, weekday sine and cosine; and their targets."""
-    first = max(*LAGS, *WINDOWS)
-    n = len(y) - first
-    if n <= 0:
-        return np.empty((0, len(LAGS) + 2 * len(WINDOWS) + 2)), np.empty(0)
-    at = np.arange(first, len(y))
-    rolled = [np.lib.stride_tricks.sliding_window_view(y, w)[at - w] for w in WINDOWS]
-    angle = 2 * np.pi * ((start + at + 3) % 7) / 7
-    cols = [*(y[at - k] for k in LAGS), *(r.mean(axis=1) for r in rolled), *(r.std(axis=1, ddof=1) for r in rolled), np.sin(angle), np.cos(angle)]
-    return np.column_stack(cols), y[at]
+    at = np.arange(FIRST, h.shape[1])
+    rolled = [np.lib.stride_tricks.sliding_window_view(h, w, axis=1)[:, at - w] for w in WINDOWS]
+    cols = [*(h[:, at - k] for k in LAGS), *(r.mean(axis=2) for r in rolled), *(r.std(axis=2, ddof=1) for r in rolled), *_angles(day[:, at])]
+    return np.stack(cols, axis=2)
+
+
+def candidate_cuts(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """(series, COLUMNS, LEVELS): interpolated quantiles of each feature over a series' last `rows` days; NaN where equal to the one before."""
+    ordered = np.sort(x, axis=1)  # NaN comes last
+    place = (rows[:, None] - 1) * np.linspace(0.05, 0.95, LEVELS)
+    low = np.floor(place).astype(int)
+    a, b = (np.take_along_axis(ordered, np.minimum(k, rows[:, None] - 1)[:, :, None], axis=1) for k in (low, low + 1))
+    t = (place - low)[:, :, None]
+    cuts = np.where(t < 0.5, a + (b - a) * t, b - (b - a) * (1 - t)).transpose(0, 2, 1).copy()
+    cuts[:, :, 1:][cuts[:, :, 1:] == cuts[:, :, :-1]] = np.nan
+    return cuts
 
 
 class Stumps:
-    """Gradient boosting of depth-one trees under squared loss, all candidate splits of a round at once."""
-
-    def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.base = float(y.mean())
-        levels = np.linspace(0.05, 0.95, LEVELS)
-        cuts = [np.unique(np.quantile(x[:, j], levels)) for j in range(x.shape[1])]
-        column = np.concatenate([np.full(len(c), j) for j, c in enumerate(cuts)])
-        cut = np.concatenate(cuts)
-        left = (x[:, column] <= cut).T
-        size = left.sum(axis=1)
-        able = (size >= LEAF) & (len(y) - size >= LEAF)
-        column, cut, left, size = column[able], cut[able], left[able], size[able]
-        self.column, self.cut, self.low, self.high = [], [], [], []
-        fitted = np.full(len(y), self.base)
-        as_float = left.astype(float)
+    """Gradient boosting of depth-one trees under squared loss, all candidate splits of a round and all series at once.
+
+    The sums of the residuals left of every candidate are kept up to date: a round takes from each what it
+    shares with the chosen split, and how many days two candidates share is counted once.
+    """
+
+    def __init__(self, x: np.ndarray, y: list[np.ndarray]):
+        n, rows = len(y), np.array([len(v) for v in y])
+        cuts = candidate_cuts(x, rows)
+        count = cuts.shape[1] * LEVELS
+        # each series' days left of each candidate
+        self.left = [(x[i, x.shape[1] - rows[i] :, :, None] <= cuts[i]).reshape(rows[i], count).astype(np.float32) for i in range(n)]
+        size = np.stack([a.sum(axis=0, dtype=np.float64) for a in self.left])
+        shared = np.stack([a.T @ a for a in self.left])
+        self.base = np.array([v.mean() for v in y])
+        r = [v - b for v, b in zip(y, self.base)]
+        low = np.stack([v @ a for v, a in zip(r, self.left)])
+        total = np.array([v.sum() for v in r])
+        right = rows[:, None] - size
+        able = (size >= LEAF) & (right >= LEAF) & ~np.isnan(cuts.reshape(n, count))
+        any_able, each = able.any(axis=1), np.arange(n)
+        some_left, some_right = np.maximum(size, 1), np.maximum(right, 1)
+        chosen, below, above = [], [], []
         for _ in range(STUMPS):
-            if not len(cut):
-                break
-            r = y - fitted
-            total = r.sum()
-            low = as_float @ r
-            gain = low**2 / size + (total - low) ** 2 / (len(y) - size)
-            k = int(np.argmax(gain))  # the first of equals
-            a, b = low[k] / size[k], (total - low[k]) / (len(y) - size[k])
-            fitted += RATE * np.where(left[k], a, b)
-            for to, v in ((self.column, column[k]), (self.cut, cut[k]), (self.low, RATE * a), (self.high, RATE * b)):
-                to.append(v)
-        self.column, self.cut, self.low, self.high = (np.array(v) for v in (self.column, self.cut, self.low, self.high))
-        if not len(self.cut):
-            self.column = np.empty(0, int)
+            gain = np.where(able, low**2 / some_left + (total[:, None] - low) ** 2 / some_right, -np.inf)
+            k = gain.argmax(axis=1)  # the first of equals
+            a = np.where(any_able, low[each, k] / some_left[each, k], 0.0)
+            b = np.where(any_able, (total - low[each, k]) / some_right[each, k], 0.0)
+            both = shared[each, k]
+            low -= RATE * (a[:, None] * both + b[:, None] * (size - both))
+            total -= RATE * (a * size[each, k] + b * right[each, k])
+            chosen.append(k)
+            below.append(RATE * a)
+            above.append(RATE * b)
+        self.chosen, self.below, self.above = (np.stack(v, axis=1) for v in (chosen, below, above))
+        self.column = self.chosen // LEVELS
+        self.cut = np.take_along_axis(cuts.reshape(n, count), self.chosen, axis=1)
+
+    def fitted(self, i: int) -> np.ndarray:
+        """What the model says of the days it was fitted on."""
+        step = self.below[i] - self.above[i]
+        return np.clip(self.base[i] + self.left[i][:, self.chosen[i]] @ step + self.above[i].sum(), 0, 100)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
-        side = np.where(x[..., self.column] <= self.cut, self.low, self.high)
-        return np.clip(self.base + side.sum(axis=-1), 0, 100)
-
-
-def gbdt_lag(y: np.ndarray, start: int, horizon: int) -> Fit:
-    """Boosted stumps on lag features, carried on day by day. y has at least LEAST_DAYS values."""
-    x, t = features(y, start)
-    model = Stumps(x, t)
-    residual = np.abs(t - model.predict(x))
-    h = np.empty(len(y) + horizon)
-    h[: len(y)] = y
-    for n in range(len(y), len(h)):
-        angle = 2 * np.pi * ((start + n + 3) % 7) / 7
-        # at forecast time the deviation is that of the population
-        rolled = [h[max(0, n - w) : n] for w in WINDOWS]
-        row = np.array([*(h[max(0, n - k)] for k in LAGS), *(r.mean() for r in rolled), *(r.std() for r in rolled), np.sin(angle), np.cos(angle)])
-        h[n] = model.predict(row)
-    return banded(h[len(y) :], residual)
+        """One row of features a series."""
+        side = np.where(np.take_along_axis(x, self.column, axis=1) <= self.cut, self.below, self.above)
+        return np.clip(self.base + side.sum(axis=1), 0, 100)
+
+
+def banded(p50: np.ndarray, residual: np.ndarray) -> Fit:
+    q90, q95 = np.quantile(residual, [0.9, 0.95])
+    return p50, float(q90), float(q95)
 
 
-FIT = {"robust_trend": robust_trend, "gbdt_lag": gbdt_lag}
+def gbdt_lag(series: list[np.ndarray], starts: list[int], horizon: int) -> list[Fit]:
+    """Boosted stumps on lag features, carried on day by day. Each series has at least LEAST_DAYS values; starts: day numbers of the first."""
+    lengths = np.array([len(y) for y in series])
+    longest = int(lengths.max())
+    h = np.full((len(series), longest + horizon), np.nan)
+    for row, y in zip(h, series):
+        row[longest - len(y) : longest] = y
+    day = (np.array(starts) - (longest - lengths))[:, None] + np.arange(h.shape[1])
+    x = features(h[:, :longest], day)
+    for i, n in enumerate(lengths):
+        x[i, : longest - n] = np.nan
+    model = Stumps(x, [y[FIRST:] for y in series])
+    sine, cosine = _angles(day)
+    for t in range(longest, h.shape[1]):
+        # at forecast time the deviation is that of the population
+        rolled = [h[:, t - w : t] for w in WINDOWS]
+        h[:, t] = model.predict(np.stack([*(h[:, t - k] for k in LAGS), *(r.mean(axis=1) for r in rolled), *(r.std(axis=1) for r in rolled), sine[:, t], cosine[:, t]], axis=1))
+    return [banded(h[i, longest:], np.abs(y[FIRST:] - model.fitted(i))) for i, y in enumerate(series)]
+
+
+def fit_all(series: list[np.ndarray], starts: list[int], horizon: int) -> list[Fit]:
+    """gbdt_lag in batches of series of about the same length."""
+    out: list[Fit] = [(np.empty(0), 0.0, 0.0)] * len(series)
+    order = sorted(range(len(series)), key=lambda i: len(series[i]))
+    for k in range(0, len(order), BATCH):
+        own = order[k : k + BATCH]
+        for i, fit in zip(own, gbdt_lag([series[i] for i in own], [starts[i] for i in own], horizon)):
+            out[i] = fit
+    return out
