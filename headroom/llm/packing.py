@@ -90,8 +90,9 @@ class WordTokenizer:
         if word[:-1].isalpha() and 33 <= word[-1] <= 126:
             return self.of_part(word[:-1].decode().lower()) + self.of_part(chr(word[-1]))
         text = word.decode()
-        if len(text) <= 64 and "<|" not in text and self.plain(text) and (text.isascii() or unicodedata.is_normalized("NFC", text)):
-            low = text.lower()
+        low = text.lower()
+        # some letters up to U+024F have their lower case beyond it
+        if len(text) <= 64 and "<|" not in text and self.plain(text) and self.plain(low) and (text.isascii() or unicodedata.is_normalized("NFC", text)):
             if low.isalpha():
                 return self.of_part(low)
             if low[:-1].isalpha() and low[-1].isascii():

@@ -17,6 +17,14 @@ def test_word_tokenizer_is_the_tokenizer():
         assert np.frombuffer(words.of_text(text.encode()), "<u2").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_every_letter_of_the_shorter_way():
+    tok = Tokenizer.from_file(P.tokenizer_path())
+    words = P.WordTokenizer(P.tokenizer_path())
+    for c in map(chr, range(0xA1, 0x250)):
+        for text in (c, f"{c}an", f"na{c}e", f"A{c}", f"{c}{c}.", f"x{c}9{c}", f"{c},{c}y"):
+            assert np.frombuffer(words.of_text(text.encode()), "<u2").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_plan_respects_every_constraint():
     rnd = random.Random(3)
     for capacity in (P.Capacity(), P.Capacity(64, 3, 1500)):
