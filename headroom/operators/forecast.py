@@ -1,8 +1,8 @@
 """Backtest, selection and forecast of every series.
 
-A series is one array of days. Its fits (one for each model and fold) are rows of their own, dealt out
-evenly since the work is CPU-bound; only the fit itself is Python, over batches of rows. The naive
-model, the errors and the choice are columns. The forecast fits the chosen model alone.
+A series is one array of days. Its fits (one for each model and fold) are rows of their own. The naive
+model, the reweighted line, the errors and the choice are columns; the boosted stumps are fitted in
+Python, for many series at once, dealt out evenly. The forecast fits the chosen model alone.
 """
 
 from __future__ import annotations
@@ -17,63 +17,75 @@ from pyspark.sql import functions as F
 from ..functions.scalars import clip, selection_score
 from ..schemas import SERIES, Params
 from . import series_models as M
-from .forecast_native import as_arrays, fold_errors, fold_splits, with_naive_fit
+from .forecast_native import as_arrays, fold_errors, fold_splits, with_naive_fit, with_trend_fit
 
-MODELS = ("seasonal_naive", *M.FIT)
+MODELS = ("seasonal_naive", "robust_trend", "gbdt_lag")
 ERRORS = ("wape", "mae", "pinball_p90", "calibration_p90")
 FITTED = "p50 array<double>, q90 double, q95 double"
+#: Fits that a task gets at least, and at most: these are in one Arrow batch.
+LEAST_FITS, MOST_FITS = 16, 512
 
 
-def fit(model: Column, y: Column, first_day: Column, days: int) -> Column:
-    """Struct of p50 (array of `days` values) and the residual quantiles of a model of series_models."""
+def boosted(y: Column, first_day: Column, days: int) -> Column:
+    """Struct of p50 (array of `days` values) and the residual quantiles of the boosted stumps."""
 
     @F.pandas_udf(FITTED)
-    def of(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for names, values, firsts in parts:
-            yield pd.DataFrame([M.FIT[m](np.asarray(v, float), int(d), days) for m, v, d in zip(names, values, firsts)], columns=["p50", "q90", "q95"])
+    def of(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for values, firsts in parts:
+            yield pd.DataFrame(M.fit_all([np.asarray(v, float) for v in values], firsts.astype(int).tolist(), days), columns=["p50", "q90", "q95"])
 
-    return of(model, y, first_day)
+    # else a filter on the result, which an explode implies, would be pushed below and fit everything once more
+    return of.asNondeterministic()(y, first_day)
 
 
-def _fitted(rows: DataFrame, days: int, tasks: int | None) -> DataFrame:
-    """rows (SERIES, model, y, first_day, ...) with the struct `fit`. A series too short for its model has the seasonal-naive one's."""
+def _fitted(rows: DataFrame, days: int, tasks: int | None, models: tuple[str, ...]) -> DataFrame:
+    """rows (SERIES, model, y, first_day, ...) with the struct `fit`. A series too short for boosted stumps has the seasonal-naive fit."""
     short = (F.col("model") == "gbdt_lag") & (F.size("y") < M.LEAST_DAYS)
     named = rows.withColumn("__by", F.when(short, "seasonal_naive").otherwise(F.col("model")))
-    naive = with_naive_fit(named.filter("__by = 'seasonal_naive'"), days)
-    tasks = tasks or 3 * rows.sparkSession.sparkContext.defaultParallelism
-    other = named.filter("__by <> 'seasonal_naive'").repartition(tasks, *SERIES, "model", F.size("y")).withColumn("fit", fit(F.col("__by"), F.col("y"), F.col("first_day"), days))
-    return naive.unionByName(other).drop("__by")
 
+    def dealt(model: str) -> DataFrame:
+        """The rows of a model, in turn: few rows would fall unevenly by a hash, and a small table is one partition."""
+        own = named.filter(F.col("__by") == model)
+        n, cores = own.count() if tasks is None else 0, rows.sparkSession.sparkContext.defaultParallelism
+        return own.repartition(tasks or max(1, min(3 * cores, n // LEAST_FITS), -(-n // MOST_FITS)))
 
-def _series(grid: DataFrame) -> DataFrame:
+    out = with_naive_fit(named.filter("__by = 'seasonal_naive'"), days)
+    if "robust_trend" in models:
+        out = out.unionByName(with_trend_fit(dealt("robust_trend"), days))
+    if "gbdt_lag" in models:
+        out = out.unionByName(dealt("gbdt_lag").withColumn("fit", boosted(F.col("y"), F.col("first_day"), days)))
+    return out.drop("__by")
+
+
+def series_of(grid: DataFrame) -> DataFrame:
+    """One row a series of a daily grid: y, its last day, and the number of its first day. Write it before it is used more than once."""
     return as_arrays(grid).withColumn("first_day", F.datediff("last", F.lit("1970-01-01").cast("date")) - F.size("y") + 1)
 
 
-def model_backtest(grid: DataFrame, p: Params = Params(), tasks: int | None = None) -> DataFrame:
-    """Mean errors of every model over the folds of each series of a daily grid; nulls and 0 folds where it is too short."""
-    series = _series(grid)
-    folds = series.select(*SERIES, "y", "first_day", F.explode(fold_splits(p)).alias("split")).withColumn("model", F.explode(F.array(*map(F.lit, MODELS))))
+def model_backtest(series: DataFrame, p: Params = Params(), tasks: int | None = None, models: tuple[str, ...] = MODELS) -> DataFrame:
+    """Mean errors of the models over the folds of each series; nulls and 0 folds where it is too short."""
+    named = F.explode(F.array(*map(F.lit, models)))
+    folds = series.select(*SERIES, "y", "first_day", F.explode(fold_splits(p)).alias("split")).withColumn("model", named)
     cut = folds.select(*SERIES, "model", "split", "first_day", F.slice("y", 1, F.col("split")).alias("y"), F.slice("y", F.col("split") + 1, p.fold_days).alias("test"))
-    per = _fitted(cut, p.fold_days, tasks).select(*SERIES, "model", "test", F.col("fit.p50").alias("p50"), F.col("fit.q90").alias("q90"))
+    per = _fitted(cut, p.fold_days, tasks, models).select(*SERIES, "model", "test", F.col("fit.p50").alias("p50"), F.col("fit.q90").alias("q90"))
     tested = fold_errors(per, p.fold_days).groupBy(*SERIES, "model").agg(*[F.avg(c).alias(c) for c in ERRORS], F.count(F.lit(1)).alias("folds"))
-    every = series.select(*SERIES, F.explode(F.array(*map(F.lit, MODELS))).alias("model"))
+    every = series.select(*SERIES, named.alias("model"))
     return every.join(tested, [*SERIES, "model"], "left").select(*SERIES, "model", *ERRORS, F.coalesce("folds", F.lit(0)).cast("int").alias("folds"))
 
 
-def model_selection(backtest: DataFrame, grid: DataFrame) -> DataFrame:
+def model_selection(backtest: DataFrame, series: DataFrame) -> DataFrame:
     """The model of the lowest score of each series with its errors; of equals the first of MODELS."""
     score = selection_score(F.col("wape"), F.col("pinball_p90"), F.col("calibration_p90"))
     place = F.array_position(F.array(*map(F.lit, MODELS)), F.col("model"))
     best = backtest.groupBy(*SERIES).agg(F.min(F.struct(score.alias("selection_score"), place.alias("place"), F.col("model").alias("selected_model"), *ERRORS)).alias("b"))
-    days = grid.groupBy(*SERIES).agg(F.count(F.lit(1)).cast("int").alias("series_days"))
-    return best.join(days, list(SERIES)).select(*SERIES, "b.selected_model", "b.selection_score", *[f"b.{e}" for e in ERRORS], "series_days")
+    return best.join(series.select(*SERIES, F.size("y").alias("series_days")), list(SERIES)).select(*SERIES, "b.selected_model", "b.selection_score", *[f"b.{e}" for e in ERRORS], "series_days")
 
 
-def forecast_daily(grid: DataFrame, selection: DataFrame, p: Params = Params(), tasks: int | None = None) -> DataFrame:
+def forecast_daily(series: DataFrame, selection: DataFrame, p: Params = Params(), tasks: int | None = None) -> DataFrame:
     """max(horizons) days of each series by its selected model."""
     days = max(p.horizons)
-    rows = _series(grid).join(selection.select(*SERIES, F.col("selected_model").alias("model")), list(SERIES))
-    fits = _fitted(rows, days, tasks).select(*SERIES, "last", "model", "fit.q90", "fit.q95", "fit.p50")
+    rows = series.join(selection.select(*SERIES, F.col("selected_model").alias("model")), list(SERIES))
+    fits = _fitted(rows, days, tasks, MODELS).select(*SERIES, "last", "model", "fit.q90", "fit.q95", "fit.p50")
     # in a select of its own: beside an explode the bands would be computed for every day
     told = fits.select(*SERIES, "last", "model", "q90", "q95", F.posexplode("p50").alias("at", "p50"))
     ahead = F.col("at") + 1

@@ -80,9 +80,10 @@ def analyse(spark: SparkSession, source: str, out: str, p: Params = Params(), le
     risk = to.put("host_risk_metrics", K.risk_metrics(history))
     daily = to.put("daily_target_p95", K.daily_p95(history))
     grid = to.put("daily_grid", N.daily_grid(daily))
-    backtest = to.put("model_backtest", M.model_backtest(grid, p))
-    selection = to.put("model_selection", M.model_selection(backtest, grid))
-    forecast = to.put("forecast_daily", M.forecast_daily(grid, selection, p))
+    series = to.put("daily_series", M.series_of(grid))
+    backtest = to.put("model_backtest", M.model_backtest(series, p))
+    selection = to.put("model_selection", M.model_selection(backtest, series))
+    forecast = to.put("forecast_daily", M.forecast_daily(series, selection, p))
     chances = to.put("risk_probabilities", A.risk_probabilities(forecast, selection, p))
     actionable = to.put("actionable", A.complete_actions(A.actions(risk, forecast), chances, p))
     facts = lambda summary, trend_summary, by: R.conclusion(Y.host_count(history, trend, by), S.selected_counts(selected, by), Y.latest_status(summary, by), Y.week_delta(Y.daily_means(trend_summary, by=by), by), risk, actionable, selection, by)

@@ -103,13 +103,14 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "backtest": (
         f"""SELECT {SERIES}, avg(wape) wape, avg(mae) mae, avg(pinball) pinball, avg(calibration) calibration, count(*) folds FROM (
         SELECT t.metric, t.hostid, t.host, t.as_value, t.env_value, t.env_group, f.fold, sum(abs(t.y - w.y)) / sum(abs(t.y)) wape, avg(abs(t.y - w.y)) mae,
-          avg(CASE WHEN t.y >= least(w.y + q.q90, 100) THEN 0.9 * (t.y - least(w.y + q.q90, 100)) ELSE -0.1 * (t.y - least(w.y + q.q90, 100)) END) pinball, avg(CAST(t.y <= least(w.y + q.q90, 100) AS INTEGER)) calibration
+          avg(CASE WHEN t.y >= least(w.y + q.q90, 100) THEN 0.9 * (t.y - least(w.y + q.q90, 100)) ELSE -0.1 * (t.y - least(w.y + q.q90, 100)) END) pinball, avg(CAST(t.y <= least(w.y + q.q90, 100) + 1e-9 AS INTEGER)) calibration
         FROM placed t JOIN (SELECT unnest([1, 2, 3]) fold) f ON t.n - f.fold * 30 >= 90 AND t.n >= 120 AND t.i >= t.n - f.fold * 30 AND t.i < t.n - f.fold * 30 + 30
         JOIN placed w ON w.metric = t.metric AND w.hostid = t.hostid AND w.i = t.n - f.fold * 30 - 7 + (t.i - (t.n - f.fold * 30)) % 7
         JOIN (SELECT metric, hostid, fold, quantile_cont(r, 0.9) q90 FROM placed JOIN (SELECT unnest([1, 2, 3]) fold) ON i < n - fold * 30 GROUP BY ALL) q ON q.metric = t.metric AND q.hostid = t.hostid AND q.fold = f.fold
         GROUP BY ALL) GROUP BY ALL""",
         ("placed",),
     ),
+    "line0": ("SELECT metric, hostid, fold, CAST(i AS DOUBLE) i, y, isodow(date) w, CAST(1 AS DOUBLE) q FROM placed JOIN (SELECT unnest([1, 2, 3]) fold) ON i < n - fold * 30 AND n - fold * 30 >= 90 AND n >= 120", ("placed",)),
     "crossing": (
         "SELECT metric, hostid, env_value, env_group, min(date) d0, "
         + ", ".join(f"min(CASE WHEN {c} >= {t} THEN date END) date_{t}_{c}, min(CASE WHEN {c} >= {t} THEN date END) - min(date) + 1 days_to_{t}_{c}" for c in ("p50", "p90", "p95") for t in (80, 90, 95))
@@ -119,6 +120,28 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
+_FIT = "metric, hostid, fold"
+for _k in range(1, 9):  # the passes of the reweighted line
+    PARTS[f"solved{_k}"] = (
+        f"""SELECT {_FIT}, m, (t0 - m * s1) / s0 c FROM (SELECT *, (s0 * t1 - s1 * t0) / (s0 * s2 - s1 * s1) m FROM (
+        SELECT {_FIT}, sum(q) s0, sum(q * i) s1, sum(q * i * i) s2, sum(q * y) t0, sum(q * i * y) t1 FROM line{_k - 1} GROUP BY ALL))""",
+        (f"line{_k - 1}",),
+    )
+    PARTS[f"rest{_k}"] = (f"SELECT {_FIT}, i, y, w, s.c, s.m, y - (s.c + s.m * i) r FROM line{_k - 1} JOIN solved{_k} s USING ({_FIT})", (f"line{_k - 1}", f"solved{_k}"))
+    PARTS[f"line{_k}"] = (
+        f"SELECT {_FIT}, i, y, w, c, m, r, 1 / pow(greatest(1, abs(r) / (1.5 * (s + 1e-9))), 2) q FROM rest{_k} JOIN (SELECT {_FIT}, quantile_cont(abs(r), 0.5) s FROM rest{_k} GROUP BY ALL) USING ({_FIT})",
+        (f"rest{_k}",),
+    )
+PARTS["trend_backtest"] = (
+    f"""SELECT {SERIES}, avg(wape) wape, avg(mae) mae, avg(pinball) pinball, avg(calibration) calibration, count(*) folds FROM (
+    SELECT {SERIES}, fold, sum(abs(y - f)) / sum(abs(y)) wape, avg(abs(y - f)) mae, avg(CASE WHEN y >= g THEN 0.9 * (y - g) ELSE -0.1 * (y - g) END) pinball, avg(CAST(y <= g + 1e-9 AS INTEGER)) calibration FROM (
+      SELECT *, least(greatest(f + q90, 0), 100) g FROM (SELECT t.*, e.fold, e.q90, least(greatest(e.c + e.m * t.i + d.term, 0), 100) f FROM placed t
+      JOIN (SELECT {_FIT}, any_value(c) c, any_value(m) m, quantile_cont(abs(r), 0.9) q90 FROM line8 GROUP BY ALL) e ON e.metric = t.metric AND e.hostid = t.hostid AND t.i >= t.n - e.fold * 30 AND t.i < t.n - e.fold * 30 + 30
+      JOIN (SELECT {_FIT}, w, quantile_cont(r, 0.5) term FROM line8 GROUP BY ALL) d ON d.metric = t.metric AND d.hostid = t.hostid AND d.fold = e.fold AND d.w = isodow(t.date))) GROUP BY ALL) GROUP BY ALL""",
+    ("placed", "line8"),
+)
+
+
 def _risk(of: str) -> str:
     return f"""SELECT *, CASE WHEN p95 >= 85 OR duty_cycle_90 >= 0.10 THEN 'hot' WHEN p50 <= 35 AND volatility <= 0.45 AND duty_cycle_80 <= 0.05 THEN 'cold' ELSE 'warm' END AS cluster, p95 <= 25 AND duty_cycle_80 <= 0.01 AS overprovisioned FROM (
     SELECT *, p95 - p50 burstiness, CASE WHEN util_mean > 0 THEN util_std / util_mean END volatility FROM (
@@ -340,14 +363,15 @@ SQL: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "metrics_union": ("SELECT DISTINCT metric FROM util_h", ("util_h",)),
     "heat_map": ("SELECT metric, host, CAST(date AS VARCHAR) date, round(m, 6) AS mean FROM (SELECT metric, host, CAST(clock AS DATE) date, avg(v) m, dense_rank() OVER (PARTITION BY metric ORDER BY host) n FROM util_h GROUP BY metric, host, CAST(clock AS DATE)) WHERE n <= 40", ("util_h",)),
-    "daily_grid": (f"SELECT {SERIES}, {day()}, round(y, 6) y FROM grid", ("grid",)),
+    "daily_grid": (f"SELECT {SERIES}, {day()}, round(y + 1e-9, 6) y FROM grid", ("grid",)),
     "lag_features": (
-        "SELECT metric, hostid, " + day() + ", round(y, 6) y, " + r(*[f"lag_{k}" for k in (1, 2, 3, 7, 14, 21, 28)], *[f"{a}_{w}" for w in (3, 7, 14) for a in ("mean", "std")], "dow_sin", "dow_cos") + " FROM (SELECT *, row_number() OVER o i, "
+        "SELECT metric, hostid, " + day() + ", round(y + 1e-9, 6) y, " + ", ".join(f"round({c} + 1e-9, 6) + 0.0 AS {c}" for c in [*[f"lag_{k}" for k in (1, 2, 3, 7, 14, 21, 28)], *[f"{a}_{w}" for w in (3, 7, 14) for a in ("mean", "std")], "dow_sin", "dow_cos"]) + " FROM (SELECT *, row_number() OVER o i, "
         + ", ".join(f"lag(y, {k}) OVER o lag_{k}" for k in (1, 2, 3, 7, 14, 21, 28)) + ", " + ", ".join(f"avg(y) OVER (PARTITION BY {SERIES} ORDER BY date ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING) mean_{w}, stddev_samp(y) OVER (PARTITION BY {SERIES} ORDER BY date ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING) std_{w}" for w in (3, 7, 14))
         + f", sin(2 * pi() * (isodow(date) - 1) / 7) dow_sin, cos(2 * pi() * (isodow(date) - 1) / 7) dow_cos FROM grid WINDOW o AS (PARTITION BY {SERIES} ORDER BY date)) WHERE i > 28",
         ("grid",),
     ),
     "seasonal_naive_forecast": (f"SELECT {SERIES}, {day()}, horizon_day, 'seasonal_naive' model, {r('p50', 'p90', 'p95')} FROM naive", ("naive",)),
+    "robust_trend_backtest": (f"SELECT {SERIES}, 'robust_trend' model, round(wape, 6) wape, round(mae, 6) mae, round(pinball, 6) pinball_p90, round(calibration, 6) calibration_p90, CAST(coalesce(folds, 0) AS INTEGER) folds FROM (SELECT DISTINCT {SERIES} FROM grid) LEFT JOIN trend_backtest USING ({SERIES})", ("grid", "trend_backtest")),
     "seasonal_naive_backtest": (f"SELECT {SERIES}, 'seasonal_naive' model, round(wape, 6) wape, round(mae, 6) mae, round(pinball, 6) pinball_p90, round(calibration, 6) calibration_p90, coalesce(folds, 0) folds FROM (SELECT DISTINCT {SERIES} FROM grid) LEFT JOIN backtest USING ({SERIES})", ("grid", "backtest")),
     "days_to_threshold": (f"SELECT metric, hostid, env_value, env_group, {_DAYS}, " + ", ".join(day(f"date_90_{c}") for c in ("p50", "p90", "p95")) + " FROM crossing", ("crossing",)),
     "actions": (f"SELECT {SERIES}, cluster, overprovisioned, {r('p50', 'p95', 'p99', 'duty_cycle_80', 'duty_cycle_90', 'burstiness', 'volatility')}, {_DAYS}, risk_basis, basis days_to_90_basis, CAST(basis_date AS VARCHAR) crossing_date_90_basis, status, recommendation FROM actions", ("actions",)),

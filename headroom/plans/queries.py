@@ -53,7 +53,19 @@ def plain(df: DataFrame) -> DataFrame:
 def _folder(s: SparkSession, name: str) -> str:
     """A new folder that the driver and all executors see. Only a local session without one gets a temporary folder."""
     shared = s.conf.get("spark.checkpoint.dir", None) or (s.conf.get("spark.sql.warehouse.dir") if not s.sparkContext.master.startswith("local[") else tempfile.mkdtemp(prefix="headroom-"))
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    p = s.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(s.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path
+
+
+def _kept(s: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """df written and read back, for what a query uses more than once. It goes when the application ends."""
+    path = f"{_folder(s, name)}/table"
+    df.write.parquet(path)
+    return s.read.parquet(path)
 
 
 def _daily(s: SparkSession, d: str) -> DataFrame:
@@ -84,12 +96,29 @@ def _probabilities(s: SparkSession, d: str) -> DataFrame:
     return A.risk_probabilities(_naive(s, d), _naive_selection(s, d))
 
 
-def _backtest(s: SparkSession, d: str) -> DataFrame:
-    return M.model_backtest(_grid(s, d))
+def _series(s: SparkSession, d: str) -> DataFrame:
+    return _kept(s, "series", M.series_of(_grid(s, d)))
+
+
+def _selected(s: SparkSession, series: DataFrame) -> DataFrame:
+    return _kept(s, "selection", M.model_selection(M.model_backtest(series), series))
 
 
 def _selection(s: SparkSession, d: str) -> DataFrame:
-    return M.model_selection(_backtest(s, d), _grid(s, d))
+    return _selected(s, _series(s, d))
+
+
+def _forecast(s: SparkSession, d: str) -> DataFrame:
+    series = _series(s, d)
+    return M.forecast_daily(series, _selected(s, series))
+
+
+def _selected_actions(s: SparkSession, d: str) -> DataFrame:
+    """Risk, crossings, probabilities and actions of every series by its selected model."""
+    series = _series(s, d)
+    selection = _selected(s, series)
+    forecast = _kept(s, "forecast", M.forecast_daily(series, selection))
+    return A.complete_actions(A.actions(_risk(s, d), forecast), A.risk_probabilities(forecast, selection))
 
 
 def _targets(s: SparkSession, d: str) -> DataFrame:
@@ -297,8 +326,13 @@ def _recent_history(s: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("itemid").agg(F.count(F.lit(1)).alias("n"), F.sum("ns").alias("ns"))
 
 
+def _off_ties(df: DataFrame) -> DataFrame:
+    """Doubles a billionth up: many here are binary fractions, ties at the sixth place that engines may break either way."""
+    return df.withColumns({n: F.col(n) + 1e-9 for n, kind in df.dtypes if kind == "double"})
+
+
 def _features(s: SparkSession, d: str) -> DataFrame:
-    return N.lag_features(_grid(s, d)).drop("host", "as_value", "env_value", "env_group")
+    return _off_ties(N.lag_features(_grid(s, d)).drop("host", "as_value", "env_value", "env_group"))
 
 
 def _scope_slugs(s: SparkSession, d: str) -> DataFrame:
@@ -338,13 +372,15 @@ QUERIES: dict[str, Query] = {
     "trend_week_delta": lambda s, d: Y.week_delta(Y.daily_means(Y.summarize_trend(X.util_trend(s, d)))),
     "metrics_union": lambda s, d: Y.unioned_metrics(X.util_history(s, d), X.util_trend(s, d)),
     "heat_map": lambda s, d: Y.heat_map(X.util_history(s, d)),
-    "daily_grid": lambda s, d: _grid(s, d),
+    "daily_grid": lambda s, d: _off_ties(_grid(s, d)),
     "lag_features": _features,
     "seasonal_naive_forecast": _naive,
     "seasonal_naive_backtest": lambda s, d: N.seasonal_naive_backtest(_grid(s, d)),
-    "model_backtest": _backtest,
+    "robust_trend_backtest": lambda s, d: M.model_backtest(_series(s, d), models=("robust_trend",)),
+    "model_backtest": lambda s, d: M.model_backtest(_series(s, d)),
     "model_selection": _selection,
-    "forecast_daily": lambda s, d: M.forecast_daily(_grid(s, d), _selection(s, d)),
+    "forecast_daily": _forecast,
+    "selected_actions": _selected_actions,
     "days_to_threshold": lambda s, d: A.crossings(_naive(s, d)),
     "actions": _actions,
     "risk_probabilities": lambda s, d: R.with_confidence_level(_probabilities(s, d)),
