@@ -98,8 +98,11 @@ def conclusion(matched_hosts: DataFrame, counts: DataFrame, latest: DataFrame, d
     return reduce(DataFrame.unionByName, parts)
 
 
-def forecast_chart(history: DataFrame, forecast: DataFrame, top: DataFrame, p: Params = Params()) -> DataFrame:
-    """Chart rows of the chosen series: the last days of actuals, and forecast bands that begin at the last actual day."""
+def forecast_chart(history: DataFrame, forecast: DataFrame, top: DataFrame, probabilities: DataFrame, p: Params = Params()) -> DataFrame:
+    """Chart rows of the chosen series: the last days of actuals, and forecast bands that begin at the last actual day.
+
+    Every row tells the series' confidence, its level, and the adjusted probability of a crossing within each horizon.
+    """
     chosen = F.broadcast(top.select("metric", "hostid").distinct())  # at most top_k rows
     actual = history.join(chosen, ["metric", "hostid"], "left_semi")
     last = F.max("date").over(Window.partitionBy("metric", "hostid"))
@@ -107,7 +110,10 @@ def forecast_chart(history: DataFrame, forecast: DataFrame, top: DataFrame, p: P
     point = lambda kind, *values: [F.lit(kind).alias("kind"), "metric", "hostid", "date", *[F.col(v).cast("double").alias(n) if v else F.lit(None).cast("double").alias(n) for v, n in zip(values, ("actual", "p50", "p90", "p95"))]]
     anchor = shown.filter("date = last")
     ahead = forecast.join(chosen, ["metric", "hostid"], "left_semi")
-    return shown.select(*point("actual", "y", None, None, None)).unionByName(anchor.select(*point("forecast", None, "y", "y", "y"))).unionByName(ahead.select(*point("forecast", None, "p50", "p90", "p95")))
+    rows = shown.select(*point("actual", "y", None, None, None)).unionByName(anchor.select(*point("forecast", None, "y", "y", "y"))).unionByName(ahead.select(*point("forecast", None, "p50", "p90", "p95")))
+    chance = [F.max(F.when(F.col("horizon_days") == h, F.col("prob_cross_adjusted_pct"))).alias(f"prob_cross_90_{h}d_pct") for h in sorted(set(p.horizons))]
+    told = with_confidence_level(probabilities.join(chosen, ["metric", "hostid"], "left_semi").groupBy("metric", "hostid").agg(F.max("confidence_index_pct").alias("confidence_index_pct"), *chance))
+    return rows.join(F.broadcast(told), ["metric", "hostid"], "left")  # at most top_k rows
 
 
 def labelled(actions: DataFrame) -> DataFrame:

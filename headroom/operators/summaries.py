@@ -1,7 +1,9 @@
 """Hourly summaries over all hosts, by tag value and by scope, in one pass of grouping sets.
 
-Percentiles are exact. Rows with a null group key belong to no group. host_count of the history is
-the number of values, that of the trend the number of distinct hosts.
+Percentiles are exact, and the three of a group share one buffer. Rows with a null group key belong to no
+group. host_count of the history is the number of values, that of the trend the number of distinct hosts:
+the points of a host in an hour (a few, one an item) meet first, the first of them in each group is marked, and
+a group's hosts are the sum of its marks, so that no level needs a distinct of its own.
 """
 
 from __future__ import annotations
@@ -9,48 +11,68 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HISTORY = {"host_count": F.count, "util_mean": F.avg, "util_median": F.median, "util_min": F.min, "util_max": F.max}
-
-
-def _percentiles(value: str, prefix: str) -> list[Column]:
-    return [F.percentile(value, 0.1).alias(f"{prefix}_p10"), F.percentile(value, 0.9).alias(f"{prefix}_p90")]
+def _aggregates(value: str, low: str, high: str) -> list[Column]:
+    return [F.avg(value).alias("mean"), F.percentile(value, [0.1, 0.5, 0.9]).alias("q"), F.min(low).alias("low"), F.max(high).alias("high")]
 
 
 def _history_aggregates() -> list[Column]:
     v = "utilization_pct"
-    return [F.count(v).alias("host_count"), F.avg(v).alias("util_mean"), F.median(v).alias("util_median"), F.min(v).alias("util_min"), F.max(v).alias("util_max"), *_percentiles(v, "util")]
+    return [F.count(v).alias("host_count"), *_aggregates(v, v, v)]
+
+
+def _named(rows: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    """rows of _aggregates() with their public names."""
+    q = lambda k: F.get("q", F.lit(k))
+    return rows.select(*keys, "host_count", F.col("mean").alias(f"{prefix}_mean"), q(1).alias(f"{prefix}_median"), F.col("low").alias("util_min"), F.col("high").alias("util_max"), q(0).alias(f"{prefix}_p10"), q(2).alias(f"{prefix}_p90"))
+
+
+def _marked(trend: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Points (metric, clock, by, util_avg, util_min, util_max) with a mark new_k: 1 on the first of its host in the hour and the first k of `by`."""
+    fields = [*by, "util_avg", "util_min", "util_max"]
+    hosts = trend.dropna(subset=["metric", *by, "clock"]).groupBy("metric", "clock", "hostid").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("points"))
+    each = hosts.select("metric", "clock", "hostid", "points", F.posexplode("points").alias("i", "x"))
+    before = F.get("points", F.col("i") - 1)
+    marks, same = [], F.lit(True)
+    for k in range(len(by) + 1):
+        same = same & (before[by[k - 1]] == F.col("x")[by[k - 1]]) if k else same
+        marks.append((F.col("hostid").isNotNull() & ((F.col("i") == 0) | ~same)).cast("int").alias(f"new_{k}"))
+    return each.select("metric", "clock", *[F.col("x")[f].alias(f) for f in fields], *marks)
 
 
-def _trend_aggregates() -> list[Column]:
-    v = "util_avg"
-    return [F.count_distinct("hostid").alias("host_count"), F.avg(v).alias("util_avg_mean"), F.median(v).alias("util_avg_median"), F.min("util_min").alias("util_min"), F.max("util_max").alias("util_max"), *_percentiles(v, "util_avg")]
+def _trend_aggregates(by: int) -> list[Column]:
+    return [*[F.sum(f"new_{k}").alias(f"new_{k}") for k in range(by + 1)], *_aggregates("util_avg", "util_min", "util_max")]
 
 
 def summarize_history(history: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     keys = ["metric", *by, "clock"]
-    return history.dropna(subset=keys).groupBy(*keys).agg(*_history_aggregates())
+    return _named(history.dropna(subset=keys).groupBy(*keys).agg(*_history_aggregates()), keys, "util")
 
 
 def summarize_trend(trend: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     keys = ["metric", *by, "clock"]
-    return trend.dropna(subset=keys).groupBy(*keys).agg(*_trend_aggregates())
+    rows = _marked(trend, by).groupBy(*keys).agg(*_trend_aggregates(len(by)))
+    return _named(rows.withColumnRenamed(f"new_{len(by)}", "host_count"), keys, "util_avg")
 
 
 def scope_summaries(history: DataFrame) -> DataFrame:
     """All three levels at once: `level` is all, tag or scope; columns that a level doesn't use are ''."""
-    return _by_level(history, _history_aggregates())
+    return _by_level(history.dropna(subset=["metric", "as_value", "env_group", "clock"]), _history_aggregates(), "util")
 
 
 def scope_trend_summaries(trend: DataFrame) -> DataFrame:
     """As scope_summaries(), of the trend."""
-    return _by_level(trend, _trend_aggregates())
+    hosts = F.when(F.col("g") == 0, F.col("new_2")).when(F.col("g") == 2, F.col("new_1")).otherwise(F.col("new_0"))
+    return _by_level(_marked(trend, ("as_value", "env_group")), _trend_aggregates(2), "util_avg", hosts)
 
 
-def _by_level(history: DataFrame, aggregates: list[Column]) -> DataFrame:
+def _by_level(points: DataFrame, aggregates: list[Column], prefix: str, hosts: Column | None = None) -> DataFrame:
+    """hosts: the count of hosts where no aggregate has it; g is 0 for a scope, 2 for a tag value, else 6."""
     sets = [["metric", "clock"], ["metric", "as_value", "clock"], ["metric", "as_value", "env_group", "clock"]]
-    rows = history.dropna(subset=["metric", "as_value", "env_group", "clock"]).groupingSets([[F.col(c) for c in s] for s in sets], "metric", "as_value", "env_group", "clock").agg(F.grouping_id("metric", "as_value", "env_group", "clock").alias("g"), *aggregates)
+    rows = points.groupingSets([[F.col(c) for c in s] for s in sets], "metric", "as_value", "env_group", "clock").agg(F.grouping_id("metric", "as_value", "env_group", "clock").alias("g"), *aggregates)
     level = F.when(F.col("g") == 0, "scope").when(F.col("g") == 2, "tag").otherwise("all")
-    return rows.select(level.alias("level"), "metric", F.coalesce("as_value", F.lit("")).alias("as_value"), F.coalesce("env_group", F.lit("")).alias("env_group"), "clock", *[c for c in rows.columns if c not in ("metric", "as_value", "env_group", "clock", "g")])
+    rows = rows.withColumn("host_count", hosts) if hosts is not None else rows
+    filled = rows.withColumns({"level": level, "as_value": F.coalesce("as_value", F.lit("")), "env_group": F.coalesce("env_group", F.lit(""))})
+    return _named(filled, ["level", "metric", "as_value", "env_group", "clock"], prefix)
 
 
 def host_count(history: DataFrame, trend: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

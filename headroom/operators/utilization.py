@@ -30,38 +30,46 @@ def _selected(selected: DataFrame, source: str) -> DataFrame:
 
 
 def in_window(points: DataFrame, selected: DataFrame, since, until) -> DataFrame:
-    """Points of selected items between two timestamps, both included."""
+    """Points of selected items between two timestamps, both included. Points stored by month are read for those months alone."""
     items = checked_broadcast(selected.select("itemid").distinct())
-    return points.filter(F.col("clock").between(F.lit(since), F.lit(until))).join(items, "itemid", "left_semi")
+    return between(points, since, until).join(items, "itemid", "left_semi")
 
 
-def derive_history(trend: DataFrame, history_days: int, now) -> DataFrame:
-    """History points from trend averages; 0 days: all."""
+def between(points: DataFrame, since, until) -> DataFrame:
+    rows = points.filter(F.col("clock").between(F.lit(since), F.lit(until)))
+    if "month" not in points.columns:
+        return rows
+    month = lambda t: F.date_format(F.lit(t).cast("timestamp"), "yyyy-MM")
+    return rows.filter(F.col("month").between(month(since), month(until)))
+
+
+def derive_history(trend: DataFrame, history_days: int, now, keep: tuple[str, ...] = ()) -> DataFrame:
+    """History points from trend averages; 0 days: all. keep: further columns of the points that stay, here and below."""
     kept = trend.filter(F.col("clock") >= F.lit(now) - F.expr(f"interval {int(history_days)} days")) if history_days else trend
-    return kept.select("itemid", "clock", F.col("value_avg").alias("value"), F.lit(0).cast("long").alias("ns"))
+    return kept.select("itemid", "clock", F.col("value_avg").alias("value"), F.lit(0).cast("long").alias("ns"), *keep)
 
 
-def util_history(history: DataFrame, selected: DataFrame) -> DataFrame:
+def util_history(history: DataFrame, selected: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     rows = history.join(_selected(selected, "target"), "itemid")
-    return rows.withColumn("utilization_pct", clip(invert(F.col("transform"), F.col("value")))).select(*UTIL_HISTORY)
+    return rows.withColumn("utilization_pct", clip(invert(F.col("transform"), F.col("value")))).select(*UTIL_HISTORY, *keep)
 
 
-def util_trend(trend: DataFrame, selected: DataFrame) -> DataFrame:
+def util_trend(trend: DataFrame, selected: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Inverted items swap their minimum and maximum."""
     rows = trend.join(_selected(selected, "target"), "itemid")
     inverted = F.col("transform") == "invert_100"
     low = F.when(inverted, 100 - F.col("value_max")).otherwise(F.col("value_min"))
     high = F.when(inverted, 100 - F.col("value_min")).otherwise(F.col("value_max"))
-    return rows.withColumns({"util_min": clip(low), "util_avg": clip(invert(F.col("transform"), F.col("value_avg"))), "util_max": clip(high)}).select(*UTIL_TREND)
+    return rows.withColumns({"util_min": clip(low), "util_avg": clip(invert(F.col("transform"), F.col("value_avg"))), "util_max": clip(high)}).select(*UTIL_TREND, *keep)
 
 
 def _feature(value: str) -> Column:
     return F.when(F.col("feature").endswith("_pct"), clip(F.col(value))).otherwise(F.col(value))
 
 
-def feature_history(history: DataFrame, selected: DataFrame) -> DataFrame:
-    return history.join(_selected(selected, "feature"), "itemid").withColumn("value", _feature("value")).select(*FEATURE_HISTORY)
+def feature_history(history: DataFrame, selected: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return history.join(_selected(selected, "feature"), "itemid").withColumn("value", _feature("value")).select(*FEATURE_HISTORY, *keep)
 
 
-def feature_trend(trend: DataFrame, selected: DataFrame) -> DataFrame:
-    return trend.join(_selected(selected, "feature"), "itemid").withColumns({c: _feature(c) for c in ("value_min", "value_avg", "value_max")}).select(*FEATURE_TREND)
+def feature_trend(trend: DataFrame, selected: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return trend.join(_selected(selected, "feature"), "itemid").withColumns({c: _feature(c) for c in ("value_min", "value_avg", "value_max")}).select(*FEATURE_TREND, *keep)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import asdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import actions as A
@@ -33,13 +33,25 @@ class Folder:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._counted: dict[str, Observation] = {}
+        self._views: dict[str, DataFrame] = {}
 
     def put(self, name: str, df: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
-        sinks.write(df, f"{self.path}/{name}", order=order)
+        self._counted[name] = Observation()
+        sinks.write(df, f"{self.path}/{name}", order=order, counted=self._counted[name])
         return self.get(name)
 
+    def put_records(self, checked: DataFrame, points: str, errors: str) -> DataFrame:
+        """Points and rejected records by one write; each is a table of its own name."""
+        self._views[points], self._views[errors] = sinks.write_records(checked, f"{self.path}/{points}")
+        return self._views[points]
+
     def get(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        return self._views[name] if name in self._views else self.spark.read.parquet(f"{self.path}/{name}")
+
+    def counts(self) -> dict[str, int]:
+        """Rows of the tables that put() wrote, counted as they were written."""
+        return {name: sinks.rows_of(o) for name, o in self._counted.items()}
 
 
 def collect(spark: SparkSession, hosts: DataFrame, items: DataFrame, trend_raw: DataFrame, out: str, p: Params = Params(), now=None) -> Folder:
@@ -47,12 +59,15 @@ def collect(spark: SparkSession, hosts: DataFrame, items: DataFrame, trend_raw:
     to = Folder(spark, out)
     scope = to.put("hosts", H.host_scope(H.hosts_by_tag(hosts, p), p), ("host", "hostid"))
     selected = to.put("selected_items", S.selection(items, scope, p))
-    points = tables.trend_points(trend_raw)
+    points = tables.checked_points(trend_raw)
     if now is not None:
         end = F.lit(now).cast("timestamp")
-        points = points.filter(F.col("clock").between(end - F.expr(f"interval {p.trend_days} days"), end))
-    kept = points.join(Z.checked_broadcast(selected.select("itemid").distinct()), "itemid", "left_semi")
-    trend = to.put("trend_raw", kept)
+        # a record without a clock is told whatever the window
+        points = points.filter(F.col("clock").isNull() | F.col("clock").between(end - F.expr(f"interval {p.trend_days} days"), end))
+    # records without an item are told, those of items that were not chosen are nobody's error
+    chosen = Z.checked_broadcast(selected.select(F.col("itemid").alias("_item")).distinct())
+    kept = points.join(chosen, F.col("itemid") == F.col("_item"), "left").filter("_item is not null or itemid is null").drop("_item")
+    trend = to.put_records(kept, "trend_raw", "trend_errors")
     history = Z.derive_history(trend, p.history_days, now)
     to.put("util_trend", Z.util_trend(trend, selected))
     to.put("util_history", Z.util_history(history, selected))
@@ -91,19 +106,18 @@ def analyse(spark: SparkSession, source: str, out: str, p: Params = Params(), le
     own, own_trend = (t.filter("level = 'scope'").drop("level") for t in levels)
     scope_facts = to.put("scope_facts", facts(own, own_trend, R.SCOPE), (*R.SCOPE, "section", "key"))
     to.put("conclusion_lines", R.conclusion_lines(actionable, chances), (*R.SCOPE, "section_no", "line_no"))
-    to.put("forecast_chart", R.forecast_chart(daily.withColumnRenamed("target_p95", "y"), forecast, R.top_k(actionable, p), p))
+    to.put("forecast_chart", R.forecast_chart(daily.withColumnRenamed("target_p95", "y"), forecast, R.top_k(actionable, p), chances, p))
     to.put("heat_map", Y.heat_map(history, p.heat_hosts))
     scopes = to.put("scopes", R.scope_list(history, trend, actionable, selected), R.SCOPE)
     report = {
         "selected_items": selected, "history_summary_all": summary, "history_summary_by_as": to.get("history_summary_by_as"), "trend_summary_all": trend_summary, "trend_summary_by_as": to.get("trend_summary_by_as"),
         "daily_target_p95": daily, "host_risk_metrics": risk, "model_backtest": backtest, "model_selection": selection, "forecast_daily": forecast, "risk_probabilities": chances, "actionable": actionable, "conclusion": conclusion,
     }
-    sinks.write_bundle(report, f"{to.path}/report")
+    counts = sinks.write_bundle(report, f"{to.path}/report")
     # one partitioned write a table, not one job a scope; within a scope the summaries of all and by tag value are one
     by_scope = report | {"util_history": history, "util_trend": trend, "history_summary_all": own, "history_summary_by_as": own, "trend_summary_all": own_trend, "trend_summary_by_as": own_trend, "conclusion": scope_facts}
     for name, table in by_scope.items():
         sinks.write_by_scope(R.scope_of(table).join(scopes, list(R.SCOPE)), f"{to.path}/by_scope/{name}")
-    counts = {r["name"]: r["n"] for r in sinks.row_counts(report).collect()}  # one row a table
     sinks.run_context(spark, asdict(p) | {"source": source}, counts, f"{to.path}/run_context")
     return to
 

@@ -400,11 +400,13 @@ SQL: dict[str, tuple[str, tuple[str, ...]]] = {
     "status_counts": ("SELECT as_value, env_group, status, count(*) n FROM actions GROUP BY ALL", ("actions",)),
     "top_k_actions": (_TOP, ("actions",)),
     "forecast_chart": (
-        f"""SELECT kind, metric, hostid, {day()}, {r('actual', 'p50', 'p90', 'p95')} FROM (
+        f"""SELECT kind, metric, hostid, {day()}, {r('actual', 'p50', 'p90', 'p95')}, round(c, 6) confidence_index_pct, CASE WHEN c >= 75 THEN 'high' WHEN c < 50 THEN 'low' WHEN c IS NOT NULL THEN 'medium' END confidence_level,
+        round(p30, 6) prob_cross_90_30d_pct, round(p90_, 6) prob_cross_90_90d_pct, round(p180, 6) prob_cross_90_180d_pct, round(p365, 6) prob_cross_90_365d_pct FROM (
         SELECT 'actual' kind, metric, hostid, date, y actual, CAST(NULL AS DOUBLE) p50, CAST(NULL AS DOUBLE) p90, CAST(NULL AS DOUBLE) p95 FROM (SELECT *, max(date) OVER (PARTITION BY metric, hostid) l FROM grid) WHERE date >= l - 90
         UNION ALL SELECT 'forecast', metric, hostid, date, NULL, y, y, y FROM (SELECT *, max(date) OVER (PARTITION BY metric, hostid) l FROM grid) WHERE date = l
-        UNION ALL SELECT 'forecast', metric, hostid, date, NULL, p50, p90, p95 FROM naive) SEMI JOIN ({_TOP}) USING (metric, hostid)""",
-        ("grid", "naive", "actions"),
+        UNION ALL SELECT 'forecast', metric, hostid, date, NULL, p50, p90, p95 FROM naive) SEMI JOIN ({_TOP}) USING (metric, hostid)
+        LEFT JOIN (SELECT metric, hostid, max(sure) c, max(adjusted) FILTER (horizon_days = 30) p30, max(adjusted) FILTER (horizon_days = 90) p90_, max(adjusted) FILTER (horizon_days = 180) p180, max(adjusted) FILTER (horizon_days = 365) p365 FROM probs GROUP BY ALL) USING (metric, hostid)""",
+        ("grid", "naive", "actions", "probs"),
     ),
     "action_labels": (
         f"""SELECT {SERIES}, upper(metric) metric_label, CASE status WHEN 'watch' THEN 'under watch' WHEN 'overprovisioned' THEN 'spare resources' ELSE status END status_label, CASE cluster WHEN 'hot' THEN 'hot (raised risk)' WHEN 'cold' THEN 'cold (low load)' ELSE 'warm (working range)' END cluster_label,
@@ -478,10 +480,20 @@ SQL: dict[str, tuple[str, tuple[str, ...]]] = {
         (),
     ),
     "ingest_stream": (
-        """SELECT metric, hostid, count(*) n, count(DISTINCT clock) AS hours, count(DISTINCT CAST(clock AS DATE)) AS days FROM (SELECT DISTINCT itemid, clock FROM trend) JOIN selected USING (itemid)
-        WHERE source = 'target' GROUP BY metric, hostid""",
+        f"""SELECT * FROM (WITH points AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY itemid, clock ORDER BY num DESC, value_min DESC NULLS LAST, value_avg DESC NULLS LAST, value_max DESC NULLS LAST) i FROM trend) WHERE i = 1),
+        turned AS (SELECT metric, hostid, t.clock, num, CASE WHEN transform = 'invert_100' THEN 100 - value_max ELSE value_min END lo, CASE WHEN transform = 'invert_100' THEN 100 - value_avg ELSE value_avg END av,
+          CASE WHEN transform = 'invert_100' THEN 100 - value_min ELSE value_max END hi FROM points t JOIN selected s USING (itemid) WHERE source = 'target'),
+        daily AS (SELECT metric, hostid, CAST(clock AS DATE) date, quantile_cont({_CLIP("av")}, 0.95) p FROM turned GROUP BY ALL)
+        SELECT metric, hostid, n, hours, num, round(lo + 1e-9, 6) util_min, round(av + 1e-9, 6) util_avg, round(hi + 1e-9, 6) util_max, days, round(p + 1e-9, 6) target_p95
+        FROM (SELECT metric, hostid, count(*) n, count(DISTINCT clock) AS hours, CAST(sum(num) AS BIGINT) num, avg({_CLIP("lo")}) FILTER (lo IS NOT NULL) lo, avg({_CLIP("av")}) av, avg({_CLIP("hi")}) FILTER (hi IS NOT NULL) hi FROM turned GROUP BY ALL)
+        JOIN (SELECT metric, hostid, count(*) AS days, avg(p) p FROM daily GROUP BY ALL) USING (metric, hostid))""",
         ("trend", "selected"),
     ),
+    "stored_points": (
+        """SELECT 'point' kind, strftime(clock, '%Y-%m') AS key, count(*) n FROM trend WHERE clock BETWEEN TIMESTAMP '2000-01-01' AND TIMESTAMP '2000-12-31 23:59:59' GROUP BY ALL
+        UNION ALL SELECT 'error', 'value', count(*) FROM lineitem WHERE l_quantity IN (13, 14) HAVING count(*) > 0""",
+        ("trend",),
+    ),
 }
 _COUNTED = {"cpu_target_items": ("cpu", "target"), "ram_target_items": ("ram", "target"), "disk_target_items": ("disk", "target"), "ram_feature_items": ("ram", "feature"), "disk_feature_items": ("disk", "feature")}
 SQL["conclusion"] = (

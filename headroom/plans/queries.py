@@ -29,6 +29,7 @@ from ..operators import utilization as Z
 from ..schemas import SERIES, Params
 from ..sources import adapters as X
 from ..sources import sinks as W
+from ..sources import tables as T_
 from ..streaming import ingest as G
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -274,8 +275,8 @@ def _bundle(s: SparkSession, d: str) -> DataFrame:
 
 
 def _run_context(s: SparkSession, d: str) -> DataFrame:
-    """Parameters and row counts of a run, one row a table."""
-    counts = {r["name"]: r["n"] for r in W.row_counts(_report_tables(s, d)).collect()}  # one row a table
+    """Parameters and row counts of a run, one row a table, counted as the report is written."""
+    counts = W.write_bundle(_report_tables(s, d), _folder(s, "run"))
     row = W.run_context(s, {"horizons": PARAMS.horizons, "threshold": PARAMS.threshold}, counts)
     return row.select("parameters", F.explode("row_counts").alias("name", "n"))
 
@@ -283,7 +284,8 @@ def _run_context(s: SparkSession, d: str) -> DataFrame:
 def _by_scope(s: SparkSession, d: str) -> DataFrame:
     """Tables written by scope folders and read back: rows of each folder."""
     path = _folder(s, "by-scope")
-    tables = _report_tables(s, d)
+    # written once: the scopes are measured before they are dealt to writers
+    tables = {name: _kept(s, name, table) for name, table in _report_tables(s, d).items()}
     scopes = R.scope_list(*tables.values())
     out = []
     for name, table in tables.items():
@@ -293,7 +295,7 @@ def _by_scope(s: SparkSession, d: str) -> DataFrame:
 
 
 def _ingest(s: SparkSession, d: str) -> DataFrame:
-    """The stream over files of raw points, then what its sink holds. The points come twice, as after a re-delivery."""
+    """The stream over files of raw points, then what its sink holds after it is compacted. The points come twice, as after a re-delivery."""
     root = _folder(s, "ingest")
     raw = X.trend_raw(s, d)
     raw.union(raw).write.parquet(f"{root}/raw")
@@ -302,10 +304,19 @@ def _ingest(s: SparkSession, d: str) -> DataFrame:
     # at any size a few batches, whose points are of all years
     files = max(1, -(-len(s.read.parquet(f"{root}/raw").inputFiles()) // 3))
     G.ingest(s, f"{root}/raw", s.read.parquet(f"{root}/selected"), f"{root}/out", f"{root}/state", files).awaitTermination()
-    points = s.read.parquet(f"{root}/out/util_trend").groupBy("metric", "hostid").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("clock").alias("hours"))
-    # of different records of one point the first batch's stays, so values depend on the order of files: days are counted
-    days = G.daily(s, f"{root}/out").groupBy("metric", "hostid").agg(F.count(F.lit(1)).alias("days"))
-    return points.join(days, ["metric", "hostid"])
+    G.compact(s, f"{root}/out")
+    points = G.table(s, f"{root}/out", "util_trend").groupBy("metric", "hostid").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("clock").alias("hours"), F.sum("num").alias("num"), F.avg("util_min").alias("util_min"), F.avg("util_avg").alias("util_avg"), F.avg("util_max").alias("util_max")
+    )
+    days = G.daily(s, f"{root}/out").groupBy("metric", "hostid").agg(F.count(F.lit(1)).alias("days"), F.avg("target_p95").alias("target_p95"))
+    return _off_ties(points.join(days, ["metric", "hostid"]))
+
+
+def _stored_points(s: SparkSession, d: str) -> DataFrame:
+    """Raw records written in one pass as points by month and rejected records; what a window of the points and the errors hold."""
+    points, errors = W.write_records(T_.checked_points(X.trend_raw(s, d)), f"{_folder(s, 'records')}/table")
+    year = Z.between(points, "2000-01-01 00:00:00", "2000-12-31 23:59:59")
+    return year.groupBy(F.lit("point").alias("kind"), F.col("month").alias("key")).agg(F.count(F.lit(1)).alias("n")).unionByName(errors.groupBy(F.lit("error").alias("kind"), F.col("problem").alias("key")).agg(F.count(F.lit(1)).alias("n")))
 
 
 def _normalize(s: SparkSession, d: str) -> DataFrame:
@@ -350,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "selected_counts": lambda s, d: S.selected_counts(X.selected(s, d)),
     "normalize_trend": _normalize,
     "points_in_window": _window,
+    "stored_points": _stored_points,
     "derive_history": _recent_history,
     "util_trend": lambda s, d: Z.util_trend(X.trend(s, d), X.selected(s, d)),
     "util_history": lambda s, d: Z.util_history(_history(s, d), X.selected(s, d)),
@@ -390,7 +402,7 @@ QUERIES: dict[str, Query] = {
     "horizon_buckets": lambda s, d: R.bucket_counts(_actions(s, d)),
     "status_counts": lambda s, d: R.status_counts(_actions(s, d)),
     "top_k_actions": _top,
-    "forecast_chart": lambda s, d: R.forecast_chart(_grid(s, d), _naive(s, d), _top(s, d)),
+    "forecast_chart": lambda s, d: R.forecast_chart(_grid(s, d), _naive(s, d), _top(s, d), _probabilities(s, d)),
     "action_labels": lambda s, d: R.labelled(_actions(s, d)),
     "scope_list": _scope_slugs,
     "scope_conclusion": lambda s, d: R.conclusion_lines(_actions(s, d), _probabilities(s, d)),

@@ -54,11 +54,23 @@ def selection_report(spark: SparkSession, path: str) -> DataFrame:
     return rows.fillna("", subset=[c for c, k in S.SELECTED.items() if k == "string"])
 
 
+def _trend_columns() -> list[Column]:
+    number = lambda c: null_if_nan(F.col(c).try_cast("double"))
+    return [F.col("itemid").cast("string"), F.timestamp_seconds(F.col("clock").try_cast("long")).alias("clock"), F.coalesce(F.col("num").try_cast("int"), F.lit(0)).alias("num"), *[number(c).alias(c) for c in ("value_min", "value_avg", "value_max")]]
+
+
 def trend_points(raw: DataFrame) -> DataFrame:
     """Raw trend records (text or numbers, epoch seconds) as TREND_RAW; records without an average are dropped."""
-    number = lambda c: null_if_nan(F.col(c).try_cast("double"))
-    rows = raw.select(F.col("itemid").cast("string"), F.timestamp_seconds(F.col("clock").try_cast("long")).alias("clock"), F.coalesce(F.col("num").try_cast("int"), F.lit(0)).alias("num"), *[number(c).alias(c) for c in ("value_min", "value_avg", "value_max")])
-    return rows.filter("value_avg is not null and clock is not null and itemid is not null")
+    return raw.select(*_trend_columns()).filter("value_avg is not null and clock is not null and itemid is not null")
+
+
+def checked_points(raw: DataFrame) -> DataFrame:
+    """Every raw trend record as TREND_RAW with `problem` (item, clock, value: the first that is missing or bad; else
+    null) and, of those that have one, the `record` as JSON. Where problem is null the rows are trend_points()."""
+    fields = ("itemid", "clock", "num", "value_min", "value_avg", "value_max")
+    rows = raw.select(*_trend_columns(), F.struct(*fields).alias("r"))
+    problem = F.when(F.col("itemid").isNull(), "item").when(F.col("clock").isNull(), "clock").when(F.col("value_avg").isNull(), "value")
+    return rows.withColumn("problem", problem).withColumn("record", F.when(F.col("problem").isNotNull(), F.to_json("r"))).drop("r")
 
 
 def history_points(raw: DataFrame) -> DataFrame:

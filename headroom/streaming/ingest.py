@@ -2,9 +2,14 @@
 
 A file stream is normalised, freed of the points that the sink already holds, joined with the static
 selection and appended to the utilization and feature tables batch by batch. No point is too late:
-old ones may come in any batch. The exact daily percentile can't be kept as cheap streaming state: each
-batch recomputes the days that it touched and appends them as a newer version; daily() reads the last
-version of each day.
+old ones may come in any batch. Of several records of one point (itemid, clock) the greatest wins, whatever
+batches they come in: a batch appends a record only if it is greater than what the sink has, and table() reads
+the greatest. So the values do not depend on how files are dealt to batches. The exact daily percentile
+can't be kept as cheap streaming state: each batch recomputes the days that it touched and appends them
+as a newer version; daily() reads the last version of each day.
+
+A batch reads the sink's folders of its own months alone. Every batch adds a file a month to each table:
+compact() rewrites months of many parts as one. It runs while the stream is stopped.
 """
 
 from __future__ import annotations
@@ -19,6 +24,11 @@ from .. import schemas as S
 from ..operators import risk, utilization
 from ..sources.tables import exists, trend_points
 
+#: What tells records of one point apart, compared in this order; a missing value is the least.
+RECORD = ("num", "value_min", "value_avg", "value_max")
+SCHEMAS = {"util_trend": S.UTIL_TREND, "util_history": S.UTIL_HISTORY, "feature_trend": S.FEATURE_TREND, "feature_history": S.FEATURE_HISTORY}
+#: Columns of a table that a point's record decides.
+VALUES = {"num", "value_min", "value_avg", "value_max", "util_min", "util_avg", "util_max", "utilization_pct", "value"}
 RAW = dict(itemid="string", clock="long", num="string", value_min="string", value_avg="string", value_max="string")
 
 
@@ -36,58 +46,130 @@ def raw_stream(spark: SparkSession, path: str, files_a_batch: int = 100) -> Data
     return spark.readStream.schema(S.table(**RAW)).option("maxFilesPerTrigger", files_a_batch).parquet(path)
 
 
-def new_points(batch: DataFrame, number: int, tables: Tables) -> DataFrame:
-    """Points of a batch that no other batch has written, one for each (itemid, clock): of several the greatest record."""
-    spark, month = batch.sparkSession, F.date_format("clock", "yyyy-MM")
-    points = batch.groupBy("itemid", "clock").agg(F.max(F.struct("num", "value_min", "value_avg", "value_max")).alias("r")).select("itemid", "clock", "r.*")
-    months = batch.select(month.alias("month")).distinct()
+def months_of(rows: DataFrame) -> list[str]:
+    """The months of a batch: a few rows, since they are months of a calendar."""
+    return sorted(r["month"] for r in rows.select(F.date_format("clock", "yyyy-MM").alias("month")).distinct().collect())
+
+
+def stored(spark: SparkSession, path: str, months: list[str]) -> DataFrame | None:
+    """What the sink has of these months; none if it has nothing. No folder of another month is listed."""
+    paths = [p for p in (f"{path}/month={m}" for m in months) if exists(spark, p)]
+    return spark.read.option("basePath", path).parquet(*paths) if paths else None
+
+
+def new_points(batch: DataFrame, number: int, tables: Tables, months: list[str] | None = None) -> DataFrame:
+    """Points of a batch, one for each (itemid, clock) and of several the greatest record, unless another batch has written it or a greater one."""
+    points = batch.groupBy("itemid", "clock").agg(F.max(F.struct(*RECORD)).alias("r"))
+    months = months_of(batch) if months is None else months
     for path in (tables.util_trend, tables.feature_trend):
-        if exists(spark, path):
-            seen = spark.read.parquet(path).filter(F.col("batch") != number).join(F.broadcast(months), "month", "left_semi")  # one row a month
-            points = points.join(seen.select("itemid", "clock"), ["itemid", "clock"], "left_anti")
-    return points
+        seen = stored(batch.sparkSession, path, months)
+        if seen is not None:
+            have = seen.filter(F.col("part") != part_of(number)).groupBy("itemid", "clock").agg(F.max("record").alias("have"))
+            points = points.join(have, ["itemid", "clock"], "left").filter(F.col("have").isNull() | (F.col("r") > F.col("have"))).drop("have")
+    return points.select("itemid", "clock", "r.*")
+
+
+def part_of(number: int) -> str:
+    """The folder of a batch within a month; those of compact() begin with another letter."""
+    return f"b{number}"
+
+
+def _write_parts(rows: DataFrame, path: str) -> None:
+    """Append rows (with month and part), replacing parts of the same name; one writer a month, so that a part is one file."""
+    rows.repartition("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", "part").parquet(path)
 
 
 def append_batch(selected: DataFrame, tables: Tables):
     """Function of a batch: append all tables, then refresh the daily targets of its days."""
 
     def run(batch: DataFrame, number: int) -> None:
-        batch = new_points(batch, number, tables).persist()
+        months = months_of(batch)
+        batch = new_points(batch, number, tables, months).withColumn("record", F.struct(*RECORD)).persist()
         try:
-            history = utilization.derive_history(batch, 0, None)
+            keep = ("record",)
+            history = utilization.derive_history(batch, 0, None, keep)
             month = F.date_format("clock", "yyyy-MM")
             # a batch that is run again replaces what it wrote before: its folder is its number
             for name, rows in {
-                "util_trend": utilization.util_trend(batch, selected),
-                "util_history": utilization.util_history(history, selected),
-                "feature_trend": utilization.feature_trend(batch, selected),
-                "feature_history": utilization.feature_history(history, selected),
+                "util_trend": utilization.util_trend(batch, selected, keep),
+                "util_history": utilization.util_history(history, selected, keep),
+                "feature_trend": utilization.feature_trend(batch, selected, keep),
+                "feature_history": utilization.feature_history(history, selected, keep),
             }.items():
-                # one writer a month, so that a month gets one file a batch
-                dealt = rows.withColumns({"month": month, "batch": F.lit(number)}).repartition("month")
-                dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", "batch").parquet(getattr(tables, name))
-            days = batch.select(F.to_date("clock").alias("date"), month.alias("month")).distinct()
-            refresh_daily(batch.sparkSession, days, number, tables)
+                _write_parts(rows.withColumns({"month": month, "part": F.lit(part_of(number))}), getattr(tables, name))
+            refresh_daily(batch.sparkSession, batch.select(F.to_date("clock").alias("date")).distinct(), months, number, tables)
         finally:
             batch.unpersist()
 
     return run
 
 
-def refresh_daily(spark: SparkSession, days: DataFrame, number: int, tables: Tables) -> None:
-    """Append the daily p95 of these days (date, month), recomputed from the utilization table, as version `number`."""
-    months = F.broadcast(days.select("month").distinct())  # one row a month
-    history = spark.read.parquet(tables.util_history).join(months, "month", "left_semi").withColumn("date", F.to_date("clock"))
-    touched = history.join(F.broadcast(days.select("date")), "date", "left_semi").drop("date")  # one row a day
-    daily = risk.daily_p95(touched).withColumns({"month": F.date_format("date", "yyyy-MM"), "batch": F.lit(number)}).repartition("month")
-    daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", "batch").parquet(tables.daily_p95)
+def greatest(rows: DataFrame, name: str) -> DataFrame:
+    """One row a point of a stored table: that of the greatest record, with it and its month."""
+    values = [c for c in SCHEMAS[name] if c in VALUES]
+    keys = [c for c in SCHEMAS[name] if c not in VALUES]
+    return rows.groupBy(*keys, "month").agg(F.max(F.struct("record", *values)).alias("x")).select(*keys, "month", "x.*")
+
+
+def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A utilization or feature table of the sink, each point once."""
+    return greatest(spark.read.parquet(getattr(Tables(root), name)), name).select(*SCHEMAS[name])
+
+
+def refresh_daily(spark: SparkSession, days: DataFrame, months: list[str], number: int, tables: Tables) -> None:
+    """Append the daily p95 of these days (date) of these months, recomputed from the utilization table, as version `number`."""
+    history = stored(spark, tables.util_history, months)
+    if history is None:
+        return
+    touched = history.withColumn("date", F.to_date("clock")).join(F.broadcast(days), "date", "left_semi").drop("date")  # one row a day
+    points = greatest(touched, "util_history").select(*S.UTIL_HISTORY)
+    rows = risk.daily_p95(points).withColumns({"month": F.date_format("date", "yyyy-MM"), "version": F.lit(number).cast("long"), "part": F.lit(part_of(number))})
+    _write_parts(rows, tables.daily_p95)
+
+
+def _last(rows: DataFrame, *more: str) -> DataFrame:
+    keys = [c for c in S.DAILY if c != "target_p95"]
+    return rows.groupBy(*keys, *more).agg(F.max(F.struct("version", "target_p95")).alias("x")).select(*keys, *more, "x.*")
 
 
 def daily(spark: SparkSession, root: str) -> DataFrame:
     """The last version of each series and day, schema DAILY."""
-    keys = [c for c in S.DAILY if c != "target_p95"]
-    rows = spark.read.parquet(Tables(root).daily_p95)
-    return rows.groupBy(*keys).agg(F.max_by("target_p95", "batch").alias("target_p95")).select(*S.DAILY)
+    return _last(spark.read.parquet(Tables(root).daily_p95)).select(*S.DAILY)
+
+
+def parts(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The part folders of each month of a stored table: names, not files."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/month=*/part=*")) or []
+    out: dict[str, list[str]] = {}
+    for s in found:
+        out.setdefault(s.getPath().getParent().getName().split("=", 1)[1], []).append(s.getPath().getName().split("=", 1)[1])
+    return out
+
+
+def compact(spark: SparkSession, root: str, most: int = 1) -> dict[str, int]:
+    """Rewrite every month that has more than `most` parts as one part; gives the months rewritten of each table.
+
+    The new part is written before the old ones go. Until then, or if the job is lost in between, the same rows are
+    there twice, which changes nothing: readers take one row a point and the last version of a day.
+    """
+    jvm, done = spark.sparkContext._jvm, {}
+    for name in (*SCHEMAS, "daily_p95"):
+        path = getattr(Tables(root), name)
+        many = {m: p for m, p in parts(spark, path).items() if len(p) > most}
+        done[name] = len(many)
+        if not many:
+            continue
+        rows = stored(spark, path, sorted(many))
+        new = f"c{max(int(p[1:]) for ps in many.values() for p in ps) + 1}"  # never a part that it reads
+        kept = greatest(rows, name) if name in SCHEMAS else _last(rows, "month")
+        _write_parts(kept.withColumn("part", F.lit(new)), path)
+        fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for month, old in many.items():
+            for p in old:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/month={month}/part={p}"), True)
+    return done
 
 
 def ingest(spark: SparkSession, path: str, selected: DataFrame, root: str, checkpoint: str, files_a_batch: int = 100) -> StreamingQuery:

@@ -17,6 +17,7 @@ def test_collect_and_analyse(spark, tmp_path):
     src = jobs.collect(spark, X.hosts(spark, SF), X.items(spark, SF), X.trend_raw(spark, SF), f"{tmp_path}/in", p, "2001-07-01 00:00:00")
     assert src.get("util_history").count() == src.get("util_trend").count() > 0
     assert src.get("trend_raw").filter("clock < '2000-07-01'").count() == 0
+    assert src.get("trend_errors").select("problem").distinct().collect()[0].problem == "value" and src.counts()["util_trend"] == src.get("util_trend").count()
     out = jobs.analyse(spark, src.path, f"{tmp_path}/out", p)
     actions = out.get("actionable")
     assert actions.count() == out.get("host_risk_metrics").count() == out.get("model_selection").count()
@@ -29,7 +30,8 @@ def test_collect_and_analyse(spark, tmp_path):
     again = jobs.checkpointed(spark, f"{tmp_path}/none", src.path)
     assert again["util_history"].count() == src.get("util_history").count() and again["selected_items"].count() == src.get("selected_items").count()
     assert {r.key for r in out.get("conclusion").collect()} >= {"matched_hosts", "cpu_target_items", "status", "overprovisioned_hosts"}
-    assert out.get("forecast_chart").select("metric", "hostid").distinct().count() == 3
+    chart = out.get("forecast_chart")
+    assert chart.select("metric", "hostid").distinct().count() == 3 and chart.filter("kind = 'forecast' and (confidence_level is null or prob_cross_90_365d_pct is null)").count() == 0
     assert out.get("risk_probabilities").filter("prob_cross_adjusted_pct > prob_cross_pct + 1e-9").count() == 0
     assert "prob_cross_90_365d_pct" in actions.columns
 

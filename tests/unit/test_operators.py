@@ -61,6 +61,20 @@ def test_host_counts_and_percentiles(spark):
     assert summaries.summarize_history(h.limit(0)).columns[-1] == "util_p90"
 
 
+def test_scope_levels_count_each_host_once(spark):
+    clock = dt.datetime(2024, 1, 1)
+    point = lambda host, a, e, v: ("cpu", clock, host, "h", a, "e", e, "i", 1, 0.0, v, 9.0)
+    rows = [point("1", "a", "prod", 1.0), point("1", "a", "dev", 2.0), point("1", "b", "dev", 3.0), point("2", "b", "dev", 3.0), point("2", "b", "dev", 3.0), point(None, "b", "dev", None), point("3", None, "dev", 5.0)]
+    t = spark.createDataFrame(rows, S.table(**S.UTIL_TREND))
+    got = {(r.level, r.as_value, r.env_group): (r.host_count, r.util_avg_mean, r.util_avg_median) for r in summaries.scope_trend_summaries(t).collect()}
+    assert got == {
+        ("all", "", ""): (2, 2.4, 3.0), ("tag", "a", ""): (1, 1.5, 1.5), ("tag", "b", ""): (2, 3.0, 3.0),
+        ("scope", "a", "prod"): (1, 1.0, 1.0), ("scope", "a", "dev"): (1, 2.0, 2.0), ("scope", "b", "dev"): (2, 3.0, 3.0),
+    }
+    assert {r.as_value: r.host_count for r in summaries.summarize_trend(t, ("as_value",)).collect()} == {"a": 1, "b": 2}
+    assert summaries.summarize_trend(t).first().host_count == 3 and summaries.scope_trend_summaries(t.limit(0)).count() == 0
+
+
 def test_risk_of_one_point_and_of_zero_mean(spark):
     clock = dt.datetime(2024, 1, 1)
     rows = [("cpu", clock, "1", "h", "a", "e", "g", "i", 0.0), ("cpu", clock, "2", "h", "a", "e", "g", "i", 90.0), ("cpu", clock, "2", "h", "a", "e", "g", "i", None)]
@@ -394,6 +408,39 @@ def test_sources_and_sinks(spark, tmp_path):
     assert spark.read.option("header", True).csv(f"{d}/csv").count() == 2
 
 
+def test_writers_by_size_and_counts_of_writes(spark, tmp_path):
+    d = str(tmp_path)
+    files = lambda path: len(spark.read.parquet(path).select("_metadata.file_path").distinct().collect())
+    wide = spark.range(2000).selectExpr("'one' host", "id", "repeat('x', 92) text", "case when id < 1990 then 'big' else null end as_slug", "'prod' env_group")
+    wide.write.parquet(f"{d}/in")
+    rows = spark.read.parquet(f"{d}/in")
+    assert rows.filter("id = 0").select(sinks.row_bytes(rows)).first()[0] == 3 + 92 + 3 + 4 + 8
+    sinks.write_by_scope(rows, f"{d}/out", writer_bytes=20_000)  # some 220,000 bytes of one host and one scope
+    assert files(f"{d}/out/as_slug=big") > 4 and files(f"{d}/out/as_slug=__HIVE_DEFAULT_PARTITION__") == 1
+    assert spark.read.parquet(f"{d}/out").select(*rows.columns).exceptAll(rows).count() == 0 and spark.read.parquet(f"{d}/out").count() == 2000
+    sinks.write_by_scope(rows, f"{d}/small")
+    assert files(f"{d}/small/as_slug=big") == 1
+    sinks.write_by_scope(rows.limit(0), f"{d}/none")
+    assert sinks.write_bundle({"a": rows, "b": rows.filter("id < 7"), "c": rows.filter("1 = 0"), "d": rows.filter("id < -1")}, f"{d}/report") == {"a": 2000, "b": 7, "c": 0, "d": 0}
+
+
+def test_records_are_points_or_errors(spark, tmp_path):
+    raw = [("1", "60", "1", "1", "5", "9"), ("1", "3600000", "x", "1", "6", "9"), (None, "60", "1", "1", "5", "9"), ("2", "bad", "1", "1", "5", "9"), ("2", "60", "1", "1", "NaN", "9"), (None, None, None, None, None, None)]
+    df = spark.createDataFrame(raw, "itemid string, clock string, num string, value_min string, value_avg string, value_max string")
+    points, errors = sinks.write_records(tables.checked_points(df), f"{tmp_path}/r")
+    want = sorted(map(str, tables.trend_points(df).collect()))
+    assert sorted(map(str, points.drop("month").select(*S.TREND_RAW).collect())) == want and len(want) == 2
+    assert sorted(r.problem for r in errors.collect()) == ["clock", "item", "item", "value"] and points.count() + errors.count() == df.count()
+    assert '"value_avg":"NaN"' in errors.filter("problem = 'value'").first().record
+    # a window reads its months alone
+    chosen = spark.createDataFrame([("1",)], "itemid string")
+    window = utilization.in_window(points, chosen, "1970-02-01 00:00:00", "1970-03-01 00:00:00")
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.split("\n") if "FileScan" in x)
+    assert "month" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0] and "1970-03" in scan
+    assert [r.value_avg for r in window.collect()] == [6.0]
+
+
 def test_existing_state(spark):
     hosts_ = spark.createDataFrame([("1",)], "hostid string")
     triggers = spark.createDataFrame([("1", "[NativeForecast] x", [("1", "h")]), ("2", "other", [("1", "h")]), ("3", "[NativeForecast] y", [("9", "h")])], "triggerid string, description string, hosts array<struct<hostid: string, host: string>>")

@@ -39,3 +39,38 @@ def test_old_points_of_a_later_batch_are_kept(spark, tmp_path):
     assert clocks("util_trend") == clocks("util_history") == [-300, 0, 40]
     assert clocks("feature_trend") == clocks("feature_history") == [-300, 40]
     assert ingest.daily(spark, f"{d}/out").count() == 3
+
+
+def test_greatest_record_wins_in_any_order_and_compaction_keeps_it(spark, tmp_path):
+    base = int(dt.datetime(2024, 3, 30, tzinfo=dt.timezone.utc).timestamp())
+    row = lambda item, metric, source, feature, transform: ("7", "h", "a", "dev", "non-prod", metric, source, feature, "", item, "k", 0, transform)
+    chosen = spark.createDataFrame([row("1", "cpu", "target", "", "invert_100"), row("2", "ram", "feature", "used_bytes", "identity"), row("2", "ram", "target", "", "identity")], S.table(**S.SELECTED))
+    # of item 1 the greater record has the lower utilization, as it is inverted; of item 2 records differ in one value, one lacks it
+    files = [[("1", base, "1", "1", "30", "40"), ("2", base, "1", None, "5", "9")], [("1", base, "1", "1", "20", "50"), ("2", base, "1", "1", "5", "9")], [("1", base, "2", "0", "10", "10"), ("1", base + 86400 * 5, "1", "1", "3", "4")]]
+    seen = []
+    for k, order in enumerate(([0, 1, 2], [2, 1, 0], [1, 2, 0])):
+        d = f"{tmp_path}/{k}"
+        for f in order:
+            spark.createDataFrame(files[f], S.table(**ingest.RAW)).coalesce(1).write.mode("append").parquet(f"{d}/in")
+            ingest.ingest(spark, f"{d}/in", chosen, f"{d}/out", f"{d}/state", 1).awaitTermination()
+        rows = lambda: [sorted(map(str, ingest.table(spark, f"{d}/out", n).collect())) for n in ingest.SCHEMAS] + [sorted(map(str, ingest.daily(spark, f"{d}/out").collect()))]  # noqa: B023, E731
+        before = rows()
+        assert ingest.compact(spark, f"{d}/out")["util_trend"] <= 2 and rows() == before
+        assert all(len(p) == 1 for n in (*ingest.SCHEMAS, "daily_p95") for p in ingest.parts(spark, f"{d}/out/{n}").values())
+        assert sum(ingest.compact(spark, f"{d}/out").values()) == 0
+        # what comes again after compaction changes nothing, a greater record does
+        spark.createDataFrame(files[0], S.table(**ingest.RAW)).coalesce(1).write.mode("append").parquet(f"{d}/in")
+        ingest.ingest(spark, f"{d}/in", chosen, f"{d}/out", f"{d}/state", 1).awaitTermination()
+        assert rows() == before
+        seen.append(before)
+    assert seen[0] == seen[1] == seen[2]
+    got = {r.itemid: (r.num, r.util_min, r.util_avg) for r in ingest.table(spark, f"{tmp_path}/0/out", "util_trend").filter(F.col("clock") < "2024-04-01").collect()}
+    assert got == {"1": (2, 90.0, 90.0), "2": (1, 1.0, 5.0)}
+
+
+def test_a_batch_lists_the_folders_of_its_months_alone(spark, tmp_path):
+    d = str(tmp_path)
+    row = spark.createDataFrame([(m, "b0", 1) for m in ("2024-01", "2024-02", "2024-03")], "month string, part string, v int")
+    row.write.partitionBy("month", "part").parquet(f"{d}/t")
+    files = ingest.stored(spark, f"{d}/t", ["2024-02", "2024-09"]).inputFiles()
+    assert files and all("month=2024-02" in f for f in files) and ingest.stored(spark, f"{d}/t", ["2024-09"]) is None
