@@ -3,8 +3,10 @@
 Statistics of every whole text are Spark expressions. From labelled rows, sequential covering learns
 an ordered list of threshold conjunctions that reject: a rule grows by the condition of the largest
 information gain, is pruned back on rows that it wasn't grown on, and is kept if it is precise there;
-the rows that it covers leave, and the next rule is grown. Each step needs only counts by feature and
-bin, a table of fixed size that Spark sums up. The result is one ordered CASE expression.
+the rows that it covers leave, and the next rule is grown. A rule that isn't precise is dropped and another
+one grown from the best start that is left, each feature and direction once; covering ends when no start is.
+Each step needs only counts by feature and bin, a table of fixed size that Spark sums up. The result is one
+ordered CASE expression. The most rules and conditions are parameters, and the result tells whether one of them cut the list.
 
 Defined cases: null text has no words; texts without words have zero statistics and fail the base;
 null doc_ids and labels without a document are no training rows; if labels repeat for a doc_id, the
@@ -30,6 +32,7 @@ REPEAT_PERCENT = 20
 FOLDS = 5
 #: Shares of the labelled rows at which a feature may be cut.
 CUTS = tuple(sorted({*(k / 24 for k in range(1, 24)), 0.005, 0.01, 0.02, 0.03, 0.06, 0.94, 0.97, 0.98, 0.99, 0.995}))
+#: Defaults of the most rules of a list and conditions of a rule.
 MOST_RULES = 12
 MOST_CONDITIONS = 4
 MIN_PRECISION = 0.9
@@ -107,6 +110,12 @@ class Condition:
 Rule = tuple[Condition, ...]
 
 
+class Learned(list[Rule]):
+    """A decision list; `cut` tells that it ended, or a rule of it, at the most rules or conditions and not by itself."""
+
+    cut = False
+
+
 def _all(conditions: list[Column]) -> Column:
     out = F.lit(True)
     for c in conditions:
@@ -114,13 +123,13 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
-def learn(labelled: DataFrame) -> list[Rule]:
+def learn(labelled: DataFrame, most_rules: int = MOST_RULES, most_conditions: int = MOST_CONDITIONS) -> Learned:
     """Decision list from rows with the counts, `bad` (boolean) and `grow` (boolean: grown on, else pruned on)."""
     known = features()
     names = list(known)
     first = labelled.agg(F.sum(F.col("bad").cast("int")).alias("bad"), *[F.percentile_approx(known[n], list(CUTS), 10_000).alias(n) for n in names]).first()
     if not first["bad"]:
-        return []
+        return Learned()
     cuts = {n: sorted(set(first[n])) for n in names}
     # value <= cut k where bin <= k
     bins = F.array(*[_bin(known[n], cuts[n]) for n in names])
@@ -128,22 +137,30 @@ def learn(labelled: DataFrame) -> list[Rule]:
     place = {n: i for i, n in enumerate(names)}
     told = lambda n, above, k: F.get("bins", F.lit(place[n])) > k if above else F.get("bins", F.lit(place[n])) <= k
     rules: list[list[tuple[str, bool, int]]] = []
-    for _ in range(MOST_RULES):
+    failed: set[tuple[str, bool]] = set()  # starts that gave no precise rule since the last one that is
+    short = False
+    while True:
         left = rows
         for r in rules:
             left = left.filter(~_all([told(*c) for c in r]))
         rule: list[tuple[str, bool, int]] = []
-        while len(rule) < MOST_CONDITIONS:
+        impure = False
+        while len(rule) < most_conditions:
             inside = left.filter("grow").filter(_all([told(*c) for c in rule])).select("bad", F.posexplode("bins").alias("f", "b"))
             sums = inside.groupBy("f", "b").agg(F.count_if(F.col("bad")).alias("bad"), F.count_if(~F.col("bad")).alias("good")).collect()  # features x bins rows
-            best, gain = _best(sums, names, cuts)
+            best, gain = _best(sums, names, cuts, set() if rule else failed)
             if best is None or gain <= 0:
+                impure = False
                 break
             rule.append(best[:3])
-            if best[4] == 0:
+            impure = best[4] > 0
+            if not impure:
                 break
         if not rule:
             break
+        if len(rules) == most_rules:
+            short = True
+            break
         prune = left.filter("not grow")
         prefixes = [rule[: k + 1] for k in range(len(rule))]
         counts = prune.agg(*[F.count_if(_all([told(*c) for c in p]) & (F.col("bad") == F.lit(b))).alias(f"{k}{'bg'[not b]}") for k, p in enumerate(prefixes) for b in (True, False)]).first()
@@ -151,17 +168,22 @@ def learn(labelled: DataFrame) -> list[Rule]:
         k = -max(worth)[1]
         bad, good = counts[f"{k}b"], counts[f"{k}g"]
         if bad < MIN_COVERED or bad < MIN_PRECISION * (bad + good):
-            break
+            failed.add(rule[0][:2])
+            continue
+        short |= impure and k + 1 == most_conditions
         rules.append(rule[: k + 1])
-    return [tuple(Condition(n, above, float(cuts[n][k])) for n, above, k in r) for r in rules]
+        failed.clear()
+    out = Learned(tuple(Condition(n, above, float(cuts[n][k])) for n, above, k in r) for r in rules)
+    out.cut = short
+    return out
 
 
 def _bin(value: Column, cuts: list[float]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < value))
 
 
-def _best(sums: list, names: list[str], cuts: dict[str, list[float]]) -> tuple[tuple | None, float]:
-    """Condition of the largest information gain: (feature, above, cut, bad, good)."""
+def _best(sums: list, names: list[str], cuts: dict[str, list[float]], barred: set[tuple[str, bool]]) -> tuple[tuple | None, float]:
+    """Condition of the largest information gain: (feature, above, cut, bad, good). Of equal ones the first by feature, cut and direction."""
     best, most = None, 0.0
     bad, good = (sum(r[c] for r in sums if r["f"] == 0) for c in ("bad", "good"))
     if not bad:
@@ -173,7 +195,7 @@ def _best(sums: list, names: list[str], cuts: dict[str, list[float]]) -> tuple[t
         for k in range(len(cuts[n])):
             b, g = b + own.get(k, (0, 0))[0], g + own.get(k, (0, 0))[1]
             for above, p, q in ((False, b, g), (True, bad - b, good - g)):
-                if p >= MIN_COVERED and (gain := p * (math.log2(p / (p + q)) - prior)) > most:
+                if (n, above) not in barred and p >= MIN_COVERED and (gain := p * (math.log2(p / (p + q)) - prior)) > most:
                     best, most = (n, above, k, p, q), gain
     return best, most
 
@@ -186,12 +208,12 @@ def verdict(rules: list[Rule]) -> Column:
     return out
 
 
-def learn_from_labels(counts: DataFrame, labels: DataFrame) -> list[Rule]:
+def learn_from_labels(counts: DataFrame, labels: DataFrame, most_rules: int = MOST_RULES, most_conditions: int = MOST_CONDITIONS) -> Learned:
     """Rules from rows (doc_id, the counts) and labels (doc_id, quality)."""
     quality = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("__quality"))
     training = counts.filter(~base_failed() & (remainder(F.col("doc_id"), FOLDS) != 0)).join(quality, "doc_id")
     grow = F.pmod(F.floor(text_crc32(F.col("doc_id")) / FOLDS), F.lit(3)) != 0
-    return learn(training.withColumns({"bad": F.col("__quality") == 0, "grow": grow}))
+    return learn(training.withColumns({"bad": F.col("__quality") == 0, "grow": grow}), most_rules, most_conditions)
 
 
 def apply_rules(counts: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -199,9 +221,11 @@ def apply_rules(counts: DataFrame, rules: list[Rule]) -> DataFrame:
     return counts.withColumns({"base_failed": base_failed(), "rule": verdict(rules)}).withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, most_rules: int = MOST_RULES, most_conditions: int = MOST_CONDITIONS) -> DataFrame:
+    """Counts and verdict of every row; `rule` is the number of the rule that rejects, `rules_cut` tells that a limit cut the list."""
     counts = cut(with_counts(docs.select("doc_id", "text")).drop("text"), "rules")
-    return apply_rules(counts, learn_from_labels(counts, labels)).select("doc_id", *COUNTS, "base_failed", "kept", "rule")
+    rules = learn_from_labels(counts, labels, most_rules, most_conditions)
+    return apply_rules(counts, rules).select("doc_id", *COUNTS, "base_failed", "kept", "rule", F.lit(rules.cut).alias("rules_cut"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,3 +46,22 @@ def test_learned_list_rejects_what_labels_reject(spark):
     learned = R.learn_from_labels(counts, lab)
     assert len(learned) == 1 and learned[0][0].feature == "symbols_per_word" and learned[0][0].above
     assert {r.doc_id for r in R.apply_rules(counts, learned).filter("kept").collect()} == {i for i in range(600) if i % 4}
+
+
+def test_limits_are_told_and_a_failed_start_does_not_end_the_list(spark):
+    names = list(R.features())
+    # two kinds of bad rows, seen by two features
+    rows = []
+    for k in range(400):
+        grow = k % 2 == 0
+        kind = k % 8 // 2
+        rows.append((40, 400 if kind == 1 else 200, 60 if kind == 0 else 0, 0, 0, kind < 2, grow))
+    df = spark.createDataFrame(rows, "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, bad boolean, grow boolean")
+    have = R.with_counts(spark.createDataFrame([(1, "a b c")], "doc_id long, text string"))
+    full = df.withColumns({c: R.F.lit(0).cast(have.schema[c].dataType) for c in have.columns if c not in (*df.columns, "doc_id", "text")})
+    learned = R.learn(full)
+    assert len(learned) == 2 and not learned.cut and {r[0].feature for r in learned} <= set(names)
+    assert (len(R.learn(full, most_rules=1)), R.learn(full, most_rules=1).cut) == (1, True)
+    # symbols promise most where rules are grown, and fail where they are pruned: the list goes on with another start
+    failing = full.withColumn("n_symbols", R.F.when(R.F.col("grow"), R.F.col("bad").cast("long") * 60).otherwise((~R.F.col("bad")).cast("long") * 60)).withColumn("word_chars", R.F.when(R.F.col("bad"), 400).otherwise(200).cast("long"))
+    assert [r[0].feature for r in R.learn(failing)] and all(c.feature != "symbols_per_word" for r in R.learn(failing) for c in r)
