@@ -2,6 +2,9 @@ import random
 import zlib
 from collections import defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from headroom.llm import sharding as S
 
 
@@ -30,6 +33,46 @@ def test_shards_are_near_equal_and_keep_copies_together(spark):
     assert all(len(of[zlib.crc32(f"copy of text {i}".encode())]) == 1 for i in range(20))
 
 
+def brute_tree(rows, shards, first, spans, slack, node, seen):
+    """Follow the k-d tree over all rows: the widest dimension, and a split at its weighted quantile, found by sorting."""
+    seen.append(first)
+    if shards == 1:
+        assert not node.children
+        return {r["__row"]: first for r in rows}
+    half = shards // 2
+    assert [c.first for c in node.children] == [first, first + half] and [c.shards for c in node.children] == [half, shards - half]
+    if not rows:
+        return brute_tree([], half, first, spans, slack, node.children[0], seen) | brute_tree([], shards - half, first + half, spans, slack, node.children[1], seen)
+    width = {c: (max(r[c] for r in rows) - min(r[c] for r in rows)) / spans[c] for c in S.DIMENSIONS}
+    assert width[node.dimension] == max(width.values())
+    ordered, want = sorted(rows, key=lambda r: r[node.dimension]), sum(r["size"] for r in rows) * half / shards
+    upto, best = 0, want
+    for k, r in enumerate(ordered):
+        upto += r["size"]
+        if k + 1 == len(ordered) or ordered[k + 1][node.dimension] != r[node.dimension]:
+            best = min(best, abs(upto - want))
+    left, right = ([r for r in rows if (r[node.dimension] < node.split) == side] for side in (True, False))
+    assert abs(sum(r["size"] for r in left) - want) <= best + slack
+    return brute_tree(left, half, first, spans, slack, node.children[0], seen) | brute_tree(right, shards - half, first + half, spans, slack, node.children[1], seen)
+
+
+@pytest.mark.parametrize("shards, seed", [(40, 2), (7, 3)])
+def test_tree_follows_brute_force(spark, shards, seed):
+    """Every node splits where sorting all its rows finds the best split, to the stated tolerance; rows land in its leaves."""
+    rnd = random.Random(seed)
+    rows = [(i, "".join(rnd.choices("abcé語 ", k=int(rnd.paretovariate(0.9) * 8) % 4000))) for i in range(1200)]
+    rows += [(9000 + i, "the same text") for i in range(30)] + [(None, None), (7, ""), (7, ""), (8, "long " * 8000)]
+    placed = S.coordinates(spark.createDataFrame(rows, "doc_id long, text string"), shards)
+    tree = S.grow(placed, shards)
+    table = [r.asDict() for r in placed.collect()]
+    spans = {c: max(1, max(r[c] for r in table) - min(r[c] for r in table)) for c in S.DIMENSIONS}
+    seen = []
+    want = brute_tree(table, shards, 0, spans, S.TOLERANCE * sum(r["size"] for r in table) / shards, tree, seen)
+    assert set(range(shards)) <= set(seen)
+    got = {r["__row"]: r.shard for r in placed.select("__row", tree.expression(lambda n: F.lit(n.first)).alias("shard")).collect()}
+    assert got == want
+
+
 def test_heavy_group_is_spread(spark):
     rows = [(i, "the same text for all", 1) for i in range(2000)] + [(i, f"own {i}", 1) for i in range(1000)]
     _, sizes = check(spark, rows, 10)
