@@ -8,7 +8,9 @@ counts for that, and put back for the final estimates. A word that training lack
 the base score.
 
 Counts cover all training documents. The HOT most frequent words are known to every task with their
-counts (a fixed number); rarer words go by their 64-bit hash, and as contexts they form one class.
+counts (a fixed number); rarer words go by their 64-bit hash. As contexts these either form one class, or
+(every_context, as the query has it) each is one of its own: their pairs are blocks apart in each bucket,
+which list their contexts and get the counts of these from the vocabulary by a join.
 Every pair (word, context) with its documents is dealt to a bucket: pairs of hot words by ranges of
 words of equal mass, very frequent words over several buckets by context, rare words by their hash,
 so that a rare word's own count is the sum over its bucket. A pair is no more frequent than either of
@@ -63,6 +65,8 @@ RUN = 4096
 #: Code of the end as a word and of the start as a context; rare words have the high bit.
 END = 0
 RARE = 1 << 63
+#: Spark's own, so that the vocabulary has the same codes.
+HASH_SEED = 42
 _CONTEXT, _PLACE = 20, 24  # bits of a context's code, and of a document's place in a flush
 
 
@@ -140,7 +144,7 @@ class Codes(dict):
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh64_intdigest
 
-        code = xxh64_intdigest(word) | RARE
+        code = xxh64_intdigest(word, HASH_SEED) | RARE
         if self.room:
             self.room -= 1
             self[word] = code
@@ -169,8 +173,9 @@ class Layout:
         self.rare = rare // bucket + 1
 
 
-def places(word: np.ndarray, first: np.ndarray, splits: np.ndarray, shares: np.ndarray, turn: int, hot_buckets: int, rare_buckets: int) -> tuple[np.ndarray, ...]:
-    """(bucket, word, context, document) of every place of a flush, by bucket, word and context.
+def places(word: np.ndarray, first: np.ndarray, splits: np.ndarray, shares: np.ndarray, turn: int, hot_buckets: int, rare_buckets: int, every_context: bool = False) -> list[tuple[np.ndarray, ...]]:
+    """(bucket, word, context, document) of every place of a flush, by bucket, word and context: first places of hot
+    words, then those of rare words and, with every_context, of rare contexts, whose contexts have 64 bits.
 
     word: codes of whole texts, one after the other; turn: where this flush begins to deal out spread pairs.
     """
@@ -179,13 +184,19 @@ def places(word: np.ndarray, first: np.ndarray, splits: np.ndarray, shares: np.n
     rest = np.zeros(len(word), np.uint64)
     rest[1:] = np.minimum(word[:-1], np.uint64(len(splits))) << np.uint64(_PLACE)
     rest[1:] |= np.cumsum(word[:-1] == END, dtype=np.uint64)
-    rare = word >= RARE
-    rare_word, rare_rest = word[rare], rest[rare]
-    np.logical_not(rare, out=rare)
-    key, rest = word[rare], rest[rare]
+    apart = word >= RARE
+    if every_context:
+        apart[1:] |= word[:-1] >= RARE
+    at = np.flatnonzero(apart)
+    rare_word, rare_doc = word[at], rest[at] & doc_bits
+    rare_context = np.where(at > 0, word[at - 1], np.uint64(END))
+    if not every_context:
+        rare_context = np.minimum(rare_context, np.uint64(len(splits)))
+    np.logical_not(apart, out=apart)
+    key, rest = word[apart], rest[apart]
     key <<= np.uint64(_CONTEXT + _PLACE)
     key |= rest
-    del word, rest, rare
+    del word, rest, apart, at
     key.sort()
     hot = (key >> np.uint64(_CONTEXT + _PLACE)).astype(np.uint32)
     d = (key & doc_bits).astype(np.uint32)
@@ -198,17 +209,18 @@ def places(word: np.ndarray, first: np.ndarray, splits: np.ndarray, shares: np.n
     bucket += first[hot]
     bucket = bucket.astype(np.int32)
     order = np.argsort(bucket, kind="stable").astype(np.uint32)
-    out = [bucket[order], hot[order].astype(np.uint64), c[order], d[order]]
+    out = [(bucket[order], hot[order].astype(np.uint64), c[order], d[order])]
     if len(rare_word):
-        bucket = (hot_buckets + (rare_word >> np.uint64(16)).astype(np.int64) % rare_buckets).astype(np.int32)
-        order = np.lexsort((rare_rest, rare_word, bucket))
-        rare_rest = rare_rest[order]
-        more = (bucket[order], rare_word[order], (rare_rest >> np.uint64(_PLACE)).astype(np.uint32), (rare_rest & doc_bits).astype(np.uint32))
-        out = [np.concatenate(x) for x in zip(out, more)]
-    return tuple(out)
+        by_hash = lambda x, n: (x >> np.uint64(16)).astype(np.int64) % n
+        rare = rare_word >= RARE
+        of = np.where(rare, 0, rare_word).astype(np.int64)
+        bucket = np.where(rare, hot_buckets + by_hash(rare_word, rare_buckets), first[of] + by_hash(rare_context, splits[of])).astype(np.int32)
+        order = np.lexsort((rare_doc, rare_context, rare_word, bucket))
+        out.append((bucket[order], rare_word[order], rare_context[order], rare_doc[order].astype(np.uint32)))
+    return out
 
 
-def dealt(docs: DataFrame, hot: list[bytes], layout: Layout) -> DataFrame:
+def dealt(docs: DataFrame, hot: list[bytes], layout: Layout, every_context: bool = False) -> DataFrame:
     """Pairs of each flush of documents by bucket, and (bucket below 0) the documents themselves."""
     sent = docs.sparkSession.sparkContext.broadcast((hot, layout.first, layout.splits, layout.shares))
     hot_buckets, rare_buckets = layout.hot, layout.rare
@@ -223,10 +235,13 @@ def dealt(docs: DataFrame, hot: list[bytes], layout: Layout) -> DataFrame:
         codes: list[int] = []
         part, classes = 0, []
 
-        def flush(of: pa.DataType) -> pa.RecordBatch:
+        def flush(of: pa.DataType) -> Iterator[pa.RecordBatch]:
             turn = xxh32_intdigest(str(part))
-            bucket, w, c, d = places(np.array(codes, np.uint64), first, splits, shares, turn, hot_buckets, rare_buckets)
-            doc = d << np.uint32(2) | np.array(classes, np.uint32)[d]
+            for bucket, w, c, d in places(np.array(codes, np.uint64), first, splits, shares, turn, hot_buckets, rare_buckets, every_context):
+                if len(bucket):
+                    yield packed_places(bucket, w, c, d << np.uint32(2) | np.array(classes, np.uint32)[d], of)
+
+        def packed_places(bucket: np.ndarray, w: np.ndarray, c: np.ndarray, doc: np.ndarray, of: pa.DataType) -> pa.RecordBatch:
             starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
             ends = np.append(starts[1:], len(bucket))
             packed = [pa.array([_pack(a[i:j]) for i, j in zip(starts, ends)], pa.binary()) for a in (w, c, doc)]
@@ -246,10 +261,10 @@ def dealt(docs: DataFrame, hot: list[bytes], layout: Layout) -> DataFrame:
                 codes += map(code.__getitem__, (text.as_py() or "").encode().lower().split())
                 codes.append(END)
                 if len(codes) >= FLUSH:
-                    yield flush(batch.schema.field("doc_id").type)
+                    yield from flush(batch.schema.field("doc_id").type)
                     codes = []
         if codes:
-            yield flush(batch.schema.field("doc_id").type)
+            yield from flush(batch.schema.field("doc_id").type)
 
     return with_row_key(docs, "__row").select("__row", "doc_id", "fold", "text").mapInArrow(run, f"bucket int, row long, doc_id {kind}, held_out boolean, words binary, contexts binary, docs binary")
 
@@ -265,41 +280,60 @@ def _counts_of(words: np.ndarray, counts: np.ndarray, known: np.ndarray) -> np.n
 
 
 def counted(pairs: DataFrame, sent, types: int, weight: float) -> DataFrame:
-    """One row a bucket: its distinct pairs with their counts, their documents, and held-out counts by cell.
+    """One row a bucket: its distinct pairs with their counts, their documents, and held-out counts by cell; and
+    another one of its pairs of rare contexts, if it has any.
 
     Of pairs that are spread over several buckets the counts are this bucket's alone; they are listed in
-    `spread_pairs` with these counts, and add nothing to the cells.
+    `spread_pairs` with these counts, and add nothing to the cells. Nor do pairs of rare contexts: these are
+    listed in `rare_contexts`, and their held-out pairs in `told_at` (the place there) and beside it.
     """
     kind = pairs.schema["doc_id"].dataType.simpleString()
-    lists = ("cells", "held", "spread_pairs", "spread_kept", "spread_deleted")
+    lists = ("cells", "held", "spread_pairs", "spread_kept", "spread_deleted", "rare_contexts", "told_at", "told_kept", "told_deleted")
 
     def count(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         if bucket < 0:
             n = table.num_rows
-            return pa.table({**{c: table[c] for c in ("bucket", "row", "doc_id", "held_out")}, **{c: pa.nulls(n, pa.binary()) for c in BLOCKS}, **{c: pa.nulls(n, pa.list_(pa.int64())) for c in lists}})
-        w, c, d = (np.concatenate([_unpack(x.as_py(), k) for x in table[col]]) for col, k in (("words", "u8"), ("contexts", "u4"), ("docs", "u4")))
+            return pa.table({**{c: table[c] for c in ("bucket", "row", "doc_id", "held_out")}, **{c: pa.nulls(n, pa.binary()) for c in BLOCKS}, **{c: pa.nulls(n, pa.list_(pa.int64())) for c in lists}, "told_low": pa.nulls(n, pa.list_(pa.float64()))})
+        w, d = (np.concatenate([_unpack(x.as_py(), k) for x in table[col]]) for col, k in (("words", "u8"), ("docs", "u4")))
         sizes = [len(x.as_py()) // 4 for x in table["docs"]]
+        c = np.concatenate([_unpack(x.as_py(), "u4" if len(x.as_py()) == 4 * n else "u8").astype(np.uint64) for x, n in zip(table["contexts"], sizes)])
+        kept_words, kept_contexts, _, _, splits, shares = sent.value
+        common = np.uint64(len(kept_contexts))  # codes from here on are places in the list of rare contexts
+        named = c >= RARE
+        rare_contexts, at = np.unique(c[named], return_inverse=True)
+        c[named] = common + at.astype(np.uint64)
         rows = np.repeat(table["row"].to_numpy(), sizes) + (d >> 2)
         part = d & 3
         word, at = np.unique(w, return_inverse=True)
-        key, at = np.unique(at.astype(np.uint64) << np.uint64(_CONTEXT) | c, return_inverse=True)
+        key, at = np.unique(at.astype(np.uint64) << np.uint64(32) | c, return_inverse=True)
         order = np.argsort(at, kind="stable")
-        word, context = word[(key >> np.uint64(_CONTEXT)).astype(np.int64)], (key & np.uint64((1 << _CONTEXT) - 1)).astype(np.uint32)
+        word, context = word[(key >> np.uint64(32)).astype(np.int64)], (key & np.uint64((1 << 32) - 1)).astype(np.uint32)
         kept, deleted = (np.bincount(at, part == k, len(key)).astype(np.uint32) for k in (0, 1))
-        kept_words, kept_contexts, _, _, splits, shares = sent.value
-        spread = ways(splits, shares, word, context) > 1
-        used = (deleted > 0) & (kept_contexts[context] > 0) & ~spread
-        total = kept_contexts[context][used].astype(float)
-        low = weight * _counts_of(word, kept, kept_words)[used] / max(float(kept_words[-1]), 1.0) + (1 - weight) / (types + 1)
-        cells, of = np.unique(cell_of(frequency_class(total), kept[used] / total, low), return_inverse=True)
+        own = context >= common
+        known = np.where(own, 0, context)
+        spread = ~own & (ways(splits, shares, word, known) > 1)
+        low = weight * _counts_of(word, kept, kept_words) / max(float(kept_words[-1]), 1.0) + (1 - weight) / (types + 1)
+        used = (deleted > 0) & (kept_contexts[known] > 0) & ~spread & ~own
+        total = kept_contexts[known][used].astype(float)
+        cells, of = np.unique(cell_of(frequency_class(total), kept[used] / total, low[used]), return_inverse=True)
         held = np.bincount(of, deleted[used].astype(float), len(cells))
-        told = [x.astype(np.int64) for x in (cells, held, pair_key(word, context)[spread], kept[spread], deleted[spread])]
-        blocks = (word, context, kept, deleted, np.bincount(at).astype(np.uint32), rows[order].astype(np.uint64))
-        none = {"row": pa.nulls(1, pa.int64()), "doc_id": pa.nulls(1, table.schema.field("doc_id").type), "held_out": pa.nulls(1, pa.bool_())}
-        return pa.table({"bucket": pa.array([bucket], pa.int32()), **none, **{c: pa.array([_pack(b)], pa.binary()) for c, b in zip(BLOCKS, blocks)}, **{c: pa.array([x], pa.list_(pa.int64())) for c, x in zip(lists, told)}})
-
-    return pairs.groupBy("bucket").applyInArrow(count, f"bucket int, row long, doc_id {kind}, held_out boolean, {', '.join(f'{c} binary' for c in BLOCKS)}, {', '.join(f'{c} array<long>' for c in lists)}")
+        told = own & (deleted > 0)
+        none = np.empty(0, np.int64)
+        listed = [[cells, held, pair_key(word, context)[spread], kept[spread], deleted[spread], none, none, none, none], [none] * 5 + [rare_contexts, context[told] - common, kept[told], deleted[told]]]
+        word_total = np.where(word >= RARE, _counts_of(word, kept.astype(float) + deleted, np.zeros(len(splits))), 0).astype(np.uint32)
+        places_of = np.bincount(at).astype(np.uint32)
+        rows = rows[order].astype(np.uint64)
+        out = []
+        for k, these in enumerate((~own, own)):
+            if these.any():
+                blocks = (word[these], context[these], kept[these], deleted[these], places_of[these], rows[np.repeat(these, places_of)], word_total[these])
+                empty = {"row": pa.nulls(1, pa.int64()), "doc_id": pa.nulls(1, table.schema.field("doc_id").type), "held_out": pa.nulls(1, pa.bool_())}
+                arrays = {c: pa.array([x.astype(np.int64)], pa.list_(pa.int64())) for c, x in zip(lists, listed[k])}
+                out.append(pa.table({"bucket": pa.array([bucket], pa.int32()), **empty, **{c: pa.array([_pack(b)], pa.binary()) for c, b in zip(BLOCKS, blocks)}, **arrays, "told_low": pa.array([low[told] if k else low[:0]], pa.list_(pa.float64()))}))
+        return pa.concat_tables(out)
+
+    return pairs.groupBy("bucket").applyInArrow(count, f"bucket int, row long, doc_id {kind}, held_out boolean, {', '.join(f'{c} binary' for c in BLOCKS)}, {', '.join(f'{c} array<long>' for c in lists)}, told_low array<double>")
 
 
 def pair_key(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
@@ -330,8 +364,38 @@ def cells_of_totals(totals: DataFrame, sent, types: int, weight: float) -> DataF
     return totals.mapInArrow(run, "cell long, held long")
 
 
-def with_totals(buckets: DataFrame, totals: DataFrame) -> DataFrame:
-    """The blocks of all buckets, with `pairs` (sorted) and `pair_counts`: the whole counts of their spread pairs.
+def context_counts(buckets: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(bucket, context_kept, context_all): training counts of its rare contexts, in their order; 0 for words that
+    the vocabulary (word, kept, deleted) lacks."""
+    code = F.xxhash64("word").bitwiseOR(F.lit(-RARE).cast("long")).alias("code")
+    words = vocabulary.select(code, "kept", "deleted").groupBy("code").agg(F.sum("kept").alias("kept"), F.sum("deleted").alias("deleted"))
+    asked = buckets.filter("size(rare_contexts) > 0").select("bucket", F.posexplode("rare_contexts").alias("at", "code"))
+    count = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    told = asked.join(words, "code", "left").select("bucket", F.struct("at", count(F.col("kept")).alias("kept"), count(F.col("kept") + F.col("deleted")).alias("n")).alias("x"))
+    listed = told.groupBy("bucket").agg(F.sort_array(F.collect_list("x")).alias("x"))
+    return listed.select("bucket", F.col("x.kept").alias("context_kept"), F.col("x.n").alias("context_all"))
+
+
+def cells_of_contexts(buckets: DataFrame, counts: DataFrame) -> DataFrame:
+    """(cell, held) of the held-out pairs of rare contexts, as counted() has them of the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total, kept, deleted, low = (batch.column(c).to_numpy() for c in ("total", "kept", "deleted", "low"))
+            used = total > 0
+            total = total[used].astype(float)
+            cells = cell_of(frequency_class(total), kept[used] / total, low[used])
+            yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int64)), pa.array(deleted[used])], ["cell", "held"])
+
+    listed = buckets.filter("size(told_at) > 0").select("bucket", "told_at", "told_kept", "told_deleted", "told_low").join(counts.select("bucket", "context_kept"), "bucket")
+    each = listed.select("context_kept", F.explode(F.arrays_zip("told_at", "told_kept", "told_deleted", "told_low")).alias("x"))
+    total = F.get("context_kept", F.col("x.told_at").cast("int"))
+    return each.select(total.alias("total"), F.col("x.told_kept").alias("kept"), F.col("x.told_deleted").alias("deleted"), F.col("x.told_low").alias("low")).mapInArrow(run, "cell long, held long")
+
+
+def with_totals(buckets: DataFrame, totals: DataFrame, counts: DataFrame) -> DataFrame:
+    """The blocks of all buckets, with `pairs` (sorted) and `pair_counts`: the whole counts of their spread pairs, and
+    `context_all`: those of their rare contexts, from counts (as context_counts() gives them).
 
     A bucket lists no more pairs than it has places. Spark broadcasts the lists while they are small, and
     shuffles the buckets that have any beyond that.
@@ -341,11 +405,14 @@ def with_totals(buckets: DataFrame, totals: DataFrame) -> DataFrame:
     listed = cut(listed.select("bucket", F.col("of.pair").alias("pairs"), F.col("of.n").alias("pair_counts")), "lm-spread")
     blocks = buckets.filter("words is not null")
     none = F.lit(None).cast("array<long>")
-    whole = blocks.filter("size(spread_pairs) = 0").select(*BLOCKS, none.alias("pairs"), none.alias("pair_counts"))
-    return whole.unionByName(blocks.filter("size(spread_pairs) > 0").join(listed, "bucket").select(*BLOCKS, "pairs", "pair_counts"))
+    whole = blocks.filter("size(spread_pairs) = 0 and size(rare_contexts) = 0").select(*BLOCKS, none.alias("pairs"), none.alias("pair_counts"), none.alias("context_all"))
+    spread = blocks.filter("size(spread_pairs) > 0").join(listed, "bucket").select(*BLOCKS, "pairs", "pair_counts", none.alias("context_all"))
+    rare = blocks.filter("size(rare_contexts) > 0").join(counts, "bucket").select(*BLOCKS, none.alias("pairs"), none.alias("pair_counts"), "context_all")
+    return whole.unionByName(spread).unionByName(rare)
 
 
-BLOCKS = ("words", "contexts", "kept", "deleted", "spread", "rows")
+#: word_total: of rare words alone, over all blocks of the bucket.
+BLOCKS = ("words", "contexts", "kept", "deleted", "spread", "rows", "word_total")
 
 
 #: Documents of one row of partial sums, as a power of two.
@@ -375,14 +442,16 @@ def partial_sums(blocks: DataFrame, sent, tokens: int, types: int, weight: float
             return pa.RecordBatch.from_arrays([pa.array(of[starts].astype(np.int64)), *packed], ["range", *PARTIAL])
 
         for batch in batches:
-            for *block, pairs, pair_counts in zip(*[batch.column(c) for c in (*BLOCKS, "pairs", "pair_counts")]):
-                word, context, kept, deleted, spread, rows = (_unpack(b.as_py(), k) for b, k in zip(block, ("u8", "u4", "u4", "u4", "u4", "u8")))
+            for *block, pairs, pair_counts, context_all in zip(*[batch.column(c) for c in (*BLOCKS, "pairs", "pair_counts", "context_all")]):
+                word, context, kept, deleted, spread, rows, word_total = (_unpack(b.as_py(), k) for b, k in zip(block, ("u8", "u4", "u4", "u4", "u4", "u8", "u4")))
                 both = kept.astype(float) + deleted
                 if pairs.is_valid:  # words are sorted, and rare ones come last: so are the pairs
                     hot = int(np.searchsorted(word, np.uint64(RARE)))
                     at = np.searchsorted(pair_key(word[:hot], context[:hot]), pairs.values.to_numpy().astype(np.uint64))
                     both[at] = pair_counts.values.to_numpy()
-                c, total = _counts_of(word, both, all_words), all_contexts[context].astype(float)
+                c = np.where(word >= RARE, word_total, all_words[np.where(word >= RARE, 0, word).astype(np.int64)]).astype(float)
+                of_rare = context_all.values.to_numpy() if context_all.is_valid else all_contexts[:0]
+                total = np.concatenate([all_contexts, of_rare])[context].astype(float)
                 low = weight * c / max(tokens, 1) + (1 - weight) / (types + 1)
                 own = np.where(total > 0, weights[frequency_class(total)], 0.0)
                 model = np.log10(own * both / np.maximum(total, 1) + (1 - own) * low)
@@ -420,8 +489,9 @@ def sums_by_document(documents: DataFrame, parts: DataFrame) -> DataFrame:
     return both.groupBy("range").applyInArrow(add, f"doc_id {kind}, held_out boolean, n long, known long, base double, model double")
 
 
-def scored(docs: DataFrame, hot_words: int = HOT, bucket: int = BUCKET) -> DataFrame:
-    """Counts and log10 probabilities of every row of docs (doc_id, text)."""
+def scored(docs: DataFrame, hot_words: int = HOT, bucket: int = BUCKET, every_context: bool = False) -> DataFrame:
+    """Counts and log10 probabilities of every row of docs (doc_id, text). every_context: words that aren't hot are
+    contexts of their own, too, so that the scores don't depend on hot_words."""
     docs = docs.select("doc_id", "text", remainder(F.col("doc_id"), FOLDS).alias("fold"))
     vocabulary = cut(word_counts(docs), "lm-words")
     c = F.col("kept") + F.col("deleted")
@@ -434,19 +504,22 @@ def scored(docs: DataFrame, hot_words: int = HOT, bucket: int = BUCKET) -> DataF
     step = F.floor(F.log10(F.col("kept") / F.lit(float(max(of["kept"], 1))) * F.lit(float(types + 1))) * 100 + 0.5)
     steps = vocabulary.filter("deleted > 0").groupBy(F.when(F.col("kept") > 0, step + 100 * DECADES + 1).otherwise(0).cast("long").alias("cell")).agg(F.sum("deleted").alias("n")).toPandas()
     weight = float(learn_from_cells(steps["cell"].to_numpy(), steps["n"].to_numpy())[0]) if of["kept"] else 0.0
-    forget(vocabulary)
     words = [np.concatenate(([ends[k]], hot[k].to_numpy())).astype(np.int64) for k in ("kept", "deleted")]
     # as contexts: the start, the hot words, all others; and last of the words' counts the sum of all
     contexts = [np.append(w, of[k] - w.sum()) for w, k in zip(words, ("kept", "deleted"))]
     layout = Layout(words[0] + words[1], int(contexts[0][-1] + contexts[1][-1]), bucket)
     known = (np.append(words[0], of["kept"]), contexts[0], np.append(words[0] + words[1], tokens), contexts[0] + contexts[1], layout.splits, layout.shares)
     sent = docs.sparkSession.sparkContext.broadcast(known)
-    buckets = cut(counted(dealt(docs, hot["word"].to_pylist(), layout), sent, types, weight), "lm-pairs", 4)
+    buckets = cut(counted(dealt(docs, hot["word"].to_pylist(), layout, every_context), sent, types, weight), "lm-pairs", 4)
     totals = cut(spread_totals(buckets), "lm-totals")
     told = buckets.select(F.explode(F.arrays_zip("cells", "held")).alias("x")).select(F.col("x.cells").alias("cell"), "x.held")
-    told = told.unionByName(cells_of_totals(totals, sent, types, weight)).groupBy("cell").agg(F.sum("held").alias("n")).toPandas()  # classes x ratios
+    # no word above the last hot one is rare
+    rarest = int(words[0][-1] + words[1][-1]) if hot.num_rows else tokens
+    counts = cut(context_counts(buckets, vocabulary.filter(c > 0).filter("word is not null").filter(c <= rarest)), "lm-contexts")
+    forget(vocabulary)
+    told = told.unionByName(cells_of_totals(totals, sent, types, weight)).unionByName(cells_of_contexts(buckets, counts)).groupBy("cell").agg(F.sum("held").alias("n")).toPandas()  # classes x ratios
     weights = learn_from_cells(told["cell"].to_numpy(), told["n"].to_numpy()) if len(told) else np.full(CLASSES, 0.5)
-    blocks = with_totals(buckets, totals)
+    blocks = with_totals(buckets, totals, counts)
     forget(totals)
     parts = partial_sums(blocks, sent, tokens, types, weight, weights)
     told = sums_by_document(buckets.filter("words is null").select("row", "doc_id", "held_out"), parts)
@@ -454,4 +527,4 @@ def scored(docs: DataFrame, hot_words: int = HOT, bucket: int = BUCKET) -> DataF
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored(read(spark, sf_dir, "documents"))
+    return scored(read(spark, sf_dir, "documents"), every_context=True)

@@ -141,3 +141,23 @@ def test_no_training_rows(spark):
     out = lm.scored(spark.createDataFrame([(held[0], "a b")], "doc_id long, text string")).collect()
     assert out[0].train_tokens == 0 and out[0].n_known == 0 and out[0].n_tokens == 3 and np.isfinite(out[0].score)
     assert lm.scored(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_words_that_are_not_hot_are_contexts_of_their_own(spark):
+    """Scores of a few hot words and many buckets are those of all words as contexts; pairs of rare words have counts, too."""
+    rows = texts(300, 3) + [(2000 + i, f"rare{i % 9} seldom{i % 9} the") for i in range(90)] + [(None, None), (1001, "x" * 3000), (1002, "again and " * 20_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(brute(rows, 10**6), key=str)
+    for hot, bucket in ((0, 300), (40, 300), (10**5, 10**6)):
+        out = lm.scored(df, hot, bucket, every_context=True).collect()
+        got = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5)) for r in out]
+        for a, b in zip(sorted(got, key=str), want):
+            assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], abs=2e-5) and a[6] == pytest.approx(b[6], abs=1e-3)
+
+
+def test_the_query_has_every_context(spark, tmp_path, monkeypatch):
+    rows = texts(200, 3)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(lm.scored, "__defaults__", (20, 300, *lm.scored.__defaults__[2:]))
+    got = {r.doc_id: r.score for r in lm.op6_lm_scoring(spark, str(tmp_path)).collect()}
+    assert all(got[d] == pytest.approx(score, abs=1e-3) for d, *_, score in brute(rows, 10**6))
