@@ -26,7 +26,6 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,9 +70,9 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def simhash(text):
     """Column of fingerprints (long, the bits of the unsigned value) of a text column."""
 
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([signed(fingerprint(t)) for t in texts], dtype="int64")
+    @F.arrow_udf("long")
+    def of(texts: pa.Array) -> pa.Array:  # without pandas, which takes memory in every worker
+        return pa.array([signed(fingerprint(t.as_py())) for t in texts], pa.int64())
 
     return of(text)
 

@@ -97,3 +97,22 @@ def test_hot_heads_are_cut_along_varying_bits(spark):
     want = S._roots(np.arange(len(low)), *np.nonzero(np.tril(x <= 3, -1)))
     groups = lambda root: sorted(map(sorted, {r: [k for k in range(len(low)) if root[k] == r] for r in set(root)}.values()))
     assert groups([got.get(int(v) << 11, int(v) << 11) for v in low]) == groups(want.tolist())
+
+
+def test_fingerprints_need_no_pandas(spark):
+    """Every worker imports what its functions need: pandas would take memory in each."""
+    from pyspark.sql import functions as F
+
+    def loaded(batches):
+        import sys
+
+        import pyarrow as pa
+
+        for b in batches:
+            S.fingerprint("a b c d")
+            yield pa.RecordBatch.from_arrays([pa.array([hasattr(S, "pd")] * b.num_rows)], ["pandas"])
+
+    assert not any(r.pandas for r in spark.range(3).mapInArrow(loaded, "pandas boolean").collect())
+    texts = ["a b c d", None, "", "é " * 50]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select(F.col("text"), S.simhash(F.col("text")).alias("fp"))
+    assert "pandas" not in df._jdf.queryExecution().toString().lower() and {r.text: r.fp for r in df.collect()} == {t: S.signed(brute_fingerprint(t)) for t in texts}
