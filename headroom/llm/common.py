@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -120,6 +121,28 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, spread: str, salts:
     return dealt.join(repeated, [key, "__salt"]).drop("__salt")
 
 
+def bloom_of(keys: DataFrame, most_bits: int) -> np.ndarray:
+    """Bloom filter, as 64-bit words, of the hashes k (long): 32 bits a hash, at most most_bits in all."""
+    bits = 1 << 10
+    n = keys.count()
+    while bits < 32 * n and bits < most_bits:
+        bits *= 2
+    places = keys.select(F.explode(F.array(F.col("k").bitwiseAND(bits - 1), F.shiftrightunsigned("k", 34).bitwiseAND(bits - 1))).alias("p"))
+    words = places.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63L as int))")).alias("b")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[words["w"].to_numpy()] = words["b"].to_numpy()
+    return out.view(np.uint64)
+
+
+def may_hold(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether a Bloom filter may hold each hash."""
+    keys, mask = keys.view(np.uint64), np.uint64(len(bloom) * 64 - 1)
+    found = np.ones(len(keys), bool)
+    for p in (keys & mask, (keys >> np.uint64(34)) & mask):
+        found &= (bloom[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return found
+
+
 def signed(x: int) -> int:
     """An unsigned 64-bit value as Spark's long."""
     return x - (1 << 64) if x >= 1 << 63 else x

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, read, salted_join, with_row_key
+from .common import bloom_of, cut, may_hold, read, salted_join, with_row_key
 
 BLOCK = 576
 PAD = b"\xff"
@@ -112,23 +112,7 @@ def repeated_filter(docs: DataFrame) -> np.ndarray:
     media = cut(media, "media-digests")
     chunks = media.select(F.explode(F.slice("d", 2, F.greatest(F.size("d"), F.lit(1)))).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     keys = cut(chunks.filter("n > 1").select("k").unionByName(media.filter("n > 1").select(F.col("medium").alias("k"))), "media-repeated")
-    bits = 1 << 10
-    n = keys.count()
-    while bits < 32 * n and bits < MOST_BITS:
-        bits *= 2
-    places = keys.select(F.explode(F.array(F.col("k").bitwiseAND(bits - 1), F.shiftrightunsigned("k", 34).bitwiseAND(bits - 1))).alias("p"))
-    words = places.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63L as int))")).alias("b")).toArrow()
-    out = np.zeros(bits // 64, np.int64)
-    out[words["w"].to_numpy()] = words["b"].to_numpy()
-    return out.view(np.uint64)
-
-
-def _may_repeat(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    keys, mask = keys.view(np.uint64), np.uint64(len(bloom) * 64 - 1)
-    found = np.ones(len(keys), bool)
-    for p in (keys & mask, (keys >> np.uint64(34)) & mask):
-        found &= (bloom[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
-    return found
+    return bloom_of(keys, MOST_BITS)
 
 
 CHUNKS = "array<struct<digest: binary, data: binary>>"
@@ -149,7 +133,7 @@ def stored(docs: DataFrame, bloom: np.ndarray) -> tuple[DataFrame, DataFrame]:
         """The chunk list of a medium, and its shared chunks."""
         parts = chunks_of(media)
         names = [digest(p) for p in parts]
-        far = _may_repeat(sent.value, _prefix(names))
+        far = may_hold(sent.value, _prefix(names))
         return [{"digest": d, "data": None if f else p} for d, p, f in zip(names, parts, far)], [(d, p) for d, p, f in zip(names, parts, far) if f]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +145,7 @@ def stored(docs: DataFrame, bloom: np.ndarray) -> tuple[DataFrame, DataFrame]:
                 sha = hashlib.sha256(media).digest()
                 lengths.append(n)
                 shas.append(sha)
-                lists.append(None if _may_repeat(sent.value, _prefix([sha]))[0] else listed(media)[0])
+                lists.append(None if may_hold(sent.value, _prefix([sha]))[0] else listed(media)[0])
             yield pa.RecordBatch.from_arrays([batch.column("__row"), batch.column("doc_id"), pa.array(lengths, pa.int64()), pa.array(shas, pa.binary()), pa.array(lists, chunk)], ["__row", "doc_id", "n_bytes", "sha", "chunks"])
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +163,7 @@ def stored(docs: DataFrame, bloom: np.ndarray) -> tuple[DataFrame, DataFrame]:
             for text in batch.column("text"):
                 media = wav(payload_of(text.as_py())[1])
                 sha = hashlib.sha256(media).digest()
-                copied = bool(_may_repeat(sent.value, _prefix([sha]))[0])
+                copied = bool(may_hold(sent.value, _prefix([sha]))[0])
                 if copied and not new(sha):
                     continue
                 parts, shared = listed(media)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT_COLUMNS, cut, forget, salted_join, signed, with_row_key
+from .common import DOCUMENT_COLUMNS, bloom_of, cut, forget, may_hold, salted_join, signed, with_row_key
 from .simhash import BUDGET, HASH_SEED, connected, majority, near_links, shingles
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -37,6 +37,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 36, 9
 #: Centres of a bucket in the rounds; the last goes on.
 CENTRES = (1, 16, 128, 1024)
+#: Bits of the Bloom filter of the documents whose texts a round compares; a full filter only lets more texts pass.
+MOST_BITS = 1 << 27
 #: Words of 64 least hashes of which a sketch keeps so many bits each.
 WORDS, PLANES = 5, 4
 
@@ -122,8 +124,21 @@ def _alike(similarity: float):
     return of
 
 
+def texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The texts (id, text) of the documents of pairs (a, b), and few others: a Bloom filter drops texts before they are shuffled."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sent = texts.sparkSession.sparkContext.broadcast(bloom_of(ids.select(F.xxhash64("id").alias("k")), MOST_BITS))
+
+    @F.pandas_udf("boolean")
+    def paired(keys: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(sent.value, keys.to_numpy()))
+
+    return texts.filter(paired(F.xxhash64("id")))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts (id, text) are alike. b may be the same in very many pairs."""
+    texts = texts_of(pairs, texts)
     second = salted_join(pairs, texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b", "a")
     both = second.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     return both.sortWithinPartitions("b").filter(_alike(similarity)("text_a", "text_b")).select("a", "b")

@@ -90,5 +90,18 @@ def test_bands_agree_as_often_as_computed():
     assert found >= 290
 
 
+def test_only_texts_of_pairs_are_shuffled(spark, monkeypatch):
+    texts = spark.range(5000).select("id", N.F.concat(N.F.lit("text "), "id").alias("text"))
+    pairs = spark.createDataFrame([(4000, 7), (4999, 7), (300, 20)], "a long, b long")
+    got = {r.id for r in N.texts_of(pairs, texts).collect()}
+    assert {4000, 4999, 300, 7, 20} <= got and len(got) < 100
+    assert N.texts_of(pairs.limit(0), texts).count() == 0
+    seen = []
+    of = N.salted_join
+    monkeypatch.setattr(N, "salted_join", lambda left, right, *a, **k: seen.append(right) or of(left, right, *a, **k))
+    N.verified(pairs, texts, 0.8).collect()
+    assert seen[0].count() < 100
+
+
 def test_nothing_and_alone(spark):
     assert left(spark, []) == [] and left(spark, [(None, None)]) == [None] and left(spark, [(1, "a"), (1, "a"), (2, "b")]) == [1, 2]
