@@ -124,16 +124,21 @@ def _alike(similarity: float):
     return of
 
 
-def texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The texts (id, text) of the documents of pairs (a, b), and few others: a Bloom filter drops texts before they are shuffled."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sent = texts.sparkSession.sparkContext.broadcast(bloom_of(ids.select(F.xxhash64("id").alias("k")), MOST_BITS))
+def may_be_among(ids: DataFrame, name: str) -> Column:
+    """Whether column `name` may be one of those of ids, by a Bloom filter: true of each of these, and of few others."""
+    sent = ids.sparkSession.sparkContext.broadcast(bloom_of(ids.select(F.xxhash64(name).alias("k")), MOST_BITS))
 
     @F.pandas_udf("boolean")
-    def paired(keys: pd.Series) -> pd.Series:
+    def held(keys: pd.Series) -> pd.Series:
         return pd.Series(may_hold(sent.value, keys.to_numpy()))
 
-    return texts.filter(paired(F.xxhash64("id")))
+    return held(F.xxhash64(name))
+
+
+def texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The texts (id, text) of the documents of pairs (a, b), and few others: the rest is dropped before texts are shuffled."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return texts.filter(may_be_among(ids, "id"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -209,7 +214,11 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     kept = reps.join(roots, reps.id == roots.v, "left").groupBy(F.coalesce("root", "id")).agg(F.min("first").alias("first")).select(F.col("first.__row").alias("__row"))
     kept = cut(kept, "dedup-kept")
     forget(reps)
-    return keyed.join(kept, "__row", "left_semi").select(*docs.columns)
+    gone = cut(keyed.select("__row").join(kept, "__row", "left_anti"), "dedup-gone")
+    forget(kept)
+    # only texts that may go are shuffled
+    maybe = may_be_among(gone, "__row")
+    return keyed.filter(~maybe).unionByName(keyed.filter(maybe).join(gone, "__row", "left_anti")).select(*docs.columns)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
