@@ -1,60 +1,28 @@
 """Backtest, selection and forecast of every series.
 
-A series is one array of days. Its fits (one for each model and fold) are rows of their own. The naive
-model, the reweighted line, the errors and the choice are columns; the boosted stumps are fitted in
-Python, for many series at once, dealt out evenly. The forecast fits the chosen model alone.
+A series is one array of days, dealt out evenly and handed to numpy once for all its fits (one for each
+model and fold). The errors and the choice are columns. The forecast fits the chosen model alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clip, selection_score
 from ..schemas import SERIES, Params
-from . import series_models as M
-from .forecast_native import as_arrays, fold_errors, fold_splits, with_naive_fit, with_trend_fit
+from .fits import fit_of, fits
+from .forecast_native import as_arrays, fold_errors, fold_splits
 
 MODELS = ("seasonal_naive", "robust_trend", "gbdt_lag")
 ERRORS = ("wape", "mae", "pinball_p90", "calibration_p90")
-FITTED = "p50 array<double>, q90 double, q95 double"
-#: Fits that a task gets at least, and at most: these are in one Arrow batch.
-LEAST_FITS, MOST_FITS = 16, 512
-
-
-def boosted(y: Column, first_day: Column, days: int) -> Column:
-    """Struct of p50 (array of `days` values) and the residual quantiles of the boosted stumps."""
-
-    @F.pandas_udf(FITTED)
-    def of(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for values, firsts in parts:
-            yield pd.DataFrame(M.fit_all([np.asarray(v, float) for v in values], firsts.astype(int).tolist(), days), columns=["p50", "q90", "q95"])
-
-    # else a filter on the result, which an explode implies, would be pushed below and fit everything once more
-    return of.asNondeterministic()(y, first_day)
-
-
-def _fitted(rows: DataFrame, days: int, tasks: int | None, models: tuple[str, ...]) -> DataFrame:
-    """rows (SERIES, model, y, first_day, ...) with the struct `fit`. A series too short for boosted stumps has the seasonal-naive fit."""
-    short = (F.col("model") == "gbdt_lag") & (F.size("y") < M.LEAST_DAYS)
-    named = rows.withColumn("__by", F.when(short, "seasonal_naive").otherwise(F.col("model")))
+#: Series that a task gets at least, and at most: these are in one Arrow batch.
+LEAST_SERIES, MOST_SERIES = 8, 512
 
-    def dealt(model: str) -> DataFrame:
-        """The rows of a model, in turn: few rows would fall unevenly by a hash, and a small table is one partition."""
-        own = named.filter(F.col("__by") == model)
-        n, cores = own.count() if tasks is None else 0, rows.sparkSession.sparkContext.defaultParallelism
-        return own.repartition(tasks or max(1, min(3 * cores, n // LEAST_FITS), -(-n // MOST_FITS)))
 
-    out = with_naive_fit(named.filter("__by = 'seasonal_naive'"), days)
-    if "robust_trend" in models:
-        out = out.unionByName(with_trend_fit(dealt("robust_trend"), days))
-    if "gbdt_lag" in models:
-        out = out.unionByName(dealt("gbdt_lag").withColumn("fit", boosted(F.col("y"), F.col("first_day"), days)))
-    return out.drop("__by")
+def _dealt(rows: DataFrame, n: int, tasks: int | None) -> DataFrame:
+    """n rows, in turn: few would fall unevenly by a hash, and a small table is one partition."""
+    return rows.repartition(tasks or max(1, min(3 * rows.sparkSession.sparkContext.defaultParallelism, n // LEAST_SERIES), -(-n // MOST_SERIES)))
 
 
 def series_of(grid: DataFrame) -> DataFrame:
@@ -64,12 +32,15 @@ def series_of(grid: DataFrame) -> DataFrame:
 
 def model_backtest(series: DataFrame, p: Params = Params(), tasks: int | None = None, models: tuple[str, ...] = MODELS) -> DataFrame:
     """Mean errors of the models over the folds of each series; nulls and 0 folds where it is too short."""
-    named = F.explode(F.array(*map(F.lit, models)))
-    folds = series.select(*SERIES, "y", "first_day", F.explode(fold_splits(p)).alias("split")).withColumn("model", named)
-    cut = folds.select(*SERIES, "model", "split", "first_day", F.slice("y", 1, F.col("split")).alias("y"), F.slice("y", F.col("split") + 1, p.fold_days).alias("test"))
-    per = _fitted(cut, p.fold_days, tasks, models).select(*SERIES, "model", "test", F.col("fit.p50").alias("p50"), F.col("fit.q90").alias("q90"))
-    tested = fold_errors(per, p.fold_days).groupBy(*SERIES, "model").agg(*[F.avg(c).alias(c) for c in ERRORS], F.count(F.lit(1)).alias("folds"))
-    every = series.select(*SERIES, named.alias("model"))
+    names, h = F.array(*map(F.lit, models)), p.fold_days
+    rows = _dealt(series.select(*SERIES, "y", "first_day"), series.count(), tasks).withColumn("splits", fold_splits(p))
+    tests = F.transform("splits", lambda s: F.slice("y", s + 1, h))
+    # in a select of its own: beside the explode a whole series would be copied for every fit
+    fitted = rows.select(*SERIES, tests.alias("tests"), fits(F.col("y"), F.col("first_day"), F.col("splits"), names, h).alias("fits"))
+    each = fitted.select(*SERIES, "tests", F.explode("fits").alias("fit"))
+    per = each.select(*SERIES, "fit.model", F.get("tests", F.col("fit.at")).alias("test"), "fit.p50", "fit.q90")
+    tested = fold_errors(per, h).groupBy(*SERIES, "model").agg(*[F.avg(c).alias(c) for c in ERRORS], F.count(F.lit(1)).alias("folds"))
+    every = series.select(*SERIES, F.explode(names).alias("model"))
     return every.join(tested, [*SERIES, "model"], "left").select(*SERIES, "model", *ERRORS, F.coalesce("folds", F.lit(0)).cast("int").alias("folds"))
 
 
@@ -85,8 +56,9 @@ def forecast_daily(series: DataFrame, selection: DataFrame, p: Params = Params()
     """max(horizons) days of each series by its selected model."""
     days = max(p.horizons)
     rows = series.join(selection.select(*SERIES, F.col("selected_model").alias("model")), list(SERIES))
-    fits = _fitted(rows, days, tasks, MODELS).select(*SERIES, "last", "model", "fit.q90", "fit.q95", "fit.p50")
+    fit = fit_of(F.col("y"), F.col("first_day"), F.col("model"), days)
+    fitted = _dealt(rows, series.count(), tasks).select(*SERIES, "last", "model", fit.alias("fit")).select(*SERIES, "last", "model", "fit.q90", "fit.q95", "fit.p50")
     # in a select of its own: beside an explode the bands would be computed for every day
-    told = fits.select(*SERIES, "last", "model", "q90", "q95", F.posexplode("p50").alias("at", "p50"))
+    told = fitted.select(*SERIES, "last", "model", "q90", "q95", F.posexplode("p50").alias("at", "p50"))
     ahead = F.col("at") + 1
     return told.select(*SERIES, F.expr("date_add(last, at + 1)").alias("date"), ahead.alias("horizon_day"), "model", "p50", clip(F.col("p50") + F.col("q90")).alias("p90"), clip(F.col("p50") + F.col("q95")).alias("p95"))

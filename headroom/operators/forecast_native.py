@@ -1,4 +1,4 @@
-"""Series preparation, the seasonal-naive model, its backtest and linear extrapolation, all in columns."""
+"""Series preparation, the seasonal-naive model, its backtest and linear extrapolation in columns; the reweighted line."""
 
 from __future__ import annotations
 
@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import clip
 from ..schemas import SERIES, Params
+from .fits import fit_of
 
 LAGS = (1, 2, 3, 7, 14, 21, 28)
 WINDOWS = (3, 7, 14)
-#: Passes of the reweighted line.
-PASSES = 8
 
 
 def by_day():
@@ -80,68 +79,13 @@ def with_naive_fit(rows: DataFrame, days: int) -> DataFrame:
     return parts.withColumn("fit", fit).drop("__week", "__r")
 
 
-def _let(value: Column, body) -> Column:
-    """body(value) with value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
-def _reweighted_line(y: Column) -> Column:
-    """Struct (c, m, q) of the line c + m * i through an array of values after PASSES passes.
-
-    A pass minimises sum(q * (y - c - m * i)**2) and sets q = 1 / max(1, |r| / (1.5 * median |r|))**2.
-    """
-
-    def line(q: Column) -> Column:
-        qi = F.transform(q, lambda w, i: w * i)
-        sums = {"s0": _total(q), "s1": _total(qi), "s2": _total(F.transform(qi, lambda w, i: w * i)), "t0": _total(F.zip_with(q, y, lambda w, v: w * v)), "t1": _total(F.zip_with(qi, y, lambda w, v: w * v))}
-
-        def solved(s: Column) -> Column:
-            det = s.s0 * s.s2 - s.s1 * s.s1
-            slope = F.when(det > 0, (s.s0 * s.t1 - s.s1 * s.t0) / det).otherwise(0.0)
-            return _let(slope, lambda m: F.struct(((s.t0 - m * s.s1) / s.s0).alias("c"), m.alias("m")))
-
-        return _let(F.struct(*[v.alias(k) for k, v in sums.items()]), solved)
-
-    def step(state: Column, _: Column) -> Column:
-        def weighted(f: Column) -> Column:
-            def of(r: Column) -> Column:
-                # sorted once, not for every value
-                limit = _let(F.array_sort(r), lambda v: 1.5 * (quantile(v, 0.5) + 1e-9))
-                return _let(limit, lambda z: F.transform(r, lambda v: 1 / F.pow(F.greatest(F.lit(1.0), v / z), F.lit(2.0))))
-
-            q = _let(F.transform(y, lambda v, i: F.abs(v - (f.c + f.m * i))), of)
-            return F.struct(f.c.alias("c"), f.m.alias("m"), q.alias("q"))
-
-        return _let(line(state.q), weighted)
-
-    start = F.struct(F.lit(0.0).alias("c"), F.lit(0.0).alias("m"), F.transform(y, lambda _: F.lit(1.0)).alias("q"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(PASSES)), start, step)
-
-
 def with_trend_fit(rows: DataFrame, days: int) -> DataFrame:
     """rows (y, first_day, ...) with the struct `fit` of the reweighted line plus the median residual of each weekday."""
-    y, n = F.col("y"), F.size("y")
-    weekday = lambda i: F.pmod(F.col("first_day") + i + 3, F.lit(7)).cast("int")  # noqa: E731  day 0 was a Thursday
-
-    def fitted(line: Column) -> Column:
-        def of(r: Column) -> Column:
-            median = lambda d: _let(F.array_sort(F.filter(r, lambda _, i: weekday(i) == d)), lambda v: quantile(v, 0.5))
-
-            def told(term: Column) -> Column:
-                return F.transform(F.sequence(F.lit(0), F.lit(days - 1)), lambda i: clip(line.c + line.m * (n + i) + F.get(term, weekday(n + i))))
-
-            bands = lambda a: F.struct(quantile(a, 0.9).alias("q90"), quantile(a, 0.95).alias("q95"))
-            both = F.struct(_let(F.array(*[median(d) for d in range(7)]), told).alias("p50"), _let(F.array_sort(F.transform(r, lambda v: F.abs(v))), bands).alias("b"))
-            return _let(both, lambda f: F.struct(f.p50.alias("p50"), f.b.q90.alias("q90"), f.b.q95.alias("q95")))
-
-        return _let(F.transform(y, lambda v, i: v - (line.c + line.m * i)), of)
-
-    # one expression of values that are computed once: columns of their own could be inlined into what runs for every day
-    return rows.withColumn("fit", _let(_reweighted_line(y), fitted))
+    return rows.withColumn("fit", fit_of(F.col("y"), F.col("first_day"), F.lit("robust_trend"), days))
 
 
 def seasonal_naive(grid: DataFrame, days: int) -> DataFrame:

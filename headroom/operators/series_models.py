@@ -1,8 +1,8 @@
-"""Boosted stumps on lag features, fitted for many daily series at once with numpy: what Spark has no columns for.
+"""The models of a daily series with numpy: the seasonal-naive one, the reweighted line, boosted stumps on lag features.
 
-A batch of series is one array whose rows end on the same column, so that a step of a fit, or a day ahead,
-is one operation for all of them. A fit gives the values ahead and the 0.9 and 0.95 quantiles of the
-absolute residuals.
+Stumps are fitted for many series at once: a batch is one array whose rows end on the same column, so that a
+step of a fit, or a day ahead, is one operation for all of them. A fit gives the values ahead and the 0.9 and
+0.95 quantiles of the absolute residuals.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ import numpy as np
 
 LAGS = (1, 2, 3, 7, 14, 21, 28)
 WINDOWS = (3, 7, 14)
+#: Passes of the reweighted line.
+PASSES = 8
 STUMPS, RATE, LEVELS, LEAF = 80, 0.08, 15, 8
 FIRST = max(*LAGS, *WINDOWS)
 #: A series needs so many days for boosted stumps: 45 complete feature rows.
@@ -22,6 +24,50 @@ BATCH = 32
 Fit = tuple[np.ndarray, float, float]
 
 
+def quantile(ordered: np.ndarray, q: float) -> float:
+    """Linearly interpolated quantile of a sorted array; 0 of an empty one."""
+    if not len(ordered):
+        return 0.0
+    at = (len(ordered) - 1) * q
+    low = int(at)
+    return float(ordered[low] + (ordered[min(low + 1, len(ordered) - 1)] - ordered[low]) * (at - low))
+
+
+def banded(p50: np.ndarray, residual: np.ndarray) -> Fit:
+    ordered = np.sort(residual)
+    return p50, quantile(ordered, 0.9), quantile(ordered, 0.95)
+
+
+def seasonal_naive(y: np.ndarray, horizon: int) -> Fit:
+    """The last week again, or the last value of a series shorter than that."""
+    if len(y) < 7:
+        return banded(np.full(horizon, y[-1]), np.abs(y - y[-1]))
+    return banded(np.resize(y[-7:], horizon), np.abs(y[7:] - y[:-7]))
+
+
+def robust_trend(y: np.ndarray, start: int, horizon: int) -> Fit:
+    """The reweighted line plus the median residual of each weekday. start: day number of the first value.
+
+    A pass minimises sum(q * (y - c - m * i)**2) and sets q = 1 / max(1, |r| / (1.5 * median |r|))**2.
+    """
+    n = len(y)
+    i, q = np.arange(n, dtype=float), np.ones(n)
+    for _ in range(PASSES):
+        qi = q * i
+        s0, s1, s2, t0, t1 = q.sum(), qi.sum(), qi @ i, q @ y, qi @ y
+        det = s0 * s2 - s1 * s1
+        m = (s0 * t1 - s1 * t0) / det if det > 0 else 0.0
+        c = (t0 - m * s1) / s0
+        r = y - (c + m * i)
+        size = np.abs(r)
+        middle = np.partition(size, ((n - 1) // 2, n // 2))[[(n - 1) // 2, n // 2]]
+        q = 1 / np.maximum(1.0, size / (1.5 * (middle[0] + (middle[1] - middle[0]) * 0.5 + 1e-9))) ** 2
+    # day 0 was a Thursday; a weekday's residuals are every seventh
+    term = np.array([quantile(np.sort(r[(d - start - 3) % 7 :: 7]), 0.5) for d in range(7)])
+    ahead = np.arange(n, n + horizon)
+    return banded(np.clip(c + m * ahead + term[(start + ahead + 3) % 7], 0, 100), size)
+
+
 def _angles(day: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sine and cosine of the weekday of day numbers; day 0 was a Thursday."""
     angle = 2 * np.pi * ((day + 3) % 7) / 7
@@ -101,11 +147,6 @@ class Stumps:
         return np.clip(self.base + side.sum(axis=1), 0, 100)
 
 
-def banded(p50: np.ndarray, residual: np.ndarray) -> Fit:
-    q90, q95 = np.quantile(residual, [0.9, 0.95])
-    return p50, float(q90), float(q95)
-
-
 def gbdt_lag(series: list[np.ndarray], starts: list[int], horizon: int) -> list[Fit]:
     """Boosted stumps on lag features, carried on day by day. Each series has at least LEAST_DAYS values; starts: day numbers of the first."""
     lengths = np.array([len(y) for y in series])

@@ -221,6 +221,23 @@ def test_forecast_fits_once(spark, tmp_path):
     assert told._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
 
 
+def test_backtest_hands_a_series_over_once(spark, tmp_path):
+    """All folds and models of a series are fitted where it is: no copy of it for each fit goes through a shuffle."""
+    forecast.series_of(forecast_native.daily_grid(daily(spark, SERIES))).write.parquet(f"{tmp_path}/series")
+    told = forecast.model_backtest(spark.read.parquet(f"{tmp_path}/series"), tasks=2)
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("Repartition") == 1
+
+
+def test_line_of_any_length_and_first_day():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 5, 8, 40, 41, 300):
+        for start in range(7):
+            y = np.clip(30 + 0.1 * np.arange(n) + rng.normal(0, 5, n) + 40 * (rng.random(n) < 0.1), 0, 100)
+            got, want = series_models.robust_trend(y, start, 9), brute_trend(y, start, 9)
+            assert got[0] == pytest.approx(want[0], abs=1e-6) and got[1:] == pytest.approx(want[1:], abs=1e-6)
+
+
 def day_numbers(h, first):
     return np.broadcast_to(first + np.arange(h.shape[1]), h.shape)
 
