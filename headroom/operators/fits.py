@@ -27,14 +27,16 @@ def _packed(values: list, kind: pa.DataType) -> pa.ListArray:
 
 def fit_series(series: list[np.ndarray], starts: list[int], splits: list, models: list, days: int) -> pa.ListArray:
     """FITS of each series: every model on its first `split` values, for every split. One too short for boosted stumps has the seasonal-naive fit."""
+    able = [[int(s) for s in splits[i] if s >= M.LEAST_DAYS] if "gbdt_lag" in models[i] else [] for i in range(len(series))]
+    boosted = [dict(zip(own, told)) for own, told in zip(able, M.fit_all(series, starts, days, able))]
+
+    def fit(i: int, split: int, model: str) -> M.Fit:
+        if model == "robust_trend":
+            return M.robust_trend(series[i][:split], starts[i], days)
+        return boosted[i][split] if model == "gbdt_lag" and split in boosted[i] else M.seasonal_naive(series[i][:split], days)
+
     asked = [(i, at, int(split), model) for i in range(len(series)) for at, split in enumerate(splits[i]) for model in models[i]]
-    boosted = [k for k, (_, _, split, model) in enumerate(asked) if model == "gbdt_lag" and split >= M.LEAST_DAYS]
-    told = dict(zip(boosted, M.fit_all([series[i][:split] for i, _, split, _ in (asked[k] for k in boosted)], [starts[asked[k][0]] for k in boosted], days)))
-    for k, (i, _, split, model) in enumerate(asked):
-        if k not in told:
-            own = series[i][:split]
-            told[k] = M.robust_trend(own, starts[i], days) if model == "robust_trend" else M.seasonal_naive(own, days)
-    fits = [told[k] for k in range(len(asked))]
+    fits = [fit(i, split, model) for i, _, split, model in asked]
     p50 = _packed([f[0] for f in fits], pa.float64())
     columns = [pa.array([a[1] for a in asked], pa.int32()), pa.array([a[3] for a in asked], pa.string()), p50, pa.array([f[1] for f in fits], pa.float64()), pa.array([f[2] for f in fits], pa.float64())]
     ends = np.cumsum([0, *(len(s) * len(m) for s, m in zip(splits, models))])

@@ -268,6 +268,24 @@ def test_series_fitted_together_are_as_alone():
         assert p50 == pytest.approx(alone[0], rel=1e-9) and (q90, q95) == pytest.approx(alone[1:], rel=1e-9)
 
 
+def test_shared_days_and_folds_of_a_series():
+    """What two candidates share by their codes is that of the days themselves; folds that share features are as fits alone."""
+    rng = np.random.default_rng(4)
+    series = [np.clip(50 + np.round(rng.normal(0, 9, n)), 0, 100) for n in (300, 210, 90)]
+    y = series[0]
+    x = series_models.features(y[None], day_numbers(y[None], 3))[0]
+    model = series_models.Stumps([x], [y[series_models.FIRST :]])
+    left = np.concatenate([x[:, j : j + 1] <= series_models.candidate_cuts(x.T)[j] for j in range(series_models.COLUMNS)], axis=1).astype(int)
+    assert (series_models.shared_days(model.codes[0]) == left.T @ left).all()
+    splits = [[270, 240, 210], [180], []]
+    told = series_models.fit_all(series, [3, 4, 5], 30, splits)
+    assert list(map(len, told)) == [3, 1, 0]
+    for y, start, own, fits in zip(series, [3, 4, 5], splits, told):
+        for split, (p50, q90, q95) in zip(own, fits):
+            alone = one_boosted(y[:split], start, 30)
+            assert p50.tolist() == alone[0].tolist() and (q90, q95) == alone[1:]
+
+
 def test_features_match_columns(spark):
     values = [40 + (i * 13) % 29 for i in range(60)]
     h = np.array([values], float)
