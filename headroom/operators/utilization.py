@@ -50,13 +50,20 @@ def derive_history(trend: DataFrame, history_days: int, now, keep: tuple[str, ..
 
 
 def util_history(history: DataFrame, selected: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    rows = history.join(_selected(selected, "target"), "itemid")
+    return target_history(history.join(_selected(selected, "target"), "itemid"), keep)
+
+
+def target_history(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """History points that have met their targets."""
     return rows.withColumn("utilization_pct", clip(invert(F.col("transform"), F.col("value")))).select(*UTIL_HISTORY, *keep)
 
 
 def util_trend(trend: DataFrame, selected: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Inverted items swap their minimum and maximum."""
-    rows = trend.join(_selected(selected, "target"), "itemid")
+    return target_trend(trend.join(_selected(selected, "target"), "itemid"), keep)
+
+
+def target_trend(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Trend points that have met their targets. Inverted items swap their minimum and maximum."""
     inverted = F.col("transform") == "invert_100"
     low = F.when(inverted, 100 - F.col("value_max")).otherwise(F.col("value_min"))
     high = F.when(inverted, 100 - F.col("value_min")).otherwise(F.col("value_max"))
@@ -68,8 +75,18 @@ def _feature(value: str) -> Column:
 
 
 def feature_history(history: DataFrame, selected: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    return history.join(_selected(selected, "feature"), "itemid").withColumn("value", _feature("value")).select(*FEATURE_HISTORY, *keep)
+    return own_feature_history(history.join(_selected(selected, "feature"), "itemid"), keep)
+
+
+def own_feature_history(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """History points that have met their features."""
+    return rows.withColumn("value", _feature("value")).select(*FEATURE_HISTORY, *keep)
 
 
 def feature_trend(trend: DataFrame, selected: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    return trend.join(_selected(selected, "feature"), "itemid").withColumns({c: _feature(c) for c in ("value_min", "value_avg", "value_max")}).select(*FEATURE_TREND, *keep)
+    return own_feature_trend(trend.join(_selected(selected, "feature"), "itemid"), keep)
+
+
+def own_feature_trend(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Trend points that have met their features."""
+    return rows.withColumns({c: _feature(c) for c in ("value_min", "value_avg", "value_max")}).select(*FEATURE_TREND, *keep)

@@ -297,8 +297,8 @@ def _by_scope(s: SparkSession, d: str) -> DataFrame:
 def _ingest(s: SparkSession, d: str) -> DataFrame:
     """The stream over files of raw points, then what its sink holds after it is compacted. The points come twice, as after a re-delivery."""
     root = _folder(s, "ingest")
-    raw = X.trend_raw(s, d)
-    raw.union(raw).write.parquet(f"{root}/raw")
+    X.trend_raw(s, d).write.parquet(f"{root}/raw")
+    s.read.parquet(f"{root}/raw").write.mode("append").parquet(f"{root}/raw")
     # the selection is a table of its own, as in production: no batch computes it again
     X.selected(s, d).write.parquet(f"{root}/selected")
     # at any size a few batches, whose points are of all years

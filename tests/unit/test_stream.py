@@ -74,3 +74,28 @@ def test_a_batch_lists_the_folders_of_its_months_alone(spark, tmp_path):
     row.write.partitionBy("month", "part").parquet(f"{d}/t")
     files = ingest.stored(spark, f"{d}/t", ["2024-02", "2024-09"]).inputFiles()
     assert files and all("month=2024-02" in f for f in files) and ingest.stored(spark, f"{d}/t", ["2024-09"]) is None
+
+
+def test_a_batch_reads_its_points_twice_and_one_part_is_not_searched(spark, tmp_path):
+    """Once for its months, once for all tables: writing one table doesn't make the others compute the points again."""
+    tables = ingest.Tables(str(tmp_path))
+    row = lambda item, metric, source, feature: ("7", "h", "a", "dev", "non-prod", metric, source, feature, "", item, "k", 0, "identity")
+    chosen = spark.createDataFrame([row("1", "cpu", "target", ""), row("1", "ram", "feature", "used_bytes")], S.table(**S.SELECTED))
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(clock):
+        read.add(1)
+        return clock
+
+    batch = lambda first: spark.range(20).select(F.lit("1").alias("itemid"), F.timestamp_seconds(F.udf(seen, "long")(1711756800 + 3600 * (first + F.col("id")))).alias("clock"), F.lit(1).alias("num"), *[F.col("id").cast("double").alias(c) for c in ingest.RECORD[1:]])
+    ingest.append_batch(chosen, tables)(batch(0), 0)
+    searched = lambda: "Aggregate" in ingest.table(spark, tables.root, "util_trend")._jdf.queryExecution().optimizedPlan().toString()
+    assert not searched() and ingest.table(spark, tables.root, "util_trend").count() == 20
+    read.value = 0
+    ingest.append_batch(chosen, tables)(batch(10), 1)  # half of it again
+    assert read.value <= 40
+    assert searched() and sorted(ingest.table(spark, tables.root, "feature_history").groupBy("value").count().collect())[-1].value == 19.0
+    assert [ingest.table(spark, tables.root, n).count() for n in ingest.SCHEMAS] == [30] * 4
+    ingest.compact(spark, tables.root)
+    assert not searched() and [ingest.table(spark, tables.root, n).count() for n in ingest.SCHEMAS] == [30] * 4
+    assert ingest.daily(spark, tables.root).count() == 2 and ingest.table(spark, f"{tmp_path}/none", "util_trend").count() == 0
