@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import clip, selection_score
 from ..schemas import SERIES, Params
 from .fits import fit_of, fits
-from .forecast_native import as_arrays, fold_errors, fold_splits
+from .forecast_native import as_arrays, filled_arrays, fold_errors, fold_splits
 
 MODELS = ("seasonal_naive", "robust_trend", "gbdt_lag")
 ERRORS = ("wape", "mae", "pinball_p90", "calibration_p90")
@@ -27,7 +27,16 @@ def _dealt(rows: DataFrame, n: int, tasks: int | None) -> DataFrame:
 
 def series_of(grid: DataFrame) -> DataFrame:
     """One row a series of a daily grid: y, its last day, and the number of its first day. Write it before it is used more than once."""
-    return as_arrays(grid).withColumn("first_day", F.datediff("last", F.lit("1970-01-01").cast("date")) - F.size("y") + 1)
+    return _numbered(as_arrays(grid))
+
+
+def series_of_days(daily: DataFrame) -> DataFrame:
+    """series_of() the grid of known days, without the grid."""
+    return _numbered(filled_arrays(daily))
+
+
+def _numbered(arrays: DataFrame) -> DataFrame:
+    return arrays.withColumn("first_day", F.datediff("last", F.lit("1970-01-01").cast("date")) - F.size("y") + 1)
 
 
 def model_backtest(series: DataFrame, p: Params = Params(), tasks: int | None = None, models: tuple[str, ...] = MODELS) -> DataFrame:

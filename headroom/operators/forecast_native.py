@@ -49,6 +49,20 @@ def as_arrays(grid: DataFrame) -> DataFrame:
     return grid.groupBy(*SERIES).agg(days.alias("d")).select(*SERIES, F.transform("d", lambda x: x["y"]).alias("y"), F.element_at("d", -1)["date"].alias("last"))
 
 
+def filled_arrays(daily: DataFrame) -> DataFrame:
+    """as_arrays(daily_grid(daily)) without a row for each filled day: gaps are filled in the array of the known days, at most one a day."""
+    rows = daily.dropna(subset=[*SERIES, "date"]).filter(F.abs("target_p95") < float("inf"))
+    known = rows.groupBy(*SERIES).agg(F.sort_array(F.collect_list(F.struct("date", F.col("target_p95").alias("y")))).alias("d"))
+
+    def until(day: Column, following: Column) -> Column:
+        span = F.datediff(following["date"], day["date"])
+        return F.transform(F.sequence(F.lit(0), span - 1), lambda k: clip(day["y"] + (following["y"] - day["y"]) * k / span))
+
+    last, gaps = F.element_at("d", -1), F.size("d") - 1
+    filled = F.flatten(F.zip_with(F.slice("d", 1, gaps), F.slice("d", 2, gaps), until))
+    return known.select(*SERIES, F.concat(filled, F.array(clip(last["y"]))).alias("y"), last["date"].alias("last"))
+
+
 def quantile(v: Column, q: float) -> Column:
     """Linearly interpolated quantile of a sorted array; 0 of an empty one."""
     at = (F.size(v) - 1) * F.lit(q)

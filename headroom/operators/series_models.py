@@ -19,7 +19,7 @@ FIRST = max(*LAGS, *WINDOWS)
 LEAST_DAYS = 45 + FIRST
 COLUMNS = len(LAGS) + 2 * len(WINDOWS) + 2
 #: Fits made together: what their candidate splits share, some 200 kB a fit, is held at once.
-BATCH = 64
+BATCH = 128
 
 Fit = tuple[np.ndarray, float, float]
 

@@ -98,7 +98,7 @@ def _probabilities(s: SparkSession, d: str) -> DataFrame:
 
 
 def _series(s: SparkSession, d: str) -> DataFrame:
-    return _kept(s, "series", M.series_of(_grid(s, d)))
+    return _kept(s, "series", M.series_of_days(_daily(s, d)))
 
 
 def _selected(s: SparkSession, series: DataFrame) -> DataFrame:

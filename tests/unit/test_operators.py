@@ -94,6 +94,17 @@ def test_grid_fills_gaps(spark):
     assert [r.y for r in got] == [10, 20, 30, 40, 100, 5]
 
 
+def test_series_without_a_grid(spark):
+    """Gaps, clipped ends, one day, days that are no number or infinite: the same arrays, with no row for a filled day."""
+    days = daily(spark, {"1": [10, None, None, 40, 120], "2": [5], "3": [None, -3, None, 50, float("nan"), 7, None], "4": [float("inf"), None, 101.5, 33.3, None, None, None, 0.1]})
+    key = lambda rows: sorted((r.hostid, r.y, r.last, r.first_day) for r in rows.collect())
+    got = forecast.series_of_days(days)
+    assert key(got) == key(forecast.series_of(forecast_native.daily_grid(days))) and len(key(got)) == 4
+    assert key(got)[0][1] == [10, 20, 30, 40, 100]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Generate" not in plan and forecast.series_of_days(days.limit(0)).count() == 0
+
+
 SERIES = {
     "constant": [50] * 200,
     "rising": list(np.linspace(40, 95, 200)),
